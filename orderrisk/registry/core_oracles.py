@@ -254,8 +254,9 @@ _CORR = [
 
 
 def _corr(a: str, b: str) -> str:
-    value = "1.0::double" if a == b else f"round(corr({a}, {b}), 6)"
-    return f"select '{a}' as feature_a, '{b}' as feature_b, {value} as correlation from mart"
+    if a == b:
+        return f"select '{a}' as feature_a, '{b}' as feature_b, 1.0::double as correlation"
+    return f"select '{a}' as feature_a, '{b}' as feature_b, round(corr({a}, {b}), 6) as correlation from mart"
 
 
 def _quartile(label: str, num: int, den: int) -> str:

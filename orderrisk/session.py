@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _SCRATCH_KEY = "orderrisk.scratch"
 
@@ -43,3 +43,9 @@ def scratch_dir(spark: SparkSession) -> str:
     folder = f"{shared.rstrip('/')}/orderrisk-{spark.sparkContext.applicationId}"
     spark.conf.set(_SCRATCH_KEY, folder)
     return folder
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """The rows of ``df`` as a checkpoint in the shared folder: reused, and safe from lost executors."""
+    scratch_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
