@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from orderrisk.functions import fixed_values as fixed
+from orderrisk.sources.files import exists
 
 from . import evaluate
 from .features import FEATURES, assembler, feature_matrix, fit_scaler, with_weight
@@ -287,10 +288,7 @@ def save_model(model: PipelineModel, path: str) -> None:
 
 def load_model(path: str) -> PipelineModel:
     """The saved pipeline; says what to do when there is none."""
-    spark = SparkSession.active()
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not files.exists(hadoop_path):
+    if not exists(SparkSession.active(), path):
         raise FileNotFoundError(f"{path} not found: train a model first")
     return PipelineModel.load(path)
 

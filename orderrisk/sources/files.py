@@ -80,6 +80,11 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None)
     return df.sparkSession.read.parquet(path)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
+
+
 def register_views(tables: dict[str, DataFrame]) -> None:
     for name, df in tables.items():
         df.createOrReplaceTempView(name)
