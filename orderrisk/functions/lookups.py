@@ -6,19 +6,23 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import fixed_values as fixed
+from .text import literal
 
 
-def from_dict(key: Column, entries: dict, default) -> Column:
-    """Value of ``key`` in ``entries``; ``default`` for null and unknown keys."""
-    found = None
-    for word, value in entries.items():
-        found = (F if found is None else found).when(key == F.lit(word), F.lit(value))
-    return found.otherwise(F.lit(default))
+def from_dict(key: str, entries: dict, default) -> Column:
+    """Value of the key column in ``entries``; ``default`` for null and unknown keys."""
+    pairs = ", ".join(f"{literal(k)}, {literal(v)}" for k, v in entries.items())
+    return F.expr(f"coalesce(try_element_at(map({pairs}), {key}), {literal(default)})")
 
 
-def email_country(domain: Column) -> Column:
+def email_country(domain: str) -> Column:
     """Country of a mail domain: known US domains and nulls first, then the first fitting suffix."""
-    country = F.when(domain.isNull() | domain.isin(fixed.US_EMAIL_DOMAINS), F.lit(fixed.DEFAULT_COUNTRY))
-    for suffix, value in fixed.COUNTRY_BY_EMAIL_SUFFIX.items():
-        country = country.when(domain.endswith(suffix), F.lit(value))
-    return country.otherwise(F.lit(fixed.DEFAULT_COUNTRY))
+    us = ", ".join(literal(word) for word in fixed.US_EMAIL_DOMAINS)
+    suffixes = " ".join(
+        f"when endswith({domain}, {literal(suffix)}) then {literal(country)}"
+        for suffix, country in fixed.COUNTRY_BY_EMAIL_SUFFIX.items()
+    )
+    home = literal(fixed.DEFAULT_COUNTRY)
+    return F.expr(
+        f"case when {domain} is null or {domain} in ({us}) then {home} {suffixes} else {home} end"
+    )

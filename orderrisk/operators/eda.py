@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from itertools import combinations
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderrisk.functions import fixed_values as fixed
+from orderrisk.functions import text
 from orderrisk.functions.numbers import (
-    count_where,
     from_cents,
     mean_cents_as_money,
     percent_half_up,
@@ -18,7 +16,7 @@ from orderrisk.functions.numbers import (
 )
 
 from .quantiles import exact_quantiles, unit_counts
-from .rules import MART_RULES, Rule
+from .rules import MART_RULES, Rule, by_name
 
 _LABELS = [0, 1]
 
@@ -185,16 +183,13 @@ def rate_by_age(df: DataFrame, label: str = "is_fraud") -> DataFrame:
 
 def rule_quality(df: DataFrame, rules: list[Rule] = MART_RULES, label: str = "is_fraud") -> DataFrame:
     """Hit rate, precision and recall of each rule in percent, next to the base rate; one scan."""
-    by_name = {rule.name: rule for rule in rules}
+    named = by_name(rules)
     names = list(fixed.EXPLORE_RULE_LABELS)
-    base = df.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.sum(label).alias("fraud"),
-        *[count_where(by_name[name].fires()).alias(f"hit_{name}") for name in names],
-        *[
-            count_where(by_name[name].fires() & (F.col(label) == 1)).alias(f"caught_{name}")
-            for name in names
-        ],
+    base = df.selectExpr(
+        "count(1) as rows",
+        f"sum({label}) as fraud",
+        *[f"{named[name].hits} as hit_{name}" for name in names],
+        *[f"count_if(({named[name].condition}) and {label} = 1) as caught_{name}" for name in names],
     )
     lines = [
         F.struct(
@@ -210,19 +205,47 @@ def rule_quality(df: DataFrame, rules: list[Rule] = MART_RULES, label: str = "is
 
 
 def correlations(df: DataFrame, columns: list[str] = fixed.CORRELATION_COLUMNS) -> DataFrame:
-    """The Pearson matrix as (feature_a, feature_b, correlation) rows, from one aggregate."""
-    pairs = list(combinations(range(len(columns)), 2))
-    base = df.agg(
-        *[F.corr(columns[a], columns[b]).alias(f"c{a}_{b}") for a, b in pairs],
-        *[F.when(F.min(name) < F.max(name), F.lit(1.0)).alias(f"c{i}_{i}") for i, name in enumerate(columns)],
-    )
-    lines = [
-        F.struct(
-            F.lit(columns[a]).alias("feature_a"),
-            F.lit(columns[b]).alias("feature_b"),
-            F.round(F.col(f"c{min(a, b)}_{max(a, b)}"), 6).alias("correlation"),
+    """The Pearson matrix as (feature_a, feature_b, correlation) rows, over pairwise complete rows.
+
+    One pass takes the sums of all columns and products once per null pattern (which columns of a
+    row are null; there are at most 2^8 patterns, and mostly one). A pair then adds up the patterns
+    in which both of its columns are there. This costs a few additions per row, where a separate
+    correlation aggregate per pair costs two divisions per pair and row.
+    """
+    size = len(columns)
+    pairs = [(a, b) for a in range(size) for b in range(a, size)]
+    pattern = " + ".join(f"if({column} is null, {1 << i}, 0)" for i, column in enumerate(columns))
+    values = [f"coalesce(cast({column} as double), 0D) as v{i}" for i, column in enumerate(columns)]
+    sums = (
+        df.selectExpr(f"{pattern} as pattern", *values)
+        .groupBy("pattern")
+        .agg(
+            F.expr("count(1) as n"),
+            *[F.expr(f"sum(v{i}) as s{i}") for i in range(size)],
+            *[F.expr(f"sum(v{a} * v{b}) as p{a}_{b}") for a, b in pairs],
         )
-        for a in range(len(columns))
-        for b in range(len(columns))
-    ]
-    return base.select(F.inline(F.array(*lines)))
+    )
+    lines = []
+    for a, b in pairs:
+        there = f"(pattern & {(1 << a) | (1 << b)}) = 0"
+        moments = {"n": "n", "sa": f"s{a}", "sb": f"s{b}", "aa": f"p{a}_{a}", "bb": f"p{b}_{b}", "ab": f"p{a}_{b}"}
+        ends = {"a": str(a), "b": str(b)}
+        lines.append({**ends, **{key: f"if({there}, {sql}, null)" for key, sql in moments.items()}})
+    totals = (
+        sums.selectExpr(text.rows(lines))
+        .groupBy("a", "b")
+        .agg(*[F.expr(f"cast(sum({key}) as double) as {key}") for key in ("n", "sa", "sb", "aa", "bb", "ab")])
+    )
+    names = f"array({', '.join(text.literal(column) for column in columns)})"
+    left, right = "(aa - sa * sa / n)", "(bb - sb * sb / n)"
+    value = (
+        f"case when {left} > 0 and {right} > 0 then"
+        f" if(a = b, 1D, round((ab - sa * sb / n) / sqrt({left} * {right}), 6)) end"
+    )
+    # The matrix is symmetric: every pair off the diagonal gives two rows.
+    both = "if(a = b, array(struct(a as i, b as j)), array(struct(a as i, b as j), struct(b as i, a as j)))"
+    return (
+        totals.where("n > 0")
+        .selectExpr(f"inline({both})", f"{value} as correlation")
+        .selectExpr(f"{names}[i] as feature_a", f"{names}[j] as feature_b", "correlation")
+    )

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderrisk.functions import fixed_values as fixed
-from orderrisk.functions.numbers import count_where
+from orderrisk.functions import text
 
 # The suite. 20 checks on four tables.
 SUITE = {
@@ -42,26 +42,21 @@ class QualityError(ValueError):
 
 
 def _as_rows(one_row: DataFrame, model: str, test: str, columns: list[str]) -> DataFrame:
-    return one_row.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(model).alias("model"),
-                        F.lit(name).alias("column"),
-                        F.lit(test).alias("test"),
-                        F.col(name).alias("failures"),
-                    )
-                    for name in columns
-                ]
-            )
-        )
-    )
+    lines = [
+        {
+            "model": text.literal(model),
+            "column": text.literal(column),
+            "test": text.literal(test),
+            "failures": text.name(column),
+        }
+        for column in columns
+    ]
+    return one_row.selectExpr(text.rows(lines))
 
 
 def not_null(df: DataFrame, model: str, columns: list[str]) -> DataFrame:
     """Null rows per column, all columns in one scan."""
-    nulls = df.agg(*[count_where(F.col(name).isNull()).alias(name) for name in columns])
+    nulls = df.selectExpr(*[f"count_if({column} is null) as {column}" for column in columns])
     return _as_rows(nulls, model, "not_null", columns)
 
 
@@ -79,18 +74,15 @@ def accepted_values(df: DataFrame, model: str, accepted: dict[str, list]) -> Dat
     Only values that fail are passed on, so clean data shuffles nothing.
     """
 
-    def suspect(name: str, values: list) -> Column:
-        return F.struct(
-            F.lit(name).alias("column"),
-            F.when(~F.col(name).isin(values), F.col(name).cast("string")).alias("value"),
-        )
-
-    failing = (
-        df.select(F.inline(F.array(*[suspect(name, values) for name, values in accepted.items()])))
-        .where(F.col("value").isNotNull())
-        .distinct()
+    suspects = []
+    for column, values in accepted.items():
+        words = ", ".join(text.literal(value) for value in values)
+        value = f"case when {column} not in ({words}) then cast({column} as string) end"
+        suspects.append({"column": text.literal(column), "value": value})
+    failing = df.selectExpr(text.rows(suspects)).where("value is not null").distinct()
+    counts = failing.selectExpr(
+        *[f"count_if(column = {text.literal(column)}) as {column}" for column in accepted]
     )
-    counts = failing.agg(*[count_where(F.col("column") == name).alias(name) for name in accepted])
     return _as_rows(counts, model, "accepted_values", list(accepted))
 
 

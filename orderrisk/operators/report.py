@@ -14,7 +14,7 @@ from orderrisk.functions.numbers import (
     whole_div,
 )
 
-from .rules import MART_RULES, Rule, hits_as_rows
+from .rules import MART_RULES, Rule, by_name, hits_as_rows
 
 
 def _rows() -> Column:
@@ -88,10 +88,10 @@ def rule_hits(mart: DataFrame, rules: list[Rule] = MART_RULES) -> DataFrame:
 
 def rule_hits_scaled(mart: DataFrame, rules: list[Rule] = MART_RULES) -> DataFrame:
     """Hits as a share of all orders, and relative to the rule with the most hits."""
-    by_name = {rule.name: rule for rule in rules}
+    named = by_name(rules)
     names = list(fixed.REPORT_RULE_LABELS)
-    base = mart.agg(
-        _rows().alias("total"), *[count_where(by_name[name].fires()).alias(name) for name in names]
+    base = mart.selectExpr(
+        "count(1) as total", *[f"{named[name].hits} as {name}" for name in names]
     ).withColumn("most", F.greatest(*names))
     lines = [
         F.struct(

@@ -58,14 +58,14 @@ def reshape_card_txns(raw: DataFrame) -> DataFrame:
         whole_div(F.pmod(seconds, F.lit(_DAY)), F.lit(3600).cast("bigint")).cast("int").alias("order_hour"),
         F.bround("TransactionAmt", 2).alias("order_amount"),
         F.coalesce("card4", F.lit(fixed.DEFAULT_PAYMENT)).alias("payment_method"),
-        from_dict(F.col("ProductCD"), fixed.PRODUCT_BY_CODE, fixed.DEFAULT_PRODUCT).alias(
+        from_dict("ProductCD", fixed.PRODUCT_BY_CODE, fixed.DEFAULT_PRODUCT).alias(
             "product_category"
         ),
-        from_dict(F.col("addr2"), fixed.COUNTRY_BY_ADDRESS_CODE, fixed.DEFAULT_COUNTRY).alias(
+        from_dict("addr2", fixed.COUNTRY_BY_ADDRESS_CODE, fixed.DEFAULT_COUNTRY).alias(
             "billing_country"
         ),
-        email_country(F.col("R_emaildomain")).alias("shipping_country"),
-        email_country(F.col("P_emaildomain")).alias("ip_country"),
+        email_country("R_emaildomain").alias("shipping_country"),
+        email_country("P_emaildomain").alias("ip_country"),
         "is_new_customer",
         impute_median(raw, "D1").alias("account_age_days"),
         F.col("isFraud").alias("is_fraud"),

@@ -2,97 +2,87 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderrisk.functions.numbers import count_where
+from orderrisk.functions import text
 
 
 @dataclass(frozen=True)
 class Rule:
+    """A rule fires where its condition is true; a condition that is null does not fire."""
+
     name: str
     points: int
-    fires: Callable[[], Column]
-
-    def score(self) -> Column:
-        """The rule's points where it fires; 0 where it does not or cannot be decided."""
-        return F.when(self.fires(), F.lit(self.points)).otherwise(F.lit(0))
+    condition: str
 
+    @property
+    def score(self) -> str:
+        return f"case when {self.condition} then {self.points} else 0 end"
 
-def _c(name: str) -> Column:
-    return F.col(name)
+    @property
+    def hits(self) -> str:
+        return f"count_if({self.condition})"
 
 
-_HIGH_AMOUNT = Rule("high_amount", 20, lambda: _c("order_amount") >= 150)
-_COUNTRY = Rule("country_mismatch", 25, lambda: _c("country_mismatch"))
-_VELOCITY = Rule("high_velocity", 20, lambda: _c("high_velocity"))
-_NEW_HIGH = Rule(
-    "new_customer_high_amount", 20, lambda: _c("is_new_customer") & (_c("order_amount") >= 100)
-)
-_LATE = Rule("late_night", 10, lambda: _c("order_hour").between(1, 5))
-_IP = Rule("ip_mismatch", 25, lambda: _c("ip_mismatch"))
+_HIGH_AMOUNT = Rule("high_amount", 20, "order_amount >= 150")
+_COUNTRY = Rule("country_mismatch", 25, "country_mismatch")
+_VELOCITY = Rule("high_velocity", 20, "high_velocity")
+_NEW_HIGH = Rule("new_customer_high_amount", 20, "is_new_customer and order_amount >= 100")
+_LATE = Rule("late_night", 10, "order_hour between 1 and 5")
+_IP = Rule("ip_mismatch", 25, "ip_mismatch")
 
 MART_RULES = [
     _HIGH_AMOUNT,
     _COUNTRY,
     _VELOCITY,
-    Rule("travel", 15, lambda: _c("product_category") == "Travel"),
+    Rule("travel", 15, "product_category = 'Travel'"),
     _NEW_HIGH,
     _LATE,
     _IP,
-    Rule("new_account", 30, lambda: _c("account_age_days") < 30),
+    Rule("new_account", 30, "account_age_days < 30"),
 ]
 
 VARIANT_RULES = [
     _HIGH_AMOUNT,
     _COUNTRY,
     _VELOCITY,
-    Rule("gift_cards", 15, lambda: _c("product_category") == "gift_cards"),
+    Rule("gift_cards", 15, "product_category = 'gift_cards'"),
     _NEW_HIGH,
     _LATE,
     _IP,
-    Rule(
-        "new_customer_crypto", 30, lambda: _c("is_new_customer") & (_c("payment_method") == "crypto")
-    ),
+    Rule("new_customer_crypto", 30, "is_new_customer and payment_method = 'crypto'"),
 ]
 
 
 def total_score(rules: list[Rule]) -> Column:
-    total = F.lit(0)
-    for rule in rules:
-        total = total + rule.score()
-    return total
+    return F.expr(" + ".join(f"({rule.score})" for rule in rules))
+
+
+def by_name(rules: list[Rule]) -> dict[str, Rule]:
+    return {rule.name: rule for rule in rules}
 
 
 def hits_as_rows(df: DataFrame, rules: list[Rule], labels: dict[str, str]) -> DataFrame:
     """(rule, hits) rows from one scan of ``df``."""
-    by_name = {rule.name: rule for rule in rules}
-    hits = df.agg(*[count_where(by_name[name].fires()).alias(name) for name in labels])
-    return hits.select(
-        F.inline(
-            F.array(
-                *[F.struct(F.lit(label).alias("rule"), F.col(name).alias("hits")) for name, label in labels.items()]
-            )
-        )
+    named = by_name(rules)
+    hits = df.selectExpr(*[f"{named[name].hits} as {name}" for name in labels])
+    return hits.selectExpr(
+        text.rows([{"rule": text.literal(label), "hits": name} for name, label in labels.items()])
     )
 
 
 def rule_coverage(df: DataFrame, rules: list[Rule], labels: dict[str, str]) -> DataFrame:
     """Per rule: does it fire at least once in ``df``?"""
-    return hits_as_rows(df, rules, labels).select("rule", (F.col("hits") > 0).alias("fires"))
+    return hits_as_rows(df, rules, labels).selectExpr("rule", "hits > 0 as fires")
 
 
 def rule_points_long(df: DataFrame, rules: list[Rule], key: str = "order_id") -> DataFrame:
     """(order, rule, points): the score taken apart, row by row."""
-    return df.select(
-        F.col(key),
-        F.inline(
-            F.array(*[F.struct(F.lit(r.name).alias("rule"), r.score().alias("points")) for r in rules])
-        ),
-    )
+    lines = [{"rule": text.literal(r.name), "points": r.score} for r in rules]
+    return df.selectExpr(key, text.rows(lines))
 
 
 def rule_attribution(df: DataFrame, rules: list[Rule], key: str = "order_id") -> DataFrame:
@@ -101,31 +91,13 @@ def rule_attribution(df: DataFrame, rules: list[Rule], key: str = "order_id") ->
     The attributions of an order add up to its score minus the mean score. The means are one row,
     computed once as a scalar subquery.
     """
-    means = df.agg(
-        F.struct(
-            *[
-                (
-                    count_where(r.fires()) * F.lit(r.points) / F.nullif(F.count(F.lit(1)), F.lit(0))
-                ).alias(r.name)
-                for r in rules
-            ]
-        ).alias("means")
-    )
-    with_means = df.select(
-        F.col(key), *[r.score().alias(r.name) for r in rules], means.scalar().alias("_means")
-    )
-    return with_means.select(
-        F.col(key),
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(r.name).alias("rule"),
-                        F.col(r.name).alias("points"),
-                        (F.col(r.name) - F.col("_means")[r.name]).alias("attribution"),
-                    )
-                    for r in rules
-                ]
-            )
-        ),
+    fields = ", ".join(
+        f"{r.hits} * {r.points} / nullif(count(1), 0) as {r.name}" for r in rules
     )
+    means = df.selectExpr(f"struct({fields}) as means")
+    scored = df.selectExpr(key, *[f"{r.score} as {r.name}" for r in rules])
+    lines = [
+        {"rule": text.literal(r.name), "points": r.name, "attribution": f"{r.name} - _means.{r.name}"}
+        for r in rules
+    ]
+    return scored.withColumn("_means", means.scalar()).selectExpr(key, text.rows(lines))

@@ -103,16 +103,13 @@ def stratified_split(
 
 def undersample(train: DataFrame, label: str = "is_fraud", key: str = "order_id") -> DataFrame:
     """All positives and as many negatives, drawn without replacement."""
-    positives = train.agg(F.count(F.when(F.col(label) == 1, F.lit(1))).alias("_quota"))
-    quotas = positives.select(F.lit(0).alias("_g"), "_quota")
-    marked = mark_first(train, F.col(label), key, quotas, "_drawn", salt="under")
-    # With more positives than negatives there is no cut, and every negative stays.
-    all_negatives = train.agg(
-        (
-            F.count(F.when(F.col(label) == 1, F.lit(1))) >= F.count(F.when(F.col(label) == 0, F.lit(1)))
-        ).alias("all")
-    ).scalar()
-    return marked.where((F.col(label) == 1) | F.col("_drawn") | all_negatives).drop("_drawn")
+    counts = train.groupBy(F.col(label).alias("_g")).agg(F.count(F.lit(1)).alias("_n"))
+    positives = F.coalesce(
+        F.max(F.when(F.col("_g") == 1, F.col("_n"))).over(Window.partitionBy()), F.lit(0)
+    )
+    quotas = counts.select("_g", F.least("_n", positives).alias("_quota"))
+    drawn = mark_first(train, F.col(label), key, quotas, "_drawn", salt="under")
+    return drawn.where("_drawn").drop("_drawn")
 
 
 def hash_sample(df: DataFrame, n: int = fixed.EXPLAIN_SAMPLE, key: str = "order_id") -> DataFrame:
@@ -139,7 +136,7 @@ def smote(
     smallest key of the positives they come from.
     """
     vector = F.array(*[F.col(f"`{name}`") for name in features])
-    minority = train.where(F.col(label) == 1).select(key, vector.alias("vec"))
+    minority = train.where(F.col(label) == 1).select(key, label, vector.alias("vec"))
     counts = train.agg(
         F.count(F.when(F.col(label) == 1, F.lit(1))).alias("pos"),
         F.count(F.when(F.col(label) == 0, F.lit(1))).alias("neg"),
@@ -147,7 +144,7 @@ def smote(
     positives, missing = counts["pos"], max(counts["neg"] - counts["pos"], 0)
     rounds, rest = divmod(missing, positives) if positives else (0, 0)
     quotas = train.sparkSession.createDataFrame([(1, rest)], "_g int, _quota bigint")
-    marked = mark_first(minority, F.lit(1), key, quotas, "_extra", salt="smote")
+    marked = mark_first(minority, F.col(label), key, quotas, "_extra", salt="smote")
     grouped = marked.groupBy("vec").agg(
         F.min(key).alias("id"),
         F.count(F.lit(1)).alias("mult"),

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 
 def stage(orders: DataFrame) -> DataFrame:
@@ -12,21 +11,21 @@ def stage(orders: DataFrame) -> DataFrame:
     The ids keep the type of their feed. The label is taken along where the feed has one.
     """
     columns = [
-        F.col("order_id"),
-        F.col("customer_id"),
-        F.col("order_date").cast("date").alias("order_date"),
-        F.col("order_hour").cast("int").alias("order_hour"),
-        F.col("order_amount").cast("double").alias("order_amount"),
-        F.col("payment_method"),
-        F.col("product_category"),
-        F.col("billing_country"),
-        F.col("shipping_country"),
-        F.col("ip_country"),
-        F.col("is_new_customer").cast("boolean").alias("is_new_customer"),
-        F.col("account_age_days").cast("int").alias("account_age_days"),
-        (F.col("billing_country") != F.col("shipping_country")).alias("country_mismatch"),
-        (F.col("ip_country") != F.col("billing_country")).alias("ip_mismatch"),
+        "order_id",
+        "customer_id",
+        "cast(order_date as date) as order_date",
+        "cast(order_hour as int) as order_hour",
+        "cast(order_amount as double) as order_amount",
+        "payment_method",
+        "product_category",
+        "billing_country",
+        "shipping_country",
+        "ip_country",
+        "cast(is_new_customer as boolean) as is_new_customer",
+        "cast(account_age_days as int) as account_age_days",
+        "billing_country <> shipping_country as country_mismatch",
+        "ip_country <> billing_country as ip_mismatch",
     ]
     if "is_fraud" in orders.columns:
-        columns.append(F.col("is_fraud").cast("int").alias("is_fraud"))
-    return orders.select(*columns)
+        columns.append("cast(is_fraud as int) as is_fraud")
+    return orders.selectExpr(*columns)

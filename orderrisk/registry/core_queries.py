@@ -63,8 +63,8 @@ def reshape_card_txns(spark: SparkSession, d: str) -> DataFrame:
 def email_country(spark: SparkSession, d: str) -> DataFrame:
     return feeds.card_txns(spark, d).select(
         F.col("TransactionID").alias("order_id"),
-        email_country_of(F.col("R_emaildomain")).alias("shipping_country"),
-        email_country_of(F.col("P_emaildomain")).alias("ip_country"),
+        email_country_of("R_emaildomain").alias("shipping_country"),
+        email_country_of("P_emaildomain").alias("ip_country"),
     )
 
 

@@ -20,6 +20,7 @@ def local_session(cores: int | str = 8, app: str = "orderrisk") -> SparkSession:
         .config("spark.driver.memory", os.environ.get("ORDERRISK_DRIVER_MEMORY", "8g"))
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .getOrCreate()

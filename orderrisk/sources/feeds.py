@@ -11,7 +11,7 @@ from orderrisk.functions.hashing import hash_mod, weighted_pick
 def _drawn(spark: SparkSession, sf_dir: str, salts: dict[str, int]) -> DataFrame:
     """The events with one drawn number per salt, so that each hash is computed once per row."""
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    draws = {f"_{salt}": hash_mod(F.col("event_id"), salt, modulus) for salt, modulus in salts.items()}
+    draws = {f"_{salt}": hash_mod("event_id", salt, modulus) for salt, modulus in salts.items()}
     return events.withColumns(draws)
 
 
@@ -35,16 +35,15 @@ _CARD_SALTS = {
 
 
 def _order_columns(payment, category) -> list:
-    billing = weighted_pick(_draw("bill"), [(60, "US"), (75, "CA"), (85, "GB"), (93, "AU")], "DE")
-    shipping = weighted_pick(_draw("ship"), [(65, "US"), (78, "CA"), (87, "GB"), (94, "AU")], "DE")
-    ip = weighted_pick(
-        _draw("ip"),
+    billing = weighted_pick("_bill", [(60, "US"), (75, "CA"), (85, "GB"), (93, "AU")], "DE")
+    shipping = weighted_pick("_ship", [(65, "US"), (78, "CA"), (87, "GB"), (94, "AU")], "DE")
+    ip = weighted_pick("_ip",
         [(55, "US"), (65, "CA"), (73, "GB"), (79, "AU"), (84, "DE"), (89, "NG"), (95, "RO")],
         "BR",
     )
     is_new = _draw("new") < 20
-    age = F.when(is_new, hash_mod(F.col("event_id"), "age", 29) + 1).otherwise(
-        hash_mod(F.col("event_id"), "age", 1795) + 30
+    age = F.when(is_new, hash_mod("event_id", "age", 29) + 1).otherwise(
+        hash_mod("event_id", "age", 1795) + 30
     )
     return [
         F.col("event_id").alias("order_id"),
@@ -64,11 +63,9 @@ def _order_columns(payment, category) -> list:
 
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 13-column order feed; its label depends on age, amount and IP mismatch."""
-    payment = weighted_pick(
-        _draw("pay"), [(45, "visa"), (80, "mastercard"), (92, "discover")], "american express"
+    payment = weighted_pick("_pay", [(45, "visa"), (80, "mastercard"), (92, "discover")], "american express"
     )
-    category = weighted_pick(
-        _draw("cat"),
+    category = weighted_pick("_cat",
         [(20, "Electronics"), (55, "Clothing"), (70, "Travel"), (90, "Home & Garden")],
         "Services",
     )
@@ -79,17 +76,15 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         + F.when(F.col("order_amount") >= 150, 40).otherwise(0)
         + F.when(F.col("ip_country") != F.col("billing_country"), 30).otherwise(0)
     )
-    is_fraud = hash_mod(F.col("order_id"), "fraud", 1000) < risk
+    is_fraud = hash_mod("order_id", "fraud", 1000) < risk
     return feed.withColumn("is_fraud", F.when(is_fraud, 1).otherwise(0))
 
 
 def stress_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The unlabelled feed in the vocabulary of the variant rules."""
-    payment = weighted_pick(
-        _draw("pay"), [(50, "credit_card"), (75, "debit_card"), (95, "paypal")], "crypto"
+    payment = weighted_pick("_pay", [(50, "credit_card"), (75, "debit_card"), (95, "paypal")], "crypto"
     )
-    category = weighted_pick(
-        _draw("cat"),
+    category = weighted_pick("_cat",
         [(20, "electronics"), (55, "clothing"), (70, "gift_cards"), (80, "luxury")],
         "home",
     )
@@ -125,22 +120,19 @@ def card_txns(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_id").alias("TransactionID"),
         seconds.cast("bigint").alias("TransactionDT"),
         F.col("value").alias("TransactionAmt"),
-        weighted_pick(
-            _draw("prod"), [(60, "W"), (72, "C"), (80, "R"), (88, "H"), (96, "S"), (98, "X")], None
+        weighted_pick("_prod", [(60, "W"), (72, "C"), (80, "R"), (88, "H"), (96, "S"), (98, "X")], None
         ).alias("ProductCD"),
         card.alias("card1"),
-        weighted_pick(
-            _draw("c4"),
+        weighted_pick("_c4",
             [(55, "visa"), (85, "mastercard"), (92, "discover"), (97, "american express")],
             None,
         ).alias("card4"),
-        weighted_pick(
-            _draw("a2"),
+        weighted_pick("_a2",
             [(70, 87.0), (75, 60.0), (80, 96.0), (84, 32.0), (87, 65.0), (90, 999.0)],
             None,
         ).alias("addr2"),
-        weighted_pick(_draw("pd"), domains, None).alias("P_emaildomain"),
-        weighted_pick(_draw("rd"), domains, None).alias("R_emaildomain"),
+        weighted_pick("_pd", domains, None).alias("P_emaildomain"),
+        weighted_pick("_rd", domains, None).alias("R_emaildomain"),
         F.when(_draw("d1n") < 5, F.lit(None).cast("double"))
         .otherwise(_draw("d1") / F.lit(2.0))
         .alias("D1"),

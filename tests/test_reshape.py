@@ -56,7 +56,7 @@ def reshaped(spark, rows):
     ],
 )
 def test_email_country(spark, domain, country):
-    row = spark.createDataFrame([(domain,)], "d string").select(email_country(F.col("d"))).first()
+    row = spark.createDataFrame([(domain,)], "d string").select(email_country("d")).first()
     assert row[0] == country
 
 
