@@ -207,6 +207,21 @@ def confusion(df: DataFrame, pred: str, label: str) -> DataFrame:
     )
 
 
+def confusion_at(counts: DataFrame, threshold: float) -> DataFrame:
+    """The confusion counts of flagging at or above a threshold, from the counts per score."""
+    flagged = F.col("threshold") >= threshold
+
+    def cell(side: str, condition: Column) -> Column:
+        return F.coalesce(F.sum(F.when(condition, F.col(side))), F.lit(0)).cast("bigint")
+
+    return counts.agg(
+        cell("neg", ~flagged).alias("tn"),
+        cell("neg", flagged).alias("fp"),
+        cell("pos", ~flagged).alias("fn"),
+        cell("pos", flagged).alias("tp"),
+    )
+
+
 def classification_report(cells: DataFrame) -> DataFrame:
     """Per class precision, recall, F1 and support; accuracy; macro and weighted means."""
     tn, fp, fn, tp = (F.col(name) for name in ("tn", "fp", "fn", "tp"))

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from orderrisk.functions import fixed_values as fixed
+from orderrisk.session import cut_lineage, scratch_dir
 from orderrisk.sources.files import exists
 
 from . import evaluate
@@ -29,13 +30,25 @@ PERMUTE_ROWS = 100_000
 _METRICS = ["roc_auc", "avg_precision", "fraud_f1", "fraud_precision", "fraud_recall"]
 
 
+def _spread(train: DataFrame) -> DataFrame:
+    """A training set in fewer pieces than there are cores is dealt over all of them.
+
+    A fit passes over the rows hundreds of times. Large tables have more pieces and stay as they are.
+    """
+    cores = train.sparkSession.sparkContext.defaultParallelism
+    pieces = train.select(F.spark_partition_id().alias("piece")).distinct().count()
+    return train.repartition(cores, "order_id") if pieces < cores else train
+
+
 def _fit(estimator, train: DataFrame) -> PipelineModel:
-    """Fits on the cached training rows, which every iteration reads again."""
-    rows = train.persist()
-    try:
-        return Pipeline(stages=[assembler(), estimator]).fit(rows)
-    finally:
-        rows.unpersist()
+    """Fits the inputs' assembler and the estimator.
+
+    The estimators cache their own compact form of the rows, so the training rows should come from
+    a written table or a checkpoint and are not cached a second time. Boosting cuts its lineage in
+    the checkpoint folder every few rounds.
+    """
+    scratch_dir(train.sparkSession)
+    return Pipeline(stages=[assembler(), estimator]).fit(_spread(train))
 
 
 def fit_logistic(
@@ -111,21 +124,21 @@ def scored(model: PipelineModel, rows: DataFrame) -> DataFrame:
     )
 
 
-def ranking(rows: DataFrame, score: str = "prob", label: str = LABEL, window_rows: int = WINDOW_ROWS) -> DataFrame:
+def ranking(counts: DataFrame, window_rows: int = WINDOW_ROWS) -> DataFrame:
     """Cumulative label counts per distinct probability, exact at any number of them."""
-    counts = evaluate.score_counts(rows, score, label).persist()
     many = counts.count() > window_rows
     return evaluate.cumulate(counts, evaluate.score_splits(counts) if many else None)
 
 
 def evaluate_model(model: PipelineModel, test: DataFrame) -> DataFrame:
     """AUC, average precision, F1, precision and recall on the test rows: one row."""
-    rows = scored(model, test).persist()
+    # The hard label follows from the probability, so the counts per probability hold everything.
+    counts = evaluate.score_counts(scored(model, test), "prob", LABEL).persist()
     try:
-        ranked = evaluate.ranking_metrics(ranking(rows)).first()
-        hard = evaluate.hard_label_metrics(evaluate.confusion(rows, "pred", LABEL)).first()
+        ranked = evaluate.ranking_metrics(ranking(counts)).first()
+        hard = evaluate.hard_label_metrics(evaluate.confusion_at(counts, fixed.MODEL_FLAG_AT)).first()
     finally:
-        rows.unpersist()
+        counts.unpersist()
     values = {**ranked.asDict(), **hard.asDict()}
     schema = ", ".join(f"{name} double" for name in _METRICS)
     return test.sparkSession.createDataFrame([tuple(values[name] for name in _METRICS)], schema)
@@ -148,8 +161,11 @@ def imbalance_comparison(train: DataFrame, test: DataFrame, max_iter: int = 1000
     strategies: list[tuple[str, Callable[[], PipelineModel]]] = [
         ("No handling", lambda: fit_logistic(train, max_iter=max_iter)),
         ("Class weights (balanced)", lambda: fit_logistic(train, balanced=True, max_iter=max_iter)),
-        ("Random undersampling", lambda: fit_logistic(undersample(train), max_iter=max_iter)),
-        ("SMOTE", lambda: fit_logistic(smote(train, FEATURES), max_iter=max_iter)),
+        (
+            "Random undersampling",
+            lambda: fit_logistic(cut_lineage(undersample(train)), max_iter=max_iter),
+        ),
+        ("SMOTE", lambda: fit_logistic(cut_lineage(smote(train, FEATURES)), max_iter=max_iter)),
     ]
     rows = [(name, *evaluate_model(fit(), test).first()) for name, fit in strategies]
     table = _metric_table(train.sparkSession, rows, "strategy", _METRICS)

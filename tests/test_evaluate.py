@@ -51,7 +51,7 @@ def test_ranges_give_the_same_counts_as_one_window(spark):
     splits = evaluate.score_splits(counts, 16)
     assert 10 < len(splits) <= 17
     assert sorted(map(tuple, evaluate.cumulate(counts, splits).collect())) == whole
-    ranked = models.ranking(frame(spark, scores, labels), "s", "y", window_rows=100)
+    ranked = models.ranking(counts, window_rows=100)
     assert sorted(map(tuple, ranked.collect())) == whole
 
 
@@ -97,3 +97,10 @@ def test_classification_report_without_positives_flagged(spark):
     assert rows["Fraud"]["precision"] == 0.0 and rows["Fraud"]["support"] == 1
     assert rows["accuracy"]["f1"] == pytest.approx(2 / 3)
     assert rows["weighted avg"]["recall"] == pytest.approx(2 / 3)
+
+
+def test_confusion_from_counts(spark, small_dir):
+    mart = tables.mart(spark, small_dir)
+    counts = evaluate.score_counts(mart, "risk_score", "is_fraud")
+    want = evaluate.confusion(mart, "fraud_flag", "is_fraud").first()
+    assert evaluate.confusion_at(counts, 50).first() == want
