@@ -21,9 +21,9 @@ from orderrisk.functions.hashing import hash60
 from orderrisk.session import cut_lineage
 
 BLOCK_ROWS = 4096
-MAX_PIVOTS = 256
+MAX_PIVOTS = 1024
 # Visitors whose distances are worked out together, to bound the memory of a task.
-_BATCH = 64
+_BATCH = 256
 
 _FOUND_COLUMNS = ["id", "nid", "dist", "nvec", "nmult"]
 
@@ -33,30 +33,41 @@ def _matrix(column: pd.Series, width: int) -> np.ndarray:
 
 
 def _best(left: pd.DataFrame, right: pd.DataFrame, k: int, width: int) -> pd.DataFrame:
-    """The k nearest rows of ``right`` for each row of ``left``, the row itself left out."""
-    # Sorted by id, so that a stable sort by distance settles ties the same way everywhere.
+    """The k nearest rows of ``right`` for each row of ``left``, the row itself left out.
+
+    Squared distances from a matrix product are fast but inexact, so they only pick candidates, with
+    more slack than their error; the candidates' distances are then worked out directly.
+    """
+    # Sorted by id, so that equal distances are settled the same way everywhere.
     right = right.sort_values("id")
     a, b = _matrix(left["vec"], width), _matrix(right["vec"], width)
     left_ids, right_ids = left["id"].to_numpy(), right["id"].to_numpy()
     vectors, mults = right["vec"].to_numpy(), right["mult"].to_numpy()
+    a_norm, b_norm = (a * a).sum(axis=1), (b * b).sum(axis=1)
+    last = min(k, len(b)) - 1
     parts = []
     for start in range(0, len(a), _BATCH):
-        ids = left_ids[start : start + _BATCH]
-        gaps = a[start : start + _BATCH, None, :] - b[None, :, :]
-        dist = np.sqrt((gaps * gaps).sum(axis=2))
-        dist[ids[:, None] == right_ids[None, :]] = np.inf
-        order = np.argsort(dist, axis=1, kind="stable")[:, :k]
-        chosen = np.take_along_axis(dist, order, axis=1)
-        row, col = np.nonzero(np.isfinite(chosen))
-        at = order[row, col]
+        rows = slice(start, start + _BATCH)
+        ids = left_ids[rows]
+        rough = a_norm[rows, None] + b_norm[None, :] - 2.0 * (a[rows] @ b.T)
+        rough[ids[:, None] == right_ids[None, :]] = np.inf
+        bar = np.partition(rough, last, axis=1)[:, last] + 1e-9 * (1.0 + a_norm[rows] + b_norm.max())
+        row, col = np.nonzero((rough <= bar[:, None]) & np.isfinite(rough))
+        gaps = a[rows][row] - b[col]
+        dist = np.sqrt((gaps * gaps).sum(axis=1))
+        order = np.lexsort((col, dist, row))
+        row, col, dist = row[order], col[order], dist[order]
+        first = np.searchsorted(row, np.arange(len(ids)))
+        keep = np.arange(len(row)) - first[row] < k
+        row, col = row[keep], col[keep]
         parts.append(
             pd.DataFrame(
                 {
                     "id": ids[row],
-                    "nid": right_ids[at],
-                    "dist": chosen[row, col],
-                    "nvec": vectors[at],
-                    "nmult": mults[at],
+                    "nid": right_ids[col],
+                    "dist": dist[keep],
+                    "nvec": vectors[col],
+                    "nmult": mults[col],
                 }
             )
         )
@@ -86,7 +97,10 @@ def nearest_distinct(points: DataFrame, k: int, block_rows: int = BLOCK_ROWS) ->
     width = pivots.shape[1]
 
     def to_pivots(vectors: np.ndarray) -> np.ndarray:
-        return np.sqrt(((vectors[:, None, :] - pivots[None, :, :]) ** 2).sum(axis=2))
+        squares = np.zeros((len(vectors), len(pivots)))
+        for i in range(width):
+            squares += (vectors[:, i, None] - pivots[None, :, i]) ** 2
+        return np.sqrt(squares)
 
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

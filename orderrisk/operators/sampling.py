@@ -164,18 +164,15 @@ def smote(
     tag = F.concat_ws("-", F.col("id").cast("string"), F.col("copy").cast("string"))
     pick = (hash60(tag, "neighbour") % F.size("neighbours")).cast("int")
     position = hash60(tag, "position") / F.lit(float(1 << 60))
+    between = [
+        (F.col("vec")[i] + (F.col("_other")[i] - F.col("vec")[i]) * F.col("_at")).alias(name)
+        for i, name in enumerate(features)
+    ]
     synthetic = (
         numbered.where(F.size("neighbours") > 0)
         .withColumns({"_other": F.col("neighbours")[pick], "_at": position})
-        .select(
-            F.col("id").alias(key),
-            "copy",
-            F.lit(1).alias(label),
-            F.zip_with("vec", "_other", lambda a, b: a + (b - a) * F.col("_at")).alias("_vec"),
-        )
-    )
-    originals = train.select(key, F.lit(0).cast("bigint").alias("copy"), label, vector.alias("_vec"))
-    both = originals.unionByName(synthetic)
-    return both.select(
-        key, "copy", label, *[F.col("_vec")[i].alias(name) for i, name in enumerate(features)]
+        .select(F.col("id").alias(key), "copy", F.lit(1).alias(label), *between)
     )
+    inputs = [F.col(f"`{name}`") for name in features]
+    originals = train.select(key, F.lit(0).cast("bigint").alias("copy"), label, *inputs)
+    return originals.unionByName(synthetic)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,6 +48,10 @@ def scratch_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """The rows of ``df`` as a checkpoint in the shared folder: reused, and safe from lost executors."""
-    scratch_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """The rows of ``df`` as a table in the shared folder: computed once, safe from lost executors.
+
+    A checkpoint would compute the rows twice and store them row by row; a table is columnar.
+    """
+    path = f"{scratch_dir(df.sparkSession)}/cut-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
