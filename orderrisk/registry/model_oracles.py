@@ -58,7 +58,59 @@ _SCALED = ", ".join(
     for n in _NAMES
 )
 
+_Z = [f"z{i}" for i in range(len(_NAMES))]
+
+
+def _tag_hash(salt: str) -> str:
+    return f"('0x' || substr(md5(id || '-' || copy || '{salt}'), 1, 15))::bigint"
+
+
+# Oversampling by brute force: all pairs of distinct positives, ranked.
+_SMOTE = f"""
+z_rows as (
+  select i.order_id, i.is_fraud, s.is_test, {", ".join(
+    f"""(i."{n}" - avg(i."{n}") filter (where not is_test) over ())
+      / coalesce(nullif(stddev_pop(i."{n}") filter (where not is_test) over (), 0), 1) as z{i}"""
+    for i, n in enumerate(_NAMES))}
+  from inputs i join split s on i.order_id = s.order_id),
+z_train as (select * from z_rows where not is_test),
+need as (
+  select count(*) filter (where is_fraud = 1) as pos,
+    greatest(count(*) filter (where is_fraud = 0) - count(*) filter (where is_fraud = 1), 0) as missing
+  from z_train),
+extra as (
+  select *, row_number() over (order by {_hash("smote")}, order_id) <= (select missing % pos from need) as more
+  from z_train where is_fraud = 1),
+points as (
+  select min(order_id) as id, count(*) as mult,
+    count(*) * (select missing // pos from need) + count(*) filter (where more) as copies, {", ".join(_Z)}
+  from extra group by {", ".join(_Z)}),
+near as (
+  select a.id, b.id as nid, b.mult, row_number() over (partition by a.id
+    order by sqrt({" + ".join(f"(a.{z} - b.{z}) * (a.{z} - b.{z})" for z in _Z)}), b.id) as place
+  from points a join points b on a.id <> b.id),
+slots as (
+  select id, nid, row_number() over (partition by id order by place, again) - 1 as slot from (
+    select id, id as nid, 0 as place, unnest(range(0, least(mult - 1, 5))) as again from points
+    union all
+    select id, nid, place, unnest(range(0, least(mult, 5))) as again from near where place <= 5)
+  qualify slot < 5),
+sizes_of as (select id, count(*) as size from slots group by 1),
+made as (select id, unnest(range(1, copies + 1)) as copy from points where copies > 0),
+drawn as (
+  select m.id, m.copy, {_tag_hash("neighbour").replace("id ||", "m.id ||")} % size as slot,
+    {_tag_hash("position").replace("id ||", "m.id ||")}::double / 1152921504606846976.0::double as at
+  from made m join sizes_of s on m.id = s.id)"""
+
+_SMOTE_ROWS = f""" select order_id, cast(0 as bigint) as copy, is_fraud,
+    {", ".join(f'round(z{i}, 6) as "{n}"' for i, n in enumerate(_NAMES))} from z_train
+  union all
+  select d.id, d.copy, 1, {", ".join(f'round(a.z{i} + (b.z{i} - a.z{i}) * d.at, 6)' for i in range(len(_NAMES)))}
+  from drawn d join points a on d.id = a.id join slots s on d.id = s.id and d.slot = s.slot
+    join points b on s.nid = b.id"""
+
 ORACLES = {
+    "smote_oversample": with_mart(_FEATURES, _SPLIT, _SMOTE) + _SMOTE_ROWS,
     "feature_matrix": with_mart(_FEATURES) + " select * from inputs",
     "stratified_split": with_mart(_SPLIT) + " select * from split",
     "standard_scale": with_mart(_FEATURES, _SPLIT)

@@ -69,7 +69,10 @@ def undersample(spark: SparkSession, d: str) -> DataFrame:
 
 def smote_oversample(spark: SparkSession, d: str) -> DataFrame:
     train = _train(spark, d)
-    return sampling.smote(features.fit_scaler(train).transform(train), features.FEATURES)
+    made = sampling.smote(features.fit_scaler(train).transform(train), features.FEATURES)
+    return made.select(
+        "order_id", "copy", "is_fraud", *[F.round(F.col(f"`{n}`"), 6).alias(n) for n in features.FEATURES]
+    )
 
 
 def train_logistic(spark: SparkSession, d: str) -> DataFrame:
