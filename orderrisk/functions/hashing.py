@@ -10,7 +10,7 @@ from .text import literal
 
 def hash_mod(key: str, salt: str, modulus: int) -> Column:
     """First 8 hex digits of md5(key column as text || salt), modulo ``modulus``."""
-    digest = f"substr(md5(concat(cast({key} as string), {literal(salt)})), 1, 8)"
+    digest = f"substr(md5(concat({key}, {literal(salt)})), 1, 8)"
     return F.expr(f"cast(conv({digest}, 16, 10) as bigint) % {modulus}L")
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from orderrisk.functions import fixed_values as fixed
 from orderrisk.functions.lookups import email_country, from_dict
-from orderrisk.functions.numbers import whole_div
+from orderrisk.functions.text import literal
 
 from .quantiles import exact_median
 
@@ -43,32 +43,45 @@ def singleton_flag(df: DataFrame, key: str, row_id: str, flag: str) -> DataFrame
 
 
 def reshape_card_txns(raw: DataFrame) -> DataFrame:
-    """11 card columns to the 13 columns of the order feed."""
-    seconds = F.col("TransactionDT")
-    flagged = singleton_flag(raw, "card1", "TransactionID", "is_new_customer")
-    return flagged.select(
-        F.col("TransactionID").cast("string").alias("order_id"),
-        F.concat(F.lit("C"), F.coalesce("card1", F.lit(0.0)).cast("bigint").cast("string")).alias(
-            "customer_id"
-        ),
-        F.date_add(
-            F.lit(fixed.CARD_FEED_DAY_ZERO).cast("date"),
-            F.floor(seconds / F.lit(_DAY)).cast("int"),
+    """11 card columns to the 13 columns of the order feed.
+
+    All that a row can tell by itself is worked out first, so that the shuffle for the single-use
+    cards carries short codes instead of raw fields.
+    """
+    seconds = "TransactionDT"
+    rows = raw.select(
+        F.col("TransactionID").alias("_id"),
+        F.col("card1").alias("_card"),
+        F.expr("cast(TransactionID as string) as order_id"),
+        F.expr("concat('C', cast(cast(coalesce(card1, 0D) as bigint) as string)) as customer_id"),
+        F.expr(
+            f"date_add(date {literal(fixed.CARD_FEED_DAY_ZERO)}, cast(floor({seconds} / {_DAY}) as int))"
         ).alias("order_date"),
-        whole_div(F.pmod(seconds, F.lit(_DAY)), F.lit(3600).cast("bigint")).cast("int").alias("order_hour"),
+        F.expr(f"cast(pmod({seconds}, {_DAY}) div 3600 as int) as order_hour"),
         F.bround("TransactionAmt", 2).alias("order_amount"),
         F.coalesce("card4", F.lit(fixed.DEFAULT_PAYMENT)).alias("payment_method"),
-        from_dict("ProductCD", fixed.PRODUCT_BY_CODE, fixed.DEFAULT_PRODUCT).alias(
-            "product_category"
-        ),
-        from_dict("addr2", fixed.COUNTRY_BY_ADDRESS_CODE, fixed.DEFAULT_COUNTRY).alias(
-            "billing_country"
-        ),
+        from_dict("ProductCD", fixed.PRODUCT_BY_CODE, fixed.DEFAULT_PRODUCT).alias("product_category"),
+        from_dict("addr2", fixed.COUNTRY_BY_ADDRESS_CODE, fixed.DEFAULT_COUNTRY).alias("billing_country"),
         email_country("R_emaildomain").alias("shipping_country"),
         email_country("P_emaildomain").alias("ip_country"),
+        "D1",
+        F.col("isFraud").alias("is_fraud"),
+    )
+    flagged = singleton_flag(rows, "_card", "_id", "is_new_customer")
+    return flagged.select(
+        "order_id",
+        "customer_id",
+        "order_date",
+        "order_hour",
+        "order_amount",
+        "payment_method",
+        "product_category",
+        "billing_country",
+        "shipping_country",
+        "ip_country",
         "is_new_customer",
         impute_median(raw, "D1").alias("account_age_days"),
-        F.col("isFraud").alias("is_fraud"),
+        "is_fraud",
     )
 
 

@@ -11,8 +11,8 @@ from orderrisk.functions.hashing import hash_mod, weighted_pick
 def _drawn(spark: SparkSession, sf_dir: str, salts: dict[str, int]) -> DataFrame:
     """The events with one drawn number per salt, so that each hash is computed once per row."""
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    draws = {f"_{salt}": hash_mod("event_id", salt, modulus) for salt, modulus in salts.items()}
-    return events.withColumns(draws)
+    draws = {f"_{salt}": hash_mod("_text", salt, modulus) for salt, modulus in salts.items()}
+    return events.withColumn("_text", F.col("event_id").cast("string")).withColumns(draws)
 
 
 def _draw(salt: str) -> Column:
@@ -42,8 +42,8 @@ def _order_columns(payment, category) -> list:
         "BR",
     )
     is_new = _draw("new") < 20
-    age = F.when(is_new, hash_mod("event_id", "age", 29) + 1).otherwise(
-        hash_mod("event_id", "age", 1795) + 30
+    age = F.when(is_new, hash_mod("_text", "age", 29) + 1).otherwise(
+        hash_mod("_text", "age", 1795) + 30
     )
     return [
         F.col("event_id").alias("order_id"),
