@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from orderrisk.functions import fixed_values as fixed
 from orderrisk.functions.lookups import email_country
 from orderrisk.operators import reshape
 from orderrisk.operators.quantiles import exact_median, exact_quantiles
@@ -60,6 +61,20 @@ def test_email_country(spark, domain, country):
     assert row[0] == country
 
 
+def test_last_labels_decide_like_the_suffix_list(spark):
+    suffixes = fixed.COUNTRY_BY_EMAIL_SUFFIX
+    domains = [start + end for start in ("", "a", "a.b", "gmail.com") for end in suffixes]
+    domains += [d + tail for d in domains for tail in (".", ".com", "x")] + [d.lstrip(".") for d in domains]
+
+    def listed(domain):
+        if domain in fixed.US_EMAIL_DOMAINS:
+            return "US"
+        return next((country for suffix, country in suffixes.items() if domain.endswith(suffix)), "US")
+
+    rows = spark.createDataFrame([(d,) for d in domains], "d string").select("d", email_country("d").alias("c"))
+    assert {r["d"]: r["c"] for r in rows.collect()} == {d: listed(d) for d in domains}
+
+
 def test_fields_and_defaults(spark):
     got = reshaped(
         spark,
