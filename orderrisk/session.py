@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,18 +30,19 @@ def local_session(cores: int | str = 8, app: str = "orderrisk") -> SparkSession:
 def scratch_dir(spark: SparkSession) -> str:
     """This application's folder below the shared one named in ``spark.checkpoint.dir``.
 
-    Tables written here survive the loss of an executor. Only where the session names no shared
-    folder, as in tests, a temporary one is made.
+    Tables written here survive the loss of an executor. Where the session names no such folder, the
+    warehouse, which all machines of a cluster share as well, holds them. The folder goes when the
+    application ends.
     """
     known = spark.conf.get(_SCRATCH_KEY, None)
     if known:
         return known
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        shared = tempfile.mkdtemp(prefix="orderrisk-")
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared)
     folder = f"{shared.rstrip('/')}/orderrisk-{spark.sparkContext.applicationId}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
     spark.conf.set(_SCRATCH_KEY, folder)
     return folder
 
