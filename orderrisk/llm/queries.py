@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from orderrisk.session import scratch_dir
 
-from . import counts, dac, packing
+from . import counts, dac, decontaminate, packing
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,9 +32,15 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.drop("spans")
+
+
 QUERIES = {
     "op5_binary_ids": op5_binary_ids,
     "op8_best_fit_packing": op8_best_fit_packing,
+    "op9_decontamination": op9_decontamination,
     "op10_token_counts": op10_token_counts,
 }
 
