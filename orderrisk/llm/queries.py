@@ -9,13 +9,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 from orderrisk.session import scratch_dir
 
-from . import counts, dac, decontaminate, html_text, packing, quality
+from . import counts, dac, decontaminate, html_text, neighbours, packing, quality
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(_table(spark, sf_dir, "embeddings"))
+
+
 def op5_binary_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = f"{scratch_dir(spark)}/ids-{uuid.uuid4().hex}"
     folder = folder if "://" in folder or folder.startswith("file:") else f"file://{folder}"
@@ -46,6 +50,7 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_nearest_neighbours": op3_nearest_neighbours,
     "op5_binary_ids": op5_binary_ids,
     "op6_html_text": op6_html_text,
     "op7_quality_classifier": op7_quality_classifier,
