@@ -9,13 +9,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 from orderrisk.session import scratch_dir
 
-from . import counts, dac, decontaminate, html_text, neighbours, packing, quality
+from . import counts, dac, decontaminate, html_text, neighbours, packing, quality, repeats
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.repeats(_table(spark, sf_dir, "documents")).drop("removed")
+
+
 def op3_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(_table(spark, sf_dir, "embeddings"))
 
@@ -50,6 +54,7 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op3_nearest_neighbours": op3_nearest_neighbours,
     "op5_binary_ids": op5_binary_ids,
     "op6_html_text": op6_html_text,
