@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from orderrisk.session import scratch_dir
 
-from . import counts, dac, decontaminate, html_text, neighbours, packing, quality, repeats
+from . import counts, dac, decontaminate, html_text, jaccard, neighbours, packing, quality, repeats
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +20,10 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.repeats(_table(spark, sf_dir, "documents")).drop("removed")
 
 
+def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(_table(spark, sf_dir, "documents"))
+
+
 def op3_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(_table(spark, sf_dir, "embeddings"))
 
@@ -55,6 +59,7 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
+    "op2_ngram_jaccard": op2_ngram_jaccard,
     "op3_nearest_neighbours": op3_nearest_neighbours,
     "op5_binary_ids": op5_binary_ids,
     "op6_html_text": op6_html_text,
