@@ -155,6 +155,17 @@ def score(measured: DataFrame, model: Discriminant, threshold: float = THRESHOLD
     return scored.select(key, held_out(key).alias("held_out"), "score", predicted)
 
 
+def accepted(docs: DataFrame, model: Discriminant, threshold: float = THRESHOLD, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose text scores ``threshold`` or more, with all their columns."""
+    at = docs.columns.index(text)
+
+    def choose(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(parts, at):
+            yield part.filter(pa.array(model.scores(_statistics(part.column(at))) >= threshold))
+
+    return docs.mapInArrow(choose, docs.schema)
+
+
 def quality(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Scores of all rows by a discriminant learnt from ``labels`` outside the held-out fold.
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from orderrisk.session import scratch_dir
 
-from . import counts, dac, decontaminate, html_text, jaccard, neighbours, packing, quality, repeats
+from . import counts, dac, decontaminate, html_text, jaccard, licenses, neighbours, packing, quality, repeats
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +28,10 @@ def op3_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(_table(spark, sf_dir, "embeddings"))
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(_table(spark, sf_dir, "documents"))
+
+
 def op5_binary_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = f"{scratch_dir(spark)}/ids-{uuid.uuid4().hex}"
     folder = folder if "://" in folder or folder.startswith("file:") else f"file://{folder}"
@@ -61,6 +65,7 @@ QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_ngram_jaccard": op2_ngram_jaccard,
     "op3_nearest_neighbours": op3_nearest_neighbours,
+    "op4_license_scan": op4_license_scan,
     "op5_binary_ids": op5_binary_ids,
     "op6_html_text": op6_html_text,
     "op7_quality_classifier": op7_quality_classifier,

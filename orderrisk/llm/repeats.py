@@ -172,10 +172,18 @@ def _collected(column: pa.ChunkedArray) -> Iterator[bytes]:
 
 
 def repeats(
-    docs: DataFrame, length: int = LENGTH, gram: int = GRAM, with_text: bool = False, key: str = "doc_id", text: str = "text"
+    docs: DataFrame,
+    length: int = LENGTH,
+    gram: int = GRAM,
+    with_text: bool = False,
+    carried: tuple[str, ...] = (),
+    key: str = "doc_id",
+    text: str = "text",
 ) -> DataFrame:
     """Per document: ``key``, n_bytes, n_removed, n_spans, kept_sha256, removed (start, end) and, if asked for, text.
 
+    ``carried`` columns come along in a struct named carried.
+
     A byte of the UTF-8 text is removed if a string of ``length`` bytes covers it that also starts earlier:
     in a document with a smaller ``key``, or before in the same one. Null counts as empty. Among documents
     that share a key the hash of the text decides which is earlier; rows that repeat key and text are one
@@ -185,6 +193,7 @@ def repeats(
     kind = docs.schema[key].dataType.simpleString()
     held = docs.select(
         F.col(key).alias("id"),
+        F.struct(F.lit(None).cast("int").alias("_"), *carried).alias("carried"),
         F.coalesce(F.col(key).cast("long"), F.lit(_NO_KEY)).alias("key"),
         F.xxhash64(F.coalesce(text, F.lit(""))).alias("tie"),
         F.coalesce(text, F.lit("")).alias("text"),
@@ -259,17 +268,17 @@ def repeats(
         return pa.Table.from_batches([_by_document(runs, runs["gone"], _FOUND)])
 
     # Both joins read the texts from one shuffle.
-    texts = held.select("id", "key", "tie", "text")
+    texts = held.select("id", "carried", "key", "tie", "text")
     asked = texts.join(going, ["key", "tie"]).select("key", "tie", "text", "places")
     brought = asked.mapInArrow(bring, "bucket int, key long, tie long, places binary, bytes binary")
     later = brought.groupBy("bucket").applyInArrow(double, _FOUND_SCHEMA)
     gone = found.where("gone").unionByName(later).groupBy("key", "tie").agg(F.collect_list("places").alias("places"))
-    names = [key, "n_bytes", "n_removed", "n_spans", "kept_sha256", "removed", *["text"] * with_text]
+    names = [key, "carried", "n_bytes", "n_removed", "n_spans", "kept_sha256", "removed", *["text"] * with_text]
 
     def remove(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(parts, 1):
+        for part in slices(parts, 2):
             rows: list[tuple] = []
-            for body, held_places in zip(part.column(1).to_pylist(), part.column(2).to_pylist(), strict=True):
+            for body, held_places in zip(part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True):
                 body = body.encode()
                 spans, left = [], body
                 if held_places:
@@ -286,9 +295,10 @@ def repeats(
             span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), span, pa.string()]
             columns = [pa.array(x, t) for x, t in zip(zip(*rows, strict=True), kinds, strict=False)]
-            yield pa.RecordBatch.from_arrays([part.column(0), *columns], names)
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *columns], names)
 
-    schema = f"`{key}` {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+    schema = f"`{key}` {kind}, carried {held.schema['carried'].dataType.simpleString()}, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     schema += ", removed array<struct<start: long, end: long>>" + ", text string" * with_text
-    joined = texts.join(gone, ["key", "tie"], "left").select("id", "text", "places")
-    return joined.mapInArrow(remove, schema)
+    joined = texts.join(gone, ["key", "tie"], "left").select("id", "carried", "text", "places")
+    found = joined.mapInArrow(remove, schema)
+    return found if carried else found.drop("carried")

@@ -62,8 +62,8 @@ def content(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[ends[0] : ends[-1]], ends - ends[0]
 
 
-def words(column: pa.Array, kind: np.ndarray, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words of a string column in order, and the number of words before each text's end.
+def word_places(column: pa.Array, kind: np.ndarray, lower: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of all words of a string column in order, their first and last + 1 bytes, and where each text ends.
 
     Bytes go through in chunks of bounded size that are cut outside words.
     """
@@ -71,7 +71,7 @@ def words(column: pa.Array, kind: np.ndarray, lower: bool = True) -> tuple[np.nd
     data = _LOWER[data] if lower else data
     starts_text = np.zeros(len(data) + 1, bool)
     starts_text[ends] = True
-    hashes, first_bytes = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    hashes, firsts, lasts = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     done = 0
     while done < len(data):
         stop = min(done + CHUNK_BYTES, len(data))
@@ -85,9 +85,16 @@ def words(column: pa.Array, kind: np.ndarray, lower: bool = True) -> tuple[np.nd
         closes[:-1] &= ~inside[1:] | border[1:-1]
         first, last = np.flatnonzero(begins), np.flatnonzero(closes) + 1
         hashes.append(run_hashes(_BYTES[part], first, last))
-        first_bytes.append(first + done)
+        firsts.append(first + done)
+        lasts.append(last + done)
         done = stop
-    return np.concatenate(hashes), np.searchsorted(np.concatenate(first_bytes), ends)
+    return np.concatenate(hashes), np.concatenate(firsts), np.concatenate(lasts), ends
+
+
+def words(column: pa.Array, kind: np.ndarray, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words of a string column in order, and the number of words before each text's end."""
+    hashes, first, _, ends = word_places(column, kind, lower)
+    return hashes, np.searchsorted(first, ends)
 
 
 def grams(hashes: np.ndarray, ends: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
