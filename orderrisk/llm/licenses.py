@@ -129,6 +129,17 @@ def align(template: np.ndarray, texts: np.ndarray, band: int) -> tuple[np.ndarra
     return best >> shift, np.where(best > 0, best & (1 << shift) - 1, 0), end
 
 
+def _candidates(doc: np.ndarray, start: np.ndarray, reach: int) -> tuple[np.ndarray, np.ndarray]:
+    """Votes within ``reach`` of a candidate's first one belong to it."""
+    pairs = np.unique(np.stack((doc, start)), axis=1).T.tolist()
+    kept: list[list[int]] = []
+    for one in pairs:
+        if not kept or one[0] != kept[-1][0] or one[1] > kept[-1][1] + reach:
+            kept.append(one)
+    doc, start = np.array(kept, np.int64).reshape(-1, 2).T
+    return doc, start
+
+
 def _apart(found: list[tuple[int, ...]], size: list[int]) -> list[tuple[int, ...]]:
     """Of finds (document, template, aligned words, start, end) that overlap the one with the most aligned words."""
     found = sorted(found, key=lambda f: (f[0], -f[2], size[f[1]], f[3], f[1]))
@@ -176,21 +187,18 @@ def scan(
             for t in np.unique(template):
                 mine = template == t
                 doc, start = owner[mine], begin[mine]
-                order = np.lexsort((start, doc))
-                doc, start = doc[order], start[order]
-                # Votes within a band of the first one of a candidate are the same candidate.
-                new = np.ones(len(start), bool)
-                new[1:] = (doc[1:] != doc[:-1]) | (np.diff(start) > band // 2)
-                doc, start = doc[new], start[new]
                 own = index.words[t]
+                # So narrow that no second whole notice fits beside the one in the middle.
+                reach = min(band, len(own) // 3)
+                doc, start = _candidates(doc, start, reach)
                 for some in range(0, len(doc), 4096):
                     d, s = doc[some : some + 4096], start[some : some + 4096]
-                    places = s[:, None] + np.arange(-band, len(own) + band)
+                    places = s[:, None] + np.arange(-reach, len(own) + reach)
                     inside = (places >= ends[d][:, None]) & (places < ends[d + 1][:, None])
                     facing = np.where(inside, hashes[np.clip(places, 0, max(len(hashes) - 1, 0))], np.uint64(0))
-                    n, a, b = align(own, facing, band)
+                    n, a, b = align(own, facing, reach)
                     good = n >= coverage * len(own)
-                    rows = zip(d[good], n[good], (s - band + a)[good], (s - band + b)[good], strict=True)
+                    rows = zip(d[good], n[good], (s - reach + a)[good], (s - reach + b)[good], strict=True)
                     found += [(int(w), int(t), int(x), int(y), int(z)) for w, x, y, z in rows]
             kept = _apart(found, [len(w) for w in index.words])
             d, t, n, a, b = (np.array(x, np.int64) for x in (zip(*kept, strict=True) if kept else ([], [], [], [], [])))
