@@ -208,14 +208,23 @@ def correlations(df: DataFrame, columns: list[str] = fixed.CORRELATION_COLUMNS)
     """The Pearson matrix as (feature_a, feature_b, correlation) rows, over pairwise complete rows.
 
     One pass takes the sums of all columns and products once per null pattern (which columns of a
-    row are null; there are at most 2^8 patterns, and mostly one). A pair then adds up the patterns
+    row are null; there are at most 2^8 patterns, and mostly one). Values are taken as deviations from
+    the column's mean, found in a pass before, so that large values lose no digits. A pair then adds up the patterns
     in which both of its columns are there. This costs a few additions per row, where a separate
     correlation aggregate per pair costs two divisions per pair and row.
     """
     size = len(columns)
     pairs = [(a, b) for a in range(size) for b in range(a, size)]
     pattern = " + ".join(f"if({column} is null, {1 << i}, 0)" for i, column in enumerate(columns))
-    values = [f"coalesce(cast({column} as double), 0D) as v{i}" for i, column in enumerate(columns)]
+    # One row of numbers.
+    found = df.selectExpr(
+        *[f"{kind}(cast({column} as double)) as {kind}{i}" for i, column in enumerate(columns) for kind in ("avg", "min", "max")]
+    ).first()
+    # A constant is its own mean exactly, where an average may be off by a last digit.
+    means = [found[f"min{i}"] if found[f"min{i}"] == found[f"max{i}"] else found[f"avg{i}"] for i in range(size)]
+    values = [
+        f"coalesce(cast({column} as double) - {means[i] or 0.0!r}D, 0D) as v{i}" for i, column in enumerate(columns)
+    ]
     sums = (
         df.selectExpr(f"{pattern} as pattern", *values)
         .groupBy("pattern")

@@ -1,16 +1,17 @@
 """Exact contributions of each input to the log-odds of a boosted-tree model.
 
-For one leaf the path-dependent Shapley values depend only on which of the inputs on its path agree
-with the path. There are at most as many of those inputs as the tree is deep, so all patterns are
-worked out once per leaf; explaining a row is then a table lookup per leaf, vectorised over a batch.
-(Method: path-dependent tree Shapley values, Lundberg et al. 2020.)
+A subset of the inputs on a leaf's path reaches the leaf with the product of one factor per input: whether
+the row agrees with the path, if the input is known, else the share of the cover that follows the path.
+The Shapley weight of a subset of size k among m inputs is the integral of t^k (1 - t)^(m - 1 - k) over 0
+to 1, so the sum over all subsets is the integral of a product of m - 1 linear factors. A Gauss-Legendre
+rule of m / 2 points gives it exactly, with memory in proportion to the depth, for any depth.
+(Path-dependent tree Shapley values: Lundberg et al. 2020.)
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from math import factorial
 
 import numpy as np
 import pandas as pd
@@ -21,19 +22,19 @@ from pyspark.sql import functions as F
 
 from .features import FEATURES
 
-MAX_DEPTH = 10
 # The probability is the logistic function of twice the margin.
 _LOG_ODDS = 2.0
 
 
 @dataclass(frozen=True)
 class Leaf:
-    """A leaf's path: per distinct input an interval (low, high], and contributions per pattern."""
+    """A leaf's path: per distinct input an interval (low, high] and the share of the cover that follows it."""
 
     inputs: np.ndarray
     low: np.ndarray
     high: np.ndarray
-    table: np.ndarray
+    share: np.ndarray
+    value: float
 
 
 def _nodes(model: PipelineModel, folder: str) -> tuple[pd.DataFrame, dict[int, float]]:
@@ -55,22 +56,9 @@ def _nodes(model: PipelineModel, folder: str) -> tuple[pd.DataFrame, dict[int, f
     return rows.toPandas(), dict(enumerate(boosted.treeWeights))
 
 
-def _pattern_weights(m: int) -> tuple[np.ndarray, np.ndarray]:
-    """Which subsets lie inside which pattern, and the Shapley weight of each subset per input."""
-    size = 1 << m
-    subsets = np.arange(size)
-    inside = (subsets[None, :] & ~subsets[:, None]) == 0
-    count = np.array([bin(s).count("1") for s in range(size)])
-    member = (subsets[:, None] >> np.arange(m)[None, :]) & 1
-    joins = np.array([factorial(max(c - 1, 0)) * factorial(m - max(c, 1)) / factorial(m) for c in count])
-    stays = np.array([factorial(c) * factorial(max(m - c - 1, 0)) / factorial(m) for c in count])
-    weights = np.where(member == 1, joins[:, None], -stays[:, None])
-    return inside.astype(float), weights
-
-
 def _leaves(nodes: pd.DataFrame, tree_weights: dict[int, float]) -> tuple[list[Leaf], float]:
     """The leaves of all trees, and the model's expected log-odds."""
-    leaves, base, known = [], 0.0, {}
+    leaves, base = [], 0.0
     for tree, part in nodes.groupby("tree"):
         node = {row.id: row for row in part.itertuples()}
         scale = _LOG_ODDS * tree_weights[tree]
@@ -81,7 +69,7 @@ def _leaves(nodes: pd.DataFrame, tree_weights: dict[int, float]) -> tuple[list[L
             if at.left < 0:
                 base += scale * at.value * at.cover / node[0].cover
                 if path:
-                    leaves.append(_leaf(path, scale * at.value, known))
+                    leaves.append(_leaf(path, scale * at.value))
                 continue
             for child, is_left in ((node[at.left], True), (node[at.right], False)):
                 low, high, share = path.get(at.input, (-np.inf, np.inf, 1.0))
@@ -90,28 +78,27 @@ def _leaves(nodes: pd.DataFrame, tree_weights: dict[int, float]) -> tuple[list[L
     return leaves, base
 
 
-def _leaf(path: dict, value: float, known: dict) -> Leaf:
-    m = len(path)
-    if m > MAX_DEPTH:
-        raise ValueError(f"a path uses {m} inputs; at most {MAX_DEPTH} can be explained")
-    if m not in known:
-        known[m] = _pattern_weights(m)
-    inside, weights = known[m]
-    low, high, share = (np.array(part, dtype=float) for part in zip(*path.values()))
-    outside = 1 - ((np.arange(1 << m)[:, None] >> np.arange(m)[None, :]) & 1)
-    rest = np.where(outside == 1, share[None, :], 1.0).prod(axis=1)
-    table = value * ((inside * rest[None, :]) @ weights)
-    return Leaf(np.array(list(path), dtype=int), low, high, table)
+def _leaf(path: dict, value: float) -> Leaf:
+    low, high, share = (np.array(part, dtype=float) for part in zip(*path.values(), strict=True))
+    return Leaf(np.array(list(path), dtype=int), low, high, share, value)
 
 
 def _contributions(x: np.ndarray, leaves: list[Leaf]) -> np.ndarray:
     out = np.zeros_like(x)
+    rules = {}
     for leaf in leaves:
+        m = len(leaf.inputs)
+        if m not in rules:
+            at, weight = np.polynomial.legendre.leggauss((m + 1) // 2)
+            rules[m] = (at + 1) / 2, weight / 2
         values = x[:, leaf.inputs]
-        agrees = (values > leaf.low) & (values <= leaf.high)
-        pattern = agrees @ (1 << np.arange(len(leaf.inputs)))
+        agrees = ((values > leaf.low) & (values <= leaf.high)).astype(float)
+        total = np.zeros_like(agrees)
+        for t, weight in zip(*rules[m], strict=True):
+            factors = np.maximum((1 - t) * leaf.share + t * agrees, 1e-300)
+            total += weight * factors.prod(axis=1, keepdims=True) / factors
         # An input is listed once per leaf, so plain indexing adds up.
-        out[:, leaf.inputs] += leaf.table[pattern]
+        out[:, leaf.inputs] += leaf.value * (agrees - leaf.share) * total
     return out
 
 

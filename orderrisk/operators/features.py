@@ -29,10 +29,10 @@ FEATURES = (
 
 
 def feature_matrix(mart: DataFrame, key: str = "order_id", label: str = "is_fraud") -> DataFrame:
-    """Key, label and the 17 inputs as doubles. A null input stays null and makes a fit fail."""
+    """Key, label (if there is one) and the 17 inputs as doubles. A null input makes a fit fail."""
     return mart.select(
         key,
-        label,
+        *[label for c in mart.columns if c == label],
         *[F.col(name).cast("double").alias(name) for name in fixed.NUMERIC_FEATURES],
         *[F.col(name).cast("int").cast("double").alias(name) for name in fixed.BOOLEAN_FEATURES],
         *[

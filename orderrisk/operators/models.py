@@ -23,21 +23,18 @@ from .features import FEATURES, assembler, feature_matrix, fit_scaler, with_weig
 from .sampling import smote, undersample
 
 LABEL = "is_fraud"
-# Distinct probabilities that one task may rank; beyond that they are ranked per range.
-WINDOW_ROWS = 100_000
-# Rows that are permuted among each other.
-PERMUTE_ROWS = 100_000
+# Distinct probabilities per range in which they are ranked.
+RANGE_ROWS = 10_000
+# Hash blocks within which rows are permuted, and pieces in which a fit reads its rows. Neither depends
+# on the size of the table or of the cluster; a fit on very many rows asks for more.
+PERMUTE_BLOCKS = 16
+FIT_PIECES = 16
 _METRICS = ["roc_auc", "avg_precision", "fraud_f1", "fraud_precision", "fraud_recall"]
 
 
-def _spread(train: DataFrame) -> DataFrame:
-    """A training set in fewer pieces than there are cores is dealt over all of them.
-
-    A fit passes over the rows hundreds of times. Large tables have more pieces and stay as they are.
-    """
-    cores = train.sparkSession.sparkContext.defaultParallelism
-    pieces = train.select(F.spark_partition_id().alias("piece")).distinct().count()
-    return train.repartition(cores, "order_id") if pieces < cores else train
+def _dealt(train: DataFrame, pieces: int = FIT_PIECES) -> DataFrame:
+    """Rows dealt by their key and in order of it, so that a fit does not depend on how they came."""
+    return train.repartition(pieces, "order_id").sortWithinPartitions("order_id")
 
 
 def _fit(estimator, train: DataFrame) -> PipelineModel:
@@ -48,7 +45,7 @@ def _fit(estimator, train: DataFrame) -> PipelineModel:
     the checkpoint folder every few rounds.
     """
     scratch_dir(train.sparkSession)
-    return Pipeline(stages=[assembler(), estimator]).fit(_spread(train))
+    return Pipeline(stages=[assembler(), estimator]).fit(_dealt(train))
 
 
 def fit_logistic(
@@ -114,20 +111,20 @@ def fit_gbt(
 
 
 def scored(model: PipelineModel, rows: DataFrame) -> DataFrame:
-    """Key, label, raw probability and hard label at 0.5."""
+    """Key, label (if the rows have one), raw probability and hard label at 0.5."""
     probability = vector_to_array("probability")[1]
     return model.transform(rows).select(
         "order_id",
-        LABEL,
+        *[LABEL for c in rows.columns if c == LABEL],
         probability.alias("prob"),
         F.when(probability >= fixed.MODEL_FLAG_AT, 1).otherwise(0).alias("pred"),
     )
 
 
-def ranking(counts: DataFrame, window_rows: int = WINDOW_ROWS) -> DataFrame:
-    """Cumulative label counts per distinct probability, exact at any number of them."""
-    many = counts.count() > window_rows
-    return evaluate.cumulate(counts, evaluate.score_splits(counts) if many else None)
+def ranking(counts: DataFrame, range_rows: int = RANGE_ROWS) -> DataFrame:
+    """Cumulative label counts per distinct probability, ranked range by range at any number of them."""
+    pieces = counts.count() // range_rows + 2
+    return evaluate.cumulate(counts, evaluate.score_splits(counts, pieces))
 
 
 def evaluate_model(model: PipelineModel, test: DataFrame) -> DataFrame:
@@ -193,15 +190,24 @@ def model_fits(iters: int = 200, trees: int = 200, max_iter: int = 1000) -> dict
 
 
 def model_comparison(
-    train: DataFrame, test: DataFrame, iters: int = 200, trees: int = 200, max_iter: int = 1000
+    train: DataFrame,
+    test: DataFrame,
+    iters: int = 200,
+    trees: int = 200,
+    max_iter: int = 1000,
+    fitted: dict[str, PipelineModel] | None = None,
 ) -> DataFrame:
-    """AUC, average precision and F1 of the candidates and the rule baseline, best AUC first."""
+    """AUC, average precision and F1 of the candidates and the rule baseline, best AUC first.
+
+    Candidates that are in ``fitted`` are not fitted again.
+    """
+    fitted = fitted or {}
     metrics = _METRICS[:3]
     scaler = fit_scaler(train)
     rows = []
     for name, fit in model_fits(iters, trees, max_iter).items():
         linear = name == "Logistic Regression"
-        model = fit(scaler.transform(train) if linear else train)
+        model = fitted[name] if name in fitted else fit(scaler.transform(train) if linear else train)
         result = evaluate_model(model, scaler.transform(test) if linear else test).first()
         rows.append((name, *[result[m] for m in metrics]))
     rows.append((fixed.BASELINE_LABEL, *fixed.BASELINE_METRICS.values()))
@@ -226,13 +232,12 @@ def feature_importance(model: PipelineModel, test: DataFrame | None = None, top:
     return table.orderBy(F.col("importance").desc(), "feature").limit(top)
 
 
-def permuted(rows: DataFrame, repeats: int, block_rows: int = PERMUTE_ROWS) -> DataFrame:
+def permuted(rows: DataFrame, repeats: int, blocks: int = PERMUTE_BLOCKS) -> DataFrame:
     """Pairs every row with a random other row of its block, once per repeat: (repeat, ..., donor).
 
-    A permutation of all rows would be a sort of everything; rows change places within hash blocks
-    of bounded size instead, and each row donates exactly once per repeat.
+    A permutation of all rows would be a sort of everything; rows change places within ``blocks`` hash
+    blocks instead, and each row donates exactly once per repeat.
     """
-    blocks = max(1, -(-rows.count() // block_rows))
     spread = rows.withColumn("repeat", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1)))).withColumn(
         "block", F.pmod(F.xxhash64("order_id", "repeat"), F.lit(blocks))
     )
@@ -249,20 +254,17 @@ def permuted(rows: DataFrame, repeats: int, block_rows: int = PERMUTE_ROWS) -> D
 
 
 def permutation_importance(
-    model: PipelineModel, test: DataFrame, repeats: int = fixed.PERMUTATION_REPEATS, block_rows: int = PERMUTE_ROWS
+    model: PipelineModel, test: DataFrame, repeats: int = fixed.PERMUTATION_REPEATS, blocks: int = PERMUTE_BLOCKS
 ) -> DataFrame:
     """Mean loss of accuracy when one input is permuted, per input."""
     last = model.stages[-1]
-    rows = (
-        model.stages[0]
-        .transform(test)
-        .select("order_id", LABEL, vector_to_array("features").alias("x"))
-        .persist()
+    rows = cut_lineage(
+        model.stages[0].transform(test).select("order_id", LABEL, vector_to_array("features").alias("x"))
     )
     guess = last.transform(rows.withColumn("features", array_to_vector("x")))
     accuracy = F.avg((F.col("prediction") == F.col(LABEL)).cast("double"))
     base = guess.agg(accuracy.alias("base"))
-    changed = permuted(rows, repeats, block_rows).withColumn(
+    changed = permuted(rows, repeats, blocks).withColumn(
         "f", F.explode(F.sequence(F.lit(0), F.lit(len(FEATURES) - 1)))
     )
     swapped = F.transform("x", lambda v, i: F.when(i == F.col("f"), F.col("donor")[i]).otherwise(v))
@@ -284,7 +286,7 @@ def predict(model: PipelineModel, mart: DataFrame) -> DataFrame:
     rows = scored(model, feature_matrix(mart))
     return rows.select(
         "order_id",
-        F.bround("prob", 4).alias("ml_fraud_prob"),
+        (F.rint(F.col("prob") * 10_000) / 10_000).alias("ml_fraud_prob"),
         F.col("pred").alias("ml_fraud_flag"),
     )
 

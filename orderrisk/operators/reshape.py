@@ -58,7 +58,8 @@ def reshape_card_txns(raw: DataFrame) -> DataFrame:
             f"date_add(date {literal(fixed.CARD_FEED_DAY_ZERO)}, cast(floor({seconds} / {_DAY}) as int))"
         ).alias("order_date"),
         F.expr(f"cast(pmod({seconds}, {_DAY}) div 3600 as int) as order_hour"),
-        F.bround("TransactionAmt", 2).alias("order_amount"),
+        # Scaled, rounded to even and scaled back, as the feed's own tools round.
+        (F.rint(F.col("TransactionAmt") * 100.0) / 100.0).alias("order_amount"),
         F.coalesce("card4", F.lit(fixed.DEFAULT_PAYMENT)).alias("payment_method"),
         from_dict("ProductCD", fixed.PRODUCT_BY_CODE, fixed.DEFAULT_PRODUCT).alias("product_category"),
         from_dict("addr2", fixed.COUNTRY_BY_ADDRESS_CODE, fixed.DEFAULT_COUNTRY).alias("billing_country"),

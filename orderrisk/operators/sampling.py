@@ -142,6 +142,8 @@ def smote(
         F.count(F.when(F.col(label) == 0, F.lit(1))).alias("neg"),
     ).first()
     positives, missing = counts["pos"], max(counts["neg"] - counts["pos"], 0)
+    if missing and positives <= k:
+        raise ValueError(f"{positives} positives are too few: each needs {k} neighbours")
     rounds, rest = divmod(missing, positives) if positives else (0, 0)
     quotas = train.sparkSession.createDataFrame([(1, rest)], "_g int, _quota bigint")
     marked = mark_first(minority, F.col(label), key, quotas, "_extra", salt="smote")

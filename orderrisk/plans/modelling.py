@@ -35,6 +35,8 @@ def train(mart: DataFrame, out: str, iters: int = 200) -> dict[str, DataFrame]:
 def predict(mart: DataFrame, out: str) -> dict[str, DataFrame]:
     """Scores every order with the saved model and republishes its stored metrics."""
     model = models.load_model(f"{out}/model")
+    if not files.exists(mart.sparkSession, f"{out}/metrics.json"):
+        raise FileNotFoundError(f"{out}/metrics.json not found: train a model first")
     metrics = files.metrics_long(mart.sparkSession, f"{out}/metrics.json")
     return {
         "ml_predictions": files.write_table(models.predict(model, mart), f"{out}/ml_predictions"),
@@ -52,10 +54,10 @@ def compare(mart: DataFrame, out: str, iters: int = 200, trees: int = 200) -> di
 
 
 def explain_model(
-    model: PipelineModel, test_rows: DataFrame, out: str, sample: int = fixed.EXPLAIN_SAMPLE
+    model: PipelineModel, test_rows: DataFrame, out: str, sample: int | None = None
 ) -> dict[str, DataFrame]:
-    """Contributions on a fixed sample of test rows, and the tables drawn from them."""
-    rows = sampling.hash_sample(test_rows, sample)
+    """Contributions on all test rows, or on a sample if one is asked for, and the tables drawn from them."""
+    rows = test_rows if sample is None else sampling.hash_sample(test_rows, sample)
     shap = files.write_table(explain.tree_shap(model, rows, f"{out}/tree_nodes"), f"{out}/tree_shap")
     order = hash60(F.col("order_id"), "sample")
     return {

@@ -1,11 +1,12 @@
 """Registered queries: model inputs, samples, training, scoring and explanation.
 
-Training queries take every row of the mart; only the number of trees and iterations is lower than
-the library's defaults.
+Training queries take every row of the mart and the library's numbers of trees and iterations.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,9 +16,6 @@ from orderrisk.operators import explain, features, models, sampling
 
 from . import tables
 
-ITERS = 20
-TREES = 20
-
 
 def feature_matrix(spark: SparkSession, d: str) -> DataFrame:
     return features.feature_matrix(tables.mart(spark, d))
@@ -38,15 +36,23 @@ def _test(spark: SparkSession, d: str) -> DataFrame:
     return _split(spark, d).where(F.col("is_test")).drop("is_test")
 
 
-def _model(spark: SparkSession, d: str) -> PipelineModel:
-    """The boosted model, fitted once per application, saved and loaded back."""
-    path = tables.folder(spark, d, "boosted_model")
+def _fitted(spark: SparkSession, d: str, name: str, fit: Callable[[DataFrame], PipelineModel]) -> PipelineModel:
+    """A model, fitted once per application, saved and loaded back."""
+    path = tables.folder(spark, d, name)
     if path not in tables._written:
-        models.save_model(models.fit_gbt(_train(spark, d), iters=ITERS), path)
+        models.save_model(fit(_train(spark, d)), path)
         tables._written.add(path)
     return models.load_model(path)
 
 
+def _model(spark: SparkSession, d: str) -> PipelineModel:
+    return _fitted(spark, d, "boosted_model", models.fit_gbt)
+
+
+def _forest(spark: SparkSession, d: str) -> PipelineModel:
+    return _fitted(spark, d, "forest_model", models.fit_forest)
+
+
 def stratified_split(spark: SparkSession, d: str) -> DataFrame:
     labelled = tables.mart(spark, d).select("order_id", "is_fraud")
     return sampling.stratified_split(labelled)
@@ -84,13 +90,11 @@ def train_logistic(spark: SparkSession, d: str) -> DataFrame:
 
 
 def train_forest(spark: SparkSession, d: str) -> DataFrame:
-    model = models.fit_forest(_train(spark, d), trees=TREES)
-    return models.evaluate_model(model, _test(spark, d))
+    return models.evaluate_model(_forest(spark, d), _test(spark, d))
 
 
 def train_gbt(spark: SparkSession, d: str) -> DataFrame:
-    model = models.fit_gbt(_train(spark, d), iters=ITERS)
-    return models.evaluate_model(model, _test(spark, d))
+    return models.evaluate_model(_model(spark, d), _test(spark, d))
 
 
 def evaluate_model(spark: SparkSession, d: str) -> DataFrame:
@@ -102,7 +106,8 @@ def imbalance_comparison(spark: SparkSession, d: str) -> DataFrame:
 
 
 def model_comparison(spark: SparkSession, d: str) -> DataFrame:
-    return models.model_comparison(_train(spark, d), _test(spark, d), iters=ITERS, trees=TREES)
+    fitted = {"Random Forest": _forest(spark, d), "Boosted trees, weighted, step 0.3": _model(spark, d)}
+    return models.model_comparison(_train(spark, d), _test(spark, d), fitted=fitted)
 
 
 def feature_importance(spark: SparkSession, d: str) -> DataFrame:
@@ -127,8 +132,9 @@ def shap_sample(spark: SparkSession, d: str) -> DataFrame:
 
 
 def tree_shap(spark: SparkSession, d: str) -> DataFrame:
-    rows = sampling.hash_sample(_test(spark, d))
-    return explain.tree_shap(_model(spark, d), rows, tables.folder(spark, d, "tree_nodes"))
+    """All test rows, written once: the tables below are drawn from it."""
+    made = lambda: explain.tree_shap(_model(spark, d), _test(spark, d), tables.folder(spark, d, "tree_nodes"))
+    return tables.written_once(spark, d, "tree_shap", made)
 
 
 def shap_importance(spark: SparkSession, d: str) -> DataFrame:
@@ -139,8 +145,12 @@ def shap_dependence(spark: SparkSession, d: str) -> DataFrame:
     return explain.shap_dependence(tree_shap(spark, d))
 
 
+def shap_beeswarm(spark: SparkSession, d: str) -> DataFrame:
+    return explain.shap_dependence(tree_shap(spark, d), top=None)
+
+
 def shap_local(spark: SparkSession, d: str) -> DataFrame:
-    rows = models.scored(_model(spark, d), sampling.hash_sample(_test(spark, d)))
+    rows = models.scored(_model(spark, d), _test(spark, d))
     return explain.shap_local(tree_shap(spark, d), rows, hash60(F.col("order_id"), "sample"))
 
 
@@ -165,5 +175,6 @@ QUERIES = {
     "shap_sample": shap_sample,
     "shap_importance": shap_importance,
     "shap_dependence": shap_dependence,
+    "shap_beeswarm": shap_beeswarm,
     "shap_local": shap_local,
 }

@@ -50,6 +50,6 @@ def stand_in_predictions(mart_df: DataFrame) -> DataFrame:
     share = F.col("risk_score") / F.lit(float(fixed.MAX_SCORE))
     return mart_df.select(
         "order_id",
-        F.bround(share, 4).alias("ml_fraud_prob"),
+        (F.rint(share * 10_000.0) / 10_000.0).alias("ml_fraud_prob"),
         F.when(share >= fixed.MODEL_FLAG_AT, 1).otherwise(0).alias("ml_fraud_flag"),
     )

@@ -119,7 +119,8 @@ def card_txns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _drawn(spark, sf_dir, _CARD_SALTS).select(
         F.col("event_id").alias("TransactionID"),
         seconds.cast("bigint").alias("TransactionDT"),
-        F.col("value").alias("TransactionAmt"),
+        # A third decimal, as card feeds have it.
+        ((F.rint(F.col("value") * 100.0) * 10.0 + F.col("event_id") % 10) / 1000.0).alias("TransactionAmt"),
         weighted_pick("_prod", [(60, "W"), (72, "C"), (80, "R"), (88, "H"), (96, "S"), (98, "X")], None
         ).alias("ProductCD"),
         card.alias("card1"),

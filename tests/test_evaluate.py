@@ -51,7 +51,7 @@ def test_ranges_give_the_same_counts_as_one_window(spark):
     splits = evaluate.score_splits(counts, 16)
     assert 10 < len(splits) <= 17
     assert sorted(map(tuple, evaluate.cumulate(counts, splits).collect())) == whole
-    ranked = models.ranking(counts, window_rows=100)
+    ranked = models.ranking(counts, range_rows=100)
     assert sorted(map(tuple, ranked.collect())) == whole
 
 

@@ -157,7 +157,7 @@ def test_shap_tables(boosted, test_rows, folder):
 
 def test_permutation_keeps_the_values_of_every_input(train):
     x = train.select("order_id", "is_fraud", F.array("order_amount", "order_hour").alias("x"))
-    pairs = models.permuted(x, 2, block_rows=100).toPandas()
+    pairs = models.permuted(x, 2, blocks=8).toPandas()
     assert len(pairs) == 2 * 800
     want = sorted(r["order_amount"] for r in train.collect())
     for _, part in pairs.groupby("repeat"):
@@ -197,3 +197,40 @@ def test_comparisons(train, test_rows):
     assert len(strategies) == 4
     best = ",".join(r["best_for"] for r in strategies if r["best_for"])
     assert sorted(best.split(",")) == sorted(["roc_auc", "avg_precision", "fraud_f1", "fraud_precision", "fraud_recall"])
+
+
+def test_a_forest_does_not_depend_on_how_its_rows_came(train, test_rows):
+    found = []
+    for parts in (4, 9):
+        model = models.fit_forest(train.repartition(parts, F.rand(parts)), trees=5, depth=5)
+        found.append({r["order_id"]: r["prob"] for r in models.scored(model, test_rows).collect()})
+    assert found[0] == found[1]
+
+
+def test_orders_without_a_label_are_scored(spark, small_dir, boosted):
+    mart = tables.mart(spark, small_dir)
+    assert models.predict(boosted, mart.drop("is_fraud")).collect() == models.predict(boosted, mart).collect()
+
+
+def test_a_missing_metrics_file_is_named_before_scoring(spark, small_dir, boosted, folder):
+    models.save_model(boosted, f"{folder}/model")
+    with pytest.raises(FileNotFoundError, match="metrics.json"):
+        modelling.predict(tables.mart(spark, small_dir), folder)
+
+
+def test_contributions_of_deep_paths_add_up():
+    # Fifteen inputs on one path; every subset counts.
+    rng = np.random.default_rng(0)
+    path = {i: (0.0, np.inf, share) for i, share in enumerate(rng.uniform(0.1, 0.9, 15))}
+    leaf = explain._leaf(path, 2.0)
+    x = np.where(rng.random((20, 15)) < 0.8, 1.0, -1.0)
+    parts = explain._contributions(x, [leaf])
+    reached = (x > 0).all(axis=1) * 2.0
+    assert np.allclose(parts.sum(axis=1), reached - 2.0 * leaf.share.prod())
+
+
+def test_the_boosted_model_beats_chance(spark, sf_dir):
+    rows = sampling.stratified_split(features.feature_matrix(tables.mart(spark, sf_dir)))
+    train, test = rows.where(~F.col("is_test")).drop("is_test"), rows.where("is_test").drop("is_test")
+    found = models.evaluate_model(models.fit_gbt(train, iters=20), test).first()
+    assert found["roc_auc"] > 0.55

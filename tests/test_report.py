@@ -100,3 +100,11 @@ def test_age_buckets_and_negative_age(spark):
     got = {r["age_bucket"]: (r["fraud_rate"], r["orders"]) for r in eda.rate_by_age(df).collect()}
     assert got["<7d"] == (0.5, 2) and got["7-30d"] == (1.0, 1) and got["1y+"] == (0.5, 2)
     assert got["30-90d"] == (None, 0)
+
+
+def test_correlations_of_large_and_constant_values(spark):
+    rows = spark.range(2000).selectExpr("1e9D + id / 1000D as a", "1e9D - id / 1000D + pmod(id, 7) / 1e5D as b", "0.1D as c")
+    found = {(r["feature_a"], r["feature_b"]): r["correlation"] for r in eda.correlations(rows, ["a", "b", "c"]).collect()}
+    assert found["a", "a"] == 1.0
+    assert found["a", "b"] == pytest.approx(-1.0, abs=1e-6)
+    assert all(found["c", x] is None for x in "abc")

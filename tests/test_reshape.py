@@ -171,3 +171,13 @@ def test_export_quotes_every_field(spark, folder):
     files.write_csv(df.coalesce(1), f"{folder}/out", quote_all=True)
     text = spark.read.text(f"{folder}/out").collect()
     assert [r[0] for r in text] == ['"a","b"', '"say ""hi"", you",""']
+
+
+def test_amounts_round_like_scaled_numbers(spark):
+    import numpy as np
+    import pandas as pd
+
+    amounts = [i / 1000 for i in range(1, 200_000)]
+    raw = spark.createDataFrame(pd.DataFrame({"a": amounts}))
+    found = [r[0] for r in raw.select(F.rint(F.col("a") * 100.0) / 100.0).collect()]
+    assert found == np.round(amounts, 2).tolist()

@@ -115,3 +115,9 @@ def test_smote_spreads_many_copies_of_few_rows(spark, monkeypatch):
     made = sampling.smote(df, ["x"], k=2)
     assert counts(made, "is_fraud") == {(0,): 197, (1,): 197}
     assert made.where("copy > 0").select("order_id", "copy").distinct().count() == 194
+
+
+def test_too_few_positives_are_refused(spark):
+    rows = spark.range(50).selectExpr("id as order_id", "if(id < 3, 1, 0) as is_fraud", "cast(id as double) as x")
+    with pytest.raises(ValueError, match="too few"):
+        sampling.smote(rows, ["x"])
