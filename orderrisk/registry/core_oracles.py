@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from orderrisk.functions import fixed_values as fixed
+
 from .oracle_base import (
     PREDICTIONS,
+    RULES,
     h,
     percent,
     ratio,
@@ -13,38 +16,9 @@ from .oracle_base import (
     with_variant,
 )
 
-_RULE_SQL = {
-    "high_amount": ("order_amount >= 150", 20),
-    "country_mismatch": ("country_mismatch", 25),
-    "high_velocity": ("high_velocity", 20),
-    "travel": ("product_category = 'Travel'", 15),
-    "new_customer_high_amount": ("is_new_customer and order_amount >= 100", 20),
-    "late_night": ("order_hour between 1 and 5", 10),
-    "ip_mismatch": ("ip_mismatch", 25),
-    "new_account": ("account_age_days < 30", 30),
-}
-
-_REPORT_LABELS = {
-    "ip_mismatch": "IP mismatch (IP != billing country)",
-    "country_mismatch": "Country mismatch (billing != shipping)",
-    "high_amount": "High order amount (>=150)",
-    "new_customer_high_amount": "New customer + high amount (>=100)",
-    "high_velocity": "High velocity (3+ orders/day)",
-    "new_account": "New account (age < 30 days)",
-    "travel": "Travel category purchase",
-    "late_night": "Late-night order (1am-5am)",
-}
-
-_EXPLORE_LABELS = {
-    "high_amount": "high_amount (>=150)",
-    "country_mismatch": "country_mismatch",
-    "high_velocity": "high_velocity",
-    "travel": "travel_category",
-    "new_customer_high_amount": "new_cust_high_amt",
-    "late_night": "late_night (1-5am)",
-    "ip_mismatch": "ip_mismatch",
-    "new_account": "new_account (<30d)",
-}
+_RULE_SQL = RULES
+_REPORT_LABELS = fixed.REPORT_RULE_LABELS
+_EXPLORE_LABELS = fixed.EXPLORE_RULE_LABELS
 
 
 def _hits(condition: str) -> str:
