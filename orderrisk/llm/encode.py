@@ -26,7 +26,9 @@ _WS = "\t\n\x0b\x0c\r \x85\xa0  -     　"
 _KEEPING = re.compile(f" ?[^{_WS}]+|[{_WS}]+(?![^{_WS}])|[{_WS}]").findall
 _CUT = re.compile(f"(?<=[^{_WS}]) (?=[^{_WS}])")
 _LOOSE = re.compile(f"[{_WS}]|.*[{_WS}]$|$", re.DOTALL).match
-_PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!|*#$%&]*)").fullmatch
+# Marks behind a letter or digit are a pre-token of their own.
+_MARKS = ".,!|*#$%&"
+_BEFORE_MARKS = "[a-z0-9ß-öø-ÿ]$"
 
 
 def segments(text: str, size: int = BATCH_BYTES) -> Iterator[str]:
@@ -96,28 +98,34 @@ class Encoder:
                 out.update(zip(group, self._library(group), strict=True))
         return out
 
-    def _learn(self, words: set[str]) -> None:
-        """Makes every one of ``words`` known. What was not used for two rounds is forgotten."""
+    def _learn(self, words: list[str]) -> list[bytes]:
+        """Ids of distinct words. What was not used for two rounds is forgotten."""
         if len(self._known) > REMEMBERED:
             self._before, self._known = self._known, {}
-        known, before = self._known, self._before
-        new = words - known.keys()
-        kept = new & before.keys()
-        known.update((w, before[w]) for w in kept)
-        new -= kept
-        if not self._folds:
-            known.update(self._many(list(new)))
-            return
-        # Letters and the marks behind them are separate pre-tokens, and the case of letters is dropped.
-        parts = {w: (m[1].lower(), m[2]) for w in new if (m := _PLAIN(w))}
-        wanted = new - parts.keys()
-        wanted.update(a for a, _ in parts.values())
-        wanted.update(b for _, b in parts.values())
-        wanted -= known.keys()
-        kept = wanted & before.keys()
-        known.update((w, before[w]) for w in kept)
-        known.update(self._many(list(wanted - kept)))
-        known.update((w, known[a] + known[b]) for w, (a, b) in parts.items())
+        known = self._known
+        new = set(words) - known.keys()
+        kept = new & self._before.keys()
+        known.update(zip(kept, map(self._before.__getitem__, kept), strict=True))
+        known.update(self._many(list(new - kept)))
+        return list(map(known.__getitem__, words))
+
+    def _spelt(self, names: pa.Array) -> list[bytes]:
+        """Ids of distinct words whose white space and ASCII case do not count: those of the letters, then of the marks."""
+        low = pc.ascii_lower(names)
+        base = pc.ascii_rtrim(low, _MARKS)
+        base = pc.if_else(pc.match_substring_regex(base, _BEFORE_MARKS), base, low)
+        coded = base.dictionary_encode()
+        found = self._learn(coded.dictionary.to_pylist())
+        out = list(map(found.__getitem__, coded.indices.to_pylist()))
+        size = pc.binary_length(base).to_numpy()
+        marked = np.flatnonzero(size < pc.binary_length(low).to_numpy())
+        if len(marked):
+            trails = [w[len(w.rstrip(_MARKS)) :] for w in low.take(pa.array(marked)).to_pylist()]
+            distinct = list(set(trails))
+            marks = dict(zip(distinct, self._learn(distinct), strict=True))
+            for i, trail in zip(marked.tolist(), trails, strict=True):
+                out[i] += marks[trail]
+        return out
 
     def _words(self, parts: list[str]) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
         """Ids per distinct word, the word at each place, each segment's places, and which are loose.
@@ -127,13 +135,16 @@ class Encoder:
         gap = " " if self._drops_space else " \n "
         split = pc.split_pattern(pc.replace_substring(pa.array(parts, pa.large_string()), "\n", gap), " ")
         coded = split.flatten().dictionary_encode()
-        at, names = coded.indices.to_numpy().astype(np.int64), coded.dictionary.to_pylist()
+        at = coded.indices.to_numpy().astype(np.int64)
         ends = split.offsets.to_numpy().astype(np.int64)
         loose = np.zeros(len(parts), bool)
+        if self._folds:
+            return self._spelt(coded.dictionary), at, ends, loose
+        names = coded.dictionary.to_pylist()
         if not self._drops_space:
             # Any word but a segment's first and a line's first carries the space before it.
+            firsts = [names[i] for i in at[ends[:-1]]]
             at[ends[:-1]] = np.arange(len(names), len(names) + len(parts))
-            firsts = [names[i] for i in coded.indices.to_numpy()[ends[:-1]]]
             line = names.index("\n") if "\n" in names else -1
             bad = np.array([w != "\n" and _LOOSE(w) is not None for w in [*names, *firsts]])
             loose = np.add.reduceat(bad[at], ends[:-1]) > 0
@@ -143,8 +154,7 @@ class Encoder:
             used, at = np.unique(at * 2 + (first | (at == line) | (at >= len(names))), return_inverse=True)
             spelt = [*names, *firsts]
             names = [spelt[u >> 1] if u & 1 else f" {spelt[u >> 1]}" for u in used.tolist()]
-        self._learn(set(names))
-        return list(map(self._known.__getitem__, names)), at, ends, loose
+        return self._learn(names), at, ends, loose
 
     def _segments(self, parts: list[str], only_lengths: bool) -> list:
         ids, at, ends, loose = self._words(parts)
@@ -160,8 +170,9 @@ class Encoder:
             out = [flat[a * 4 : b * 4] for a, b in zip(total[:-1], total[1:], strict=True)]
         for i in np.flatnonzero(loose):
             words = _KEEPING(parts[i])
-            self._learn(set(words))
-            found = b"".join(map(self._known.__getitem__, words))
+            distinct = list(set(words))
+            known = dict(zip(distinct, self._learn(distinct), strict=True))
+            found = b"".join(map(known.__getitem__, words))
             out[i] = len(found) >> 2 if only_lengths else found
         return out
 
