@@ -26,11 +26,11 @@ from pyspark.sql import functions as F
 
 from orderrisk.session import cut_lineage
 
-from .words import _BYTES, CHUNK_BYTES, content, mixed, powers, slices
+from .words import _BYTES, CHUNK_BYTES, MOST_PARTITIONS, content, mixed, powers, slices
 
 LENGTH = 100
 GRAM = 32
-BUCKET_BYTES = 32 << 20
+BUCKET_BYTES = 8 << 20
 _LOW = np.uint64((1 << 24) - 1)
 _NO_KEY = -(1 << 63)
 _RUN = np.dtype([("anchor", "<u8"), ("same", "<u8"), ("key", "<i8"), ("tie", "<i8"), ("at", "<i8"), ("n", "<i4"), ("gone", "?")])
@@ -42,7 +42,6 @@ def anchored_runs(data: np.ndarray, ends: np.ndarray, length: int, gram: int) ->
 
     ``data`` holds texts that end at ``ends[1:]``; no window crosses an end.
     """
-    close = np.repeat(ends[1:], np.diff(ends))
     none = np.zeros(0, np.int64)
     out = [(none.view(np.uint64), none.view(np.uint64), none, none)]
     for done in range(0, len(data), CHUNK_BYTES):
@@ -61,7 +60,10 @@ def anchored_runs(data: np.ndarray, ends: np.ndarray, length: int, gram: int) ->
             low = np.minimum(low[:-step], low[step:])
             width += step
         low = low[:n]
-        whole = np.arange(done + length, done + length + n) <= close[done : done + n]
+        # Windows that end beyond the text in which they begin are none.
+        whole = np.ones(n, bool)
+        for end in ends[np.searchsorted(ends, done, "right") : np.searchsorted(ends, done + n + length, "right")].tolist():
+            whole[max(end - length + 1 - done, 0) : max(end - done, 0)] = False
         begins, stops = whole.copy(), whole.copy()
         change = low[1:] != low[:-1]
         begins[1:] &= change | ~whole[:-1]
@@ -107,7 +109,8 @@ _FOUND_SCHEMA = "key long, tie long, gone boolean, places binary"
 
 
 def _buckets(anchors: np.ndarray, n: int) -> np.ndarray:
-    return ((anchors >> np.uint64(32)) * np.uint64(n) >> np.uint64(32)).astype(np.int64)
+    # Anchors are smallest hashes and lie close together; mixed again they spread.
+    return ((mixed(anchors) >> np.uint64(32)) * np.uint64(n) >> np.uint64(32)).astype(np.int64)
 
 
 def _split(values: np.ndarray, bucket: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
@@ -227,7 +230,8 @@ def repeats(
         return pa.Table.from_batches([_by_document(runs[picked], runs["gone"][picked], _FOUND)])
 
     blobs = held.select("key", "tie", "text").mapInArrow(anchors, "bucket int, runs binary")
-    found = cut_lineage(blobs.groupBy("bucket").applyInArrow(settle, _FOUND_SCHEMA))
+    parts = min(buckets, MOST_PARTITIONS)
+    found = cut_lineage(blobs.repartition(parts, "bucket").groupBy("bucket").applyInArrow(settle, _FOUND_SCHEMA))
     going = found.where(~F.col("gone")).groupBy("key", "tie").agg(F.collect_list("places").alias("places"))
 
     def bring(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -271,7 +275,7 @@ def repeats(
     texts = held.select("id", "carried", "key", "tie", "text")
     asked = texts.join(going, ["key", "tie"]).select("key", "tie", "text", "places")
     brought = asked.mapInArrow(bring, "bucket int, key long, tie long, places binary, bytes binary")
-    later = brought.groupBy("bucket").applyInArrow(double, _FOUND_SCHEMA)
+    later = brought.repartition(parts, "bucket").groupBy("bucket").applyInArrow(double, _FOUND_SCHEMA)
     gone = found.where("gone").unionByName(later).groupBy("key", "tie").agg(F.collect_list("places").alias("places"))
     names = [key, "carried", "n_bytes", "n_removed", "n_spans", "kept_sha256", "removed", *["text"] * with_text]
 

@@ -6,8 +6,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
-CHUNK_BYTES = 1 << 22
+CHUNK_BYTES = 1 << 20
+SLICE_BYTES = 1 << 22
+#: Partitions of a shuffle by bucket, at most; beyond that several buckets share one.
+MOST_PARTITIONS = 10_000
 _U = np.uint64
 _STEP, _STEP_BACK = _U(0x9E3779B97F4A7C15), _U(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _BYTES = np.random.default_rng(20240607).integers(1, 1 << 63, 256, np.uint64) * _U(2) + _U(1)
@@ -55,7 +59,9 @@ def run_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
 
 def content(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of a string column, one text after the other, and where each text ends."""
-    column = column.cast(pa.large_binary()).fill_null(b"")
+    if column.null_count:
+        column = column.fill_null("")
+    column = column.cast(pa.large_binary())
     _, ends, data = column.buffers()
     ends = np.frombuffer(ends, np.int64, len(column) + 1, column.offset * 8)
     data = np.frombuffer(data, np.uint8) if data is not None and ends[-1] else np.zeros(0, np.uint8)
@@ -105,10 +111,11 @@ def grams(hashes: np.ndarray, ends: np.ndarray, n: int) -> tuple[np.ndarray, np.
     return run_hashes(hashes, at, last), left >= n
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: int, size: int = 2 * CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], column: int, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of about ``size`` bytes of one column; a longer text is a batch of its own."""
     for batch in batches:
-        _, ends = content(batch.column(column))
+        lengths = pc.binary_length(batch.column(column)).fill_null(0).to_numpy()
+        ends = np.concatenate(([0], np.cumsum(lengths, dtype=np.int64)))
         at = 0
         while at < batch.num_rows:
             stop = max(at + 1, int(np.searchsorted(ends, ends[at] + size, "right")) - 1)
