@@ -123,7 +123,10 @@ def _index(rows: DataFrame, hashes: Hashes) -> tuple[DataFrame, DataFrame]:
 
 
 def _round(asked: DataFrame, index: DataFrame, blocks: DataFrame, hashes: Hashes, k: int) -> DataFrame:
-    """Each query's nearest rows in every block that it visits. ``asked``: vec_id, vector, cosine."""
+    """Each query's nearest rows in every block that it visits. ``asked``: vec_id, vector, cosine, least.
+
+    Only rows of score ``least`` or more come out: a query that knows ``k`` rows needs no farther ones.
+    """
 
     def probe(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
@@ -137,9 +140,8 @@ def _round(asked: DataFrame, index: DataFrame, blocks: DataFrame, hashes: Hashes
                         who.append(i)
                         names.append(_key(table, bucket))
             who = pa.array(who, pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(names, pa.string()), part.column(0).take(who), part.column(1).take(who)], ["bucket", "query_id", "query"]
-            )
+            columns = [part.column(i).take(who) for i in (0, 1, 3)]
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), *columns], ["bucket", "query_id", "query", "least"])
 
     def nearest(rows: pa.Table, asked: pa.Table) -> pa.Table:
         out: list[list[np.ndarray]] = [[], [], []]
@@ -151,6 +153,7 @@ def _round(asked: DataFrame, index: DataFrame, blocks: DataFrame, hashes: Hashes
                 close = y @ x.T
                 close[queries[:, None] == ids[None, :]] = -2
                 floor = np.partition(close, -k, axis=1)[:, -k] if len(ids) > k else np.full(len(y), -1.5)
+                floor = np.maximum(floor, some["least"].to_numpy())
                 for i, (one, least) in enumerate(zip(close, floor, strict=True)):
                     near = np.flatnonzero(one >= max(least - 1e-9, -1.5))
                     # Summed the same way wherever the row lies, so that equal vectors have equal scores.
@@ -161,7 +164,7 @@ def _round(asked: DataFrame, index: DataFrame, blocks: DataFrame, hashes: Hashes
         empty = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
         return pa.table(dict(zip(("query_id", "vec_id", "score"), (np.concatenate([e, *o]) for e, o in zip(empty, out, strict=True)), strict=True)))
 
-    probes = asked.mapInArrow(probe, "bucket string, query_id long, query binary").join(blocks, "bucket")
+    probes = asked.mapInArrow(probe, "bucket string, query_id long, query binary, least double").join(blocks, "bucket")
     probes = probes.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
     by = ["bucket", "block"]
     found = index.groupBy(*by).cogroup(probes.groupBy(*by)).applyInArrow(nearest, "query_id long, vec_id long, score double")
@@ -192,11 +195,14 @@ def nearest(
     queries = rows.where(F.col("vec_id") % every == 0)
     n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     queries = queries.repartition(n, "vec_id")
-    near = cut_lineage(_round(queries.withColumn("cosine", F.lit(FIRST_COSINE)), index, blocks, hashes, k))
+    first_round = queries.withColumns({"cosine": F.lit(FIRST_COSINE), "least": F.lit(-2.0)})
+    near = cut_lineage(_round(first_round, index, blocks, hashes, k))
     reached = near.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"))
     reached = reached.withColumn("rank", F.row_number().over(order)).where(F.col("rank") == k)
     far = queries.join(reached.select(F.col("query_id").alias("vec_id"), "score"), "vec_id", "left")
-    far = far.select("vec_id", "vector", F.coalesce("score", F.lit(-1.0)).alias("cosine")).where(F.col("cosine") < FIRST_COSINE)
+    far = far.select(
+        "vec_id", "vector", F.coalesce("score", F.lit(-1.0)).alias("cosine"), F.coalesce("score", F.lit(-2.0)).alias("least")
+    ).where(F.col("cosine") < FIRST_COSINE)
     found = near.unionByName(_round(far, index, blocks, hashes, k)) if hashes.m else near
     return _best(found, k).select("query_id", "rank", "vec_id", "score")
