@@ -18,17 +18,18 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderrisk.session import cut_lineage
 
-from .words import SPACED, grams, mixed, run_hashes, slices, words
+from .words import MOST_PARTITIONS, SPACED, grams, mixed, run_hashes, slices, words
 
 SHINGLE = 5
 PERCENT = 75
-BUCKET_BYTES = 16 << 20
+BUCKET_BYTES = 8 << 20
 SALT_ROWS = 256
+HUB_YIELD = 5
 _ORDERS = tuple(np.uint64(x) for x in (0, 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F))
 _NO_KEY = -(1 << 63)
 _DOC = np.dtype([("key", "<i8"), ("n", "<i8"), ("twin", "<i8"), ("place", "<i4")])
@@ -144,24 +145,49 @@ def _sets(percent: int):
     return gather
 
 
-def _prefixes(sets: DataFrame, order: int, percent: int) -> DataFrame:
-    """(token, key, n, lone): each set's shared prefix tokens under one order."""
+def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
+    """(token, key, n, lone, at): each set's shared prefix tokens under the first order and their places.
+
+    Tokens of one set only come first in every order, so the others' places begin at ``lone``.
+    """
 
     def take(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            rows = [[np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]]
+            rows: list[list[np.ndarray]] = [[np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]]
             n, lone = part.column(1).to_numpy(), part.column(2).to_numpy()
-            for i, (t, r) in enumerate(zip(part.column(3), part.column(4), strict=True)):
-                t, r = np.frombuffer(t.as_buffer(), "<u8"), np.frombuffer(r.as_buffer(), np.uint8)
-                t = t[_ranked(t, r, order)[: int(_prefix(n[i : i + 1], percent)[0] - lone[i])]]
-                rows[0].append(t)
-                rows[1].append(np.full(len(t), i))
-            at = np.concatenate(rows[1])
-            token = np.concatenate(rows[0]).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(token), *(part.column(i).take(pa.array(at)) for i in range(3))], ["token", "key", "n", "lone"])
+            length = _prefix(n, percent) - lone
+            for i, t in enumerate(part.column(3)):
+                t = np.frombuffer(t.as_buffer(), "<u8")[: length[i]]
+                for column, more in zip(rows, (t, np.full(len(t), i), lone[i] + np.arange(len(t))), strict=True):
+                    column.append(more)
+            token, who, at = (np.concatenate(x) for x in rows)
+            columns = [part.column(i).take(pa.array(who)) for i in range(3)]
+            yield pa.RecordBatch.from_arrays([pa.array(token.view(np.int64)), *columns, pa.array(at)], ["token", "key", "n", "lone", "at"])
+
+    return sets.select("key", "n", "lone", "tokens").mapInArrow(take, "token long, key long, n long, lone long, at long")
+
+
+def _able(shared: Column, n: Column, other: Column, percent: int) -> Column:
+    """Whether sets of these sizes can be similar if they share at most so many tokens."""
+    return shared * (100 + percent) >= (n + other) * percent
 
-    columns = sets.select("key", "n", "lone", "tokens", "rarity")
-    return columns.mapInArrow(take, "token long, key long, n long, lone long")
+
+def _pairs(rows: DataFrame, percent: int) -> DataFrame:
+    """(key, hub) of different components that can be similar, as far as prefixes tell.
+
+    The smaller set of a pair needs only the tokens before its place n - 2 percent n / (100 + percent). All tokens
+    shared up to the last one that both prefixes hold are counted, and after it no more follow than the
+    shorter rest.
+    """
+    small = rows.where((F.col("n") - F.col("at")) * (100 + percent) >= F.col("n") * (2 * percent))
+    large = rows.select("token", *(F.col(c).alias(f"{c}2") for c in ("key", "n", "lone", "at", "component")))
+    ordered = (F.col("n") < F.col("n2")) | ((F.col("n") == F.col("n2")) & (F.col("key") < F.col("key2")))
+    most = F.least(F.col("n") - F.col("lone"), F.col("n2") - F.col("lone2"))
+    rest = F.least(F.col("n") - F.col("at"), F.col("n2") - F.col("at2"))
+    fits = _able(most, F.col("n"), F.col("n2"), percent) & (F.col("component") != F.col("component2")) & ordered
+    met = small.join(large, "token").where(fits)
+    met = met.groupBy("key", "key2", "n", "n2").agg(F.count("*").alias("c"), F.min(rest).alias("rest"))
+    return met.where(_able(F.col("c") + F.col("rest") - 1, F.col("n"), F.col("n2"), percent)).select("key", F.col("key2").alias("hub"))
 
 
 def _verify(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -239,14 +265,14 @@ def join(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, key: s
     held = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(_NO_KEY)).alias("key"), text)
     total = held.select(F.sum(F.octet_length(text))).head()[0] or 0
     buckets = max(8, int(total // BUCKET_BYTES) + 1)
-    shared = _token_blobs(held, shingle, buckets).groupBy("bucket").applyInArrow(
+    parts = min(buckets, MOST_PARTITIONS)
+    shared = _token_blobs(held, shingle, buckets).repartition(parts, "bucket").groupBy("bucket").applyInArrow(
         _count, "batch long, tokens binary, owner binary, rarity binary, table binary"
     )
-    state = shared.groupBy("batch").applyInArrow(_sets(percent), "key long, n long, twin long, lone long, tokens binary, rarity binary")
+    state = shared.repartition(parts, "batch").groupBy("batch").applyInArrow(_sets(percent), "key long, n long, twin long, lone long, tokens binary, rarity binary")
     state = cut_lineage(state)
     sets = state.where("tokens is not null")
-    blocks = [_prefixes(sets, o, percent) for o in range(len(_ORDERS))]
-    first = cut_lineage(blocks[0])
+    first = cut_lineage(_prefixes(sets, percent))
     links = cut_lineage(state.where("key != twin and n > 0").select("key", F.col("twin").alias("hub")).distinct())
     tested: DataFrame | None = None
     labels = components(links) if links.head(1) else None
@@ -254,10 +280,15 @@ def join(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, key: s
     while True:
         rows = _labelled(first, labels)
         # The hub: the member with the fewest tokens of its own, another one in each turn.
-        rank = F.struct("lone" if not turn else F.xxhash64("key", F.lit(turn)).alias("lone"), "key", "component")
-        hubs = rows.groupBy("token").agg(F.min(rank).alias("h"), F.max("component").alias("top"), F.min("component").alias("low"))
-        hubs = hubs.where("top != low").select("token", F.col("h.key").alias("hub"), F.col("h.component").alias("to"))
-        near = rows.join(hubs, "token").where("component != to").groupBy("key", "hub").agg(F.count("*").alias("n"))
+        rank = F.struct((F.xxhash64("key", F.lit(turn)) if turn else F.col("lone")).alias("rank"), "key", "n", "lone", "component")
+        spread = rows.groupBy("token").agg(F.min(rank).alias("hub"), F.max("component").alias("top"), F.min("component").alias("low"))
+        # A block whose members are connected stays so, and is not looked at again.
+        mixed_rows = cut_lineage(rows.join(spread.where("top != low").select("token", "hub"), "token"))
+        first = mixed_rows.select("token", "key", "n", "lone", "at")
+        hub = F.col("hub")
+        most = F.least(F.col("n") - F.col("lone"), hub["n"] - hub["lone"])
+        able = _able(most, F.col("n"), hub["n"], percent) & (F.col("component") != hub["component"])
+        near = mixed_rows.where(able).groupBy("key", hub["key"].alias("hub")).agg(F.count("*").alias("n"))
         if tested is not None:
             near = near.join(tested, ["key", "hub"], "left_anti")
         best = near.groupBy("key").agg(F.max(F.struct("n", "hub")).alias("b")).select("key", F.col("b.hub").alias("hub"))
@@ -267,29 +298,21 @@ def join(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, key: s
         passed = cut_lineage(_verify(best, sets, percent))
         tested = best if tested is None else cut_lineage(tested.unionByName(best))
         turn += 1
-        if not passed.head(1):
-            break
-        links = cut_lineage(links.unionByName(passed))
-        labels = components(links)
-    pairs: DataFrame | None = None
-    for block in blocks:
-        rows = _labelled(block, labels).select("token", "key", "n", "component")
-        mixed_blocks = rows.groupBy("token").agg(F.max("component").alias("top"), F.min("component").alias("low")).where("top != low").select("token")
-        rows = rows.join(mixed_blocks, "token")
-        other = rows.select("token", *(F.col(c).alias(f"{c}2") for c in ("key", "n", "component")))
-        alike = (F.least("n", "n2") * 100 >= F.greatest("n", "n2") * percent) & (F.col("key") < F.col("key2"))
-        met = rows.join(other, "token").where(alike & (F.col("component") != F.col("component2")))
-        met = met.select("key", F.col("key2").alias("hub")).distinct()
-        if tested is not None:
-            both = tested.unionByName(tested.select(F.col("hub").alias("key"), F.col("key").alias("hub")))
-            met = met.join(both, ["key", "hub"], "left_anti")
-        pairs = cut_lineage(met if pairs is None else met.join(pairs, ["key", "hub"], "left_semi"))
-        if not pairs.head(1):
+        n_passed = passed.count()
+        if n_passed:
+            links = cut_lineage(links.unionByName(passed))
+            labels = components(links)
+        # Where hubs connect few members any more, the rest is settled pair by pair.
+        if HUB_YIELD * n_passed < best.count():
             break
-    else:
-        passed = cut_lineage(_verify(pairs, sets, percent))
-        if passed.head(1):
-            labels = components(cut_lineage(links.unionByName(passed)))
+    pairs = _pairs(_labelled(first, labels), percent)
+    if tested is not None:
+        both = tested.unionByName(tested.select(F.col("hub").alias("key"), F.col("key").alias("hub")))
+        pairs = pairs.join(both, ["key", "hub"], "left_anti")
+    pairs = cut_lineage(pairs)
+    passed = cut_lineage(_verify(pairs, sets, percent))
+    if passed.head(1):
+        labels = components(cut_lineage(links.unionByName(passed)))
     out = _labelled(state.select("key", "n"), labels)
     back = lambda c: F.nullif(F.col(c), F.lit(_NO_KEY)).cast(kind)
     return out.select(back("key").alias(key), F.col("n").alias("n_shingles"), back("component").alias("component_id"))
