@@ -31,8 +31,7 @@ BUCKET_BYTES = 8 << 20
 SALT_ROWS = 256
 HUB_YIELD = 5
 _ORDERS = tuple(np.uint64(x) for x in (0, 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F))
-_NO_KEY = -(1 << 63)
-_DOC = np.dtype([("key", "<i8"), ("n", "<i8"), ("twin", "<i8"), ("place", "<i4")])
+_DOC = np.dtype([("key", "<i8"), ("n", "<i8"), ("twin", "<i8"), ("place", "<i4"), ("doc", "<i8"), ("known", "?")])
 
 
 def shingle_sets(column: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -65,6 +64,7 @@ def _token_blobs(docs: DataFrame, shingle: int, buckets: int) -> DataFrame:
             found, ends = shingle_sets(part.column(1), shingle)
             table = np.zeros(part.num_rows, _DOC)
             table["key"], table["n"], table["place"] = part.column(0).to_numpy(), np.diff(ends), np.arange(part.num_rows)
+            table["doc"], table["known"] = part.column(2).fill_null(0).to_numpy(), part.column(2).is_valid().to_numpy(zero_copy_only=False)
             # Equal sets of a batch go as one, that of the smallest key.
             sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(found)))
             turned = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mixed(found))))
@@ -140,7 +140,8 @@ def _sets(percent: int):
         held = [tokens[a:b].tobytes() if go else None for a, b, go in zip(ends, ends[1:], able, strict=False)]
         marks = [rarity[a:b].tobytes() if go else None for a, b, go in zip(ends, ends[1:], able, strict=False)]
         columns = [pa.array(np.ascontiguousarray(docs[c])) for c in ("key", "n", "twin")]
-        return pa.table([*columns, pa.array(lone), pa.array(held, pa.binary()), pa.array(marks, pa.binary())], names=["key", "n", "twin", "lone", "tokens", "rarity"])
+        doc = pa.array(np.ascontiguousarray(docs["doc"]), mask=~docs["known"])
+        return pa.table([*columns, doc, pa.array(lone), pa.array(held, pa.binary()), pa.array(marks, pa.binary())], names=["key", "n", "twin", "doc", "lone", "tokens", "rarity"])
 
     return gather
 
@@ -253,23 +254,39 @@ def _labelled(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
     return rows.join(labels, "key", "left").withColumn("component", F.coalesce("component", "key"))
 
 
-def join(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per document: ``key``, n_shingles and component_id, the smallest key reachable by links.
+def _named(state: DataFrame, labels: DataFrame | None, null_is_least: bool) -> DataFrame:
+    """(doc, n, name) of each row; name is the smallest doc of its component."""
+    rows = state.select("key", "doc", "n")
+    if labels is None:
+        return rows.withColumn("name", F.col("doc"))
+    linked = cut_lineage(labels.join(rows.select("key", "doc"), "key"))
+    least = F.min("doc")
+    if null_is_least:
+        least = F.when(F.count("doc") == F.count("*"), least)
+    named = linked.join(linked.groupBy("component").agg(least.alias("name")), "component").select("key", "name", F.lit(True).alias("linked"))
+    return rows.join(named, "key", "left").select("doc", "n", F.when(F.col("linked"), F.col("name")).otherwise(F.col("doc")).alias("name"))
+
+
+def join(
+    docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, key: str = "doc_id", text: str = "text", null_is_least: bool = True
+) -> DataFrame:
+    """Per row: ``key``, n_shingles and component_id, the smallest key reachable by links.
 
-    Documents link when their sets of distinct word shingles have a Jaccard similarity of ``percent`` / 100
+    Rows link when their sets of distinct word shingles have a Jaccard similarity of ``percent`` / 100
     or more. Words lie between white space, A-Z count as a-z, and a text of fewer words is one shingle. Null
-    and empty texts have empty sets and link with nothing. Rows that share a key are one node with a row
-    each; a null key is a node of its own and comes back null. An empty table gives no rows.
+    and empty texts have empty sets and link with nothing. Every row is a node of its own, so a repeated or null
+    key connects nothing. ``null_is_least``: a null key counts as the smallest; otherwise component_id is null
+    only where no row of the component has a key. An empty table gives no rows.
     """
     kind = docs.schema[key].dataType.simpleString()
-    held = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(_NO_KEY)).alias("key"), text)
-    total = held.select(F.sum(F.octet_length(text))).head()[0] or 0
+    held = docs.select(F.monotonically_increasing_id().alias("key"), F.col(text).alias("text"), F.col(key).cast("long").alias("doc"))
+    total = held.select(F.sum(F.octet_length("text"))).head()[0] or 0
     buckets = max(8, int(total // BUCKET_BYTES) + 1)
     parts = min(buckets, MOST_PARTITIONS)
     shared = _token_blobs(held, shingle, buckets).repartition(parts, "bucket").groupBy("bucket").applyInArrow(
         _count, "batch long, tokens binary, owner binary, rarity binary, table binary"
     )
-    state = shared.repartition(parts, "batch").groupBy("batch").applyInArrow(_sets(percent), "key long, n long, twin long, lone long, tokens binary, rarity binary")
+    state = shared.repartition(parts, "batch").groupBy("batch").applyInArrow(_sets(percent), "key long, n long, twin long, doc long, lone long, tokens binary, rarity binary")
     state = cut_lineage(state)
     sets = state.where("tokens is not null")
     first = cut_lineage(_prefixes(sets, percent))
@@ -313,6 +330,5 @@ def join(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, key: s
     passed = cut_lineage(_verify(pairs, sets, percent))
     if passed.head(1):
         labels = components(cut_lineage(links.unionByName(passed)))
-    out = _labelled(state.select("key", "n"), labels)
-    back = lambda c: F.nullif(F.col(c), F.lit(_NO_KEY)).cast(kind)
-    return out.select(back("key").alias(key), F.col("n").alias("n_shingles"), back("component").alias("component_id"))
+    out = _named(state, labels, null_is_least)
+    return out.select(F.col("doc").cast(kind).alias(key), F.col("n").alias("n_shingles"), F.col("name").cast(kind).alias("component_id"))

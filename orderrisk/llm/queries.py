@@ -21,7 +21,7 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.join(_table(spark, sf_dir, "documents"))
+    return jaccard.join(_table(spark, sf_dir, "documents"), null_is_least=False)
 
 
 def op3_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,6 +1,6 @@
 from collections import Counter
 
-from orderrisk.llm import jaccard
+from orderrisk.llm import jaccard, queries
 
 from .common import TOKENIZER_WORDS, awkward, frame, lowered
 
@@ -52,3 +52,14 @@ def test_repeated_rows_null_keys_and_no_rows(spark):
         ("3", 2, "None"), ("3", 2, "None"), ("4", 2, "None"), ("6", 0, "6")
     ]
     assert jaccard.join(frame(spark, []).where("false")).count() == 0
+
+
+def test_null_keys_connect_nothing_and_are_no_ones_component(spark, tmp_path):
+    first, second = "a b c d e f g h", "k l m n o p q r"
+    docs = [(3, first), (4, first), (None, first), (7, second), (8, second), (None, second), (None, "s t u v w x"), (None, "s t u v w x"), (None, None), (9, second + " z"), (9, "quite another text of nine")]
+    frame(spark, docs).write.parquet(f"{tmp_path}/documents.parquet")
+    found = queries.op2_ngram_jaccard(spark, str(tmp_path)).collect()
+    assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in found) == [
+        ("3", 4, "3"), ("4", 4, "3"), ("7", 4, "7"), ("8", 4, "7"), ("9", 1, "9"), ("9", 5, "7"),
+        ("None", 0, "None"), ("None", 2, "None"), ("None", 2, "None"), ("None", 4, "3"), ("None", 4, "7"),
+    ]
