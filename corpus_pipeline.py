@@ -5,7 +5,6 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from orderrisk.llm import decontaminate, jaccard, packing, quality, repeats
 from orderrisk.session import cut_lineage
@@ -19,19 +18,22 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: that of the smallest doc_id.
+    """One row of each group of near duplicates: that of the smallest doc_id, then the smallest hash of its text.
 
-    Documents without words are in no group and stay, and so do rows without a doc_id. Of other rows that
-    share a doc_id the one whose text has the smallest hash stays.
+    Rows are judged, not doc_ids: rows that share a doc_id and are in different groups all stay. Rows without
+    words are in no group and stay, and so do rows without a doc_id. Of rows that repeat doc_id and text the one
+    with the smallest other columns stays.
     """
-    found = jaccard.join(docs)
-    grouped = found.where("n_shingles > 0 and doc_id is not null")
-    gone = grouped.where("doc_id != component_id").select("doc_id").distinct()
-    again = grouped.groupBy("doc_id").count().where("count > 1").select("doc_id", F.lit(True).alias("_again"))
-    left = docs.join(gone, "doc_id", "left_anti").join(again, "doc_id", "left")
-    order = Window.partitionBy("doc_id").orderBy(F.length("text") == 0, F.xxhash64("text"))
-    repeated = left.where("_again").withColumn("_at", F.row_number().over(order)).where("_at = 1")
-    return left.where("_again is null").select(docs.columns).unionByName(repeated.select(docs.columns))
+    keyed = docs.withColumn("_row", F.xxhash64("doc_id", "text"))
+    rows = keyed.where("doc_id is not null").groupBy("_row").agg(F.min("doc_id").alias("doc_id"), F.min(F.xxhash64("text")).alias("hash"), F.count("*").alias("n"))
+    found = jaccard.join(keyed, key="_row").where("n_shingles > 0").select("_row", "component_id").distinct()
+    judged = cut_lineage(found.join(rows, "_row"))
+    first = judged.groupBy("component_id").agg(F.min(F.struct("doc_id", "hash", "_row")).alias("first")).select("first._row")
+    gone = judged.select("_row").join(first, "_row", "left_anti")
+    again = judged.where("n > 1").select("_row", F.lit(True).alias("_again"))
+    left = keyed.join(gone, "_row", "left_anti").join(again, "_row", "left")
+    repeated = left.where("_again").groupBy("_row").agg(F.min(F.struct(*docs.columns)).alias("kept")).select("kept.*")
+    return left.where("_again is null").select(docs.columns).unionByName(repeated)
 
 
 def repeat_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -64,3 +64,11 @@ def test_awkward_rows(spark, small_dir):
         assert kept.count() == (5 if frame is docs else 0)
         for _, stage in corpus_pipeline.STAGES:
             frame = corpus_pipeline.cut_lineage(stage(spark, frame, small_dir))
+
+
+def test_rows_are_judged_not_doc_ids(spark, small_dir):
+    first, second = "a b c d e f g h", "k l m n o p q r"
+    rows = [(1, first), (1, second), (1, None), (1, " "), (2, second), (3, "s t u v w x"), (4, "s t u v w x"), (None, "s t u v w x"), (5, first), (5, first), (6, second + " z")]
+    docs = spark.createDataFrame([(k, t, "en", "s", 1) for k, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.near_duplicate_stage(spark, docs, small_dir).collect()
+    assert sorted((str(r.doc_id), str(r.text)) for r in kept) == [("1", " "), ("1", "None"), ("1", first), ("1", second), ("3", "s t u v w x"), ("None", "s t u v w x")]
