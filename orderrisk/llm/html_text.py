@@ -3,6 +3,9 @@
 A page is read as lines, one for each block of text. Every line has a ratio of text to tags; the ratios
 are smoothed with a Gaussian and split into two clusters. A region (the lines of one container) is content
 if a line of it lies in the upper cluster; then it is taken whole, so that short paragraphs stay.
+
+Class words and forms mark what lies beside the article, or a wrapper around it: a mark does not count if it
+encloses the main element, the longest article where no other is left, or most of the text that is not links.
 """
 
 from __future__ import annotations
@@ -23,7 +26,7 @@ _INLINE = frozenset(
 )
 _NEVER = frozenset(
     "script style head title noscript template iframe object embed svg math canvas audio video select option "
-    "textarea button form fieldset nav aside footer menu dialog".split()
+    "textarea button fieldset nav aside footer menu dialog".split()
 )
 _BESIDE = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion nav navbar navigation menu "
@@ -32,6 +35,7 @@ _BESIDE = frozenset(
     "related recommended recommendations comment comments commentlist disqus reply replies respond discussion "
     "pagination pager toolbar copyright disclaimer search skip".split()
 )
+_DISCUSSION = frozenset("comment comments commentlist disqus reply replies respond discussion".split())
 _ABOVE = frozenset("header masthead topbar".split())
 _BESIDE_ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar".split())
 _CONTAINERS = frozenset("body section div td th article main".split())
@@ -44,13 +48,17 @@ _KERNEL /= _KERNEL.sum()
 
 
 class _Lines(HTMLParser):
-    """Collects (text, tags, characters in links, region, inside an article, beside the article) per line."""
+    """Collects (text, tags, characters in links, region, inside an article, beside the article, marks, article) per line."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, int, int, bool, bool]] = []
-        # (element, beside, region, inside an article)
-        self._open: list[tuple[str, bool, int, bool]] = [("", False, 0, False)]
+        self.lines: list[tuple[str, int, int, int, bool, bool, tuple[int, ...], int]] = []
+        #: Whether a mark is that of a discussion, the marks around main elements and around each article.
+        self.marks: list[bool] = []
+        self.around_main: set[int] = set()
+        self.around: list[tuple[int, ...]] = [()]
+        # (element, beside, region, inside an article, marks, outermost article)
+        self._open: list[tuple[str, bool, int, bool, tuple[int, ...], int]] = [("", False, 0, False, (), 0)]
         self._regions = 0
         self._text: list[str] = []
         self._tags = 0
@@ -59,8 +67,8 @@ class _Lines(HTMLParser):
     def _end_line(self) -> None:
         text = " ".join("".join(self._text).split())
         if text:
-            _, beside, region, inside = self._open[-1]
-            self.lines.append((text, self._tags, min(self._linked, len(text)), region, inside, beside))
+            _, beside, region, inside, marks, article = self._open[-1]
+            self.lines.append((text, self._tags, min(self._linked, len(text)), region, inside, beside, marks, article))
             self._tags = 0
         self._text, self._linked = [], 0
 
@@ -81,12 +89,22 @@ class _Lines(HTMLParser):
             self._pop(_CLOSES.get(tag, ("p",)), _CONTAINERS | {"ul", "ol", "table", "blockquote"})
         if tag in _VOID:
             return
-        _, beside, region, inside = self._open[-1]
-        beside = beside or tag in _NEVER or self._is_beside(tag, dict(attrs), inside)
+        _, beside, region, inside, marks, article = self._open[-1]
+        held = dict(attrs)
+        beside = beside or tag in _NEVER or self._is_beside(tag, held, inside)
+        names = self._names(tag, held, inside)
+        if names or tag == "form":
+            marks = (*marks, len(self.marks))
+            self.marks.append(not names.isdisjoint(_DISCUSSION))
+        if tag == "main" and not beside:
+            self.around_main.update(marks)
+        if tag == "article" and not article:
+            article = len(self.around)
+            self.around.append(marks)
         if tag in _CONTAINERS and not inside:
             self._regions += 1
             region = self._regions
-        self._open.append((tag, beside, region, inside or tag in _MAIN))
+        self._open.append((tag, beside, region, inside or tag in _MAIN, marks, article))
 
     @staticmethod
     def _is_beside(tag: str, attrs: dict[str, str | None], inside: bool) -> bool:
@@ -96,10 +114,15 @@ class _Lines(HTMLParser):
             return False
         if "hidden" in attrs or attrs.get("aria-hidden") == "true" or (attrs.get("role") or "").lower() in _BESIDE_ROLES:
             return True
-        if "display:none" in (attrs.get("style") or "").replace(" ", "").lower():
-            return True
+        return "display:none" in (attrs.get("style") or "").replace(" ", "").lower()
+
+    @staticmethod
+    def _names(tag: str, attrs: dict[str, str | None], inside: bool) -> set[str]:
+        """Words of class and id that name parts beside the article."""
+        if not attrs or tag in ("html", "body", *_MAIN):
+            return set()
         names = set(_NAMES.findall(f"{attrs.get('class') or ''} {attrs.get('id') or ''}".lower()))
-        return not names.isdisjoint(_BESIDE) or not inside and not names.isdisjoint(_ABOVE)
+        return names & (_BESIDE if inside else _BESIDE | _ABOVE)
 
     def handle_endtag(self, tag: str) -> None:
         self._tags += 1
@@ -136,14 +159,35 @@ def _threshold(values: np.ndarray) -> float:
     return (low + high) / 2
 
 
+def _wrappers(parser: _Lines) -> set[int]:
+    """Marks of elements that are around the article, not beside it."""
+    free = set(parser.around_main)
+    shown = [(len(text) - linked, inside, marks, article) for text, _, linked, _, inside, beside, marks, article in parser.lines if not beside]
+    if any(n and inside and free.issuperset(marks) for n, inside, marks, _ in shown):
+        return free
+    sizes: dict[int, int] = {}
+    for n, _, marks, article in shown:
+        # Marks inside the article are beside its text.
+        if article and len(marks) == len(parser.around[article]):
+            sizes[article] = sizes.get(article, 0) + n
+    if any(sizes.values()):
+        return free.union(parser.around[max(sizes, key=sizes.__getitem__)])
+    under = np.zeros(len(parser.marks), np.int64)
+    for n, _, marks, _ in shown:
+        under[list(marks)] += n
+    total = sum(n for n, *_ in shown)
+    return free.union(m for m, n in enumerate(under.tolist()) if 2 * n > total and not parser.marks[m])
+
+
 def main_text(html: str | None) -> str:
     """The blocks of the page's content regions, joined by one space; empty if there are none."""
     parser = _Lines()
     parser.feed(html or "")
     parser.close()
-    lines = parser.lines
-    if not lines:
+    if not parser.lines:
         return ""
+    free = _wrappers(parser) if parser.marks else set()
+    lines = [(*line, beside or not free.issuperset(marks)) for *line, beside, marks, _ in parser.lines]
     ratio = np.array([(len(text) - linked) / max(tags, 1) for text, tags, linked, *_ in lines])
     smooth = np.convolve(np.pad(ratio, 2), _KERNEL, "valid")
     cut = _threshold(smooth)

@@ -136,3 +136,22 @@ def test_quality_of_awkward_rows(spark):
     assert {r.score for r in quality.quality(docs, labels.where("false")).collect()} == {0.5}
     assert {r.score for r in quality.quality(docs, labels.where("quality = 1")).collect()} == {1.0}
     assert quality.quality(docs.where("false"), labels).count() == 0
+
+
+def test_wrappers_around_the_article():
+    body = "<h1>Title</h1><p>" + "Words of the article. " * 10 + "</p><div class='share'>Share</div>"
+    want = "Title " + ("Words of the article. " * 10).strip()
+    side = "<div class='sidebar'><p>Side text of some length that is not the article.</p></div>"
+    talk = "<div class='comments'><article><p>" + "A reader says much. " * 9 + "</p></article></div>"
+    for page in (
+        f"<div class='content-sidebar-wrap'><main>{body}</main>{side}</div>",
+        f"<div id='page' class='has-sidebar'><article>{body}</article>{side}{talk}</div>",
+        f"<div class='with-nav'><div class='post'>{body}</div>{side}</div>",
+        f"<form action='x'><div>{body}</div>{side}</form>",
+        f"<form><main>{body}</main></form>",
+        f"<article>{body}</article>{talk}{side}",
+    ):
+        assert html_text.main_text(f"<html><body>{page}</body></html>") == want
+    # Without a wrapper nothing beside the article comes in, however long.
+    free = f"<body><div class='post'>{body}</div><div class='comments'><p>" + "A reader says much. " * 90 + "</p></div></body>"
+    assert html_text.main_text(free) == want
