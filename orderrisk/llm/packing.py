@@ -98,7 +98,8 @@ def plan(available: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...]
             for b, c in pairs(gap - int(a)):
                 if b <= a:
                     yield int(a), b, c
-                    break
+                    if not left[a]:
+                        break
 
     for longest in range(capacity, 0, -1):
         if not left[longest]:

@@ -114,3 +114,8 @@ def test_plan_fills_gaps_exactly():
         assert len(made) <= 2 * len(have) + 2
     rich = packing.plan({x: 1000 for x in range(1, 65)}, 64)
     assert sum(n for _, n in rich) <= 1000 * 65 / 2 * 1.01
+
+
+def test_plan_tries_all_triples():
+    made = packing.plan({59: 2, 21: 2, 15: 1, 5: 1, 11: 1, 9: 1, 13: 1}, 100)
+    assert sorted(made) == [((13,), 1), ((59, 21, 11, 9), 1), ((59, 21, 15, 5), 1)]
