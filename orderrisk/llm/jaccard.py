@@ -3,8 +3,8 @@
 Two sets with a Jaccard similarity of at least t share a token among the first |x| - ceil(t |x|) + 1 of
 each under any global order. All orders here begin with the rarest tokens and differ in how they order
 tokens of like frequency. A token of one set only can be shared with none, so a set with enough of them
-has no candidates, and only the other tokens come back from the count. Pairs must share a prefix token
-under every order; only those that do are verified with the whole sets.
+has no candidates, and only the other tokens come back from the count. Candidates share a prefix token
+under the first order and pass size and place filters; the other orders are tested beside the whole sets.
 
 Groups of near copies are not expanded into pairs: within a block (the sets that share a prefix token)
 members are compared with one hub, and what is connected already is not compared again. When hubs connect
