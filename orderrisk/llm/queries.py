@@ -9,7 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from orderrisk.session import scratch_dir
 
-from . import counts, dac, decontaminate, html_text, jaccard, licenses, neighbours, packing, quality, repeats
+from . import codes, counts, dac, decontaminate, html_text, jaccard, licenses, neighbours, packing, quality, repeats
+
+from .oracles import ORACLES
+
+__all__ = ["ORACLES", "QUERIES"]
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,6 +65,10 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("spans")
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.coded(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_ngram_jaccard": op2_ngram_jaccard,
@@ -72,6 +80,5 @@ QUERIES = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_decontamination": op9_decontamination,
     "op10_token_counts": op10_token_counts,
+    "op11_vector_codes": op11_vector_codes,
 }
-
-ORACLES: dict[str, str] = {}
