@@ -42,4 +42,55 @@ select k.vec_id, k.label, c.code, c.error, cast(sum(c.error) over (partition by
 from kept k join coded c on k.vec_id = c.vec_id, digest"""
 
 
-ORACLES: dict[str, str] = {"op11_vector_codes": _vector_codes()}
+def _terms(key: str, table: str) -> str:
+    return f"""select {key}, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) as term from {table}"""
+
+
+def _lexical_search() -> str:
+    return f"""with postings as materialized (
+  select doc_id, term, count(*) as tf from ({_terms('doc_id', 'documents')}) group by all
+), lengths as (
+  select doc_id, cast(sum(tf) as bigint) as n from postings group by all
+), whole as (
+  select count(*) as n_docs, cast(sum(n) as bigint) as n_terms from lengths
+), weights as (
+  select term, cast(floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1))) as bigint) as w from postings, whole group by term, n_docs
+), sized as (
+  select doc_id, 100 - 90 + ((90 * n * n_docs) // n_terms) as m from lengths, whole
+), scored as (
+  select item_id, doc_id, cast(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m))) as bigint) as score
+  from (select distinct * from ({_terms('item_id', 'benchmark')})) join postings using (term) join weights using (term) join sized using (doc_id)
+  group by all
+)
+select item_id, cast(row_number() over (partition by item_id order by score desc, doc_id) as integer) as rank, doc_id, score
+from scored where score > 0 qualify rank <= 10"""
+
+
+def _near_duplicates(percent: int, more: str = "") -> str:
+    """Shared shingles of every pair, and components by walking the links."""
+    return f"""with recursive words as (
+  select doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') as w from documents
+), shingles as materialized (
+  select distinct doc_id, array_to_string(w[i : i + 4], ' ') as s from words, range(1, greatest(len(w) - 4, 1) + 1) t(i) where len(w) > 0
+), sizes as materialized (
+  select doc_id, count(*) as n from shingles group by doc_id
+), links as materialized (
+  select x, y from (
+    select a.doc_id as x, b.doc_id as y, count(*) as shared from shingles a join shingles b on a.s = b.s and a.doc_id != b.doc_id group by all
+  ) join sizes p on p.doc_id = x join sizes q on q.doc_id = y where 100 * shared >= {percent} * (p.n + q.n - shared)
+), reached as (
+  select doc_id as x, doc_id as y from documents
+  union
+  select r.x, l.y from reached r join links l on r.y = l.x
+)
+select d.doc_id, coalesce(n, 0) as n_shingles, min(y) as component_id{more} from documents d left join sizes using (doc_id) join reached on x = d.doc_id
+group by d.doc_id, n"""
+
+
+ORACLES: dict[str, str] = {
+    "op2_ngram_jaccard": _near_duplicates(75),
+    "op11_vector_codes": _vector_codes(),
+    "op12_lexical_search": _lexical_search(),
+    "op13_minhash_dedup": _near_duplicates(85, ", min(y) = d.doc_id as kept"),
+}

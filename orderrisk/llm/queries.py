@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from orderrisk.session import scratch_dir
 
-from . import codes, counts, dac, decontaminate, html_text, jaccard, licenses, neighbours, packing, quality, repeats
+from . import codes, counts, dac, decontaminate, html_text, jaccard, lexical, licenses, minhash, neighbours, packing, quality, repeats
 
 from .oracles import ORACLES
 
@@ -69,6 +69,14 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return codes.coded(_table(spark, sf_dir, "embeddings"))
 
 
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op13_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.duplicates(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_ngram_jaccard": op2_ngram_jaccard,
@@ -81,4 +89,6 @@ QUERIES = {
     "op9_decontamination": op9_decontamination,
     "op10_token_counts": op10_token_counts,
     "op11_vector_codes": op11_vector_codes,
+    "op12_lexical_search": op12_lexical_search,
+    "op13_minhash_dedup": op13_minhash_dedup,
 }

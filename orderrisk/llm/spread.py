@@ -13,25 +13,26 @@ LEAST_SALTS = 64
 
 
 def with_group(
-    rows: DataFrame, by: list[str], found: dict[str, tuple[Callable[..., Column], str]], spread_on: list[str], salts: int | None = None
+    rows: DataFrame, by: list[str], found: dict[str, tuple[Callable[..., Column], str]], spread_on: list[str], nulls: bool = False
 ) -> DataFrame:
     """``rows`` with a column ``name: (f, column)`` for each aggregate f(column) over the rows with equal ``by``.
 
-    f combines its own results (min, max, sum). Nulls in ``by`` are one group. Each group is dealt over salts by a hash of
+    f combines its own results (min, max, sum). With ``nulls`` null is a value of ``by`` like others, without it
+    rows with a null there are left out. Each group is dealt over salts by a hash of
     ``spread_on`` before anything moves by group, so no task meets a whole large group, and the lookup
     rows are at most as many as the rows. ``rows`` are read twice: pass a written table.
     """
-    n = salts or max(LEAST_SALTS, rows.count() // TASK_ROWS)
+    n = max(LEAST_SALTS, rows.count() // TASK_ROWS)
     salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*spread_on), F.lit(n)).cast("int"))
     part = salted.groupBy(*by, "_salt").agg(*(f(c).alias(name) for name, (f, c) in found.items()))
     total = part.groupBy(*by).agg(*(f(name).alias(name) for name, (f, _) in found.items()))
-    keys = [c for c in by if rows.schema[c].nullable]
-    plain = [c for c in by if c not in keys]
 
     def joined(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
+        if not nulls:
+            return left.join(right, on)
         other = right.select(*(F.col(c).alias(f"_of_{c}") for c in on), *(c for c in right.columns if c not in on))
-        same = [F.col(c).eqNullSafe(F.col(f"_of_{c}")) if c in keys else F.col(c) == F.col(f"_of_{c}") for c in on]
+        same = [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in on]
         return left.join(other, same).drop(*(f"_of_{c}" for c in on))
 
-    known = joined(part.select(*by, "_salt"), total, [*plain, *keys])
-    return joined(salted, known, [*plain, *keys, "_salt"]).drop("_salt")
+    known = joined(part.select(*by, "_salt"), total, by)
+    return joined(salted, known, [*by, "_salt"]).drop("_salt")

@@ -5,7 +5,7 @@ from orderrisk.llm import jaccard, queries
 from .common import TOKENIZER_WORDS, awkward, frame, lowered
 
 
-def brute(docs):
+def brute(docs, percent=75):
     sets = {}
     for key, text in docs:
         w = TOKENIZER_WORDS.findall(lowered(text))
@@ -23,7 +23,7 @@ def brute(docs):
 
     for key, found in sets.items():
         for other, both in Counter(o for x in found for o in holders[x] if o < key).items():
-            if 100 * both >= 75 * (len(found) + len(sets[other]) - both):
+            if 100 * both >= percent * (len(found) + len(sets[other]) - both):
                 a, b = sorted((root(key), root(other)))
                 parent[b] = a
     return {key: (len(found), root(key)) for key, found in sets.items()}
