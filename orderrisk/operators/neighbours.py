@@ -1,28 +1,29 @@
-"""Exact nearest neighbours of every point, block by block.
-
-Points are put in cells around a few pivots and the cells are cut in blocks of bounded size. A first
-pass finds the neighbours inside each point's own block, which bounds how far away the true ones can
-be. A second pass sends a point only to those cells that reach into that distance (triangle
-inequality on the distance to the cell's pivot) and looks at all of their blocks. No pairs are
-emitted, only the best k per point and block; no task holds more than one block and one slice of
-visitors, so a large cell means more tasks, not larger ones.
+"""Exact nearest neighbours of every point, by a tree of boxes held in tables.
+
+Points are split level by level: a node with more than ``leaf_rows`` points is cut at the means of its ``CUTS`` widest
+inputs (by variance) at once. A node's box holds the smallest and largest value of each input. The far corner of a
+large enough box bounds how far away a point's neighbours can be, and a first pass inside the own leaf bounds
+it closely. Then every point walks down the tree, into those boxes only that lie within its bound, and
+is sent once to each leaf that is left.
+
+Every level is a join with the table of its nodes; nothing about nodes comes to the driver. No pairs are
+emitted, only the best k per point and leaf, and no task holds more than one leaf and one slice of its visitors,
+so a leaf that many visit means more tasks, not larger ones.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderrisk.functions.hashing import hash60
 from orderrisk.session import cut_lineage
 
-BLOCK_ROWS = 4096
-MAX_PIVOTS = 1024
-# Visitors whose distances are worked out together, to bound the memory of a task.
+LEAF_ROWS = 256
+CUTS = 3
+# Visitors of a leaf that meet it in one task, and those whose distances are worked out together.
+SLICE_ROWS = 4096
 _BATCH = 256
 
 _FOUND_COLUMNS = ["id", "nid", "dist", "nvec", "nmult"]
@@ -79,119 +80,135 @@ def _top(found: DataFrame, k: int) -> DataFrame:
     return found.withColumn("_place", place).where(F.col("_place") <= k)
 
 
-def nearest_distinct(points: DataFrame, k: int, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """(id, nid, dist, nvec, nmult, _place): the k nearest other points of each point.
+def _gap(parts: str) -> Column:
+    """The root of the sum over all inputs i of the square of ``parts``."""
+    return F.expr(f"sqrt(aggregate(sequence(0, size(vec) - 1), 0D, (total, i) -> total + pow({parts}, 2)))")
 
-    ``points`` has (id, vec, mult) with distinct vectors and ids.
-    """
-    id_type = points.schema["id"].dataType.simpleString()
-    found_schema = f"id {id_type}, nid {id_type}, dist double, nvec array<double>, nmult bigint"
-    points = cut_lineage(points.select("id", "vec", "mult"))
-    rows = points.count()
-    # At most MAX_PIVOTS rows come to the driver.
-    n_pivots = int(min(MAX_PIVOTS, max(1, rows // block_rows)))
-    picked = points.orderBy(hash60(F.col("id"), "pivot"), "id").limit(n_pivots).select("vec").collect()
-    if not picked:
-        return points.sparkSession.createDataFrame([], f"{found_schema}, _place int")
-    pivots = np.array([row["vec"] for row in picked], dtype=float)
-    width = pivots.shape[1]
-
-    def to_pivots(vectors: np.ndarray) -> np.ndarray:
-        squares = np.zeros((len(vectors), len(pivots)))
-        for i in range(width):
-            squares += (vectors[:, i, None] - pivots[None, :, i]) ** 2
-        return np.sqrt(squares)
-
-    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for start in range(0, len(batch), _BATCH):
-                part = batch.iloc[start : start + _BATCH]
-                dist = to_pivots(_matrix(part["vec"], width))
-                yield part.assign(cell=dist.argmin(axis=1).astype("int32"), reach=dist.min(axis=1))
-
-    placed = cut_lineage(
-        points.mapInPandas(
-            place, f"id {id_type}, vec array<double>, mult bigint, cell int, reach double"
-        )
-    )
-    cells = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("reach").alias("radius"))
-    # One row per cell: at most MAX_PIVOTS.
-    known = {row["cell"]: (row["n"], row["radius"]) for row in cells.collect()}
-    radius = np.array([known.get(j, (0, -np.inf))[1] for j in range(n_pivots)])
-    block_count = {j: -(-known[j][0] // block_rows) for j in known}
-    blocks_of = F.create_map(*[F.lit(v) for j in known for v in (j, block_count[j])])
-    located = placed.withColumn(
-        "block", F.pmod(F.xxhash64("id"), blocks_of[F.col("cell")].cast("bigint")).cast("int")
+
+def _nodes(points: DataFrame, width: int, leaf_rows: int) -> DataFrame:
+    """(parent, node, n, low, high, cuts, is_leaf): one aggregate over the points of a level."""
+    values = [F.col("vec")[i] for i in range(width)]
+    sums = points.groupBy("parent", "node", "parent_n").agg(
+        F.count(F.lit(1)).alias("n"),
+        *[f(v).alias(f"{name}{i}") for name, f in (("low", F.min), ("high", F.max), ("mean", F.avg), ("wide", F.var_pop)) for i, v in enumerate(values)],
     )
 
+    def all_of(name: str) -> Column:
+        return F.array(*[F.col(f"{name}{i}") for i in range(width)])
+
+    wide = F.array(*[F.struct((-F.col(f"wide{i}")).alias("wide"), F.lit(i).alias("input"), F.col(f"mean{i}").alias("mean")) for i in range(width)])
+    # Points that rounding keeps together for good stay one leaf.
+    is_leaf = (F.col("n") <= leaf_rows) | (F.col("n") == F.col("parent_n"))
+    cuts = F.slice(F.array_sort(wide), 1, CUTS)
+    return cut_lineage(sums.select("parent", "node", "n", all_of("low").alias("low"), all_of("high").alias("high"), cuts.alias("cuts"), is_leaf.alias("is_leaf")))
+
+
+def box_tree(points: DataFrame, k: int, width: int, leaf_rows: int = LEAF_ROWS) -> tuple[DataFrame, list[DataFrame]]:
+    """(id, vec, mult, limit, leaf) and, level by level from the root, the nodes (parent, node, n, low, high, is_leaf).
+
+    ``points`` has distinct vectors. limit is no smaller than the distance of a point's k-th neighbour.
+    """
+    none, far = F.lit(-1).cast("bigint"), F.lit(float("inf"))
+    left = points.select("id", "vec", "mult", far.alias("limit"), none.alias("parent"), F.lit(0).cast("bigint").alias("node"), none.alias("parent_n"))
+    settled: list[DataFrame] = []
+    levels: list[DataFrame] = []
+    while True:
+        nodes = _nodes(left, width, leaf_rows)
+        levels.append(nodes.drop("cuts"))
+        leaves = nodes.where("is_leaf").select("node")
+        settled.append(left.join(leaves, "node", "left_semi").select("id", "vec", "mult", "limit", F.col("node").alias("leaf")))
+        large = nodes.where("not is_leaf")
+        if not large.head(1):
+            break
+        going = left.select("id", "vec", "mult", "limit", "node").join(large.drop("parent", "is_leaf"), "node")
+        corner = F.when(F.col("n") > k, _gap("greatest(vec[i] - low[i], high[i] - vec[i])"))
+        side = F.expr("aggregate(cuts, 0, (code, c) -> 2 * code + if(vec[c.input] > c.mean, 1, 0))")
+        child = F.xxhash64("node", F.lit(len(levels)), side)
+        left = going.select("id", "vec", "mult", F.least("limit", corner).alias("limit"), F.col("node").alias("parent"), child.alias("node"), F.col("n").alias("parent_n"))
+        left = cut_lineage(left)
+    placed = settled[0]
+    for more in settled[1:]:
+        placed = placed.unionByName(more)
+    return cut_lineage(placed), levels
+
+
+def visits(bounded: DataFrame, levels: list[DataFrame]) -> DataFrame:
+    """(id, vec, leaf): the leaves, but for its own, whose box lies within a point's bound.
+
+    ``bounded`` has (id, vec, home, limit), home being the point's own leaf.
+    """
+    going = bounded.withColumn("node", F.lit(-1).cast("bigint"))
+    found: list[DataFrame] = []
+    for nodes in levels:
+        children = nodes.select(F.col("parent").alias("node"), F.col("node").alias("child"), "low", "high", "is_leaf")
+        met = going.join(children, "node").withColumn("gap", _gap("greatest(low[i] - vec[i], vec[i] - high[i], 0D)"))
+        # A little slack keeps rounding from hiding a neighbour on the border.
+        met = met.where(F.col("gap") * (1 - 1e-9) - 1e-12 <= F.col("limit"))
+        met = cut_lineage(met.select("id", "vec", "home", "limit", F.col("child").alias("node"), "is_leaf"))
+        found.append(met.where("is_leaf and node != home").select("id", "vec", F.col("node").alias("leaf")))
+        going = met.where("not is_leaf").drop("is_leaf")
+    out = found[0]
+    for more in found[1:]:
+        out = out.unionByName(more)
+    return out
+
+
+def _found_schema(points: DataFrame) -> str:
+    kind = points.schema["id"].dataType.simpleString()
+    return f"id {kind}, nid {kind}, dist double, nvec array<double>, nmult bigint"
+
+
+def within_leaves(placed: DataFrame, k: int, width: int) -> tuple[DataFrame, DataFrame]:
+    """The k nearest points of each point in its own leaf, and every point with the bound that they give."""
+
     def inside(group: pd.DataFrame) -> pd.DataFrame:
         return _best(group, group, k, width)
 
-    near = located.groupBy("cell", "block").applyInPandas(inside, found_schema)
-    if sum(block_count.values()) == 1:
-        return _top(near, k)
+    near = placed.select("id", "vec", "mult", "leaf").groupBy("leaf").applyInPandas(inside, _found_schema(placed))
     near = cut_lineage(near)
     bound = near.groupBy("id").agg(F.count(F.lit(1)).alias("_n"), F.max("dist").alias("_far"))
-    bounded = located.join(bound, "id", "left").withColumn(
-        "limit", F.when(F.col("_n") >= k, F.col("_far")).otherwise(F.lit(float("inf")))
-    )
+    limit = F.least("limit", F.when(F.col("_n") >= k, F.col("_far")))
+    return near, placed.join(bound, "id", "left").select("id", "vec", F.col("leaf").alias("home"), limit.alias("limit"))
 
-    def visit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for start in range(0, len(batch), _BATCH):
-                part = batch.iloc[start : start + _BATCH]
-                dist = to_pivots(_matrix(part["vec"], width))
-                # A little slack keeps rounding from hiding a neighbour on the border.
-                slack = 1e-9 * (1.0 + dist)
-                row, cell = np.nonzero(dist - radius[None, :] - slack <= part["limit"].to_numpy()[:, None])
-                chosen = part.iloc[row]
-                yield pd.DataFrame(
-                    {
-                        "id": chosen["id"].to_numpy(),
-                        "vec": chosen["vec"].to_numpy(),
-                        "home": chosen["cell"].to_numpy(),
-                        "home_block": chosen["block"].to_numpy(),
-                        "cell": cell.astype("int32"),
-                    }
-                )
-
-    visits = bounded.select("id", "vec", "cell", "block", "limit").mapInPandas(
-        visit, f"id {id_type}, vec array<double>, home int, home_block int, cell int"
-    )
-    visits = cut_lineage(visits)
-    # One row per cell again.
-    load = {row["cell"]: row["count"] for row in visits.groupBy("cell").count().collect()}
-    slices = {j: max(1, -(-load.get(j, 0) // block_rows)) for j in known}
-    slices_of = F.create_map(*[F.lit(v) for j in known for v in (j, slices[j])])
-    blocks = F.sequence(F.lit(0), blocks_of[F.col("cell")].cast("int") - 1)
-    visitors = (
-        visits.withColumn("block", F.explode(blocks))
-        .where((F.col("cell") != F.col("home")) | (F.col("block") != F.col("home_block")))
-        .withColumn("slice", F.pmod(F.xxhash64("id", "cell"), slices_of[F.col("cell")].cast("bigint")).cast("int"))
-        .select("id", "vec", "cell", "block", "slice")
-    )
-    hosts = located.withColumn(
-        "slice", F.explode(F.sequence(F.lit(0), slices_of[F.col("cell")].cast("int") - 1))
-    ).select("id", "vec", "mult", "cell", "block", "slice")
+
+def nearest_distinct(points: DataFrame, k: int, leaf_rows: int = LEAF_ROWS) -> DataFrame:
+    """(id, nid, dist, nvec, nmult, _place): the k nearest other points of each point.
+
+    ``points`` has (id, vec, mult) with distinct vectors and ids. No points give no rows.
+    """
+    points = cut_lineage(points.select("id", "vec", F.col("mult").cast("bigint").alias("mult")))
+    first = points.select(F.size("vec")).head()
+    if not first:
+        return points.sparkSession.createDataFrame([], f"{_found_schema(points)}, _place int")
+    width = first[0]
+    placed, levels = box_tree(points, k, width, leaf_rows)
+    near, bounded = within_leaves(placed, k, width)
+    sent = cut_lineage(visits(bounded, levels))
+    # A leaf with many visitors is there once for each slice of them.
+    load = sent.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / SLICE_ROWS).cast("int").alias("slices"))
+    load = cut_lineage(load)
+    guests = sent.join(load, "leaf").withColumn("slice", F.pmod(F.xxhash64("id"), F.col("slices")).cast("int"))
+    hosts = placed.join(load, "leaf").withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
 
     def across(guests: pd.DataFrame, residents: pd.DataFrame) -> pd.DataFrame:
         if guests.empty or residents.empty:
             return pd.DataFrame(columns=_FOUND_COLUMNS)
         return _best(guests, residents, k, width)
 
-    keys = ["cell", "block", "slice"]
-    far = visitors.groupBy(*keys).cogroup(hosts.groupBy(*keys)).applyInPandas(across, found_schema)
+    keys = ["leaf", "slice"]
+    left = guests.select("id", "vec", *keys).groupBy(*keys)
+    far = left.cogroup(hosts.select("id", "vec", "mult", *keys).groupBy(*keys)).applyInPandas(across, _found_schema(points))
     return _top(near.unionByName(far), k)
 
 
-def nearest_neighbours(points: DataFrame, k: int, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def nearest_neighbours(points: DataFrame, k: int, leaf_rows: int = LEAF_ROWS) -> DataFrame:
     """Adds ``neighbours``: the vectors of the k nearest other rows, nearest first.
 
     ``points`` has one row per distinct vector (id, vec, mult, ...), where ``mult`` rows share the
     vector. A vector that occurs more than once is its own neighbour at distance 0.
     """
     points = cut_lineage(points)
-    found = _top(nearest_distinct(points, k, block_rows), k)
+    found = _top(nearest_distinct(points, k, leaf_rows), k)
     # At most k entries per point.
     lists = found.groupBy("id").agg(
         F.sort_array(F.collect_list(F.struct("_place", "nvec", "nmult"))).alias("_near")

@@ -85,6 +85,34 @@ def test_neighbours_with_copies_and_few_points(spark):
     assert alone["neighbours"] == []
 
 
+def test_points_visit_few_leaves_and_twice_the_points_much_less_than_four_times(spark, sf_dir):
+    rows = feature_matrix(tables.mart(spark, sf_dir))
+    vectors = fit_scaler(rows).transform(rows).select(*[F.col(f"`{c}`") for c in FEATURES]).toPandas().to_numpy()
+    visits = []
+    for n in (2000, 4000):
+        points = points_frame(spark, np.unique(vectors[:n], axis=0))
+        placed, levels = neighbours.box_tree(points, 5, 17, 64)
+        assert placed.count() == n and placed.groupBy("leaf").count().where("count > 64").count() == 0
+        _, bounded = neighbours.within_leaves(placed, 5, 17)
+        sent = neighbours.visits(bounded, levels).persist()
+        assert sent.count() == sent.select("id", "leaf").distinct().count()
+        visits.append(sent.count())
+    leaves = placed.select("leaf").distinct().count()
+    assert leaves > 4000 / 64 and visits[1] < 4000 * leaves / 5
+    assert visits[1] < 3 * visits[0]
+
+
+def test_a_leaf_with_many_visitors_is_dealt_over_slices(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "SLICE_ROWS", 8)
+    vectors = np.random.default_rng(2).random((200, 3))
+    found = neighbours.nearest_distinct(points_frame(spark, vectors), 4, 20).orderBy("id", "_place").collect()
+    assert [r["nid"] for r in found] == brute(vectors, 4).ravel().tolist()
+
+
+def test_no_points_have_no_neighbours(spark):
+    assert neighbours.nearest_distinct(points_frame(spark, [[0, 0]]).where("false"), 3).count() == 0
+
+
 def test_smote_balances_and_interpolates(spark, small_dir):
     train = feature_matrix(tables.mart(spark, small_dir))
     scaled = fit_scaler(train).transform(train)
