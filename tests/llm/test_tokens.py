@@ -99,8 +99,11 @@ def test_packing(spark):
 
 
 def test_plan_fills_gaps_exactly():
-    made = packing.plan({60: 5, 40: 3, 25: 2, 15: 2, 30: 9, 10: 1}, 100)
-    assert sum(n for _, n in made) == 9
+    have = {60: 5, 40: 3, 25: 2, 15: 2, 30: 9, 10: 1}
+    made = packing.plan(have, 100)
+    # 780 ids need eight sequences of 100, and exact combinations reach that.
+    assert sum(length * n for length, n in have.items()) == 780
+    assert sum(n for _, n in made) == 8
     rng = random.Random(5)
     for _ in range(30):
         have = {rng.randint(1, 64): rng.randint(1, 50) for _ in range(20)}
