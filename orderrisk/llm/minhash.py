@@ -41,9 +41,9 @@ BLOCK_ROWS = 256
 STAR_YIELD = 5
 #: Random places that an empty bin asks before it asks all in order.
 _ASKED = 16 * BINS
-#: Rows whose sketches are made together, and hashes of members that a block of a hub holds.
+#: Rows whose sketches are made together, and bytes of members that a block of a hub holds.
 SKETCH_ROWS = 2048
-BLOCK_TOKENS = 1 << 20
+BLOCK_BYTES = 1 << 23
 
 
 def sketches(found: np.ndarray, ends: np.ndarray, bins: int) -> np.ndarray:
@@ -88,67 +88,133 @@ def least_agreement(percent: int, bins: int, slack: float = SLACK) -> int:
     return int(bins * share - slack * np.sqrt(bins * share * (1 - share)))
 
 
+def _marks(found: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
+    """Two hashes of each whole set."""
+    sums = (np.diff(np.concatenate((np.zeros(1, np.uint64), np.cumsum(x)))[ends]) for x in (found, mixed(found)))
+    return [mixed(x).view(np.int64) for x in sums]
+
+
 def sketched(docs: DataFrame, shingle: int, key: str, text: str) -> DataFrame:
-    """(row, doc, n, mark, mark2, tokens, bands, signature) of every row; the marks are two hashes of the whole set."""
+    """(row, doc, n, mark, mark2, bands, signature) of every row; n and the marks tell sets apart."""
 
     def make(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in (p.slice(at, SKETCH_ROWS) for p in slices(parts, 2) for at in range(0, p.num_rows, SKETCH_ROWS)):
             found, ends = shingle_sets(part.column(2), shingle)
-            sums = [np.diff(np.concatenate((np.zeros(1, np.uint64), np.cumsum(x)))[ends]) for x in (found, mixed(found))]
             n = np.diff(ends)
             sketch = sketches(found, ends, BINS)
-            bands = bands_of(sketch, BANDS, ROWS)
             has = n > 0
-            data = found.tobytes()
-            tokens = pa.array([data[8 * a : 8 * b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)], pa.binary())
+            bands = bands_of(sketch[has], BANDS, ROWS)
             low = (sketch & np.uint64(255)).astype(np.uint8).tobytes()
             signature = pa.array([low[BINS * i : BINS * (i + 1)] for i in range(len(n))], pa.binary())
-            columns = [part.column(0), part.column(1), pa.array(n), *(pa.array(x.view(np.int64)) for x in sums), tokens]
-            columns += [lists(bands[has].ravel().view(np.int64), has * BANDS, pa.int64()), signature]
-            yield pa.RecordBatch.from_arrays(columns, ["row", "doc", "n", "mark", "mark2", "tokens", "bands", "signature"])
+            columns = [part.column(0), part.column(1), pa.array(n), *map(pa.array, _marks(found, ends))]
+            columns += [lists(bands.ravel().view(np.int64), has * BANDS, pa.int64()), signature]
+            yield pa.RecordBatch.from_arrays(columns, ["row", "doc", "n", "mark", "mark2", "bands", "signature"])
 
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(key).cast("long").alias("doc"), F.col(text).alias("text"))
-    return cut_lineage(rows.mapInArrow(make, "row long, doc long, n long, mark long, mark2 long, tokens binary, bands array<long>, signature binary"))
+    return cut_lineage(rows.mapInArrow(make, "row long, doc long, n long, mark long, mark2 long, bands array<long>, signature binary"))
+
+
+def _passing(rows: DataFrame, wanted: DataFrame, hashed: str) -> DataFrame:
+    """``rows`` whose value of the SQL expression ``hashed`` may be among those of ``wanted``: a bit filter of bounded size."""
+    bits, table = _filter(wanted.select(F.expr(hashed).alias("fingerprint")).distinct())
+    shared = rows.sparkSession.sparkContext.broadcast(table)
+    names = rows.columns
+
+    def pass_some(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            place = part.column(len(names)).to_numpy().view(np.uint64) >> np.uint64(64 - bits)
+            marked = shared.value[place >> np.uint64(6)] >> (place & np.uint64(63)) & np.uint64(1)
+            yield pa.RecordBatch.from_arrays(part.columns[:-1], names).filter(pa.array(marked.astype(bool)))
+
+    return rows.select("*", F.expr(hashed).alias("_print")).mapInArrow(pass_some, rows.schema)
+
+
+def full_sets(docs: DataFrame, wanted: DataFrame, shingle: int, text: str) -> DataFrame:
+    """(key, n, tokens) of the sets that ``wanted`` (key, n, mark, mark2) names, from a second look at the texts.
+
+    Only candidates have company, so this moves much less than keeping the sets of all texts would write.
+    """
+    bits, table = _filter(wanted.select(F.col("mark").alias("fingerprint")).distinct())
+    shared = docs.sparkSession.sparkContext.broadcast(table)
+
+    def find(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sent: set[tuple[int, int]] = set()
+        for part in slices(parts, 0):
+            found, ends = shingle_sets(part.column(0), shingle)
+            marks = _marks(found, ends)
+            place = marks[0].view(np.uint64) >> np.uint64(64 - bits)
+            marked = (shared.value[place >> np.uint64(6)] >> (place & np.uint64(63)) & np.uint64(1)).astype(bool) & (np.diff(ends) > 0)
+            rows = []
+            for i in np.flatnonzero(marked).tolist():
+                name = (int(marks[0][i]), int(marks[1][i]))
+                if name not in sent:
+                    sent.add(name)
+                    rows.append((int(ends[i + 1] - ends[i]), *name, found[ends[i] : ends[i + 1]].tobytes()))
+            if rows:
+                columns = [pa.array(x, t) for x, t in zip(zip(*rows, strict=True), [*[pa.int64()] * 3, pa.binary()], strict=True)]
+                yield pa.RecordBatch.from_arrays(columns, ["n", "mark", "mark2", "tokens"])
+
+    made = docs.select(text).mapInArrow(find, "n long, mark long, mark2 long, tokens binary")
+    return made.join(wanted, ["n", "mark", "mark2"]).groupBy("key", "n").agg(F.first("tokens").alias("tokens"))
 
 
 def _blobs(column: pa.ChunkedArray, kind) -> list[np.ndarray]:
     return [np.frombuffer(x.as_buffer(), kind) for x in column]
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The (key, hub) of ``pairs`` (key, hub, n) whose full sets are similar. A hub's members are dealt over blocks."""
-    counted = pairs.groupBy("hub").agg(F.expr(f"cast(ceil(greatest(count(*) / {BLOCK_ROWS}, sum(n) / {BLOCK_TOKENS})) as int)").alias("salts"))
+def _beside_hubs(pairs: DataFrame, held: DataFrame, size: str, alike) -> DataFrame:
+    """Those of ``pairs`` (key, hub, n) for which ``alike(members' data, their n, the hub's data, its n)`` holds.
+
+    ``held`` has (key, data). A hub's members are dealt over blocks of bounded rows and bytes, and the hub goes to each.
+    """
+    counted = pairs.groupBy("hub").agg(F.expr(f"cast(ceil(greatest(count(*) / {BLOCK_ROWS}, sum({size}) / {BLOCK_BYTES})) as int)").alias("salts"))
     members = pairs.join(counted, "hub").select("hub", "key", F.expr("cast(pmod(xxhash64(key), salts) as int)").alias("salt"), F.lit(False).alias("is_hub"))
     salts = F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt")
     hubs = counted.select("hub", F.col("hub").alias("key"), salts, F.lit(True).alias("is_hub"))
-    rows = members.unionByName(hubs).join(sets.select("key", "n", "tokens"), "key")
+    rows = members.unionByName(hubs).join(held.select("key", "n", "data"), "key")
 
     def compare(table: pa.Table) -> pa.Table:
         keys, n, is_hub = table["key"].to_numpy(), table["n"].to_numpy(), table["is_hub"].to_numpy(zero_copy_only=False)
-        at = int(np.flatnonzero(is_hub)[0])
-        whole = np.frombuffer(table["tokens"][at].as_buffer(), "<u8")
-        found = []
-        for i in np.flatnonzero(~is_hub).tolist():
-            some = np.frombuffer(table["tokens"][i].as_buffer(), "<u8")
+        data = _blobs(table["data"], np.uint8)
+        at, others = int(np.flatnonzero(is_hub)[0]), np.flatnonzero(~is_hub)
+        kept = others[alike([data[i] for i in others], n[others], data[at], int(n[at]))]
+        return pa.table([pa.array(x, pa.int64()) for x in (keys[kept], np.full(len(kept), keys[at]), n[kept])], names=["key", "hub", "n"])
+
+    return rows.groupBy("hub", "salt").applyInArrow(compare, "key long, hub long, n long")
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame, prints: DataFrame, percent: int) -> DataFrame:
+    """The (key, hub) of ``pairs`` (key, hub, n) whose full sets are similar; signatures spare most others the look at sets."""
+    least = least_agreement(percent, BINS)
+
+    def agree(members: list[np.ndarray], n: np.ndarray, hub: np.ndarray, hub_n: int) -> np.ndarray:
+        return np.array([(x == hub).sum() >= least for x in members], bool)
+
+    def similar(members: list[np.ndarray], n: np.ndarray, hub: np.ndarray, hub_n: int) -> np.ndarray:
+        whole, found = hub.view("<u8"), np.zeros(len(members), bool)
+        for i, some in enumerate(x.view("<u8") for x in members):
             place = np.minimum(np.searchsorted(whole, some), len(whole) - 1)
             both = int((whole[place] == some).sum())
-            if 100 * both >= percent * (int(n[i]) + int(n[at]) - both):
-                found.append(int(keys[i]))
-        return pa.table({"key": pa.array(found, pa.int64()), "hub": pa.array([int(keys[at])] * len(found), pa.int64())})
+            found[i] = 100 * both >= percent * (int(n[i]) + hub_n - both)
+        return found
 
-    return rows.groupBy("hub", "salt").applyInArrow(compare, "key long, hub long")
+    near = cut_lineage(_beside_hubs(pairs, prints.withColumnRenamed("signature", "data"), str(BINS), agree))
+    asked = near.select("key").unionByName(near.select(F.col("hub").alias("key"))).distinct()
+    held = _passing(sets.withColumnRenamed("tokens", "data"), asked, "xxhash64(key)")
+    return _beside_hubs(near, held, "8 * n", similar).select("key", "hub")
 
 
-def _left_over(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _left_over(rows: DataFrame, prints: DataFrame, percent: int) -> DataFrame:
     """(key, hub, n): pairs of different components that share a bucket and whose sketches agree well enough.
 
-    ``rows``: (bucket, key, n, component, hub_component). Members outside the hub's component are dealt over
-    slices of a bucket and meet all others, slice by slice; a pair comes out of the first bucket that it shares.
+    ``rows``: (bucket, band, key, n, component, hub_component). Members outside the hub's component are dealt over
+    slices of a bucket and meet all others, slice by slice; a pair comes out of the first bucket that it shares. Of a signature only the
+    bins that make the bands come along.
     """
     inside = F.col("component") == F.col("hub_component")
     marked = rows.withColumn("inside", inside.cast("long")).withColumn("outside", 1 - inside.cast("long"))
     marked = cut_lineage(with_group(cut_lineage(marked), ["bucket"], {"n_in": (F.sum, "inside"), "n_out": (F.sum, "outside")}, ["key"]))
-    least = least_agreement(percent, BINS)
+    least = least_agreement(percent, BANDS * ROWS)
 
     def slices_of(count: str):
         return F.greatest(F.lit(1), F.ceil(F.col(count) / BLOCK_ROWS)).cast("int")
@@ -157,19 +223,18 @@ def _left_over(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     in_slice = F.pmod(F.xxhash64("key", F.lit(2)), slices_of("n_in")).cast("int")
     # Visitors are the members outside; hosts are those inside in their slices, and after them those outside in theirs.
     host = F.when(F.col("inside") == 1, in_slice).otherwise(slices_of("n_in") + out_slice)
-    common = ["bucket", "key", "n", "component"]
+    common = ["bucket", "band", "key", "n", "component"]
     hosts = marked.select(*common, F.explode(F.sequence(F.lit(0), slices_of("n_out") - 1)).alias("visit"), host.alias("host"), F.lit(False).alias("visits"))
     every = F.explode(F.sequence(F.lit(0), slices_of("n_in") + slices_of("n_out") - 1)).alias("host")
     guests = marked.where("outside = 1").select(*common, out_slice.alias("visit"), every, F.lit(True).alias("visits"))
-    met = hosts.unionByName(guests).join(sets.select("key", "bands", "signature"), "key")
+    heads = prints.select("key", F.substring("signature", 1, BANDS * ROWS).alias("signature"))
+    met = hosts.unionByName(guests).join(heads, "key")
 
     def meet(table: pa.Table) -> pa.Table:
         visits = table["visits"].to_numpy(zero_copy_only=False)
-        bucket = table["bucket"][0].as_py()
         keys, n, component = (table[c].to_numpy() for c in ("key", "n", "component"))
         signature = np.array(_blobs(table["signature"], np.uint8))
-        bands = table["bands"].combine_chunks().flatten().to_numpy().reshape(len(keys), -1)
-        band = int(np.flatnonzero((bands == bucket).all(axis=0))[0])
+        bands, band = signature.view("<u4"), int(table["band"][0].as_py())
         mine = np.flatnonzero(~visits)
         left, right, sizes = [], [], []
         for i in np.flatnonzero(visits).tolist():
@@ -185,21 +250,6 @@ def _left_over(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return met.groupBy("bucket", "visit", "host").applyInArrow(meet, "key long, hub long, n long")
 
 
-def _of_keys(state: DataFrame, keys: DataFrame) -> DataFrame:
-    """The rows of ``state`` with these keys. A bit filter of bounded size spares the others the shuffle."""
-    bits, table = _filter(keys.select(F.xxhash64("key").alias("fingerprint")))
-    shared = state.sparkSession.sparkContext.broadcast(table)
-
-    def pass_some(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
-            place = part.column("print").to_numpy().view(np.uint64) >> np.uint64(64 - bits)
-            marked = shared.value[place >> np.uint64(6)] >> (place & np.uint64(63)) & np.uint64(1)
-            yield part.filter(pa.array(marked.astype(bool)))
-
-    rows = state.select(F.col("row").alias("key"), "n", "tokens", "bands", "signature", F.xxhash64("row").alias("print"))
-    return rows.mapInArrow(pass_some, rows.schema).join(keys, "key", "left_semi")
-
-
 def duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: ``key``, n_shingles, component_id (the smallest key reachable by links) and kept (whether that is its own).
 
@@ -218,13 +268,17 @@ def duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT,
     twins = cut_lineage(with_group(some, equal, {"key": (F.min, "row"), "least": (F.min, "doc")}, ["row"]))
     nodes = twins.where("row = key").select("key", "least")
     sketch = state.select("row", "n", "bands").join(nodes.select(F.col("key").alias("row")), "row")
-    places = cut_lineage(sketch.select(F.col("row").alias("key"), "n", F.explode("bands").alias("bucket")))
-    shared = places.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1")
-    # Only buckets with company, whose counts are the hub's rank, go on.
-    places = cut_lineage(places.join(shared, "bucket"))
+    places = cut_lineage(sketch.select(F.col("row").alias("key"), "n", F.posexplode("bands").alias("band", "bucket")))
+    # Only buckets with company go on; how much of it a set has is its rank as a hub.
+    shared = cut_lineage(places.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1"))
+    places = cut_lineage(_passing(places, shared, "bucket").join(shared, "bucket"))
     company = cut_lineage(places.groupBy("key").agg(F.sum("members").alias("company")))
     places = cut_lineage(places.drop("members").join(company, "key"))
-    alike = cut_lineage(_of_keys(state, company.select("key")).select("key", "n", "tokens", "bands", "signature"))
+    wanted = _passing(twins.where("row = key").select("key", "n", "mark", "mark2"), company, "xxhash64(key)")
+    wanted = cut_lineage(wanted.join(company.select("key"), "key", "left_semi"))
+    sets = cut_lineage(full_sets(docs, wanted, shingle, text))
+    prints = _passing(state.select(F.col("row").alias("key"), "n", "signature"), wanted, "xxhash64(key)")
+    prints = cut_lineage(prints.join(wanted.select("key"), "key", "left_semi"))
     links: list[DataFrame] = []
     tested: list[DataFrame] = []
     labels: DataFrame | None = None
@@ -265,7 +319,7 @@ def duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT,
         if not n_stars:
             break
         tested.append(stars)
-        passed = cut_lineage(confirmed(stars, alike, percent))
+        passed = cut_lineage(confirmed(stars, sets, prints, percent))
         n_passed = passed.count()
         if n_passed:
             links.append(passed)
@@ -273,10 +327,10 @@ def duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT,
         turn += 1
         if STAR_YIELD * n_passed < n_stars:
             break
-    rows = with_hubs(0).select("bucket", "key", "n", "component", F.col("hub.component").alias("hub_component"))
-    pairs = untested(_left_over(cut_lineage(rows), alike, percent))
+    rows = with_hubs(0).select("bucket", "band", "key", "n", "component", F.col("hub.component").alias("hub_component"))
+    pairs = untested(_left_over(cut_lineage(rows), prints, percent))
     if pairs.head(1):
-        passed = cut_lineage(confirmed(pairs, alike, percent))
+        passed = cut_lineage(confirmed(pairs, sets, prints, percent))
         if passed.head(1):
             labels = components(united([*links, passed]))
     # Names: the smallest document of each component, spread back over nodes and rows.
