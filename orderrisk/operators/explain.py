@@ -14,121 +14,100 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
-from pyspark.ml import PipelineModel
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .features import FEATURES
+from .trees import TreeModel, matrix, vector
 
-# The probability is the logistic function of twice the margin.
-_LOG_ODDS = 2.0
+# Rows and leaves that are worked out together, to bound the memory of a task.
+_ROWS = 64
+_LEAVES = 1024
 
 
 @dataclass(frozen=True)
-class Leaf:
-    """A leaf's path: per distinct input an interval (low, high] and the share of the cover that follows it."""
+class Leaves:
+    """Leaves whose paths have as many distinct inputs: one row a leaf.
+
+    Per input an interval (low, high] and the share of the cover that follows the path; per leaf its value.
+    """
 
     inputs: np.ndarray
     low: np.ndarray
     high: np.ndarray
     share: np.ndarray
-    value: float
-
-
-def _nodes(model: PipelineModel, folder: str) -> tuple[pd.DataFrame, dict[int, float]]:
-    """Nodes and tree weights from the saved model: at most trees x 2^(depth + 1) small rows."""
-    spark = SparkSession.active()
-    boosted = model.stages[-1]
-    boosted.write().overwrite().save(folder)
-    node = F.col("nodeData")
-    rows = spark.read.parquet(f"{folder}/data").select(
-        F.col("treeID").alias("tree"),
-        node["id"].alias("id"),
-        node["prediction"].alias("value"),
-        node["impurityStats"][0].alias("cover"),
-        node["leftChild"].alias("left"),
-        node["rightChild"].alias("right"),
-        node["split"]["featureIndex"].alias("input"),
-        F.get(node["split"]["leftCategoriesOrThreshold"], 0).alias("threshold"),
-    )
-    return rows.toPandas(), dict(enumerate(boosted.treeWeights))
+    values: np.ndarray
 
 
-def _leaves(nodes: pd.DataFrame, tree_weights: dict[int, float]) -> tuple[list[Leaf], float]:
-    """The leaves of all trees, and the model's expected log-odds."""
-    leaves, base = [], 0.0
-    for tree, part in nodes.groupby("tree"):
-        node = {row.id: row for row in part.itertuples()}
-        scale = _LOG_ODDS * tree_weights[tree]
+def leaves_of(model: TreeModel) -> tuple[list[Leaves], float]:
+    """All leaves by the length of their paths, and the model's expected log-odds."""
+    found: dict[int, list[tuple[dict, float]]] = {}
+    base = model.base
+    for root in model.roots.tolist():
         # (node, per input: low, high, share of the cover that follows the path)
-        stack = [(node[0], {})]
+        stack: list[tuple[int, dict]] = [(root, {})]
         while stack:
             at, path = stack.pop()
-            if at.left < 0:
-                base += scale * at.value * at.cover / node[0].cover
+            i = int(model.inputs[at])
+            if i < 0:
+                base += model.values[at] * model.covers[at] / model.covers[root]
                 if path:
-                    leaves.append(_leaf(path, scale * at.value))
+                    found.setdefault(len(path), []).append((path, model.values[at]))
                 continue
-            for child, is_left in ((node[at.left], True), (node[at.right], False)):
-                low, high, share = path.get(at.input, (-np.inf, np.inf, 1.0))
-                low, high = (low, min(high, at.threshold)) if is_left else (max(low, at.threshold), high)
-                stack.append((child, {**path, at.input: (low, high, share * child.cover / at.cover)}))
-    return leaves, base
-
-
-def _leaf(path: dict, value: float) -> Leaf:
-    low, high, share = (np.array(part, dtype=float) for part in zip(*path.values(), strict=True))
-    return Leaf(np.array(list(path), dtype=int), low, high, share, value)
-
-
-def _contributions(x: np.ndarray, leaves: list[Leaf]) -> np.ndarray:
-    out = np.zeros_like(x)
-    rules = {}
-    for leaf in leaves:
-        m = len(leaf.inputs)
-        if m not in rules:
-            at, weight = np.polynomial.legendre.leggauss((m + 1) // 2)
-            rules[m] = (at + 1) / 2, weight / 2
-        values = x[:, leaf.inputs]
-        agrees = ((values > leaf.low) & (values <= leaf.high)).astype(float)
-        total = np.zeros_like(agrees)
-        for t, weight in zip(*rules[m], strict=True):
-            factors = np.maximum((1 - t) * leaf.share + t * agrees, 1e-300)
-            total += weight * factors.prod(axis=1, keepdims=True) / factors
-        # An input is listed once per leaf, so plain indexing adds up.
-        out[:, leaf.inputs] += leaf.value * (agrees - leaf.share) * total
+            for child, is_left in ((int(model.left[at]), True), (int(model.right[at]), False)):
+                low, high, share = path.get(i, (-np.inf, np.inf, 1.0))
+                low, high = (low, min(high, model.thresholds[at])) if is_left else (max(low, model.thresholds[at]), high)
+                stack.append((child, {**path, i: (low, high, share * model.covers[child] / model.covers[at])}))
+    return [stacked(held[i : i + _LEAVES]) for held in found.values() for i in range(0, len(held), _LEAVES)], float(base)
+
+
+def stacked(leaves: list[tuple[dict, float]]) -> Leaves:
+    parts = np.array([[path[i] for i in path] for path, _ in leaves], float)
+    return Leaves(np.array([list(path) for path, _ in leaves]), *np.moveaxis(parts, 2, 0), np.array([v for _, v in leaves], float))
+
+
+def contributions(x: np.ndarray, groups: list[Leaves]) -> np.ndarray:
+    """Per row and input the sum over all leaves."""
+    out = np.zeros(x.shape)
+    for held in groups:
+        m = held.inputs.shape[1]
+        at, weights = np.polynomial.legendre.leggauss((m + 1) // 2)
+        order = np.argsort(held.inputs.ravel(), kind="stable")
+        present, starts = np.unique(held.inputs.ravel()[order], return_index=True)
+        for start in range(0, len(x), _ROWS):
+            rows = x[start : start + _ROWS][:, held.inputs]
+            agrees = ((rows > held.low) & (rows <= held.high)).astype(float)
+            total = np.zeros_like(agrees)
+            for t, weight in zip((at + 1) / 2, weights / 2, strict=True):
+                factors = np.maximum((1 - t) * held.share + t * agrees, 1e-300)
+                total += weight * factors.prod(axis=2, keepdims=True) / factors
+            part = held.values[:, None] * (agrees - held.share) * total
+            out[start : start + _ROWS, present] += np.add.reduceat(part.reshape(len(rows), -1)[:, order], starts, axis=1)
     return out
 
 
-def tree_shap(model: PipelineModel, rows: DataFrame, folder: str, key: str = "order_id") -> DataFrame:
+def tree_shap(model: TreeModel, rows: DataFrame, key: str = "order_id") -> DataFrame:
     """(key, feature, value, contribution, base_value): one row per order and input.
 
-    The contributions of an order and the base value add up to its log-odds. ``folder`` is a place
-    in the shared folder to which the model's node table is written.
+    The contributions of an order and the base value add up to its log-odds.
     """
-    nodes, tree_weights = _nodes(model, folder)
-    leaves, base = _leaves(nodes, tree_weights)
-    spark = rows.sparkSession
-    shared = spark.sparkContext.broadcast(leaves)
-    width = len(FEATURES)
-    key_type = rows.schema[key].dataType.simpleString()
-
-    def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    groups, base = leaves_of(model)
+    shared = rows.sparkSession.sparkContext.broadcast(groups)
+    kind = rows.schema[key].dataType.simpleString()
+    doubles = pa.list_(pa.float64())
+
+    def explain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = np.array(batch["x"].tolist(), dtype=float).reshape(len(batch), width)
-            yield pd.DataFrame(
-                {key: batch[key], "x": batch["x"], "c": list(_contributions(x, shared.value))}
-            )
-
-    vectors = model.stages[0].transform(rows).select(key, vector_to_array("features").alias("x"))
-    explained = vectors.mapInPandas(explain, f"{key} {key_type}, x array<double>, c array<double>")
-    names = F.array(*[F.lit(name) for name in FEATURES])
+            x = matrix(batch.column(1))
+            found = contributions(x, shared.value)
+            columns = [batch.column(0), pa.array(list(x), doubles), pa.array(list(found), doubles)]
+            yield pa.RecordBatch.from_arrays(columns, [key, "x", "c"])
+
+    explained = rows.select(key, vector(model.names).alias("x")).mapInArrow(explain, f"`{key}` {kind}, x array<double>, c array<double>")
+    names = F.array(*[F.lit(name) for name in model.names])
     zipped = F.arrays_zip(names.alias("feature"), F.col("x").alias("value"), F.col("c").alias("contribution"))
-    return explained.select(key, F.inline(zipped)).toDF(key, "feature", "value", "contribution").withColumn(
-        "base_value", F.lit(base)
-    )
+    return explained.select(key, F.inline(zipped)).toDF(key, "feature", "value", "contribution").withColumn("base_value", F.lit(base))
 
 
 def shap_importance(shap: DataFrame) -> DataFrame:

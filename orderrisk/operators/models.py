@@ -4,48 +4,39 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import (
-    GBTClassifier,
-    LogisticRegression,
-    RandomForestClassifier,
-)
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from orderrisk.functions import fixed_values as fixed
-from orderrisk.session import cut_lineage, scratch_dir
+from orderrisk.session import cut_lineage
 from orderrisk.sources.files import exists
 
-from . import evaluate
-from .features import FEATURES, assembler, feature_matrix, fit_scaler, with_weight
+from . import boosting, evaluate, forest, permuting, trees
+from .features import FEATURES, assembler, class_weights, feature_matrix, fit_scaler, with_weight
 from .sampling import smote, undersample
+from .trees import TreeModel
 
 LABEL = "is_fraud"
 # Distinct probabilities per range in which they are ranked.
 RANGE_ROWS = 10_000
-# Hash blocks within which rows are permuted, and pieces in which a fit reads its rows. Neither depends
-# on the size of the table or of the cluster; a fit on very many rows asks for more.
-PERMUTE_BLOCKS = 16
-FIT_PIECES = 16
+# Rows of a partition of a linear fit. Gradients are summed over all partitions, so their number changes nothing else.
+FIT_ROWS = 1 << 15
 _METRICS = ["roc_auc", "avg_precision", "fraud_f1", "fraud_precision", "fraud_recall"]
 
 
-def _dealt(train: DataFrame, pieces: int = FIT_PIECES) -> DataFrame:
-    """Rows dealt by their key and in order of it, so that a fit does not depend on how they came."""
-    return train.repartition(pieces, "order_id").sortWithinPartitions("order_id")
-
-
 def _fit(estimator, train: DataFrame) -> PipelineModel:
-    """Fits the inputs' assembler and the estimator.
+    """Fits the inputs' assembler and the estimator on rows dealt by their key, in order of it.
 
-    The estimators cache their own compact form of the rows, so the training rows should come from
-    a written table or a checkpoint and are not cached a second time. Boosting cuts its lineage in
-    the checkpoint folder every few rounds.
+    The estimator caches its own compact form of the rows, so the training rows should come from a written table and
+    are not cached a second time. Partitions follow the number of rows.
     """
-    scratch_dir(train.sparkSession)
-    return Pipeline(stages=[assembler(), estimator]).fit(_dealt(train))
+    pieces = max(1, -(-train.count() // FIT_ROWS))
+    dealt = train.repartition(pieces, "order_id").sortWithinPartitions("order_id")
+    return Pipeline(stages=[assembler(), estimator]).fit(dealt)
 
 
 def fit_logistic(
@@ -70,19 +61,15 @@ def fit_logistic(
     return _fit(estimator, rows)
 
 
-def fit_forest(train: DataFrame, trees: int = 200, depth: int = 12, seed: int = 42) -> PipelineModel:
+def fit_forest(train: DataFrame, count: int = 200, depth: int = 12) -> TreeModel:
     """Random forest with balanced class weights."""
-    estimator = RandomForestClassifier(
-        featuresCol="features",
-        labelCol=LABEL,
-        weightCol="weight",
-        numTrees=trees,
-        maxDepth=depth,
-        featureSubsetStrategy="sqrt",
-        maxMemoryInMB=1024,
-        seed=seed,
-    )
-    return _fit(estimator, with_weight(train, "balanced_weight"))
+    return forest.fit(train, FEATURES, _weights(train, "balanced_weight"), count, depth)
+
+
+def _weights(train: DataFrame, kind: str) -> tuple[float, float]:
+    """The weight of each class; 1 for a class without rows."""
+    found = {r[LABEL]: r[kind] for r in class_weights(train).collect()}
+    return tuple(float(found.get(c) or 1.0) for c in (0, 1))
 
 
 def fit_gbt(
@@ -91,34 +78,31 @@ def fit_gbt(
     iters: int = 200,
     depth: int = 6,
     step: float = 0.3,
+    l2: float = 1.0,
+    min_curvature: float = 1.0,
     min_rows: int = 1,
-    seed: int = 42,
-) -> PipelineModel:
-    """Boosted trees; ``weights`` names the class weighting."""
-    estimator = GBTClassifier(
-        featuresCol="features",
-        labelCol=LABEL,
-        weightCol="weight",
-        maxIter=iters,
-        maxDepth=depth,
-        stepSize=step,
-        minInstancesPerNode=min_rows,
-        maxBins=256,
-        maxMemoryInMB=1024,
-        seed=seed,
-    )
-    return _fit(estimator, with_weight(train, weights))
+) -> TreeModel:
+    """Boosted trees of the second order; ``weights`` names the class weighting."""
+    return boosting.fit(train, FEATURES, _weights(train, weights), iters, depth, step, l2, min_curvature, min_rows)
+
 
+def probability_of(model: TreeModel | PipelineModel) -> Callable[[np.ndarray], np.ndarray]:
+    """The model as a function from a matrix of inputs to probabilities; a linear one takes scaled inputs."""
+    if isinstance(model, TreeModel):
+        return model.probability
+    last = model.stages[-1]
+    weights, shift = last.coefficients.toArray(), last.intercept
+    return lambda x: 1.0 / (1.0 + np.exp(-(x @ weights + shift)))
 
-def scored(model: PipelineModel, rows: DataFrame) -> DataFrame:
+
+def scored(model: TreeModel | PipelineModel, rows: DataFrame) -> DataFrame:
     """Key, label (if the rows have one), raw probability and hard label at 0.5."""
-    probability = vector_to_array("probability")[1]
-    return model.transform(rows).select(
-        "order_id",
-        *[LABEL for c in rows.columns if c == LABEL],
-        probability.alias("prob"),
-        F.when(probability >= fixed.MODEL_FLAG_AT, 1).otherwise(0).alias("pred"),
-    )
+    label = [LABEL for c in rows.columns if c == LABEL]
+    if isinstance(model, TreeModel):
+        found = model.scored(rows, "order_id", *label)
+    else:
+        found = model.transform(rows).select("order_id", *label, vector_to_array("probability")[1].alias("prob"))
+    return found.withColumn("pred", F.when(F.col("prob") >= fixed.MODEL_FLAG_AT, 1).otherwise(0))
 
 
 def ranking(counts: DataFrame, range_rows: int = RANGE_ROWS) -> DataFrame:
@@ -127,7 +111,7 @@ def ranking(counts: DataFrame, range_rows: int = RANGE_ROWS) -> DataFrame:
     return evaluate.cumulate(counts, evaluate.score_splits(counts, pieces))
 
 
-def evaluate_model(model: PipelineModel, test: DataFrame) -> DataFrame:
+def evaluate_model(model: TreeModel | PipelineModel, test: DataFrame) -> DataFrame:
     """AUC, average precision, F1, precision and recall on the test rows: one row."""
     # The hard label follows from the probability, so the counts per probability hold everything.
     counts = evaluate.score_counts(scored(model, test), "prob", LABEL).persist()
@@ -181,9 +165,9 @@ def model_fits(iters: int = 200, trees: int = 200, max_iter: int = 1000) -> dict
     """The four candidates; the linear one needs scaled inputs."""
     return {
         "Logistic Regression": lambda rows: fit_logistic(rows, balanced=True, max_iter=max_iter),
-        "Random Forest": lambda rows: fit_forest(rows, trees=trees),
+        "Random Forest": lambda rows: fit_forest(rows, trees),
         "Boosted trees, balanced, step 0.1": lambda rows: fit_gbt(
-            rows, "balanced_weight", iters=iters, step=0.1, min_rows=20
+            rows, "balanced_weight", iters=iters, step=0.1, l2=0.0, min_curvature=1e-3, min_rows=20
         ),
         "Boosted trees, weighted, step 0.3": lambda rows: fit_gbt(rows, "boost_weight", iters=iters, step=0.3),
     }
@@ -216,72 +200,22 @@ def model_comparison(
     return table.withColumn("winner", winner).orderBy(F.col("roc_auc").desc(), "model")
 
 
-def feature_importance(model: PipelineModel, test: DataFrame | None = None, top: int = 12) -> DataFrame:
-    """The inputs with the largest importance: the model's own, else absolute coefficients, else by
-    permutation on ``test``."""
-    last = model.stages[-1]
-    spark = SparkSession.active()
-    if hasattr(last, "featureImportances"):
-        values = last.featureImportances.toArray().tolist()
-    elif hasattr(last, "coefficients"):
-        values = [abs(v) for v in last.coefficients.toArray().tolist()]
+def feature_importance(model: TreeModel | PipelineModel, top: int = 12) -> DataFrame:
+    """The inputs with the largest importance: share of the gain of a tree model, else absolute coefficients."""
+    if isinstance(model, TreeModel):
+        values = model.importance().tolist()
     else:
-        ranked = permutation_importance(model, test).select("feature", F.col("mean_drop").alias("importance"))
-        return ranked.orderBy(F.col("importance").desc(), "feature").limit(top)
-    table = spark.createDataFrame(list(zip(FEATURES, values, strict=True)), "feature string, importance double")
+        values = [abs(v) for v in model.stages[-1].coefficients.toArray().tolist()]
+    table = SparkSession.active().createDataFrame(list(zip(FEATURES, values, strict=True)), "feature string, importance double")
     return table.orderBy(F.col("importance").desc(), "feature").limit(top)
 
 
-def permuted(rows: DataFrame, repeats: int, blocks: int = PERMUTE_BLOCKS) -> DataFrame:
-    """Pairs every row with a random other row of its block, once per repeat: (repeat, ..., donor).
-
-    A permutation of all rows would be a sort of everything; rows change places within ``blocks`` hash
-    blocks instead, and each row donates exactly once per repeat.
-    """
-    spread = rows.withColumn("repeat", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1)))).withColumn(
-        "block", F.pmod(F.xxhash64("order_id", "repeat"), F.lit(blocks))
-    )
-
-    def place(salt: str):
-        window = Window.partitionBy("repeat", "block").orderBy(
-            F.xxhash64("order_id", "repeat", F.lit(salt)), "order_id"
-        )
-        return F.row_number().over(window)
-
-    takers = spread.withColumn("place", place("take"))
-    donors = spread.select("repeat", "block", place("give").alias("place"), F.col("x").alias("donor"))
-    return takers.join(donors, ["repeat", "block", "place"])
-
-
-def permutation_importance(
-    model: PipelineModel, test: DataFrame, repeats: int = fixed.PERMUTATION_REPEATS, blocks: int = PERMUTE_BLOCKS
-) -> DataFrame:
+def permutation_importance(model: TreeModel | PipelineModel, test: DataFrame, repeats: int = fixed.PERMUTATION_REPEATS) -> DataFrame:
     """Mean loss of accuracy when one input is permuted, per input."""
-    last = model.stages[-1]
-    rows = cut_lineage(
-        model.stages[0].transform(test).select("order_id", LABEL, vector_to_array("features").alias("x"))
-    )
-    guess = last.transform(rows.withColumn("features", array_to_vector("x")))
-    accuracy = F.avg((F.col("prediction") == F.col(LABEL)).cast("double"))
-    base = guess.agg(accuracy.alias("base"))
-    changed = permuted(rows, repeats, blocks).withColumn(
-        "f", F.explode(F.sequence(F.lit(0), F.lit(len(FEATURES) - 1)))
-    )
-    swapped = F.transform("x", lambda v, i: F.when(i == F.col("f"), F.col("donor")[i]).otherwise(v))
-    tried = last.transform(
-        changed.select(LABEL, "repeat", "f", array_to_vector(swapped).alias("features"))
-    )
-    per_repeat = tried.groupBy("f", "repeat").agg(accuracy.alias("accuracy"))
-    names = F.array(*[F.lit(name) for name in FEATURES])
-    return (
-        per_repeat.withColumn("drop", base.scalar() - F.col("accuracy"))
-        .groupBy("f")
-        .agg(F.avg("drop").alias("mean_drop"), F.stddev_pop("drop").alias("std_drop"))
-        .select(names[F.col("f")].alias("feature"), "mean_drop", "std_drop")
-    )
+    return permuting.accuracy_drops(test, FEATURES, probability_of(model), repeats, fixed.MODEL_FLAG_AT, LABEL)
 
 
-def predict(model: PipelineModel, mart: DataFrame) -> DataFrame:
+def predict(model: TreeModel | PipelineModel, mart: DataFrame) -> DataFrame:
     """Probability at four decimals and flag (from the unrounded probability) for every order."""
     rows = scored(model, feature_matrix(mart))
     return rows.select(
@@ -300,31 +234,19 @@ def metric_rows(metrics: DataFrame) -> DataFrame:
     return flat.unpivot([], fixed.METRIC_NAMES, "metric", "value")
 
 
-def save_model(model: PipelineModel, path: str) -> None:
-    model.write().overwrite().save(path)
+def save_model(model: TreeModel | PipelineModel, path: str) -> None:
+    """Trees as one table row below the path, a linear model as a saved pipeline."""
+    if isinstance(model, TreeModel):
+        trees.save(model, f"{path}/trees")
+    else:
+        model.write().overwrite().save(path)
 
 
-def load_model(path: str) -> PipelineModel:
-    """The saved pipeline; says what to do when there is none."""
-    if not exists(SparkSession.active(), path):
+def load_model(path: str) -> TreeModel | PipelineModel:
+    """The saved model; says what to do when there is none."""
+    spark = SparkSession.active()
+    if exists(spark, f"{path}/trees"):
+        return trees.load(f"{path}/trees")
+    if not exists(spark, path):
         raise FileNotFoundError(f"{path} not found: train a model first")
     return PipelineModel.load(path)
-
-
-__all__ = [
-    "evaluate_model",
-    "feature_importance",
-    "fit_forest",
-    "fit_gbt",
-    "fit_logistic",
-    "imbalance_comparison",
-    "load_model",
-    "metric_rows",
-    "model_comparison",
-    "permutation_importance",
-    "permuted",
-    "predict",
-    "ranking",
-    "save_model",
-    "scored",
-]

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderrisk.functions import fixed_values as fixed
 from orderrisk.functions.hashing import hash60
 from orderrisk.operators import explain, features, models, sampling
+from orderrisk.operators.trees import TreeModel
 from orderrisk.sources import files
 
 
@@ -54,11 +54,11 @@ def compare(mart: DataFrame, out: str, iters: int = 200, trees: int = 200) -> di
 
 
 def explain_model(
-    model: PipelineModel, test_rows: DataFrame, out: str, sample: int | None = None
+    model: TreeModel, test_rows: DataFrame, out: str, sample: int | None = None
 ) -> dict[str, DataFrame]:
     """Contributions on all test rows, or on a sample if one is asked for, and the tables drawn from them."""
     rows = test_rows if sample is None else sampling.hash_sample(test_rows, sample)
-    shap = files.write_table(explain.tree_shap(model, rows, f"{out}/tree_nodes"), f"{out}/tree_shap")
+    shap = files.write_table(explain.tree_shap(model, rows), f"{out}/tree_shap")
     order = hash60(F.col("order_id"), "sample")
     return {
         "tree_shap": shap,

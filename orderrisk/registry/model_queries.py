@@ -7,12 +7,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderrisk.functions.hashing import hash60
 from orderrisk.operators import explain, features, models, sampling
+from orderrisk.operators.trees import TreeModel
 
 from . import tables
 
@@ -36,7 +36,7 @@ def _test(spark: SparkSession, d: str) -> DataFrame:
     return _split(spark, d).where(F.col("is_test")).drop("is_test")
 
 
-def _fitted(spark: SparkSession, d: str, name: str, fit: Callable[[DataFrame], PipelineModel]) -> PipelineModel:
+def _fitted(spark: SparkSession, d: str, name: str, fit: Callable[[DataFrame], TreeModel]) -> TreeModel:
     """A model, fitted once per application, saved and loaded back."""
     path = tables.folder(spark, d, name)
     if path not in tables._written:
@@ -45,11 +45,11 @@ def _fitted(spark: SparkSession, d: str, name: str, fit: Callable[[DataFrame], P
     return models.load_model(path)
 
 
-def _model(spark: SparkSession, d: str) -> PipelineModel:
+def _model(spark: SparkSession, d: str) -> TreeModel:
     return _fitted(spark, d, "boosted_model", models.fit_gbt)
 
 
-def _forest(spark: SparkSession, d: str) -> PipelineModel:
+def _forest(spark: SparkSession, d: str) -> TreeModel:
     return _fitted(spark, d, "forest_model", models.fit_forest)
 
 
@@ -133,7 +133,7 @@ def shap_sample(spark: SparkSession, d: str) -> DataFrame:
 
 def tree_shap(spark: SparkSession, d: str) -> DataFrame:
     """All test rows, written once: the tables below are drawn from it."""
-    made = lambda: explain.tree_shap(_model(spark, d), _test(spark, d), tables.folder(spark, d, "tree_nodes"))
+    made = lambda: explain.tree_shap(_model(spark, d), _test(spark, d))
     return tables.written_once(spark, d, "tree_shap", made)
 
 

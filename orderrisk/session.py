@@ -55,3 +55,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     path = f"{scratch_dir(df.sparkSession)}/cut-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_table(df: DataFrame) -> None:
+    """Removes the files of a table that :func:`cut_lineage` wrote and nothing reads any more."""
+    folder = scratch_dir(df.sparkSession)
+    hadoop = df.sparkSession._jvm.org.apache.hadoop.fs
+    for table in {path.rsplit("/", 1)[0] for path in df.inputFiles()}:
+        path = hadoop.Path(table)
+        if f"{folder.split(':', 1)[-1].lstrip('/')}/cut-" in table:
+            path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from orderrisk.functions.hashing import hash60
-from orderrisk.operators import explain, features, models, sampling
+from orderrisk.operators import explain, features, models, permuting, sampling
 from orderrisk.operators.features import FEATURES
 from orderrisk.plans import modelling
 from orderrisk.registry import tables
@@ -88,8 +88,8 @@ def test_predictions_cover_every_order_and_flag_before_rounding(spark, small_dir
         assert abs(r["ml_fraud_prob"] - r["prob"]) <= 0.5001e-4
 
 
-def test_contributions_add_up_to_the_log_odds(boosted, test_rows, folder):
-    shap = explain.tree_shap(boosted, test_rows, f"{folder}/nodes")
+def test_contributions_add_up_to_the_log_odds(boosted, test_rows):
+    shap = explain.tree_shap(boosted, test_rows)
     sums = shap.groupBy("order_id").agg((F.sum("contribution") + F.first("base_value")).alias("total"), F.count("*").alias("n"))
     odds = models.scored(boosted, test_rows).select("order_id", F.log(F.col("prob") / (1 - F.col("prob"))).alias("odds"))
     joined = sums.join(odds, "order_id").collect()
@@ -98,50 +98,47 @@ def test_contributions_add_up_to_the_log_odds(boosted, test_rows, folder):
         assert r["n"] == 17 and r["total"] == pytest.approx(r["odds"], abs=1e-6)
 
 
-def brute_shap(nodes, weights, x):
+def brute_shap(model, x):
     """Shapley values by enumerating every subset of the inputs in use."""
     from itertools import combinations
     from math import factorial
 
-    def value(tree, known):
-        node = {r.id: r for r in nodes[nodes.tree == tree].itertuples()}
+    def value(at, known):
+        i = model.inputs[at]
+        if i < 0:
+            return model.values[at]
+        if i in known:
+            return value(model.left[at] if x[i] <= model.thresholds[at] else model.right[at], known)
+        left, right = model.left[at], model.right[at]
+        return (model.covers[left] * value(left, known) + model.covers[right] * value(right, known)) / model.covers[at]
 
-        def walk(i):
-            at = node[i]
-            if at.left < 0:
-                return at.value
-            if at.input in known:
-                return walk(at.left if x[at.input] <= at.threshold else at.right)
-            left, right = node[at.left], node[at.right]
-            return (left.cover * walk(at.left) + right.cover * walk(at.right)) / at.cover
-
-        return walk(0)
+    def used_below(at):
+        return set() if model.inputs[at] < 0 else {int(model.inputs[at])} | used_below(model.left[at]) | used_below(model.right[at])
 
     out = np.zeros(len(x))
-    for tree, weight in weights.items():
-        used = sorted({int(i) for i in nodes[(nodes.tree == tree) & (nodes.left >= 0)].input})
+    for root in model.roots.tolist():
+        used = sorted(used_below(root))
         m = len(used)
         for i in used:
             rest = [u for u in used if u != i]
             for size in range(m):
                 for subset in combinations(rest, size):
                     share = factorial(size) * factorial(m - size - 1) / factorial(m)
-                    out[i] += 2 * weight * share * (value(tree, {*subset, i}) - value(tree, set(subset)))
+                    out[i] += share * (value(root, {*subset, i}) - value(root, set(subset)))
     return out
 
 
-def test_contributions_match_enumeration(train, test_rows, folder):
+def test_contributions_match_enumeration(train, test_rows):
     model = models.fit_gbt(train, iters=3, depth=3)
-    nodes, weights = explain._nodes(model, f"{folder}/brute")
     few = sampling.hash_sample(test_rows, 5)
-    shap = explain.tree_shap(model, few, f"{folder}/nodes").toPandas()
+    shap = explain.tree_shap(model, few).toPandas()
     for order, part in shap.groupby("order_id"):
         part = part.set_index("feature").loc[FEATURES]
-        assert np.allclose(part["contribution"], brute_shap(nodes, weights, part["value"].to_numpy()), atol=1e-9)
+        assert np.allclose(part["contribution"], brute_shap(model, part["value"].to_numpy()), atol=1e-9)
 
 
-def test_shap_tables(boosted, test_rows, folder):
-    shap = explain.tree_shap(boosted, test_rows, f"{folder}/nodes").persist()
+def test_shap_tables(boosted, test_rows):
+    shap = explain.tree_shap(boosted, test_rows).persist()
     ranks = explain.shap_importance(shap).orderBy("rank").collect()
     assert [r["rank"] for r in ranks] == list(range(1, 18))
     assert sum(r["top5"] for r in ranks) == 5 and 4 <= sum(r["highlight"] for r in ranks) <= 6
@@ -155,18 +152,58 @@ def test_shap_tables(boosted, test_rows, folder):
         assert part["contribution"].sum() + part["base_value"].iloc[0] == pytest.approx(np.log(p / (1 - p)), abs=1e-6)
 
 
-def test_permutation_keeps_the_values_of_every_input(train):
-    x = train.select("order_id", "is_fraud", F.array("order_amount", "order_hour").alias("x"))
-    pairs = models.permuted(x, 2, blocks=8).toPandas()
-    assert len(pairs) == 2 * 800
-    want = sorted(r["order_amount"] for r in train.collect())
-    for _, part in pairs.groupby("repeat"):
-        assert sorted(d[0] for d in part["donor"]) == want
-        assert sum(a[0] != b[0] for a, b in zip(part["x"], part["donor"])) > 700
+def test_every_row_donates_once_per_repeat(train):
+    x = train.select("order_id", F.array("order_amount", "order_hour").alias("x"))
+    pairs = permuting.permuted(x, 3).toPandas()
+    assert sorted(pairs["rank"]) == list(range(800))
+    want = sorted(tuple(v) for v in pairs["x"])
+    for r in range(3):
+        given = [tuple(d[r]) for d in pairs["donors"]]
+        assert sorted(given) == want
+        assert sum(a[0] != b[0] for a, b in zip(pairs["x"], given)) > 700
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 17, 1000, 4097])
+def test_the_network_is_a_permutation_of_any_number_of_ranks(n):
+    found = [permuting.permutation(np.arange(n), n, key) for key in range(3)]
+    assert all(sorted(f) == list(range(n)) for f in found)
+    # Any part of the ranks gives the same places.
+    assert (permuting.permutation(np.arange(n)[::3], n, 1) == found[1][::3]).all()
+    if n > 100:
+        assert not (found[0] == found[1]).all() and abs(np.corrcoef(np.arange(n), found[0])[0, 1]) < 0.15
+
+
+def test_permutation_drops_equal_those_of_plain_numpy(spark, train):
+    # The rule flag as the model: a row is suspected from an amount or an hour on.
+    names = ["order_amount", "order_hour", "account_age_days"]
+    rows = train.select("is_fraud", *names)
+
+    def flag(x):
+        return ((x[:, 0] > 100) & (x[:, 1] < 12)).astype(float)
+
+    got = {r["feature"]: (r["mean_drop"], r["std_drop"]) for r in permuting.accuracy_drops(rows, names, flag, 4, 0.5).collect()}
+    held = permuting.permuted(rows.select("is_fraud", F.array(*[F.col(c).cast("double") for c in names]).alias("x")), 4).toPandas()
+    x, y = np.array(held["x"].tolist()), held["is_fraud"].to_numpy()
+    donors = np.array([[list(v) for v in d] for d in held["donors"]])
+    base = (flag(x) == y).mean()
+    for i, name in enumerate(names):
+        drops = []
+        for r in range(4):
+            changed = x.copy()
+            changed[:, i] = donors[:, r, i]
+            drops.append(base - (flag(changed) == y).mean())
+        assert got[name] == (pytest.approx(np.mean(drops), abs=1e-12), pytest.approx(np.std(drops), abs=1e-12))
+    assert got["account_age_days"] == (0.0, 0.0) and abs(got["order_amount"][0]) > 0
+    assert permuting.accuracy_drops(rows.where("false"), names, flag, 2, 0.5).count() == 0
+
+
+def test_nothing_but_counts_leaves_the_scoring(test_rows, boosted):
+    found = permuting.accuracy_drops(test_rows, FEATURES, boosted.probability, 2, 0.5)
+    assert found._jdf.queryExecution().executedPlan().toString().count("Window") == 0
 
 
 def test_permutation_importance_is_zero_for_an_unused_input(boosted, test_rows):
-    used = boosted.stages[-1].featureImportances.toArray()
+    used = boosted.importance()
     drops = {r["feature"]: r["mean_drop"] for r in models.permutation_importance(boosted, test_rows, repeats=2).collect()}
     assert len(drops) == 17
     assert all(drops[name] == 0 for name, v in zip(FEATURES, used) if v == 0)
@@ -199,14 +236,6 @@ def test_comparisons(train, test_rows):
     assert sorted(best.split(",")) == sorted(["roc_auc", "avg_precision", "fraud_f1", "fraud_precision", "fraud_recall"])
 
 
-def test_a_forest_does_not_depend_on_how_its_rows_came(train, test_rows):
-    found = []
-    for parts in (4, 9):
-        model = models.fit_forest(train.repartition(parts, F.rand(parts)), trees=5, depth=5)
-        found.append({r["order_id"]: r["prob"] for r in models.scored(model, test_rows).collect()})
-    assert found[0] == found[1]
-
-
 def test_orders_without_a_label_are_scored(spark, small_dir, boosted):
     mart = tables.mart(spark, small_dir)
     assert models.predict(boosted, mart.drop("is_fraud")).collect() == models.predict(boosted, mart).collect()
@@ -222,9 +251,9 @@ def test_contributions_of_deep_paths_add_up():
     # Fifteen inputs on one path; every subset counts.
     rng = np.random.default_rng(0)
     path = {i: (0.0, np.inf, share) for i, share in enumerate(rng.uniform(0.1, 0.9, 15))}
-    leaf = explain._leaf(path, 2.0)
+    leaf = explain.stacked([(path, 2.0)])
     x = np.where(rng.random((20, 15)) < 0.8, 1.0, -1.0)
-    parts = explain._contributions(x, [leaf])
+    parts = explain.contributions(x, [leaf])
     reached = (x > 0).all(axis=1) * 2.0
     assert np.allclose(parts.sum(axis=1), reached - 2.0 * leaf.share.prod())
 
