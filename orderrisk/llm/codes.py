@@ -320,5 +320,5 @@ def coded(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", la
     """``compress`` with label_error (the error summed over rows of equal label, nulls together) and the codebooks' hash."""
     rows, books = compress(vectors, key=key, vector=vector, label=label, **how)
     rows = cut_lineage(rows)
-    found = with_group(rows, [label], {"label_error": (F.sum, "error")}, [key, "code"], nulls=True)
+    found = with_group(rows, [label], {"label_error": (F.sum, F.col("error"))}, [key, "code"], nulls=True)
     return found.select(key, label, "code", "error", "label_error", F.lit(digest(books)).alias("codebooks_sha256"))

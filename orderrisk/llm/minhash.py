@@ -155,7 +155,8 @@ def full_sets(docs: DataFrame, wanted: DataFrame, shingle: int, text: str) -> Da
                 yield pa.RecordBatch.from_arrays(columns, ["n", "mark", "mark2", "tokens"])
 
     made = docs.select(text).mapInArrow(find, "n long, mark long, mark2 long, tokens binary")
-    return made.join(wanted, ["n", "mark", "mark2"]).groupBy("key", "n").agg(F.first("tokens").alias("tokens"))
+    names = ["n", "mark", "mark2"]
+    return made.groupBy(*names).agg(F.first("tokens").alias("tokens")).join(wanted, names).select("key", "n", "tokens")
 
 
 def _blobs(column: pa.ChunkedArray, kind) -> list[np.ndarray]:
@@ -208,13 +209,12 @@ def _left_over(rows: DataFrame, prints: DataFrame, percent: int) -> DataFrame:
     """(key, hub, n): pairs of different components that share a bucket and whose sketches agree well enough.
 
     ``rows``: (bucket, band, key, n, component, hub_component). Members outside the hub's component are dealt over
-    slices of a bucket and meet all others, slice by slice; a pair comes out of the first bucket that it shares. Of a signature only the
-    bins that make the bands come along.
+    slices of a bucket and meet all others, slice by slice; a pair comes out of the first bucket that it shares.
     """
     inside = F.col("component") == F.col("hub_component")
-    marked = rows.withColumn("inside", inside.cast("long")).withColumn("outside", 1 - inside.cast("long"))
-    marked = cut_lineage(with_group(cut_lineage(marked), ["bucket"], {"n_in": (F.sum, "inside"), "n_out": (F.sum, "outside")}, ["key"]))
-    least = least_agreement(percent, BANDS * ROWS)
+    marked = rows.withColumn("inside", inside.cast("long")).drop("hub_component")
+    marked = cut_lineage(with_group(cut_lineage(marked), ["bucket"], {"n_in": (F.sum, F.col("inside")), "n_out": (F.sum, 1 - F.col("inside"))}, ["key"]))
+    least = least_agreement(percent, BINS)
 
     def slices_of(count: str):
         return F.greatest(F.lit(1), F.ceil(F.col(count) / BLOCK_ROWS)).cast("int")
@@ -226,15 +226,14 @@ def _left_over(rows: DataFrame, prints: DataFrame, percent: int) -> DataFrame:
     common = ["bucket", "band", "key", "n", "component"]
     hosts = marked.select(*common, F.explode(F.sequence(F.lit(0), slices_of("n_out") - 1)).alias("visit"), host.alias("host"), F.lit(False).alias("visits"))
     every = F.explode(F.sequence(F.lit(0), slices_of("n_in") + slices_of("n_out") - 1)).alias("host")
-    guests = marked.where("outside = 1").select(*common, out_slice.alias("visit"), every, F.lit(True).alias("visits"))
-    heads = prints.select("key", F.substring("signature", 1, BANDS * ROWS).alias("signature"))
-    met = hosts.unionByName(guests).join(heads, "key")
+    guests = marked.where("inside = 0").select(*common, out_slice.alias("visit"), every, F.lit(True).alias("visits"))
+    met = hosts.unionByName(guests).join(prints.select("key", "signature"), "key")
 
     def meet(table: pa.Table) -> pa.Table:
         visits = table["visits"].to_numpy(zero_copy_only=False)
         keys, n, component = (table[c].to_numpy() for c in ("key", "n", "component"))
         signature = np.array(_blobs(table["signature"], np.uint8))
-        bands, band = signature.view("<u4"), int(table["band"][0].as_py())
+        bands, band = signature.view("<u4")[:, :BANDS], int(table["band"][0].as_py())
         mine = np.flatnonzero(~visits)
         left, right, sizes = [], [], []
         for i in np.flatnonzero(visits).tolist():
@@ -265,7 +264,7 @@ def duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT,
     # Equal sets are one node, that of the smallest row, and bear its sketch.
     equal = ["n", "mark", "mark2"]
     some = state.where("n > 0").select("row", "doc", *equal)
-    twins = cut_lineage(with_group(some, equal, {"key": (F.min, "row"), "least": (F.min, "doc")}, ["row"]))
+    twins = cut_lineage(with_group(some, equal, {"key": (F.min, F.col("row")), "least": (F.min, F.col("doc"))}, ["row"]))
     nodes = twins.where("row = key").select("key", "least")
     sketch = state.select("row", "n", "bands").join(nodes.select(F.col("key").alias("row")), "row")
     places = cut_lineage(sketch.select(F.col("row").alias("key"), "n", F.posexplode("bands").alias("band", "bucket")))
@@ -304,9 +303,10 @@ def duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT,
     def with_hubs(turn: int) -> DataFrame:
         """Members of buckets with more than one component, beside their hub."""
         rank = -F.col("company") if not turn else F.xxhash64("key", F.lit(turn))
-        rows = labelled().withColumn("me", F.struct(rank.alias("rank"), "key", "n", "component"))
-        found = {"hub": (F.min, "me"), "low": (F.min, "component"), "top": (F.max, "component")}
-        return with_group(cut_lineage(rows), ["bucket"], found, ["key"]).where("low != top").drop("me", "low", "top")
+        me = F.struct(rank.alias("rank"), "key", "n", "component")
+        component = F.col("component")
+        found = {"hub": (F.min, me), "low": (F.min, component), "top": (F.max, component)}
+        return with_group(cut_lineage(labelled()), ["bucket"], found, ["key"]).where("low != top").drop("low", "top", "company")
 
     turn = 0
     while True:
@@ -338,10 +338,10 @@ def duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT,
         named = nodes.select("key", F.col("least").alias("name"))
     else:
         linked = cut_lineage(nodes.join(labels, "key"))
-        linked = with_group(linked, ["component"], {"name": (F.min, "least")}, ["key"])
+        linked = with_group(linked, ["component"], {"name": (F.min, F.col("least"))}, ["key"])
         named = nodes.join(linked.select("key", "name", F.lit(True).alias("linked")), "key", "left")
         named = named.select("key", F.when(F.col("linked"), F.col("name")).otherwise(F.col("least")).alias("name"))
-    out = with_group(cut_lineage(twins.join(named.withColumnRenamed("key", "row"), "row", "left")), equal, {"found": (F.min, "name")}, ["row"])
+    out = with_group(cut_lineage(twins.join(named.withColumnRenamed("key", "row"), "row", "left")), equal, {"found": (F.min, F.col("name"))}, ["row"])
     rows = out.select("doc", "n", "found").unionByName(state.where("n = 0").select("doc", "n", F.col("doc").alias("found")))
     return rows.select(
         F.col("doc").cast(kind).alias(key), F.col("n").alias("n_shingles"), F.col("found").cast(kind).alias("component_id"), F.col("doc").eqNullSafe(F.col("found")).alias("kept")

@@ -13,9 +13,9 @@ LEAST_SALTS = 64
 
 
 def with_group(
-    rows: DataFrame, by: list[str], found: dict[str, tuple[Callable[..., Column], str]], spread_on: list[str], nulls: bool = False
+    rows: DataFrame, by: list[str], found: dict[str, tuple[Callable[..., Column], Column]], spread_on: list[str], nulls: bool = False
 ) -> DataFrame:
-    """``rows`` with a column ``name: (f, column)`` for each aggregate f(column) over the rows with equal ``by``.
+    """``rows`` with a column ``name: (f, value)`` for each aggregate f(value) over the rows with equal ``by``.
 
     f combines its own results (min, max, sum). With ``nulls`` null is a value of ``by`` like others, without it
     rows with a null there are left out. Each group is dealt over salts by a hash of
