@@ -6,7 +6,8 @@
     spark-submit -m orderrisk predict  --mart PATH --out PATH
     spark-submit -m orderrisk compare  --mart PATH --out PATH [--iters N]
     spark-submit -m orderrisk explain  --mart PATH --out PATH
-    spark-submit -m orderrisk report   --mart PATH --out PATH
+    spark-submit -m orderrisk report   --mart PATH --out PATH [--tier T] [--payment P] [--category C]
+    spark-submit -m orderrisk stress   --orders CSV --out PATH
 """
 
 from __future__ import annotations
@@ -31,9 +32,9 @@ def _write_all(tables: dict, out: str) -> None:
 def main(arguments: list[str] | None = None, spark: SparkSession | None = None) -> None:
     parser = argparse.ArgumentParser(prog="orderrisk")
     parser.add_argument(
-        "job", choices=["reshape", "build", "train", "predict", "compare", "explain", "report"]
+        "job", choices=["reshape", "build", "train", "predict", "compare", "explain", "report", "stress"]
     )
-    for name in ("cards", "orders", "mart", "out"):
+    for name in ("cards", "orders", "mart", "out", "tier", "payment", "category"):
         parser.add_argument(f"--{name}")
     parser.add_argument("--iters", type=int, default=200)
     args = parser.parse_args(arguments)
@@ -43,6 +44,8 @@ def main(arguments: list[str] | None = None, spark: SparkSession | None = None)
         build.reshape_cards(spark, args.cards, args.orders).show(50, truncate=False)
     elif args.job == "build":
         build.build_mart(files.read_orders(spark, args.orders), args.mart)
+    elif args.job == "stress":
+        _write_all(build.stress(files.read_orders(spark, args.orders, labelled=False)), args.out)
     else:
         mart = spark.read.parquet(args.mart)
         if args.job == "train":
@@ -61,7 +64,8 @@ def main(arguments: list[str] | None = None, spark: SparkSession | None = None)
                 preds = spark.read.parquet(f"{args.out}/ml_predictions")
             if files.exists(spark, f"{args.out}/ml_metrics"):
                 metrics = spark.read.parquet(f"{args.out}/ml_metrics")
-            _write_all(reporting.report_tables(mart, preds, metrics), f"{args.out}/report")
+            chosen = {name: getattr(args, name) for name in ("tier", "payment", "category")}
+            _write_all(reporting.report_tables(mart, preds, metrics, **chosen), f"{args.out}/report")
             _write_all(reporting.exploration_tables(mart), f"{args.out}/exploration")
             _write_all(reporting.baseline_tables(mart), f"{args.out}/baseline")
 

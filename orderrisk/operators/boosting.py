@@ -48,7 +48,10 @@ def cut_points(train: DataFrame, names: list[str], rows: int, bins: int = BINS,
 
 
 def packed(train: DataFrame, names: list[str], cuts: list[np.ndarray], pieces: int, key: str = "order_id", label: str = "is_fraud", piece_rows: int = PIECE_ROWS) -> DataFrame:
-    """(keys, labels, bins, margins): blocks of at most ``piece_rows`` rows, bins input after input, margins 0."""
+    """(keys, labels, bins, margins): blocks of at most ``piece_rows`` rows, bins input after input, margins 0.
+
+    Keys that are no whole numbers are there by their hash.
+    """
 
     def pack(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts:
@@ -59,7 +62,9 @@ def packed(train: DataFrame, names: list[str], cuts: list[np.ndarray], pieces: i
                 blobs = [part.column(0).to_numpy().astype("<i8"), part.column(1).to_numpy().astype(np.uint8), bins, np.zeros(len(x))]
                 yield pa.RecordBatch.from_arrays([pa.array([b.tobytes()], pa.binary()) for b in blobs], ["keys", "labels", "bins", "margins"])
 
-    rows = train.select(F.col(key).cast("long"), F.col(label).cast("int"), vector(names).alias("x"))
+    whole = train.schema[key].dataType.simpleString() in ("bigint", "int")
+    number = F.col(key).cast("long") if whole else F.xxhash64(key)
+    rows = train.select(number.alias(key), F.col(label).cast("int"), vector(names).alias("x"))
     dealt = rows.repartition(pieces, key).sortWithinPartitions(key)
     return cut_lineage(dealt.mapInArrow(pack, "keys binary, labels binary, bins binary, margins binary"))
 

@@ -222,11 +222,12 @@ def correlations(df: DataFrame, columns: list[str] = fixed.CORRELATION_COLUMNS)
     ).first()
     # A constant is its own mean exactly, where an average may be off by a last digit.
     means = [found[f"min{i}"] if found[f"min{i}"] == found[f"max{i}"] else found[f"avg{i}"] for i in range(size)]
+    # Means that are no numbers (a NaN or infinite value is about) leave the pairs of that column without a correlation.
     values = [
-        f"coalesce(cast({column} as double) - {means[i] or 0.0!r}D, 0D) as v{i}" for i, column in enumerate(columns)
+        F.coalesce(F.col(column).cast("double") - F.lit(float(means[i] or 0.0)), F.lit(0.0)).alias(f"v{i}") for i, column in enumerate(columns)
     ]
     sums = (
-        df.selectExpr(f"{pattern} as pattern", *values)
+        df.select(F.expr(pattern).alias("pattern"), *values)
         .groupBy("pattern")
         .agg(
             F.expr("count(1) as n"),
@@ -249,7 +250,7 @@ def correlations(df: DataFrame, columns: list[str] = fixed.CORRELATION_COLUMNS)
     left, right = "(aa - sa * sa / n)", "(bb - sb * sb / n)"
     value = (
         f"case when {left} > 0 and {right} > 0 then"
-        f" if(a = b, 1D, round((ab - sa * sb / n) / sqrt({left} * {right}), 6)) end"
+        f" if(a = b and not isnan({left}), 1D, round((ab - sa * sb / n) / sqrt({left} * {right}), 6)) end"
     )
     # The matrix is symmetric: every pair off the diagonal gives two rows.
     both = "if(a = b, array(struct(a as i, b as j)), array(struct(a as i, b as j), struct(b as i, a as j)))"

@@ -2,18 +2,21 @@
 
 Everything starts from one distributed aggregate, the counts of both labels per distinct score.
 Rule scores take a few dozen values and probabilities at four decimals at most 10,001, so the
-cumulative window runs over a small table. Raw probabilities may be all different: pass ``splits``
-to ``cumulate`` and the window runs per range of scores instead.
+cumulative window runs over a small table. Raw probabilities may be all different: ``ranked`` takes
+ranges of scores side by side instead.
 """
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderrisk.functions import fixed_values as fixed
 from orderrisk.functions.numbers import count_where, ratio_or_zero
+from orderrisk.session import cut_lineage
+
+# Distinct scores of a range that one task ranks.
+RANGE_ROWS = 1 << 18
 
 
 def score_counts(df: DataFrame, score: str, label: str) -> DataFrame:
@@ -27,49 +30,53 @@ def score_counts(df: DataFrame, score: str, label: str) -> DataFrame:
     )
 
 
-def score_splits(counts: DataFrame, pieces: int = 512) -> list[float]:
-    """Bounds that cut the distinct scores into about equal pieces (at most ``pieces`` numbers)."""
-    cuts = counts.approxQuantile("threshold", [i / pieces for i in range(1, pieces)], 0.2 / pieces)
-    return [-float("inf"), *sorted(set(cuts)), float("inf")]
-
-
-def cumulate(counts: DataFrame, splits: list[float] | None = None) -> DataFrame:
-    """Adds, per threshold, true and false positives at or above it, and both label totals."""
-    if splits is None:
-        upto = Window.orderBy(F.col("threshold").desc()).rowsBetween(Window.unboundedPreceding, 0)
-        whole = Window.partitionBy()
-        return counts.select(
-            "threshold",
-            "pos",
-            "neg",
-            F.sum("pos").over(upto).alias("tp"),
-            F.sum("neg").over(upto).alias("fp"),
-            F.sum("pos").over(whole).alias("all_pos"),
-            F.sum("neg").over(whole).alias("all_neg"),
-        )
-    ranged = Bucketizer(splits=splits, inputCol="threshold", outputCol="_range").transform(
-        counts.withColumn("threshold", F.col("threshold").cast("double"))
-    )
-    above = Window.orderBy(F.col("_range").desc()).rowsBetween(Window.unboundedPreceding, -1)
+def cumulate(counts: DataFrame) -> DataFrame:
+    """Adds, per threshold, true and false positives at or above it, and both label totals; for scores with few values."""
+    upto = Window.orderBy(F.col("threshold").desc()).rowsBetween(Window.unboundedPreceding, 0)
     whole = Window.partitionBy()
-    # One row per range: at most len(splits) - 1.
-    totals = (
-        ranged.groupBy("_range")
-        .agg(F.sum("pos").alias("_p"), F.sum("neg").alias("_n"))
-        .select(
-            "_range",
-            F.coalesce(F.sum("_p").over(above), F.lit(0)).alias("_p_above"),
-            F.coalesce(F.sum("_n").over(above), F.lit(0)).alias("_n_above"),
-            F.sum("_p").over(whole).alias("all_pos"),
-            F.sum("_n").over(whole).alias("all_neg"),
-        )
+    return counts.select(
+        "threshold",
+        "pos",
+        "neg",
+        F.sum("pos").over(upto).alias("tp"),
+        F.sum("neg").over(upto).alias("fp"),
+        F.sum("pos").over(whole).alias("all_pos"),
+        F.sum("neg").over(whole).alias("all_neg"),
+    )
+
+
+def ranked(counts: DataFrame, range_rows: int = RANGE_ROWS) -> DataFrame:
+    """:func:`cumulate` in two levels, for any number of distinct scores; also ``inside``.
+
+    Scores are dealt over ranges of about ``range_rows`` by a range shuffle and written with their range. Sums within a range
+    start from those of the ranges above it, and the scores beside a range's ends are carried over, so that
+    ``inside`` (no end of a straight stretch of the curve) is known without a window over everything.
+    """
+    counts = cut_lineage(counts)
+    pieces = counts.count() // range_rows + 1
+    dealt = counts.repartitionByRange(pieces, F.col("threshold").desc())
+    dealt = cut_lineage(dealt.withColumn("_range", F.spark_partition_id()))
+    sides = F.struct("pos", "neg")
+    # One row a range.
+    ranges = dealt.groupBy("_range").agg(
+        F.sum("pos").alias("_p"), F.sum("neg").alias("_n"), F.max_by(sides, "threshold").alias("_first")
     )
-    upto = (
-        Window.partitionBy("_range")
-        .orderBy(F.col("threshold").desc())
-        .rowsBetween(Window.unboundedPreceding, 0)
+    order = Window.orderBy("_range")
+    above, whole = order.rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy()
+    known = ranges.select(
+        "_range",
+        F.coalesce(F.sum("_p").over(above), F.lit(0)).alias("_p_above"),
+        F.coalesce(F.sum("_n").over(above), F.lit(0)).alias("_n_above"),
+        F.sum("_p").over(whole).alias("all_pos"),
+        F.sum("_n").over(whole).alias("all_neg"),
+        F.lead("_first").over(order).alias("_after"),
+        (F.row_number().over(order) > 1).alias("_below_another"),
     )
-    return ranged.join(F.broadcast(totals), "_range").select(
+    down = Window.partitionBy("_range").orderBy(F.col("threshold").desc())
+    upto = down.rowsBetween(Window.unboundedPreceding, 0)
+    following = F.coalesce(F.lead(sides).over(down), F.col("_after"))
+    inside = (F.col("_below_another") | (F.row_number().over(down) > 1)) & (following == sides)
+    return dealt.join(known, "_range").select(
         "threshold",
         "pos",
         "neg",
@@ -77,6 +84,7 @@ def cumulate(counts: DataFrame, splits: list[float] | None = None) -> DataFrame:
         (F.sum("neg").over(upto) + F.col("_n_above")).alias("fp"),
         "all_pos",
         "all_neg",
+        F.coalesce(inside, F.lit(False)).alias("inside"),
     )
 
 
@@ -125,13 +133,15 @@ def roc_curve(cum: DataFrame, drop_intermediate: bool = True) -> DataFrame:
     Points inside a straight stretch add nothing to the curve and are dropped by default; the first
     and the last threshold always stay.
     """
-    down = Window.orderBy(F.col("threshold").desc())
-    next_pos, next_neg = F.lead("pos").over(down), F.lead("neg").over(down)
-    inside = F.lag("pos").over(down).isNotNull()
-    straight = inside & (next_pos == F.col("pos")) & (next_neg == F.col("neg"))
-    points = cum.withColumn("_straight", F.coalesce(straight, F.lit(False)))
-    if drop_intermediate:
-        points = points.where(~F.col("_straight"))
+    points = cum
+    if drop_intermediate and "inside" in cum.columns:
+        points = cum.where("not inside")
+    elif drop_intermediate:
+        down = Window.orderBy(F.col("threshold").desc())
+        next_pos, next_neg = F.lead("pos").over(down), F.lead("neg").over(down)
+        inside = F.lag("pos").over(down).isNotNull()
+        straight = inside & (next_pos == F.col("pos")) & (next_neg == F.col("neg"))
+        points = cum.withColumn("_straight", F.coalesce(straight, F.lit(False))).where("not _straight")
     curve = points.select(
         F.col("threshold").cast("double").alias("threshold"),
         ratio_or_zero(F.col("fp"), F.col("all_neg")).alias("fpr"),

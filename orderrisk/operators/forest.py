@@ -134,7 +134,7 @@ def fit(
 ) -> TreeModel:
     """``count`` trees of at most ``depth`` levels, each on a Poisson sample of the rows; probabilities are means over trees.
 
-    ``per_split`` inputs, the root of their number if not given, may split a node. Keys are whole numbers. A missing
+    ``per_split`` inputs, the root of their number if not given, may split a node. A missing
     input is refused; no rows give a model without trees.
     """
     rows = train.count()

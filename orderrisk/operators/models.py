@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
@@ -21,8 +22,8 @@ from .sampling import smote, undersample
 from .trees import TreeModel
 
 LABEL = "is_fraud"
-# Distinct probabilities per range in which they are ranked.
-RANGE_ROWS = 10_000
+LINEAR = "Logistic Regression"
+RULES_HERE = "Rule score, same test rows"
 # Rows of a partition of a linear fit. Gradients are summed over all partitions, so their number changes nothing else.
 FIT_ROWS = 1 << 15
 _METRICS = ["roc_auc", "avg_precision", "fraud_f1", "fraud_precision", "fraud_recall"]
@@ -105,24 +106,44 @@ def scored(model: TreeModel | PipelineModel, rows: DataFrame) -> DataFrame:
     return found.withColumn("pred", F.when(F.col("prob") >= fixed.MODEL_FLAG_AT, 1).otherwise(0))
 
 
-def ranking(counts: DataFrame, range_rows: int = RANGE_ROWS) -> DataFrame:
-    """Cumulative label counts per distinct probability, ranked range by range at any number of them."""
-    pieces = counts.count() // range_rows + 2
-    return evaluate.cumulate(counts, evaluate.score_splits(counts, pieces))
-
-
 def evaluate_model(model: TreeModel | PipelineModel, test: DataFrame) -> DataFrame:
     """AUC, average precision, F1, precision and recall on the test rows: one row."""
-    # The hard label follows from the probability, so the counts per probability hold everything.
-    counts = evaluate.score_counts(scored(model, test), "prob", LABEL).persist()
-    try:
-        ranked = evaluate.ranking_metrics(ranking(counts)).first()
-        hard = evaluate.hard_label_metrics(evaluate.confusion_at(counts, fixed.MODEL_FLAG_AT)).first()
-    finally:
-        counts.unpersist()
+    return _metrics_of(label_counts(model, test))
+
+
+def label_counts(model: TreeModel | PipelineModel, test: DataFrame) -> DataFrame:
+    """Counts of both labels per distinct probability, written: every metric and curve follows from them."""
+    return cut_lineage(evaluate.score_counts(scored(model, test), "prob", LABEL))
+
+
+def _metrics_of(counts: DataFrame) -> DataFrame:
+    ranked = evaluate.ranking_metrics(evaluate.ranked(counts)).first()
+    hard = evaluate.hard_label_metrics(evaluate.confusion_at(counts, fixed.MODEL_FLAG_AT)).first()
     values = {**ranked.asDict(), **hard.asDict()}
     schema = ", ".join(f"{name} double" for name in _METRICS)
-    return test.sparkSession.createDataFrame([tuple(values[name] for name in _METRICS)], schema)
+    return counts.sparkSession.createDataFrame([tuple(values[name] for name in _METRICS)], schema)
+
+
+def model_report(counts: DataFrame) -> dict[str, DataFrame]:
+    """What a score says about its test rows, from its label counts: confusion, report per class, both curves."""
+    cells = evaluate.confusion_at(counts, fixed.MODEL_FLAG_AT)
+    ranked = cut_lineage(evaluate.ranked(counts))
+    return {
+        "confusion_matrix": cells,
+        "classification_report": evaluate.classification_report(cells),
+        "roc_curve": evaluate.roc_curve(ranked),
+        "pr_curve": evaluate.pr_curve(ranked),
+    }
+
+
+def reports_of(counts: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The reports of several scores as one table of each kind, named by ``model``."""
+    made = [(name, model_report(held)) for name, held in counts.items()]
+    out = {}
+    for kind in made[0][1]:
+        parts = [tables[kind].select(F.lit(name).alias("model"), "*") for name, tables in made]
+        out[kind] = reduce(DataFrame.unionByName, parts)
+    return out
 
 
 def _metric_table(spark: SparkSession, rows: list[tuple], name: str, metrics: list[str]) -> DataFrame:
@@ -137,6 +158,11 @@ def imbalance_comparison(train: DataFrame, test: DataFrame, max_iter: int = 1000
 
     ``best_for`` lists the metrics in which the strategy is the (first) best.
     """
+    return compare_strategies(train, test, max_iter)[0]
+
+
+def compare_strategies(train: DataFrame, test: DataFrame, max_iter: int = 1000) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """The comparison, and each strategy's label counts for its report."""
     scaler = fit_scaler(train)
     train, test = scaler.transform(train), scaler.transform(test)
     strategies: list[tuple[str, Callable[[], PipelineModel]]] = [
@@ -148,7 +174,8 @@ def imbalance_comparison(train: DataFrame, test: DataFrame, max_iter: int = 1000
         ),
         ("SMOTE", lambda: fit_logistic(cut_lineage(smote(train, FEATURES)), max_iter=max_iter)),
     ]
-    rows = [(name, *evaluate_model(fit(), test).first()) for name, fit in strategies]
+    counts = {name: label_counts(fit(), test) for name, fit in strategies}
+    rows = [(name, *_metrics_of(held).first()) for name, held in counts.items()]
     table = _metric_table(train.sparkSession, rows, "strategy", _METRICS)
     order = F.create_map(*[F.lit(v) for i, (name, _) in enumerate(strategies) for v in (name, i)])
     ranked = table.withColumn("_order", order[F.col("strategy")])
@@ -158,13 +185,13 @@ def imbalance_comparison(train: DataFrame, test: DataFrame, max_iter: int = 1000
         )
         for m in _METRICS
     ]
-    return ranked.withColumn("best_for", F.concat_ws(",", *first)).drop("_order")
+    return ranked.withColumn("best_for", F.concat_ws(",", *first)).drop("_order"), counts
 
 
 def model_fits(iters: int = 200, trees: int = 200, max_iter: int = 1000) -> dict[str, Callable]:
     """The four candidates; the linear one needs scaled inputs."""
     return {
-        "Logistic Regression": lambda rows: fit_logistic(rows, balanced=True, max_iter=max_iter),
+        LINEAR: lambda rows: fit_logistic(rows, balanced=True, max_iter=max_iter),
         "Random Forest": lambda rows: fit_forest(rows, trees),
         "Boosted trees, balanced, step 0.1": lambda rows: fit_gbt(
             rows, "balanced_weight", iters=iters, step=0.1, l2=0.0, min_curvature=1e-3, min_rows=20
@@ -179,25 +206,46 @@ def model_comparison(
     iters: int = 200,
     trees: int = 200,
     max_iter: int = 1000,
-    fitted: dict[str, PipelineModel] | None = None,
+    fitted: dict[str, TreeModel | PipelineModel] | None = None,
 ) -> DataFrame:
     """AUC, average precision and F1 of the candidates and the rule baseline, best AUC first.
 
     Candidates that are in ``fitted`` are not fitted again.
     """
-    fitted = fitted or {}
+    return compare_models(train, test, iters, trees, max_iter, fitted)[0]
+
+
+def compare_models(
+    train: DataFrame,
+    test: DataFrame,
+    iters: int = 200,
+    trees: int = 200,
+    max_iter: int = 1000,
+    fitted: dict[str, TreeModel | PipelineModel] | None = None,
+    rule_scores: DataFrame | None = None,
+) -> tuple[DataFrame, dict[str, DataFrame], dict[str, TreeModel | PipelineModel]]:
+    """The comparison, each candidate's label counts, and the models.
+
+    ``rule_scores`` (order_id, risk_score) adds the rule score on the same test rows beside the published baseline.
+    """
+    fitted = dict(fitted or {})
     metrics = _METRICS[:3]
     scaler = fit_scaler(train)
-    rows = []
+    counts = {}
     for name, fit in model_fits(iters, trees, max_iter).items():
-        linear = name == "Logistic Regression"
-        model = fitted[name] if name in fitted else fit(scaler.transform(train) if linear else train)
-        result = evaluate_model(model, scaler.transform(test) if linear else test).first()
-        rows.append((name, *[result[m] for m in metrics]))
+        linear = name == LINEAR
+        if name not in fitted:
+            fitted[name] = fit(scaler.transform(train) if linear else train)
+        counts[name] = label_counts(fitted[name], scaler.transform(test) if linear else test)
+    rows = [(name, *[_metrics_of(held).first()[m] for m in metrics]) for name, held in counts.items()]
     rows.append((fixed.BASELINE_LABEL, *fixed.BASELINE_METRICS.values()))
+    if rule_scores is not None:
+        joined = test.select("order_id", LABEL).join(rule_scores, "order_id")
+        found = evaluate.baseline_summary(cut_lineage(evaluate.score_counts(joined, "risk_score", LABEL))).first()
+        rows.append((RULES_HERE, *[found[m] for m in metrics]))
     table = _metric_table(train.sparkSession, rows, "model", metrics)
     winner = F.row_number().over(Window.orderBy(F.col("roc_auc").desc(), "model")) == 1
-    return table.withColumn("winner", winner).orderBy(F.col("roc_auc").desc(), "model")
+    return table.withColumn("winner", winner).orderBy(F.col("roc_auc").desc(), "model"), counts, fitted
 
 
 def feature_importance(model: TreeModel | PipelineModel, top: int = 12) -> DataFrame:

@@ -2,64 +2,67 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderrisk.functions import fixed_values as fixed
 from orderrisk.functions.hashing import hash60
 from orderrisk.functions.numbers import whole_div
+from orderrisk.session import cut_lineage
 
 from .neighbours import nearest_neighbours
 
-# The hash has 60 bits; two rounds of 12 bits narrow the cut to one row in 16 million.
-_ROUNDS = (48, 36)
-_MASK = (1 << 12) - 1
+# The upper bits of the hash's 60 that rows are counted by; a cut then looks at the rows of one value of them.
+_PREFIX_BITS = 16
 # Synthetic rows made by one task from one original row.
 _BLOCK = 10_000
 
 
-def _cut(rows: DataFrame, quotas: DataFrame) -> DataFrame:
+def _cut(rows: DataFrame, counts: DataFrame, quotas: DataFrame) -> DataFrame:
     """Per group, the hash and key of the last row inside the quota: (_g, _cut_hash, _cut_key).
 
-    ``rows`` has (_g, _h, _key), ``quotas`` (_g, _quota). Each round counts rows per 12-bit prefix,
-    combined map-side, and keeps the prefix in which the quota is reached; only the few rows that
-    share the last prefix are sorted.
+    ``rows`` has (_g, _h, _key), ``counts`` (_g, _p, _n) is the number of rows per group and hash prefix, ``quotas`` (_g, _quota).
+    The counts tell in which prefix the quota is reached, and only the rows of that prefix are looked at and sorted.
     """
-    within = quotas.where(F.col("_quota") > 0).select("_g", F.col("_quota").alias("_rest"))
-    left = rows
-    for shift in _ROUNDS:
-        prefix = F.shiftrightunsigned(F.col("_h"), shift).bitwiseAND(F.lit(_MASK))
-        left = left.withColumn("_p", prefix)
-        counts = left.groupBy("_g", "_p").agg(F.count(F.lit(1)).alias("_n"))
-        upto = F.sum("_n").over(Window.partitionBy("_g").orderBy("_p"))
-        reached = (
-            counts.withColumn("_upto", upto)
-            .join(F.broadcast(within), "_g")
-            .where((F.col("_upto") >= F.col("_rest")) & (F.col("_upto") - F.col("_n") < F.col("_rest")))
-            .select("_g", "_p", (F.col("_rest") - F.col("_upto") + F.col("_n")).alias("_rest"))
-        )
-        left = left.join(F.broadcast(reached.select("_g", "_p")), ["_g", "_p"], "left_semi")
-        within = reached.select("_g", "_rest")
+    wanted = quotas.where(F.col("_quota") > 0)
+    upto = F.sum("_n").over(Window.partitionBy("_g").orderBy("_p"))
+    # One row a group.
+    reached = (
+        counts.withColumn("_upto", upto)
+        .join(F.broadcast(wanted), "_g")
+        .where((F.col("_upto") >= F.col("_quota")) & (F.col("_upto") - F.col("_n") < F.col("_quota")))
+        .select("_g", "_p", (F.col("_quota") - F.col("_upto") + F.col("_n")).alias("_rest"))
+    )
     place = F.row_number().over(Window.partitionBy("_g").orderBy("_h", "_key"))
     return (
-        left.withColumn("_place", place)
-        .join(F.broadcast(within), "_g")
+        rows.withColumn("_p", _prefix())
+        .join(F.broadcast(reached), ["_g", "_p"])
+        .withColumn("_place", place)
         .where(F.col("_place") == F.col("_rest"))
         .select("_g", F.col("_h").alias("_cut_hash"), F.col("_key").alias("_cut_key"))
     )
 
 
+def _prefix() -> Column:
+    return F.shiftrightunsigned(F.col("_h"), 60 - _PREFIX_BITS)
+
+
 def mark_first(
-    df: DataFrame, group: Column, key: str, quotas: DataFrame, output: str, salt: str = ""
+    df: DataFrame, group: Column, key: str, quotas_of: Callable[[DataFrame], DataFrame], output: str, salt: str = ""
 ) -> DataFrame:
     """Marks exactly ``_quota`` rows of each group, the first in hash order of the key.
 
-    ``quotas`` has (_g, _quota), one row per group; groups must be few (labels). The choice depends
-    on the keys alone, not on partitions or row order. Keys must be unique.
+    ``quotas_of`` makes (_g, _quota) from (_g, _n), the rows of each group; groups must be few (labels). The choice depends
+    on the keys alone, not on partitions or row order. Keys must be unique. One pass counts rows per prefix of the hash
+    (at most 2**16 numbers a group, written), a second one looks at one prefix, and the last marks.
     """
     hashed = hash60(F.col(key), salt)
     rows = df.select(group.alias("_g"), hashed.alias("_h"), F.col(key).alias("_key"))
-    cuts = _cut(rows, quotas)
+    counts = rows.groupBy("_g", _prefix().alias("_p")).agg(F.count(F.lit(1)).alias("_n"))
+    counts = cut_lineage(counts)
+    cuts = _cut(rows, counts, quotas_of(counts.groupBy("_g").agg(F.sum("_n").alias("_n"))))
     before = (F.col("_h") < F.col("_cut_hash")) | (
         (F.col("_h") == F.col("_cut_hash")) & (F.col(key) <= F.col("_cut_key"))
     )
@@ -83,31 +86,31 @@ def stratified_split(
     the largest remainders.
     """
     num, den = test_share
-    counts = df.groupBy(F.col(label).alias("_g")).agg(F.count(F.lit(1)).alias("_n"))
-    whole = Window.partitionBy()
-    rows = F.sum("_n").over(whole)
-    wanted = whole_div(rows * num + (den - 1), F.lit(den).cast("bigint"))
-    parts = counts.select(
-        "_g",
-        wanted.alias("_wanted"),
-        whole_div(F.col("_n") * wanted, rows).alias("_floor"),
-        ((F.col("_n") * wanted) % rows).alias("_remainder"),
-    )
-    order = F.row_number().over(Window.orderBy(F.col("_remainder").desc(), "_g"))
-    spare = F.col("_wanted") - F.sum("_floor").over(whole)
-    quotas = parts.select(
-        "_g", (F.col("_floor") + F.when(order <= spare, 1).otherwise(0)).alias("_quota")
-    )
+
+    def quotas(counts: DataFrame) -> DataFrame:
+        whole = Window.partitionBy()
+        rows = F.sum("_n").over(whole)
+        wanted = whole_div(rows * num + (den - 1), F.lit(den).cast("bigint"))
+        parts = counts.select(
+            "_g",
+            wanted.alias("_wanted"),
+            whole_div(F.col("_n") * wanted, rows).alias("_floor"),
+            ((F.col("_n") * wanted) % rows).alias("_remainder"),
+        )
+        order = F.row_number().over(Window.orderBy(F.col("_remainder").desc(), "_g"))
+        spare = F.col("_wanted") - F.sum("_floor").over(whole)
+        return parts.select("_g", (F.col("_floor") + F.when(order <= spare, 1).otherwise(0)).alias("_quota"))
+
     return mark_first(df, F.col(label), key, quotas, "is_test")
 
 
 def undersample(train: DataFrame, label: str = "is_fraud", key: str = "order_id") -> DataFrame:
     """All positives and as many negatives, drawn without replacement."""
-    counts = train.groupBy(F.col(label).alias("_g")).agg(F.count(F.lit(1)).alias("_n"))
-    positives = F.coalesce(
-        F.max(F.when(F.col("_g") == 1, F.col("_n"))).over(Window.partitionBy()), F.lit(0)
-    )
-    quotas = counts.select("_g", F.least("_n", positives).alias("_quota"))
+
+    def quotas(counts: DataFrame) -> DataFrame:
+        positives = F.max(F.when(F.col("_g") == 1, F.col("_n"))).over(Window.partitionBy())
+        return counts.select("_g", F.least("_n", F.coalesce(positives, F.lit(0))).alias("_quota"))
+
     drawn = mark_first(train, F.col(label), key, quotas, "_drawn", salt="under")
     return drawn.where("_drawn").drop("_drawn")
 
@@ -145,8 +148,8 @@ def smote(
     if missing and positives <= k:
         raise ValueError(f"{positives} positives are too few: each needs {k} neighbours")
     rounds, rest = divmod(missing, positives) if positives else (0, 0)
-    quotas = train.sparkSession.createDataFrame([(1, rest)], "_g int, _quota bigint")
-    marked = mark_first(minority, F.col(label), key, quotas, "_extra", salt="smote")
+    extra = lambda counts: counts.select("_g", F.lit(rest).cast("bigint").alias("_quota"))
+    marked = mark_first(minority, F.col(label), key, extra, "_extra", salt="smote")
     grouped = marked.groupBy("vec").agg(
         F.min(key).alias("id"),
         F.count(F.lit(1)).alias("mult"),

@@ -10,6 +10,7 @@ from orderrisk.functions import fixed_values as fixed
 from .customers import daily_with_profile, order_velocity
 from .rules import MART_RULES, VARIANT_RULES, Rule, total_score
 from .skew import TASK_ROWS, spread_join
+from .staging import stage
 
 
 def risk_tier(score: Column, floors: list[tuple[int, str]] = fixed.TIER_FLOORS) -> Column:
@@ -116,8 +117,27 @@ def expected_boundary(case_id: Column) -> tuple[Column, Column]:
     return score, flag
 
 
+def boundary_report(orders: DataFrame) -> DataFrame:
+    """Every order replays a boundary case; per case, the score and how many orders agree with it."""
+    scored = score_variant(stage(boundary_orders(orders)))
+    case = (F.pmod("order_id", F.lit(len(fixed.BOUNDARY_CASES))) + 1).cast("int")
+    want_score, want_flag = expected_boundary(F.col("case_id"))
+    agrees = (F.col("risk_score") == want_score) & (F.col("fraud_flag") == want_flag)
+    return (
+        scored.withColumn("case_id", case)
+        .groupBy("case_id")
+        .agg(
+            F.max("risk_score").alias("risk_score"),
+            F.max("fraud_flag").alias("fraud_flag"),
+            F.count(F.lit(1)).alias("orders"),
+            F.count(F.when(agrees, F.lit(1))).alias("as_expected"),
+        )
+    )
+
+
 __all__ = [
     "boundary_orders",
+    "boundary_report",
     "expected_boundary",
     "fct_fraud_signals",
     "fraud_flag",

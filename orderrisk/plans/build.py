@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderrisk.operators import customers, quality, reshape, scoring, staging
+from orderrisk.functions import fixed_values as fixed
+from orderrisk.operators import customers, quality, reshape, rules, scoring, staging
+from orderrisk.session import cut_lineage
 from orderrisk.sources import files
 
 
@@ -43,3 +45,18 @@ def build_mart(orders: DataFrame, mart_path: str, check: bool = True) -> DataFra
     if check:
         quality.require(quality.run_suite(tables))
     return tables["fct_fraud_signals"]
+
+
+def stress(orders: DataFrame) -> dict[str, DataFrame]:
+    """Scores a feed with the variant rules; raises if a rule never fires or a boundary case is scored wrong.
+
+    The boundary cases are replayed by as many orders as the feed has. Both tables have one row per rule or case.
+    """
+    stg = staging.stage(orders)
+    coverage = cut_lineage(rules.rule_coverage(scoring.score_variant(stg), rules.VARIANT_RULES, fixed.COVERAGE_RULE_LABELS))
+    cases = cut_lineage(scoring.boundary_report(stg.select("order_id")))
+    silent = [f"rule {r['rule']} never fires" for r in coverage.where("not fires").collect()]
+    wrong = [f"boundary case {r['case_id']} is scored {r['risk_score']}" for r in cases.where("as_expected < orders").collect()]
+    if silent or wrong:
+        raise quality.QualityError("; ".join(sorted([*silent, *wrong])))
+    return {"rule_coverage": coverage, "score_boundaries": cases}

@@ -45,11 +45,23 @@ def predict(mart: DataFrame, out: str) -> dict[str, DataFrame]:
 
 
 def compare(mart: DataFrame, out: str, iters: int = 200, trees: int = 200) -> dict[str, DataFrame]:
-    """Ways to treat the imbalance, and candidate models, side by side."""
+    """Ways to treat the imbalance, and candidate models, side by side, each with its report and curves.
+
+    Importances are those of the best candidate.
+    """
     train_rows, test_rows = split_rows(mart, f"{out}/model_rows")
+    strategies, strategy_counts = models.compare_strategies(train_rows, test_rows)
+    compared, counts, fitted = models.compare_models(
+        train_rows, test_rows, iters, trees, rule_scores=mart.select("order_id", "risk_score")
+    )
+    names = [r["model"] for r in compared.collect()]
+    best = next(name for name in names if name in fitted)
     return {
-        "imbalance_comparison": models.imbalance_comparison(train_rows, test_rows),
-        "model_comparison": models.model_comparison(train_rows, test_rows, iters, trees),
+        "imbalance_comparison": strategies,
+        "model_comparison": compared,
+        "winner_importance": models.feature_importance(fitted[best]).select(F.lit(best).alias("model"), "*"),
+        **{f"imbalance_{kind}": table for kind, table in models.reports_of(strategy_counts).items()},
+        **{f"model_{kind}": table for kind, table in models.reports_of(counts).items()},
     }
 
 

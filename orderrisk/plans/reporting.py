@@ -10,9 +10,17 @@ from orderrisk.operators import eda, evaluate, report, rules
 
 
 def report_tables(
-    mart: DataFrame, preds: DataFrame | None = None, metrics: DataFrame | None = None
+    mart: DataFrame,
+    preds: DataFrame | None = None,
+    metrics: DataFrame | None = None,
+    tier: str | None = None,
+    payment: str | None = None,
+    category: str | None = None,
 ) -> dict[str, DataFrame]:
-    """All report tables. Without predictions or metrics those parts read N/A, null or 0."""
+    """All report tables. Without predictions or metrics those parts read N/A, null or 0.
+
+    The export holds those of the top orders that fit the choices, as the filtered table shows them.
+    """
     spark = mart.sparkSession
     if metrics is None:
         metrics = spark.createDataFrame([], "metric string, value double")
@@ -33,7 +41,7 @@ def report_tables(
         "ml_metric_cards": report.ml_metric_cards(metrics),
         "ml_summary": ml_summary,
         "flagged_top50": report.flagged_bars(top),
-        "flagged_export": report.sorted_export(top),
+        "flagged_export": report.sorted_export(report.flagged_filter(top, tier, payment, category)),
     }
 
 

@@ -130,21 +130,7 @@ def rule_coverage(spark: SparkSession, d: str) -> DataFrame:
 
 def score_boundaries(spark: SparkSession, d: str) -> DataFrame:
     """Every order replays a boundary case; per case, the score and how many orders agree with it."""
-    replay = scoring.boundary_orders(feeds.orders(spark, d).select("order_id"))
-    scored = scoring.score_variant(staging.stage(replay))
-    case = (F.pmod("order_id", F.lit(len(fixed.BOUNDARY_CASES))) + 1).cast("int")
-    want_score, want_flag = scoring.expected_boundary(F.col("case_id"))
-    agrees = (F.col("risk_score") == want_score) & (F.col("fraud_flag") == want_flag)
-    return (
-        scored.withColumn("case_id", case)
-        .groupBy("case_id")
-        .agg(
-            F.max("risk_score").alias("risk_score"),
-            F.max("fraud_flag").alias("fraud_flag"),
-            F.count(F.lit(1)).alias("orders"),
-            F.count(F.when(agrees, F.lit(1))).alias("as_expected"),
-        )
-    )
+    return scoring.boundary_report(feeds.orders(spark, d).select("order_id"))
 
 
 def rule_attribution(spark: SparkSession, d: str) -> DataFrame:

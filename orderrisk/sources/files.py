@@ -55,9 +55,9 @@ def read_csv_text(spark: SparkSession, path: str, columns: list[str]) -> DataFra
     )
 
 
-def read_orders(spark: SparkSession, path: str) -> DataFrame:
-    """The 13-column order feed as text; ``staging.stage`` casts it."""
-    return read_csv_text(spark, path, ORDER_COLUMNS)
+def read_orders(spark: SparkSession, path: str, labelled: bool = True) -> DataFrame:
+    """The 13-column order feed as text, or 12 columns without the label; ``staging.stage`` casts it."""
+    return read_csv_text(spark, path, ORDER_COLUMNS if labelled else ORDER_COLUMNS[:-1])
 
 
 def read_card_txns(spark: SparkSession, path: str) -> DataFrame:

@@ -44,15 +44,22 @@ def test_auc_and_average_precision(spark, ties):
     assert got["avg_precision"] == pytest.approx(brute_ap(scores, labels), abs=1e-9)
 
 
-def test_ranges_give_the_same_counts_as_one_window(spark):
+def test_ranges_give_the_same_counts_and_curve_as_one_window(spark):
     scores, labels = sample(2000, False, 3)
     counts = evaluate.score_counts(frame(spark, scores, labels), "s", "y").persist()
-    whole = sorted(map(tuple, evaluate.cumulate(counts).collect()))
-    splits = evaluate.score_splits(counts, 16)
-    assert 10 < len(splits) <= 17
-    assert sorted(map(tuple, evaluate.cumulate(counts, splits).collect())) == whole
-    ranked = models.ranking(counts, range_rows=100)
-    assert sorted(map(tuple, ranked.collect())) == whole
+    cum, ranked = evaluate.cumulate(counts), evaluate.ranked(counts, range_rows=100)
+    assert sorted(map(tuple, ranked.drop("inside").collect())) == sorted(map(tuple, cum.collect()))
+    want = sorted(map(tuple, evaluate.roc_curve(cum).collect()))
+    assert sorted(map(tuple, evaluate.roc_curve(ranked).collect())) == want and len(want) < 2000
+    # No window over everything but that over one row a range.
+    plan = evaluate.roc_curve(ranked)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange SinglePartition") <= 3 and "threshold" not in "".join(x for x in plan.splitlines() if "SinglePartition" in x)
+
+
+def test_ranked_counts_of_no_rows_and_one_score(spark):
+    none = evaluate.score_counts(frame(spark, [1.0], [1]), "s", "y")
+    assert [tuple(r) for r in evaluate.ranked(none).collect()] == [(1.0, 1, 0, 1, 0, 1, 0, False)]
+    assert evaluate.ranked(none.where("false")).count() == 0
 
 
 def test_auc_does_not_change_under_a_monotone_map(spark, small_dir):
@@ -104,3 +111,17 @@ def test_confusion_from_counts(spark, small_dir):
     counts = evaluate.score_counts(mart, "risk_score", "is_fraud")
     want = evaluate.confusion(mart, "fraud_flag", "is_fraud").first()
     assert evaluate.confusion_at(counts, 50).first() == want
+
+
+def test_reports_of_several_scores(spark, small_dir):
+    mart = tables.mart(spark, small_dir)
+    share = mart.withColumn("prob", F.col("risk_score") / 165)
+    counts = {name: evaluate.score_counts(df, "prob", "is_fraud") for name, df in (("all", share), ("few", share.where("order_id < 500")))}
+    found = models.reports_of(counts)
+    assert sorted(found) == ["classification_report", "confusion_matrix", "pr_curve", "roc_curve"]
+    cells = {r["model"]: r for r in found["confusion_matrix"].collect()}
+    want = evaluate.confusion(share.withColumn("p", (F.col("prob") >= 0.5).cast("int")), "p", "is_fraud").first()
+    assert tuple(cells["all"])[1:] == tuple(want)
+    assert found["classification_report"].where("class = 'Fraud'").count() == 2
+    cum = evaluate.cumulate(counts["all"])
+    assert sorted(map(tuple, found["roc_curve"].where("model = 'all'").drop("model").collect())) == sorted(map(tuple, evaluate.roc_curve(cum).collect()))

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from orderrisk import __main__ as cli
+from orderrisk.operators import quality, sampling, scoring
+from orderrisk.plans import build, reporting
 from orderrisk.registry import core_queries, model_queries, tables
 from orderrisk.sources import feeds, files
 
@@ -91,6 +93,35 @@ def test_jobs_from_card_feed_to_report(spark, small_dir, folder):
     assert spark.table("int_customer_risk_profile").count() == mart.select("customer_id").distinct().count()
 
 
+def test_the_export_shows_what_the_filters_show(spark, small_dir):
+    mart = tables.mart(spark, small_dir)
+    whole = reporting.report_tables(mart)["flagged_export"].collect()
+    tier, payment = whole[0][-1], whole[0][4]
+    some = reporting.report_tables(mart, tier=tier, payment=payment)["flagged_export"].collect()
+    assert some == [r for r in whole if r[-1] == tier and r[4] == payment] and 0 < len(some) < len(whole)
+
+
+def test_the_stress_job_names_what_fails(spark, small_dir, folder, monkeypatch):
+    files.write_csv(feeds.stress_orders(spark, small_dir), f"{folder}/orders")
+    cli.main(["stress", "--orders", f"{folder}/orders", "--out", f"{folder}/out"], spark)
+    assert spark.read.parquet(f"{folder}/out/rule_coverage").where("not fires").count() == 0
+    assert spark.read.parquet(f"{folder}/out/score_boundaries").count() == 10
+    few = files.read_orders(spark, f"{folder}/orders", labelled=False).where("payment_method != 'crypto'")
+    with pytest.raises(quality.QualityError, match="rule .* never fires"):
+        build.stress(few)
+    cases = [(changes, score + (i == 3), flag) for i, (changes, score, flag) in enumerate(scoring.fixed.BOUNDARY_CASES)]
+    monkeypatch.setattr(scoring.fixed, "BOUNDARY_CASES", cases)
+    with pytest.raises(quality.QualityError, match="boundary case 4 is scored"):
+        build.stress(files.read_orders(spark, f"{folder}/orders", labelled=False))
+
+
+def test_a_cut_reads_its_rows_twice_and_marks_them_once(spark, small_dir):
+    labelled = tables.mart(spark, small_dir).select("order_id", "is_fraud")
+    df = sampling.stratified_split(labelled)
+    # The counts are written before; one scan looks at one prefix, one marks.
+    assert plan_of(df).count("ReadSchema: struct<order_id") == 2
+
+
 def test_the_metrics_file_is_one_flat_object(spark, small_dir):
     core_queries.metrics_long(spark, small_dir)
     text = spark.read.text(tables.folder(spark, small_dir, "metrics_json")).agg(F.first("value")).first()[0]
