@@ -25,16 +25,16 @@ _NUMBERS = [
     "ip_mismatch",
     "high_velocity",
 ]
-_NAMES = _NUMBERS + [f"{column}_{word}" for column, word in _DUMMIES]
+NAMES = _NUMBERS + [f"{column}_{word}" for column, word in _DUMMIES]
 
-_FEATURES = f"""
+FEATURE_SQL = f"""
 inputs as (
   select order_id, is_fraud, {", ".join(f"cast({c} as double) as {c}" for c in _NUMBERS)},
     {", ".join(f'case when {c} = {chr(39)}{w}{chr(39)} then 1.0::double else 0.0::double end as "{c}_{w}"' for c, w in _DUMMIES)}
   from mart)"""
 
 
-def _hash(salt: str) -> str:
+def key_hash(salt: str) -> str:
     return f"('0x' || substr(md5(cast(order_id as varchar) || '{salt}'), 1, 15))::bigint"
 
 
@@ -48,17 +48,17 @@ quotas as (
       <= wanted - (select sum(part) from sizes) then 1 else 0 end as quota from sizes),
 split as (
   select m.order_id, m.is_fraud,
-    row_number() over (partition by m.is_fraud order by {_hash("").replace("order_id", "m.order_id")}, m.order_id)
+    row_number() over (partition by m.is_fraud order by {key_hash("").replace("order_id", "m.order_id")}, m.order_id)
       <= q.quota as is_test
   from mart m join quotas q on m.is_fraud = q.is_fraud)"""
 
 _SCALED = ", ".join(
     f"""round((i."{n}" - avg(i."{n}") filter (where not is_test) over ())
       / coalesce(nullif(stddev_pop(i."{n}") filter (where not is_test) over (), 0), 1), 6) as "{n}\""""
-    for n in _NAMES
+    for n in NAMES
 )
 
-_Z = [f"z{i}" for i in range(len(_NAMES))]
+_Z = [f"z{i}" for i in range(len(NAMES))]
 
 
 def _tag_hash(salt: str) -> str:
@@ -71,7 +71,7 @@ z_rows as (
   select i.order_id, i.is_fraud, s.is_test, {", ".join(
     f"""(i."{n}" - avg(i."{n}") filter (where not is_test) over ())
       / coalesce(nullif(stddev_pop(i."{n}") filter (where not is_test) over (), 0), 1) as z{i}"""
-    for i, n in enumerate(_NAMES))}
+    for i, n in enumerate(NAMES))}
   from inputs i join split s on i.order_id = s.order_id),
 z_train as (select * from z_rows where not is_test),
 need as (
@@ -79,7 +79,7 @@ need as (
     greatest(count(*) filter (where is_fraud = 0) - count(*) filter (where is_fraud = 1), 0) as missing
   from z_train),
 extra as (
-  select *, row_number() over (order by {_hash("smote")}, order_id) <= (select missing % pos from need) as more
+  select *, row_number() over (order by {key_hash("smote")}, order_id) <= (select missing % pos from need) as more
   from z_train where is_fraud = 1),
 points as (
   select min(order_id) as id, count(*) as mult,
@@ -103,17 +103,17 @@ drawn as (
   from made m join sizes_of s on m.id = s.id)"""
 
 _SMOTE_ROWS = f""" select order_id, cast(0 as bigint) as copy, is_fraud,
-    {", ".join(f'round(z{i}, 6) as "{n}"' for i, n in enumerate(_NAMES))} from z_train
+    {", ".join(f'round(z{i}, 6) as "{n}"' for i, n in enumerate(NAMES))} from z_train
   union all
-  select d.id, d.copy, 1, {", ".join(f'round(a.z{i} + (b.z{i} - a.z{i}) * d.at, 6)' for i in range(len(_NAMES)))}
+  select d.id, d.copy, 1, {", ".join(f'round(a.z{i} + (b.z{i} - a.z{i}) * d.at, 6)' for i in range(len(NAMES)))}
   from drawn d join points a on d.id = a.id join slots s on d.id = s.id and d.slot = s.slot
     join points b on s.nid = b.id"""
 
 ORACLES = {
-    "smote_oversample": with_mart(_FEATURES, _SPLIT, _SMOTE) + _SMOTE_ROWS,
-    "feature_matrix": with_mart(_FEATURES) + " select * from inputs",
+    "smote_oversample": with_mart(FEATURE_SQL, _SPLIT, _SMOTE) + _SMOTE_ROWS,
+    "feature_matrix": with_mart(FEATURE_SQL) + " select * from inputs",
     "stratified_split": with_mart(_SPLIT) + " select * from split",
-    "standard_scale": with_mart(_FEATURES, _SPLIT)
+    "standard_scale": with_mart(FEATURE_SQL, _SPLIT)
     + f" select i.order_id, s.is_test, {_SCALED} from inputs i join split s on i.order_id = s.order_id",
     "class_weights": with_mart(_SPLIT)
     + """ select is_fraud, count(*) as orders,
@@ -123,10 +123,10 @@ ORACLES = {
       from split where not is_test group by 1""",
     "undersample": with_mart(_SPLIT)
     + f""" select order_id, is_fraud from (
-        select order_id, is_fraud, row_number() over (partition by is_fraud order by {_hash("under")}, order_id) as rn
+        select order_id, is_fraud, row_number() over (partition by is_fraud order by {key_hash("under")}, order_id) as rn
         from split where not is_test)
       where is_fraud = 1 or rn <= (select count(*) from split where not is_test and is_fraud = 1)""",
     "shap_sample": with_mart(_SPLIT)
     + f""" select order_id, is_fraud from split where is_test
-      order by {_hash("sample")}, order_id limit 5000""",
+      order by {key_hash("sample")}, order_id limit 5000""",
 }
