@@ -47,7 +47,7 @@ def main(arguments: list[str] | None = None, spark: SparkSession | None = None)
     elif args.job == "stress":
         _write_all(build.stress(files.read_orders(spark, args.orders, labelled=False)), args.out)
     else:
-        mart = spark.read.parquet(args.mart)
+        mart = files.read_table(spark, args.mart)
         if args.job == "train":
             modelling.train(mart, args.out, args.iters)
         elif args.job == "predict":
@@ -61,9 +61,9 @@ def main(arguments: list[str] | None = None, spark: SparkSession | None = None)
         else:
             preds = metrics = None
             if files.exists(spark, f"{args.out}/ml_predictions"):
-                preds = spark.read.parquet(f"{args.out}/ml_predictions")
+                preds = files.read_table(spark, f"{args.out}/ml_predictions")
             if files.exists(spark, f"{args.out}/ml_metrics"):
-                metrics = spark.read.parquet(f"{args.out}/ml_metrics")
+                metrics = files.read_table(spark, f"{args.out}/ml_metrics")
             chosen = {name: getattr(args, name) for name in ("tier", "payment", "category")}
             _write_all(reporting.report_tables(mart, preds, metrics, **chosen), f"{args.out}/report")
             _write_all(reporting.exploration_tables(mart), f"{args.out}/exploration")

@@ -24,6 +24,8 @@ from .trees import TreeModel, matrix, vector
 # Rows and leaves that are worked out together, to bound the memory of a task.
 _ROWS = 64
 _LEAVES = 1024
+# Bins of an input's values within which its interactions are looked for.
+BINS = 20
 
 
 @dataclass(frozen=True)
@@ -126,14 +128,44 @@ def shap_importance(shap: DataFrame) -> DataFrame:
     )
 
 
-def shap_dependence(shap: DataFrame, top: int | None = 3) -> DataFrame:
-    """(feature, rank, order, value, contribution) of the top inputs; of all inputs for None."""
+def shap_interactions(shap: DataFrame, top: int | None = 3, bins: int = BINS, key: str = "order_id") -> DataFrame:
+    """(feature, interacts_with, strength): the other input that tells most about a top input's contribution, its own value known.
+
+    The input's values are cut into ``bins`` of equal width. Within each bin the contribution is correlated with every other
+    input; strength is the mean of the absolute correlations, weighted by rows. Ties go to the first name.
+    """
+    chosen = _chosen(shap, top).select(key, "feature", "value", "contribution")
+    # One row per input.
+    ends = shap.groupBy("feature").agg(F.min("value").alias("low"), F.max("value").alias("high"))
+    share = (F.col("value") - F.col("low")) / F.nullif(F.col("high") - F.col("low"), F.lit(0.0))
+    binned = chosen.join(F.broadcast(ends), "feature").withColumn("bin", F.least(F.coalesce((share * bins).cast("int"), F.lit(0)), F.lit(bins - 1)))
+    others = shap.select(key, F.col("feature").alias("other"), F.col("value").alias("other_value"))
+    pairs = binned.join(others, key).where("feature != other")
+    spread = pairs.groupBy("feature", "other", "bin").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.covar_pop("contribution", "other_value").alias("both"),
+        (F.var_pop("contribution") * F.var_pop("other_value")).alias("apart"),
+    )
+    link = F.when(F.col("apart") > 1e-18, F.abs("both") / F.sqrt("apart")).otherwise(F.lit(0.0))
+    strength = spread.groupBy("feature", "other").agg(F.round(F.sum(link * F.col("n")) / F.sum("n"), 9).alias("strength"))
+    best = F.min(F.struct((-F.col("strength")).alias("less"), "other"))
+    return strength.groupBy("feature").agg(best.alias("b")).select("feature", F.col("b.other").alias("interacts_with"), (-F.col("b.less")).alias("strength"))
+
+
+def _chosen(shap: DataFrame, top: int | None) -> DataFrame:
     ranks = shap_importance(shap).select("feature", "rank")
     chosen = ranks if top is None else ranks.where(F.col("rank") <= top)
     # One row per input at most.
     return shap.drop("base_value").join(F.broadcast(chosen), "feature")
 
 
+def shap_dependence(shap: DataFrame, top: int | None = 3, interactions: bool = True) -> DataFrame:
+    """(feature, rank, order, value, contribution) of the top inputs, all inputs for None, and interacts_with if asked for."""
+    rows = _chosen(shap, top)
+    # One row per input at most.
+    return rows.join(F.broadcast(shap_interactions(shap, top).drop("strength")), "feature", "left") if interactions else rows
+
+
 def shap_local(shap: DataFrame, scored: DataFrame, order, key: str = "order_id", shown: int = 10) -> DataFrame:
     """The first caught and the first missed fraud, each with its largest contributions.
 

@@ -146,7 +146,7 @@ def shap_dependence(spark: SparkSession, d: str) -> DataFrame:
 
 
 def shap_beeswarm(spark: SparkSession, d: str) -> DataFrame:
-    return explain.shap_dependence(tree_shap(spark, d), top=None)
+    return explain.shap_dependence(tree_shap(spark, d), top=None, interactions=False)
 
 
 def shap_local(spark: SparkSession, d: str) -> DataFrame:

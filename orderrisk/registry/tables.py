@@ -27,7 +27,7 @@ def written_once(spark: SparkSession, sf_dir: str, name: str, build) -> DataFram
     if path not in _written:
         files.write_table(build(), path)
         _written.add(path)
-    return spark.read.parquet(path)
+    return files.read_table(spark, path)
 
 
 def stg(spark: SparkSession, sf_dir: str) -> DataFrame:

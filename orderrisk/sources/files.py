@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import time
+import uuid
+
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -71,18 +75,83 @@ def write_csv(df: DataFrame, path: str, quote_all: bool = False) -> None:
     df.write.mode("overwrite").csv(path, header=True, quoteAll=quote_all, escape='"', emptyValue="")
 
 
+_POINTER = "_current"
+
+
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> DataFrame:
-    """Create or replace a Parquet table and return a scan of it."""
-    writer = df.write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    """Create or replace a Parquet table and return a scan of it.
+
+    Each write goes to a folder of its own below ``path``, and a small pointer file is swapped to it last. A write that fails
+    leaves the old table as it is; readers of the old one are not disturbed until the next write, which
+    removes all folders but the last two.
+    """
+    spark = df.sparkSession
+    fs, root = _place(spark, path)
+    jvm = spark._jvm.org.apache.hadoop.fs
+    before = _version(spark, path)
+    name = f"v-{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    writer = df.write.partitionBy(*partition_by) if partition_by else df.write
+    writer.parquet(f"{path}/{name}")
+    fresh = jvm.Path(f"{path}/.{_POINTER}-{name}")
+    out = fs.create(fresh, True)
+    out.writeBytes(name)
+    out.close()
+    pointer = jvm.Path(f"{path}/{_POINTER}")
+    # Not every store replaces a file by renaming; there the pointer is away for a moment, and readers take the last version.
+    if not _replaced(spark, fs, fresh, pointer):
+        fs.delete(pointer, False)
+        fs.rename(fresh, pointer)
+    for status in fs.listStatus(root):
+        old = status.getPath().getName()
+        # Plain files of a table that was written another way are replaced as well.
+        if old not in (name, before, _POINTER) and (before is None or old.startswith("v-")):
+            fs.delete(status.getPath(), True)
+    return spark.read.parquet(f"{path}/{name}")
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """The table that :func:`write_table` wrote last, or plain Parquet files."""
+    name = _version(spark, path)
+    return spark.read.parquet(f"{path}/{name}" if name else path)
+
+
+def _place(spark: SparkSession, path: str):
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return root.getFileSystem(spark._jsc.hadoopConfiguration()), root
+
+
+def _replaced(spark: SparkSession, fs, source, target) -> bool:
+    try:
+        files = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration())
+        rename = spark._jvm.org.apache.hadoop.fs.Options.Rename
+        over = spark.sparkContext._gateway.new_array(rename, 1)
+        over[0] = rename.OVERWRITE
+        files.rename(fs.makeQualified(source), fs.makeQualified(target), over)
+    except Py4JError:
+        return False
+    return True
+
+
+def _version(spark: SparkSession, path: str) -> str | None:
+    """The folder that the pointer names; the last one that was finished if the pointer is being swapped; None for no such table."""
+    fs, root = _place(spark, path)
+    pointer = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{_POINTER}")
+    if fs.exists(pointer):
+        held = fs.open(pointer)
+        try:
+            return held.readLine()
+        finally:
+            held.close()
+    if not fs.exists(root):
+        return None
+    names = sorted(s.getPath().getName() for s in fs.listStatus(root) if s.getPath().getName().startswith("v-"))
+    done = [n for n in names if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{n}/_SUCCESS"))]
+    return done[-1] if done else None
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
+    fs, root = _place(spark, path)
+    return fs.exists(root)
 
 
 def register_views(tables: dict[str, DataFrame]) -> None:

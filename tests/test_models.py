@@ -143,7 +143,8 @@ def test_shap_tables(boosted, test_rows):
     assert [r["rank"] for r in ranks] == list(range(1, 18))
     assert sum(r["top5"] for r in ranks) == 5 and 4 <= sum(r["highlight"] for r in ranks) <= 6
     assert explain.shap_dependence(shap).count() == 3 * 200
-    assert explain.shap_dependence(shap, top=None).count() == 17 * 200
+    assert explain.shap_dependence(shap, top=None, interactions=False).count() == 17 * 200
+    assert {r["interacts_with"] for r in explain.shap_dependence(shap).collect()} <= set(FEATURES)
     scored = models.scored(boosted, test_rows)
     local = explain.shap_local(shap, scored, hash60(F.col("order_id"), "sample")).toPandas()
     for _, part in local.groupby("case"):
@@ -152,6 +153,33 @@ def test_shap_tables(boosted, test_rows):
         assert part["contribution"].sum() + part["base_value"].iloc[0] == pytest.approx(np.log(p / (1 - p)), abs=1e-6)
 
 
+def test_interacting_inputs_equal_those_of_numpy(spark):
+    rng = np.random.default_rng(8)
+    x = np.column_stack([rng.random(600), rng.random(600), rng.integers(0, 2, 600), np.full(600, 3.0)])
+    # a works with c, b with nothing, d is constant.
+    found = np.column_stack([x[:, 0] * (x[:, 2] - 0.5), np.sin(5 * x[:, 1]), 0.1 * x[:, 2], 0 * x[:, 3]])
+    names = ["a", "b", "c", "d"]
+    rows = [(i, n, float(x[i, j]), float(found[i, j]), 0.0) for i in range(600) for j, n in enumerate(names)]
+    shap = spark.createDataFrame(rows, "order_id long, feature string, value double, contribution double, base_value double")
+    got = {r["feature"]: (r["interacts_with"], r["strength"]) for r in explain.shap_interactions(shap, top=None).collect()}
+    for j, name in enumerate(names):
+        width = np.ptp(x[:, j])
+        bins = np.minimum((x[:, j] - x[:, j].min()) / width * 20, 19).astype(int) if width else np.zeros(600, int)
+        strength = {}
+        for g, other in enumerate(names):
+            if g == j:
+                continue
+            total = 0.0
+            for b in np.unique(bins):
+                u, v = found[bins == b, j], x[bins == b, g]
+                if u.var() * v.var() > 1e-18:
+                    total += abs(((u - u.mean()) * (v - v.mean())).mean()) / np.sqrt(u.var() * v.var()) * len(u)
+            strength[other] = round(total / 600, 9)
+        best = min(strength, key=lambda n: (-strength[n], n))
+        assert got[name][0] == best and got[name][1] == pytest.approx(strength[best], abs=1e-8)
+    assert got["a"][0] == "c" and got["a"][1] > 0.9
+
+
 def test_every_row_donates_once_per_repeat(train):
     x = train.select("order_id", F.array("order_amount", "order_hour").alias("x"))
     pairs = permuting.permuted(x, 3).toPandas()

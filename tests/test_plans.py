@@ -1,6 +1,7 @@
 """The shape of the physical plans, and the jobs from feed to report."""
 
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -75,19 +76,19 @@ def test_jobs_from_card_feed_to_report(spark, small_dir, folder):
     files.write_csv(cards, f"{folder}/cards")
     cli.main(["reshape", "--cards", f"{folder}/cards", "--orders", f"{folder}/orders"], spark)
     cli.main(["build", "--orders", f"{folder}/orders", "--mart", f"{folder}/mart"], spark)
-    mart = spark.read.parquet(f"{folder}/mart")
+    mart = files.read_table(spark, f"{folder}/mart")
     assert mart.count() == 1000 and len(mart.columns) == 22
     assert dict(mart.dtypes)["order_id"] == "string"
     cli.main(["report", "--mart", f"{folder}/mart", "--out", f"{folder}/out"], spark)
-    cards_before = spark.read.parquet(f"{folder}/out/report/ml_metric_cards").collect()
+    cards_before = files.read_table(spark, f"{folder}/out/report/ml_metric_cards").collect()
     assert {r["value"] for r in cards_before} == {"N/A"}
     for job in ("train", "predict"):
         cli.main([job, "--mart", f"{folder}/mart", "--out", f"{folder}/out", "--iters", "2"], spark)
     cli.main(["explain", "--mart", f"{folder}/mart", "--out", f"{folder}/out"], spark)
     cli.main(["report", "--mart", f"{folder}/mart", "--out", f"{folder}/out"], spark)
-    cards_after = spark.read.parquet(f"{folder}/out/report/ml_metric_cards").collect()
+    cards_after = files.read_table(spark, f"{folder}/out/report/ml_metric_cards").collect()
     assert "N/A" not in {r["value"] for r in cards_after}
-    assert spark.read.parquet(f"{folder}/out/shap_importance").count() == 17
+    assert files.read_table(spark, f"{folder}/out/shap_importance").count() == 17
     export = spark.read.option("header", True).csv(f"{folder}/out/report/flagged_export")
     assert export.count() == min(50, mart.where("fraud_flag = 1").count())
     assert spark.table("int_customer_risk_profile").count() == mart.select("customer_id").distinct().count()
@@ -104,8 +105,8 @@ def test_the_export_shows_what_the_filters_show(spark, small_dir):
 def test_the_stress_job_names_what_fails(spark, small_dir, folder, monkeypatch):
     files.write_csv(feeds.stress_orders(spark, small_dir), f"{folder}/orders")
     cli.main(["stress", "--orders", f"{folder}/orders", "--out", f"{folder}/out"], spark)
-    assert spark.read.parquet(f"{folder}/out/rule_coverage").where("not fires").count() == 0
-    assert spark.read.parquet(f"{folder}/out/score_boundaries").count() == 10
+    assert files.read_table(spark, f"{folder}/out/rule_coverage").where("not fires").count() == 0
+    assert files.read_table(spark, f"{folder}/out/score_boundaries").count() == 10
     few = files.read_orders(spark, f"{folder}/orders", labelled=False).where("payment_method != 'crypto'")
     with pytest.raises(quality.QualityError, match="rule .* never fires"):
         build.stress(few)
@@ -122,6 +123,22 @@ def test_a_cut_reads_its_rows_twice_and_marks_them_once(spark, small_dir):
     assert plan_of(df).count("ReadSchema: struct<order_id") == 2
 
 
+def test_a_write_that_fails_leaves_the_old_table(spark, folder):
+    path = f"{folder}/table"
+    spark.range(5).write.parquet(path)
+    assert files.read_table(spark, path).count() == 5
+    assert files.write_table(spark.range(7), path).count() == 7
+    held = files.read_table(spark, path)
+    broken = spark.range(0, 100, 1, 4).selectExpr("if(id = 99, raise_error('half way'), id) as id")
+    with pytest.raises(Exception, match="half way"):
+        files.write_table(broken, path)
+    assert files.read_table(spark, path).count() == 7
+    files.write_table(spark.range(9), path)
+    # A reader of the table before is not disturbed by one write.
+    assert held.count() == 7 and files.read_table(spark, path).count() == 9
+    assert len([f for f in os.listdir(path) if f.startswith("v-")]) == 2
+
+
 def test_the_metrics_file_is_one_flat_object(spark, small_dir):
     core_queries.metrics_long(spark, small_dir)
     text = spark.read.text(tables.folder(spark, small_dir, "metrics_json")).agg(F.first("value")).first()[0]
