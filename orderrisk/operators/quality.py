@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from orderrisk.functions import fixed_values as fixed
@@ -102,6 +103,33 @@ def run_suite(tables: dict[str, DataFrame], suite: dict | None = None, tests: se
     return reduce(DataFrame.unionByName, parts)
 
 
+def written_and_checked(df: DataFrame, model: str, write: Callable[[DataFrame], DataFrame], suite: dict | None = None) -> tuple[DataFrame, DataFrame]:
+    """The written table and its check results: nulls and values outside their list are counted while ``write`` runs.
+
+    Keys take one grouped pass over what was written. Only if a value is outside its list is the table read again, to
+    count how many different ones there are.
+    """
+    checks = (suite or SUITE)[model]
+    nulls, accepted = checks.get("not_null", []), checks.get("accepted_values", {})
+    spark = df.sparkSession
+    seen: dict[str, int] = {}
+    if nulls or accepted:
+        watch = Observation(model)
+        bad = [f"count_if({column} not in ({', '.join(text.literal(v) for v in values)})) as bad_{column}" for column, values in accepted.items()]
+        written = write(df.observe(watch, *[F.expr(f"count_if({column} is null) as null_{column}") for column in nulls], *map(F.expr, bad)))
+        seen = watch.get
+    else:
+        written = write(df)
+    rows = [(model, column, "not_null", int(seen[f"null_{column}"])) for column in nulls]
+    rows += [(model, column, "accepted_values", 0) for column in accepted if not seen[f"bad_{column}"]]
+    parts = [spark.createDataFrame(rows, "model string, column string, test string, failures bigint")]
+    parts += [unique(written, model, key) for key in checks.get("unique", [])]
+    failing = {column: values for column, values in accepted.items() if seen[f"bad_{column}"]}
+    if failing:
+        parts.append(accepted_values(written, model, failing))
+    return written, reduce(DataFrame.unionByName, parts)
+
+
 def require(results: DataFrame) -> None:
     """Raise when any check failed. The result table has one row per check."""
     failed = results.where(F.col("failures") > 0).collect()

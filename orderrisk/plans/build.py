@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 
 from orderrisk.functions import fixed_values as fixed
@@ -20,11 +22,9 @@ def reshape_cards(spark: SparkSession, card_csv: str, orders_csv: str) -> DataFr
     )
 
 
-def tables_of(orders: DataFrame) -> dict[str, DataFrame]:
-    """Staging, velocity, profile and mart of a feed; nothing runs yet."""
-    stg = staging.stage(orders)
+def tables_of(stg: DataFrame) -> dict[str, DataFrame]:
+    """Velocity, profile and mart of a staged feed; nothing runs yet."""
     return {
-        "stg_transactions": stg,
         "int_customer_order_velocity": customers.order_velocity(stg),
         "int_customer_risk_profile": customers.risk_profile(stg),
         "fct_fraud_signals": scoring.fct_fraud_signals(stg),
@@ -34,16 +34,24 @@ def tables_of(orders: DataFrame) -> dict[str, DataFrame]:
 def build_mart(orders: DataFrame, mart_path: str, check: bool = True) -> DataFrame:
     """Writes the mart as a table and registers the other tables as views.
 
-    The ids are checked before, since a repeated order id would be scored twice; the whole suite
-    runs afterwards, on the written mart.
+    With ``check`` every table is written once, the others in the shared folder, and checked while it is written. The ids
+    come first, since a repeated order id would be scored twice. All checks that failed are named together.
     """
-    tables = tables_of(orders)
-    if check:
-        quality.require(quality.unique(tables["stg_transactions"], "stg_transactions", "order_id"))
-    tables["fct_fraud_signals"] = files.write_table(tables["fct_fraud_signals"], mart_path)
+    stg = staging.stage(orders)
+    if not check:
+        tables = {"stg_transactions": stg, **tables_of(stg)}
+        tables["fct_fraud_signals"] = files.write_table(tables["fct_fraud_signals"], mart_path)
+        files.register_views(tables)
+        return tables["fct_fraud_signals"]
+    stg, found = quality.written_and_checked(stg, "stg_transactions", cut_lineage)
+    quality.require(found.where("test = 'unique'"))
+    tables, results = {"stg_transactions": stg}, [found]
+    for model, df in tables_of(stg).items():
+        last = model == "fct_fraud_signals"
+        tables[model], found = quality.written_and_checked(df, model, (lambda t: files.write_table(t, mart_path)) if last else cut_lineage)
+        results.append(found)
     files.register_views(tables)
-    if check:
-        quality.require(quality.run_suite(tables))
+    quality.require(reduce(DataFrame.unionByName, results))
     return tables["fct_fraud_signals"]
 
 
