@@ -72,3 +72,11 @@ def test_rows_are_judged_not_doc_ids(spark, small_dir):
     docs = spark.createDataFrame([(k, t, "en", "s", 1) for k, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
     kept = corpus_pipeline.near_duplicate_stage(spark, docs, small_dir).collect()
     assert sorted((str(r.doc_id), str(r.text)) for r in kept) == [("1", " "), ("1", "None"), ("1", first), ("1", second), ("3", "s t u v w x"), ("None", "s t u v w x")]
+
+
+def test_columns_with_the_helpers_names_come_through(spark, small_dir):
+    rows = [(1, "a b c d e f g", 11, 12, 13), (2, "a b c d e f g", 21, 22, 23), (3, "k l m n o p q", 31, 32, 33)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _row int, _again int, _key int")
+    for stage, kept in ((corpus_pipeline.near_duplicate_stage, [1, 3]), (corpus_pipeline.decontamination_stage, [1, 2, 3])):
+        found = sorted(map(tuple, stage(spark, docs, small_dir).collect()))
+        assert found == [r for r in rows if r[0] in kept]

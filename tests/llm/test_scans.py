@@ -1,5 +1,6 @@
 import hashlib
 import re
+import time
 
 import numpy as np
 
@@ -155,3 +156,16 @@ def test_wrappers_around_the_article():
     # Without a wrapper nothing beside the article comes in, however long.
     free = f"<body><div class='post'>{body}</div><div class='comments'><p>" + "A reader says much. " * 90 + "</p></div></body>"
     assert html_text.main_text(free) == want
+
+
+def test_adverts_within_a_line_are_left_out():
+    page = "<html><body><article><p>Start <span class='ad'>BUY <b>now</b></span> end of it. <a class='share'>Share</a></p><p>And <span style='display: none'>x</span>more.</p></article></body></html>"
+    assert html_text.main_text(page) == "Start end of it. And more."
+
+
+def test_long_and_deep_pages_take_time_in_proportion():
+    for piece in ("<i>word ", "<b><p>word ", "<div>word</i></b> ", "<span class='ad'>word ", "<a>word "):
+        page = "<p>Begin of a page. " + piece * (1_000_000 // len(piece))
+        start = time.perf_counter()
+        html_text.main_text(page)
+        assert time.perf_counter() - start < 8
