@@ -11,29 +11,46 @@ from orderrisk.session import cut_lineage
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier does not reject. An empty table stays empty."""
+    """Documents that the classifier does not reject.
+
+    Null and empty texts have a score like others, repeated rows share it, columns of any name come through, and an empty
+    table stays empty.
+    """
     measured = cut_lineage(quality.statistics(docs))
     model = quality.fit(measured, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return quality.accepted(docs, model)
 
 
+def _free(docs: DataFrame, *names: str) -> list[str]:
+    """The names, with underscores added until no column has them."""
+    taken = {c.lower() for c in docs.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of near duplicates: that of the smallest doc_id, then the smallest hash of its text.
 
     Rows are judged, not doc_ids: rows that share a doc_id and are in different groups all stay. Rows without
     words are in no group and stay, and so do rows without a doc_id. Of rows that repeat doc_id and text the one
-    with the smallest other columns stays.
+    with the smallest other columns stays. Rows are told apart by a 64-bit hash of doc_id and text. Columns of any name come
+    through, and an empty table stays empty.
     """
-    keyed = docs.withColumn("_row", F.xxhash64("doc_id", "text"))
-    rows = keyed.where("doc_id is not null").groupBy("_row").agg(F.min("doc_id").alias("doc_id"), F.min(F.xxhash64("text")).alias("hash"), F.count("*").alias("n"))
-    found = jaccard.join(keyed, key="_row").where("n_shingles > 0").select("_row", "component_id").distinct()
-    judged = cut_lineage(found.join(rows, "_row"))
-    first = judged.groupBy("component_id").agg(F.min(F.struct("doc_id", "hash", "_row")).alias("first")).select("first._row")
-    gone = judged.select("_row").join(first, "_row", "left_anti")
-    again = judged.where("n > 1").select("_row", F.lit(True).alias("_again"))
-    left = keyed.join(gone, "_row", "left_anti").join(again, "_row", "left")
-    repeated = left.where("_again").groupBy("_row").agg(F.min(F.struct(*docs.columns)).alias("kept")).select("kept.*")
-    return left.where("_again is null").select(docs.columns).unionByName(repeated)
+    row, twice = _free(docs, "_row", "_again")
+    keyed = docs.withColumn(row, F.xxhash64("doc_id", "text"))
+    rows = keyed.where("doc_id is not null").groupBy(row).agg(F.min("doc_id").alias("doc_id"), F.min(F.xxhash64("text")).alias("hash"), F.count("*").alias("n"))
+    found = jaccard.join(keyed, key=row).where("n_shingles > 0").select(row, "component_id").distinct()
+    judged = cut_lineage(found.join(rows, row))
+    first = judged.groupBy("component_id").agg(F.min(F.struct("doc_id", "hash", row)).alias("first")).select(F.col("first")[row].alias(row))
+    gone = judged.select(row).join(first, row, "left_anti")
+    again = judged.where("n > 1").select(row, F.lit(True).alias(twice))
+    left = keyed.join(gone, row, "left_anti").join(again, row, "left")
+    repeated = left.where(F.col(twice)).groupBy(row).agg(F.min(F.struct(*docs.columns)).alias("kept")).select("kept.*")
+    return left.where(F.col(twice).isNull()).select(docs.columns).unionByName(repeated)
 
 
 def repeat_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,14 +62,23 @@ def repeat_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are not contaminated with benchmark text."""
-    keyed = docs.withColumn("_key", F.struct(F.coalesce("doc_id", F.lit(-1)).alias("id"), F.xxhash64("text").alias("text")))
-    found = decontaminate.decontaminate(keyed, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), key="_key")
-    return keyed.join(found.where("contaminated").select("_key").distinct(), "_key", "left_anti").select(docs.columns)
+    """Documents that are not contaminated with benchmark text.
+
+    Null and empty texts stay, rows are judged by doc_id and text, so repeated rows go or stay together, and columns of any
+    name come through. An empty table or benchmark changes nothing.
+    """
+    (key,) = _free(docs, "_key")
+    keyed = docs.withColumn(key, F.struct(F.coalesce("doc_id", F.lit(-1)).alias("id"), F.xxhash64("text").alias("text")))
+    found = decontaminate.decontaminate(keyed, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), key=key)
+    return keyed.join(found.where("contaminated").select(key).distinct(), key, "left_anti").select(docs.columns)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every piece of every document with its place in a sequence."""
+    """Every piece of every document with its place in a sequence.
+
+    A null or empty text is one piece of one id, repeated rows have places of their own, other columns are left out
+    and an empty table has no pieces.
+    """
     return packing.pack(packing.pieces(docs, public_tokenizers.path("word_bpe_49k.json")))
 
 
