@@ -30,14 +30,17 @@ def local_session(cores: int | str = 8, app: str = "orderrisk") -> SparkSession:
 def scratch_dir(spark: SparkSession) -> str:
     """This application's folder below the shared one named in ``spark.checkpoint.dir``.
 
-    Tables written here survive the loss of an executor. Where the session names no such folder, the
-    warehouse, which all machines of a cluster share as well, holds them. The folder goes when the
-    application ends.
+    Tables written here survive the loss of an executor. A local session that names no such folder keeps them in its
+    warehouse; on a cluster it must be named. The folder goes when the application ends.
     """
     known = spark.conf.get(_SCRATCH_KEY, None)
     if known:
         return known
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("name a folder that all machines share in spark.checkpoint.dir")
+        shared = spark.conf.get("spark.sql.warehouse.dir")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared)
     folder = f"{shared.rstrip('/')}/orderrisk-{spark.sparkContext.applicationId}"
