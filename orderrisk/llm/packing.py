@@ -23,6 +23,8 @@ from orderrisk.session import cut_lineage
 from .encode import encoder
 
 CAPACITY = 2048
+#: Pieces of one length are ranked in so many deals at least, and in more where there are many pieces.
+LEAST_DEALS, DEAL_ROWS = 64, 1 << 20
 END_ID = 0
 
 
@@ -147,9 +149,8 @@ def pack(found: DataFrame, capacity: int = CAPACITY, key: str = "doc_id") -> Dat
     Sequences have no gaps, hold at most ``capacity`` ids and keep every piece whole. Repeated rows have
     places of their own; an empty table stays empty.
     """
-    spark = found.sparkSession
     found = cut_lineage(found)
-    deals = max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    deals = max(LEAST_DEALS, found.count() // DEAL_ROWS)
     dealt = found.withColumn("_deal", F.expr(f"pmod(xxhash64(`{key}`, piece, ids_crc32), {deals})"))
     counts = dealt.groupBy("length", "_deal").agg(F.count("*").alias("_n"))
     by_deal = Window.partitionBy("length").orderBy("_deal")

@@ -37,16 +37,23 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
+_KEPT_POWERS = CHUNK_BYTES + 65_536
 _POWERS: list[np.ndarray] = []
 
 
+def _accumulated(n: int) -> list[np.ndarray]:
+    up, back = np.full(n, _STEP), np.full(n, _STEP_BACK)
+    up[:1] = back[:1] = 1
+    return [np.multiply.accumulate(x, out=x) for x in (up, back)]
+
+
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first ``n`` powers of the hash's base and of its inverse, kept between calls."""
-    if not _POWERS or len(_POWERS[0]) < n:
-        size = max(n, CHUNK_BYTES + 65_536)
-        up, back = np.full(size, _STEP), np.full(size, _STEP_BACK)
-        up[0] = back[0] = 1
-        _POWERS[:] = [np.multiply.accumulate(up), np.multiply.accumulate(back)]
+    """The first ``n`` powers of the hash's base and of its inverse. A worker keeps those that a chunk needs, and no more."""
+    if n > _KEPT_POWERS:
+        up, back = _accumulated(n)
+        return up, back
+    if not _POWERS:
+        _POWERS[:] = _accumulated(_KEPT_POWERS)
     return _POWERS[0][:n], _POWERS[1][:n]
 
 
@@ -121,6 +128,8 @@ def slices(batches: Iterator[pa.RecordBatch], column: int, size: int = SLICE_BYT
             stop = max(at + 1, int(np.searchsorted(ends, ends[at] + size, "right")) - 1)
             yield batch.slice(at, stop - at)
             at = stop
+            # A worker lives as long as its executor; what a slice needed goes back before the next.
+            pa.default_memory_pool().release_unused()
 
 
 def lists(values: np.ndarray, counts: np.ndarray, kind: pa.DataType) -> pa.Array:
