@@ -223,7 +223,7 @@ def _left_over(rows: DataFrame, prints: DataFrame, percent: int) -> DataFrame:
     in_slice = F.pmod(F.xxhash64("key", F.lit(2)), slices_of("n_in")).cast("int")
     # Visitors are the members outside; hosts are those inside in their slices, and after them those outside in theirs.
     host = F.when(F.col("inside") == 1, in_slice).otherwise(slices_of("n_in") + out_slice)
-    common = ["bucket", "band", "key", "n", "component"]
+    common = ["bucket", "band", "key", "n", "component", "inside"]
     hosts = marked.select(*common, F.explode(F.sequence(F.lit(0), slices_of("n_out") - 1)).alias("visit"), host.alias("host"), F.lit(False).alias("visits"))
     every = F.explode(F.sequence(F.lit(0), slices_of("n_in") + slices_of("n_out") - 1)).alias("host")
     guests = marked.where("inside = 0").select(*common, out_slice.alias("visit"), every, F.lit(True).alias("visits"))
@@ -231,14 +231,16 @@ def _left_over(rows: DataFrame, prints: DataFrame, percent: int) -> DataFrame:
 
     def meet(table: pa.Table) -> pa.Table:
         visits = table["visits"].to_numpy(zero_copy_only=False)
-        keys, n, component = (table[c].to_numpy() for c in ("key", "n", "component"))
+        keys, n, component, inside = (table[c].to_numpy() for c in ("key", "n", "component", "inside"))
         signature = np.array(_blobs(table["signature"], np.uint8))
         bands, band = signature.view("<u4")[:, :BANDS], int(table["band"][0].as_py())
         mine = np.flatnonzero(~visits)
         left, right, sizes = [], [], []
         for i in np.flatnonzero(visits).tolist():
             small, large = np.minimum(n[mine], n[i]), np.maximum(n[mine], n[i])
-            some = mine[(100 * small >= percent * large) & (component[mine] != component[i])]
+            # Two visitors meet twice, and count once.
+            once = (inside[mine] == 1) | (keys[mine] > keys[i])
+            some = mine[once & (100 * small >= percent * large) & (component[mine] != component[i])]
             some = some[(signature[some] == signature[i]).sum(axis=1) >= least]
             some = some[~(bands[some, :band] == bands[i, :band]).any(axis=1)]
             right += [int(keys[i])] * len(some)
