@@ -15,7 +15,7 @@ from orderrisk.functions.numbers import (
     whole_div,
 )
 
-from .quantiles import exact_quantiles, unit_counts
+from .quantiles import SKETCH_K, exact_quantiles, unit_counts
 from .rules import MART_RULES, Rule, by_name
 
 _LABELS = [0, 1]
@@ -204,6 +204,37 @@ def rule_quality(df: DataFrame, rules: list[Rule] = MART_RULES, label: str = "is
     return base.select(F.inline(F.array(*lines)))
 
 
+def amount_describe_sketched(df: DataFrame, by: str = "is_fraud", column: str = "order_amount") -> DataFrame:
+    """:func:`amount_describe` in one pass, for tables on which a second one costs too much: quartiles come from sketches.
+
+    Their ranks are off by at most 0.13 % of a label's rows (see ``quantiles.SKETCH_K``); the other numbers are as there.
+    """
+    rows = df.where(F.col(by).isin(_LABELS))
+    cents = to_cents(F.col(column))
+    wide = cents.cast("decimal(38,0)")
+    plain = rows.groupBy(by).agg(
+        F.count(cents).alias("n"),
+        F.sum(wide).alias("s"),
+        F.sum(wide * wide).alias("ss"),
+        F.min(cents).alias("lo"),
+        F.max(cents).alias("hi"),
+        F.kll_sketch_agg_double(cents.cast("double") / 100, SKETCH_K).alias("sketch"),
+    )
+    n = F.col("n").cast("double")
+    apart = (F.col("ss").cast("double") - F.col("s").cast("double") * F.col("s").cast("double") / n) / F.nullif(n - 1, F.lit(0.0))
+    quarters = [F.round(F.kll_sketch_get_quantile_double("sketch", F.lit(q)), 2).alias(name) for name, q in (("q25", 0.25), ("q50", 0.5), ("q75", 0.75))]
+    return plain.where("n > 0").select(
+        by,
+        F.col("n").alias("count"),
+        F.round(F.col("s").cast("double") / n / 100, 2).alias("mean"),
+        F.round(F.sqrt(apart) / 100, 2).alias("std"),
+        from_cents(F.col("lo")).alias("min"),
+        *quarters,
+        from_cents(F.col("hi")).alias("max"),
+    )
+
+
+
 def correlations(df: DataFrame, columns: list[str] = fixed.CORRELATION_COLUMNS) -> DataFrame:
     """The Pearson matrix as (feature_a, feature_b, correlation) rows, over pairwise complete rows.
 

@@ -98,3 +98,18 @@ def exact_median(df: DataFrame, column: str) -> DataFrame:
     frame = df.select(F.lit(0).alias("_all"), value.alias("_v"))
     ends = exact_quantiles(frame, ["_all"], F.col("_v"), F.floor("_v"), [(1, 2)])
     return ends.select((F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("part") / F.lit(2.0)).alias("median"))
+
+
+# Size of a sketch. At 4,096 a rank is off by at most 0.13 % of the rows (at 99 % confidence), whatever their number.
+SKETCH_K = 4096
+
+
+def sketched_quantiles(df: DataFrame, by: list[str], value: Column, shares: list[float], k: int = SKETCH_K) -> DataFrame:
+    """(by..., share, quantile) in one pass: mergeable sketches of bounded size instead of exact order statistics.
+
+    The value found has a rank within 2.3 / k**0.9 of ``share`` (at 99 % confidence). Nulls do not count; a group without
+    values has no rows. Only the sketches are shuffled.
+    """
+    held = df.where(value.isNotNull()).groupBy(*by).agg(F.kll_sketch_agg_double(value.cast("double"), k).alias("_sketch"))
+    found = F.array(*[F.struct(F.lit(float(s)).alias("share"), F.kll_sketch_get_quantile_double("_sketch", F.lit(float(s))).alias("quantile")) for s in shares])
+    return held.select(*by, F.inline(found))

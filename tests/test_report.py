@@ -1,12 +1,14 @@
 """Report and exploration tables on hand-made marts."""
 
+import math
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from orderrisk.functions import fixed_values as fixed
 from orderrisk.functions.numbers import percent_half_up, ratio_half_up
-from orderrisk.operators import eda, report
+from orderrisk.operators import eda, quantiles, report
 from orderrisk.plans import reporting
 from orderrisk.registry import tables
 
@@ -86,6 +88,35 @@ def test_describe_agrees_with_pandas(spark, small_dir):
             assert row[ours] == pytest.approx(expected[theirs], abs=0.0051)
 
 
+def test_sketched_quartiles_are_near_in_rank(spark, small_dir):
+    n = 1_000_000
+    df = spark.range(n).select(F.pmod("id", F.lit(3)).alias("g"), F.when(F.col("id") % 10 != 0, F.pow(F.rand(4), F.lit(3)) * 1e4).alias("v")).persist()
+    shares = [0.01, 0.25, 0.5, 0.75, 0.99]
+    rows = quantiles.sketched_quantiles(df, ["g"], F.col("v"), shares).collect()
+    assert len(rows) == 15
+    for r in rows:
+        group = df.where((F.col("g") == r["g"]) & F.col("v").isNotNull())
+        rank = group.where(F.col("v") <= r["quantile"]).count() / group.count()
+        assert rank == pytest.approx(r["share"], abs=0.0026)
+    mart = tables.mart(spark, small_dir)
+    exact = {r["is_fraud"]: r for r in eda.amount_describe(mart).collect()}
+    for r in eda.amount_describe_sketched(mart).collect():
+        want = exact[r["is_fraud"]]
+        assert r.asDict().keys() == want.asDict().keys()
+        assert {c: r[c] for c in ("count", "mean", "std", "min", "max")} == {c: want[c] for c in ("count", "mean", "std", "min", "max")}
+        # A sketch names a value that occurs; between the values of few rows lies more than between those of many.
+        few = mart.where(F.col("is_fraud") == r["is_fraud"]).count() < 500
+        assert all(r[c] == pytest.approx(want[c], rel=0.2 if few else 0.03) for c in ("q25", "q50", "q75"))
+    df.unpersist()
+
+
+def test_correlations_with_values_that_are_no_numbers(spark):
+    rows = spark.range(100).selectExpr("if(id = 3, double('nan'), id * 1D) as a", "id * 2D as b", "if(id = 5, double('inf'), 100 - id) as c")
+    found = {(r["feature_a"], r["feature_b"]): r["correlation"] for r in eda.correlations(rows, ["a", "b", "c"]).collect()}
+    assert found["b", "b"] == 1.0
+    assert all(found[x, y] is None or math.isnan(found[x, y]) for x in "ac" for y in "abc")
+
+
 def test_correlations_agree_with_pandas(spark, small_dir):
     mart = tables.mart(spark, small_dir)
     want = mart.select(*fixed.CORRELATION_COLUMNS).toPandas().corr()
