@@ -14,7 +14,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import StorageLevel, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -221,13 +221,16 @@ def fit(
         return add
 
     schema = "labels binary, bins binary, margins binary"
-    state = state.select("labels", "bins", "margins")
+    # Every level reads the blocks again; what does not fit in memory comes from disk, and from the table if an executor is lost.
+    state = state.select("labels", "bins", "margins").persist(StorageLevel.MEMORY_AND_DISK)
     grown_trees: list[Growing] = []
     recent: list[tuple] = []
     for turn in range(rounds):
         if len(recent) == REFRESH:
             older, state = state, cut_lineage(state.mapInArrow(advance(recent), schema))
+            older.unpersist()
             drop_table(older)
+            state = state.persist(StorageLevel.MEMORY_AND_DISK)
             recent = []
         tree, frontier = Growing(), [0]
         for level in range(depth):
@@ -252,5 +255,6 @@ def fit(
                 break
         grown_trees.append(tree)
         recent.append(tree.arrays())
+    state.unpersist()
     drop_table(state)
     return grown(names, "logistic", base, [t.listed(cuts) for t in grown_trees])

@@ -13,9 +13,10 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import StorageLevel, TaskContext
 from pyspark.sql import DataFrame
 
+from orderrisk.session import drop_table
 
 from .boosting import BINS, PIECE_ROWS, Growing, _summed, cut_points, packed, reached
 from .permuting import _mixed
@@ -143,7 +144,7 @@ def fit(
     per_split = per_split or max(1, int(len(names) ** 0.5))
     pieces = pieces or -(-rows // PIECE_ROWS)
     cuts = cut_points(train, names, rows, key=key)
-    state = packed(train, names, cuts, pieces, key, label).select("keys", "labels", "bins")
+    state = packed(train, names, cuts, pieces, key, label).select("keys", "labels", "bins").persist(StorageLevel.MEMORY_AND_DISK)
     weights = np.array(class_weights)
     done: list[Tree] = []
     for start in range(0, count, TOGETHER):
@@ -176,6 +177,8 @@ def fit(
             for r in made.collect():
                 _graft(trees[r["tree"]], r["node"], *(np.frombuffer(bytes(r[c]), t) for c, t in _PARTS.items()))
         done += trees.values()
+    state.unpersist()
+    drop_table(state)
     for tree in done:
         for i, held in enumerate(tree.counts):
             mass = held * weights
