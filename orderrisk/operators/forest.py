@@ -13,19 +13,18 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark import StorageLevel, TaskContext
 from pyspark.sql import DataFrame
 
 from orderrisk.session import drop_table
 
-from .boosting import BINS, PIECE_ROWS, Growing, _summed, cut_points, packed, reached
+from .boosting import BINS, PIECE_ROWS, Growing, cut_points, held_blocks, packed, reached, summed
 from .permuting import _mixed
 from .trees import TreeModel, grown
 
 #: Trees that grow together, nodes whose histograms one pass sums, and rows of a node that one task may grow on.
 TOGETHER = 20
-SLOTS = 1024
-LOCAL_ROWS = 4096
+SLOTS = 512
+LOCAL_ROWS = 1 << 16
 _POISSON = np.cumsum(np.exp(-1.0) / np.cumprod(np.concatenate(([1.0], np.arange(1.0, 16.0)))))
 _U = np.uint64
 
@@ -144,17 +143,18 @@ def fit(
     per_split = per_split or max(1, int(len(names) ** 0.5))
     pieces = pieces or -(-rows // PIECE_ROWS)
     cuts = cut_points(train, names, rows, key=key)
-    state = packed(train, names, cuts, pieces, key, label).select("keys", "labels", "bins").persist(StorageLevel.MEMORY_AND_DISK)
+    table = packed(train, names, cuts, pieces, key, label).select("keys", "labels", "bins")
+    state = held_blocks(table, pieces)
     weights = np.array(class_weights)
-    done: list[Tree] = []
+    done: list[dict[str, np.ndarray]] = []
     for start in range(0, count, TOGETHER):
         trees = {t: Tree() for t in range(start, min(start + TOGETHER, count))}
-        found = _summed(state.mapInArrow(_root_counts(list(trees)), "slot int, hist binary"), pieces).reshape(-1, 2)
+        found = summed(state.mapPartitions(_root_counts(list(trees))), 16 * len(trees))
         for tree, held in zip(trees.values(), found, strict=True):
             tree.counts[0] = held
         small: list[tuple[int, int]] = []
         frontier = {t: [0] for t in trees}
-        while True:
+        for level in range(depth + 1):
             nodes = [(t, i) for t, some in frontier.items() for i in trees[t].open_nodes(some, depth)]
             small += [(t, i) for t, i in nodes if trees[t].counts[i].sum() <= local_rows]
             large = [(t, i) for t, i in nodes if trees[t].counts[i].sum() > local_rows]
@@ -165,99 +165,96 @@ def fit(
             for at in range(0, len(large), SLOTS):
                 slots = large[at : at + SLOTS]
                 allowed = drawn_inputs(np.array([t for t, _ in slots]), np.array([trees[t].path[i] for t, i in slots]), len(names), per_split)
-                total = _summed(state.mapInArrow(_sums(shapes, slots, allowed, depth), "slot int, hist binary"), pieces)
-                below = _divided(trees, slots, allowed, total.reshape(len(slots), per_split, BINS, 2), weights)
+                total = summed(state.mapPartitions(_sums(shapes, slots, allowed, level)), allowed.size * BINS * 16)
+                below = _divided(trees, slots, allowed, total, weights)
                 for t, some in below.items():
                     frontier[t] += some
         if small:
             shapes = {t: trees[t].arrays() for t in {t for t, _ in small}}
             paths = {(t, i): trees[t].path[i] for t, i in small}
-            sent = state.mapInArrow(_rows_of(shapes, small, depth), "tree int, node int, n int, bins binary, labels binary, times binary")
+            rows_sent = state.mapPartitions(_rows_of(shapes, small, level))
+            sent = train.sparkSession.createDataFrame(rows_sent, "tree int, node int, bins binary, labels binary, times binary", verifySchema=False)
             made = sent.groupBy("tree", "node").applyInArrow(_finish(paths, len(names), depth, per_split, weights), _MADE)
             for r in made.collect():
                 _graft(trees[r["tree"]], r["node"], *(np.frombuffer(bytes(r[c]), t) for c, t in _PARTS.items()))
-        done += trees.values()
+        # Flat arrays from here on: lists of all trees' nodes would fill the driver.
+        done += [_compact(tree, cuts, weights) for tree in trees.values()]
     state.unpersist()
-    drop_table(state)
-    for tree in done:
-        for i, held in enumerate(tree.counts):
-            mass = held * weights
-            tree.cover[i], tree.value[i] = float(mass.sum()), float(mass[1] / mass.sum()) if mass.sum() else 0.0
-    return grown(names, "mean", 0.0, [t.listed(cuts) for t in done])
+    drop_table(table)
+    return grown(names, "mean", 0.0, done)
 
 
-_PARTS = {"input": "<i4", "bin": "<i4", "left": "<i4", "right": "<i4", "gain": "<f8", "counts": "<i8"}
-_MADE = "tree int, node int, " + ", ".join(f"{c} binary" for c in _PARTS)
+def _compact(tree: Tree, cuts: list[np.ndarray], weights: np.ndarray) -> dict[str, np.ndarray]:
+    """A finished tree with its covers and values."""
+    mass = np.array(tree.counts) * weights
+    whole = mass.sum(axis=1)
+    listed = {**tree.listed(cuts), "cover": whole, "value": mass[:, 1] / np.where(whole > 0, whole, 1.0)}
+    return {c: np.asarray(v, np.int32 if c in ("input", "left", "right") else float) for c, v in listed.items()}
 
 
-def _block(part: pa.RecordBatch, i: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    return tuple(np.frombuffer(part.column(c)[i].as_buffer(), t) for c, t in (("keys", "<i8"), ("labels", np.uint8), ("bins", np.uint8)))
+_PARTS = {"input": "<i4", "bin": "<i4", "left": "<i4", "right": "<i4", "gain": "<f8", "counts": "<i8"}
+_MADE = "tree int, node int, " + ", ".join(f"{c} binary" for c in _PARTS)
 
 
-def _one(total: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([total.tobytes()], pa.binary())], ["slot", "hist"])
+def _block(block: tuple) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return tuple(np.frombuffer(b, t) for b, t in zip(block, ("<i8", np.uint8, np.uint8), strict=True))
 
 
 def _root_counts(trees: list[int]):
-    def sums(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def sums(blocks: Iterator[tuple]) -> Iterator[np.ndarray]:
         total = np.zeros((len(trees), 2), np.int64)
-        for part in parts:
-            for i in range(part.num_rows):
-                keys, labels, _ = _block(part, i)
-                for j, t in enumerate(trees):
-                    total[j] += np.bincount(labels, times(keys, t), 2).astype(np.int64)
-        yield _one(total)
+        for block in blocks:
+            keys, labels, _ = _block(block)
+            for j, t in enumerate(trees):
+                total[j] += np.bincount(labels, times(keys, t), 2).astype(np.int64)
+        yield total
 
     return sums
 
 
-def _sums(shapes: dict[int, tuple], slots: list[tuple[int, int]], allowed: np.ndarray, depth: int):
+def _sums(shapes: dict[int, tuple], slots: list[tuple[int, int]], allowed: np.ndarray, level: int):
     slot_of = {t: np.full(len(shape[0]), -1) for t, shape in shapes.items()}
     for s, (t, i) in enumerate(slots):
         slot_of[t][i] = s
-    asked = sorted({t for t, _ in slots})
+    # The slots of a tree lie side by side.
+    asked = {t: (min(mine), max(mine) + 1) for t in shapes if (mine := slot_of[t][slot_of[t] >= 0]).size}
+    used = {t: (shapes[t], slot_of[t]) for t in asked}
 
-    def sums(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def sums(blocks: Iterator[tuple]) -> Iterator[np.ndarray]:
         total = np.zeros((*allowed.shape, BINS, 2), np.int64)
-        for part in parts:
-            for i in range(part.num_rows):
-                keys, labels, flat = _block(part, i)
-                n = len(keys)
-                for t in asked:
-                    drawn = times(keys, t)
-                    slot = slot_of[t][reached(shapes[t], flat, n, depth)]
-                    row = np.flatnonzero((slot >= 0) & (drawn > 0))
-                    mine, slot = np.unique(slot[row], return_inverse=True)
-                    if len(mine):
-                        total[mine] += histograms(slot, allowed[mine], flat, row, n, labels[row], drawn[row])
-        yield _one(total)
+        for block in blocks:
+            keys, labels, flat = _block(block)
+            n = len(keys)
+            for t, (a, b) in asked.items():
+                shape, slot = used[t]
+                drawn = times(keys, t)
+                slot = slot[reached(shape, flat, n, level)]
+                row = np.flatnonzero((slot >= 0) & (drawn > 0))
+                total[a:b] += histograms(slot[row] - a, allowed[a:b], flat, row, n, labels[row], drawn[row])
+        yield total
 
     return sums
 
 
-def _rows_of(shapes: dict[int, tuple], small: list[tuple[int, int]], depth: int):
+def _rows_of(shapes: dict[int, tuple], small: list[tuple[int, int]], level: int):
     wanted = {t: np.zeros(len(shape[0]), bool) for t, shape in shapes.items()}
     for t, i in small:
         wanted[t][i] = True
 
-    def send(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
-            for i in range(part.num_rows):
-                keys, labels, flat = _block(part, i)
-                n = len(keys)
-                bins = flat.reshape(-1, n)
-                for t, shape in shapes.items():
-                    drawn = times(keys, t)
-                    node = reached(shape, flat, n, depth)
-                    row = np.flatnonzero(wanted[t][node] & (drawn > 0))
-                    row = row[np.argsort(node[row], kind="stable")]
-                    found, starts = np.unique(node[row], return_index=True)
-                    held = [row[a:b] for a, b in zip(starts, np.append(starts, len(row))[1:], strict=True)]
-                    columns = [np.full(len(found), t, np.int32), found.astype(np.int32), np.array([len(r) for r in held], np.int32)]
-                    blobs = [[bins[:, r].tobytes() for r in held], [labels[r].tobytes() for r in held], [drawn[r].astype(np.uint8).tobytes() for r in held]]
-                    yield pa.RecordBatch.from_arrays(
-                        [*map(pa.array, columns), *(pa.array(b, pa.binary()) for b in blobs)], ["tree", "node", "n", "bins", "labels", "times"]
-                    )
+    def send(blocks: Iterator[tuple]) -> Iterator[tuple]:
+        for block in blocks:
+            keys, labels, flat = _block(block)
+            n = len(keys)
+            bins = flat.reshape(-1, n)
+            for t, shape in shapes.items():
+                drawn = times(keys, t)
+                node = reached(shape, flat, n, level)
+                row = np.flatnonzero(wanted[t][node] & (drawn > 0))
+                row = row[np.argsort(node[row], kind="stable")]
+                found, starts = np.unique(node[row], return_index=True)
+                for i, a, b in zip(found.tolist(), starts, np.append(starts, len(row))[1:], strict=True):
+                    r = row[a:b]
+                    yield t, i, bins[:, r].tobytes(), labels[r].tobytes(), drawn[r].astype(np.uint8).tobytes()
 
     return send
 
