@@ -4,13 +4,13 @@ A subset of the inputs on a leaf's path reaches the leaf with the product of one
 the row agrees with the path, if the input is known, else the share of the cover that follows the path.
 The Shapley weight of a subset of size k among m inputs is the integral of t^k (1 - t)^(m - 1 - k) over 0
 to 1, so the sum over all subsets is the integral of a product of m - 1 linear factors. A Gauss-Legendre
-rule of m / 2 points gives it exactly, with memory in proportion to the depth, for any depth.
+rule of m / 2 points gives it exactly, with memory in proportion to the depth, for any depth. Short paths are tabled.
 (Path-dependent tree Shapley values: Lundberg et al. 2020.)
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -24,6 +24,9 @@ from .trees import TreeModel, matrix, vector
 # Rows and leaves that are worked out together, to bound the memory of a task.
 _ROWS = 64
 _LEAVES = 1024
+# Longest paths whose contributions are tabled (2^m ways for each leaf), and rows that look theirs up together.
+_TABLED = 6
+_LOOKED_UP = 128
 # Bins of an input's values within which its interactions are looked for.
 BINS = 20
 
@@ -69,24 +72,71 @@ def stacked(leaves: list[tuple[dict, float]]) -> Leaves:
     return Leaves(np.array([list(path) for path, _ in leaves]), *np.moveaxis(parts, 2, 0), np.array([v for _, v in leaves], float))
 
 
+def weighed(agrees: np.ndarray, held: Leaves) -> np.ndarray:
+    """(row, leaf, place on its path): contributions for rows that agree with a path or not."""
+    at, weights = np.polynomial.legendre.leggauss((held.inputs.shape[1] + 1) // 2)
+    total = np.zeros(np.broadcast_shapes(agrees.shape, held.share.shape))
+    for t, weight in zip((at + 1) / 2, weights / 2, strict=True):
+        factors = np.maximum((1 - t) * held.share + t * agrees, 1e-300)
+        total += weight * factors.prod(axis=2, keepdims=True) / factors
+    return held.values[:, None] * (agrees - held.share) * total
+
+
 def contributions(x: np.ndarray, groups: list[Leaves]) -> np.ndarray:
     """Per row and input the sum over all leaves."""
-    out = np.zeros(x.shape)
-    for held in groups:
-        m = held.inputs.shape[1]
-        at, weights = np.polynomial.legendre.leggauss((m + 1) // 2)
-        order = np.argsort(held.inputs.ravel(), kind="stable")
-        present, starts = np.unique(held.inputs.ravel()[order], return_index=True)
-        for start in range(0, len(x), _ROWS):
-            rows = x[start : start + _ROWS][:, held.inputs]
-            agrees = ((rows > held.low) & (rows <= held.high)).astype(float)
-            total = np.zeros_like(agrees)
-            for t, weight in zip((at + 1) / 2, weights / 2, strict=True):
-                factors = np.maximum((1 - t) * held.share + t * agrees, 1e-300)
-                total += weight * factors.prod(axis=2, keepdims=True) / factors
-            part = held.values[:, None] * (agrees - held.share) * total
-            out[start : start + _ROWS, present] += np.add.reduceat(part.reshape(len(rows), -1)[:, order], starts, axis=1)
-    return out
+    return prepared(groups)(x)
+
+
+def prepared(groups: list[Leaves]) -> Callable[[np.ndarray], np.ndarray]:
+    """``contributions`` for many batches of rows.
+
+    A row agrees with a path of m inputs in one of 2^m ways, and a leaf's contributions follow from that. For short paths
+    all ways are worked out first, and rows look theirs up. The intervals of all paths are compared with a row once each.
+    """
+    short = [held for held in groups if held.inputs.shape[1] <= _TABLED]
+    paths = [np.stack([held.inputs, held.low, held.high], axis=2).reshape(-1, 3) for held in short]
+    spans, place = np.unique(np.concatenate(paths), axis=0, return_inverse=True) if paths else (np.zeros((0, 3)), np.zeros(0, np.int64))
+    place, spanned = place.ravel(), spans[:, 0].astype(np.int64)
+    tables = []
+    for held in short:
+        leaves, m = held.inputs.shape
+        mine, place = place[: leaves * m].reshape(leaves, m), place[leaves * m :]
+        ways = (np.arange(1 << m)[:, None, None] >> np.arange(m)) & 1
+        # One table after the other, by leaf and place on its path.
+        table = np.ascontiguousarray(weighed(ways.astype(float), held).transpose(1, 2, 0)).ravel()
+        lines = []
+        for i in np.unique(held.inputs):
+            leaf, at = np.nonzero(held.inputs == i)
+            lines.append((int(i), leaf, ((leaf * m + at) << m)[:, None]))
+        tables.append((mine, table, lines))
+
+    def looked_up(x: np.ndarray, out: np.ndarray) -> None:
+        values = np.ascontiguousarray(x.T)[spanned]
+        agrees = ((values > spans[:, 1:2]) & (values <= spans[:, 2:])).astype(np.uint8)
+        for mine, table, lines in tables:
+            way = np.zeros((len(mine), len(x)), np.uint8)
+            for j in range(mine.shape[1]):
+                way |= agrees[mine[:, j]] << np.uint8(j)
+            for i, leaf, base in lines:
+                out[:, i] += table.take(way[leaf] + base).sum(axis=0)
+
+    def found(x: np.ndarray) -> np.ndarray:
+        out = np.zeros(x.shape)
+        if tables:
+            for start in range(0, len(x), _LOOKED_UP):
+                looked_up(x[start : start + _LOOKED_UP], out[start : start + _LOOKED_UP])
+        for held in groups:
+            if held.inputs.shape[1] <= _TABLED:
+                continue
+            order = np.argsort(held.inputs.ravel(), kind="stable")
+            present, starts = np.unique(held.inputs.ravel()[order], return_index=True)
+            for start in range(0, len(x), _ROWS):
+                rows = x[start : start + _ROWS][:, held.inputs]
+                part = weighed(((rows > held.low) & (rows <= held.high)).astype(float), held)
+                out[start : start + _ROWS, present] += np.add.reduceat(part.reshape(len(rows), -1)[:, order], starts, axis=1)
+        return out
+
+    return found
 
 
 def tree_shap(model: TreeModel, rows: DataFrame, key: str = "order_id") -> DataFrame:
@@ -100,9 +150,10 @@ def tree_shap(model: TreeModel, rows: DataFrame, key: str = "order_id") -> DataF
     doubles = pa.list_(pa.float64())
 
     def explain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        contributed = prepared(shared.value)
         for batch in batches:
             x = matrix(batch.column(1))
-            found = contributions(x, shared.value)
+            found = contributed(x)
             columns = [batch.column(0), pa.array(list(x), doubles), pa.array(list(found), doubles)]
             yield pa.RecordBatch.from_arrays(columns, [key, "x", "c"])
 

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from orderrisk.operators import boosting, features, forest, models, sampling, trees
+from orderrisk.operators import boosting, explain, features, forest, models, sampling, trees
 from orderrisk.registry import tables
 
 NAMES = ["a", "b", "c"]
@@ -136,3 +136,35 @@ def test_both_models_beat_chance(spark, sf_dir):
     train, test = rows.where(~F.col("is_test")).drop("is_test"), rows.where("is_test").drop("is_test")
     for model in (models.fit_gbt(train, iters=10), models.fit_forest(train, 20)):
         assert models.evaluate_model(model, test).first()["roc_auc"] > 0.55
+
+
+def random_model(x, depth, count=12, link="logistic"):
+    rng = np.random.default_rng(7)
+    made = []
+    for _ in range(count):
+        tree = {c: [] for c in ("input", "threshold", "left", "right", "value", "cover", "gain")}
+
+        def add(rows, left_over, tree=tree):
+            node = len(tree["input"])
+            for column, value in zip(tree, (-1, 0.0, node, node, rng.normal(), float(len(rows)), 1.0)):
+                tree[column].append(value)
+            i = int(rng.integers(0, x.shape[1]))
+            cut = float(rng.choice(x[rows, i]))
+            parts = rows[x[rows, i] <= cut], rows[x[rows, i] > cut]
+            if left_over and min(map(len, parts)) > 1:
+                tree["input"][node], tree["threshold"][node] = i, cut
+                tree["left"][node], tree["right"][node] = (add(part, left_over - 1) for part in parts)
+            return node
+
+        add(np.arange(len(x)), depth)
+        made.append(tree)
+    return trees.grown([f"i{k}" for k in range(x.shape[1])], link, 0.25, made)
+
+
+def test_tabled_contributions_equal_those_of_the_rule(monkeypatch):
+    x = np.random.default_rng(1).normal(size=(300, 9)).round(1)
+    groups = explain.leaves_of(random_model(x, 8))[0]
+    assert max(held.inputs.shape[1] for held in groups) > explain._TABLED
+    tabled = explain.prepared(groups)(x)
+    monkeypatch.setattr(explain, "_TABLED", 0)
+    assert np.allclose(tabled, explain.prepared(groups)(x), rtol=0, atol=1e-12)
