@@ -260,7 +260,8 @@ def feature_importance(model: TreeModel | PipelineModel, top: int = 12) -> DataF
 
 def permutation_importance(model: TreeModel | PipelineModel, test: DataFrame, repeats: int = fixed.PERMUTATION_REPEATS) -> DataFrame:
     """Mean loss of accuracy when one input is permuted, per input."""
-    return permuting.accuracy_drops(test, FEATURES, probability_of(model), repeats, fixed.MODEL_FLAG_AT, LABEL)
+    replaced = model.replaced if isinstance(model, TreeModel) else None
+    return permuting.accuracy_drops(test, FEATURES, probability_of(model), repeats, fixed.MODEL_FLAG_AT, LABEL, replaced)
 
 
 def predict(model: TreeModel | PipelineModel, mart: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ answers leave the task.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -84,12 +84,19 @@ def permuted(rows: DataFrame, repeats: int) -> DataFrame:
 
 
 def accuracy_drops(
-    rows: DataFrame, names: list[str], probability: Callable[[np.ndarray], np.ndarray], repeats: int, threshold: float, label: str = "is_fraud"
+    rows: DataFrame,
+    names: list[str],
+    probability: Callable[[np.ndarray], np.ndarray],
+    repeats: int,
+    threshold: float,
+    label: str = "is_fraud",
+    replaced: Callable[[np.ndarray], Iterable[Callable[[np.ndarray], np.ndarray]]] | None = None,
 ) -> DataFrame:
     """(feature, mean_drop, std_drop) over ``repeats`` permutations of each input.
 
     ``probability`` scores a matrix of inputs; a row counts as right if its label is 1 exactly where it reaches ``threshold``.
-    No rows give no drops.
+    ``replaced`` gives for a matrix and each input the probabilities with other values of that input; without it
+    changed copies of the rows are scored whole. No rows give no drops.
     """
     pairs = permuted(rows.select(F.col(label).cast("int").alias("label"), vector(names).alias("x")), repeats)
     width = len(names)
@@ -103,6 +110,11 @@ def accuracy_drops(
                 donors = matrix(part.column(2).flatten()).reshape(len(x), repeats, width)
                 n += len(x)
                 base += int(((probability(x) >= threshold) == y).sum())
+                if replaced is not None:
+                    for f, changed in enumerate(replaced(x)):
+                        for r in range(repeats):
+                            right[r, f] += int(((changed(donors[:, r, f]) >= threshold) == y).sum())
+                    continue
                 for r in range(repeats):
                     # One copy of the rows for each input, changed there.
                     copies = np.repeat(x[None], width, axis=0)

@@ -168,3 +168,15 @@ def test_tabled_contributions_equal_those_of_the_rule(monkeypatch):
     tabled = explain.prepared(groups)(x)
     monkeypatch.setattr(explain, "_TABLED", 0)
     assert np.allclose(tabled, explain.prepared(groups)(x), rtol=0, atol=1e-12)
+
+
+def test_replaced_values_score_like_whole_changed_rows():
+    x = np.random.default_rng(2).normal(size=(2000, 5)).round(1)
+    for depth, masked in ((5, True), (11, False)):
+        for link in ("logistic", "mean"):
+            model = random_model(x, depth, link=link)
+            assert (model.kept_leaves is not None) == masked
+            for f, changed in enumerate(model.replaced(x)):
+                other = x.copy()
+                other[:, f] = x[::-1, f]
+                assert (changed(other[:, f]) == model.probability(other)).all()
