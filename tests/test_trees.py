@@ -180,3 +180,12 @@ def test_replaced_values_score_like_whole_changed_rows():
                 other = x.copy()
                 other[:, f] = x[::-1, f]
                 assert (changed(other[:, f]) == model.probability(other)).all()
+
+
+
+def test_finished_trees_of_a_forest_are_flat_arrays(spark):
+    x, y = rows_of(600, 8)
+    tree = forest.Tree(counts=[np.bincount(y, minlength=2)])
+    flat = forest._compact(tree, [np.zeros(0)] * 3, np.array([1.0, 2.0]))
+    assert all(isinstance(v, np.ndarray) for v in flat.values())
+    assert flat["cover"][0] == (y == 0).sum() + 2 * y.sum() and flat["value"][0] == 2 * y.sum() / flat["cover"][0]
