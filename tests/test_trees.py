@@ -182,6 +182,20 @@ def test_replaced_values_score_like_whole_changed_rows():
                 assert (changed(other[:, f]) == model.probability(other)).all()
 
 
+def test_a_pass_sums_one_child_of_a_split_and_few_columns(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    x = np.column_stack([rng.exponential(50, 900).round(2), rng.integers(0, 24, 900), rng.random(900) < 0.3]).astype(float)
+    y = (rng.random(900) < 0.2 + 0.5 * (x[:, 1] > 12)).astype(int)
+    sizes, seen = [255, 24, 2], []
+    assert boosting.bundles(sizes) == [[0], [1, 2]]
+    summed = boosting.summed
+    monkeypatch.setattr(boosting, "summed", lambda found, size: (seen.append(out := summed(found, size)), out)[1])
+    model = boosting.fit(frame(spark, x, y), NAMES, (1.0, 2.5), rounds=2, depth=3)
+    nodes = [len(total) for total in seen]
+    assert nodes[0] == 1 and nodes[1] == 1 and max(nodes) <= 2
+    cuts = boosting.cut_points(frame(spark, x, y), NAMES, 900)
+    assert np.allclose(model.probability(x), plain_boosting(x, y, cuts, (1.0, 2.5), 2, 3, 0.3, 1.0, 1.0), atol=1e-6)
+
 
 def test_finished_trees_of_a_forest_are_flat_arrays(spark):
     x, y = rows_of(600, 8)
