@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,8 +37,9 @@ def _matrix(column: pd.Series, width: int) -> np.ndarray:
 def _best(left: pd.DataFrame, right: pd.DataFrame, k: int, width: int) -> pd.DataFrame:
     """The k nearest rows of ``right`` for each row of ``left``, the row itself left out.
 
-    Squared distances from a matrix product are fast but inexact, so they only pick candidates, with
-    more slack than their error; the candidates' distances are then worked out directly.
+    Rows of ``left`` may have a ``limit``, beyond which nothing is looked for. Squared distances from a matrix product
+    are fast but inexact, so they only pick candidates, with more slack than their error; the candidates'
+    distances are then worked out directly.
     """
     # Sorted by id, so that equal distances are settled the same way everywhere.
     right = right.sort_values("id")
@@ -46,16 +48,23 @@ def _best(left: pd.DataFrame, right: pd.DataFrame, k: int, width: int) -> pd.Dat
     vectors, mults = right["vec"].to_numpy(), right["mult"].to_numpy()
     a_norm, b_norm = (a * a).sum(axis=1), (b * b).sum(axis=1)
     last = min(k, len(b)) - 1
+    limit = left["limit"].to_numpy(float) * (1 + 1e-9) + 1e-12 if "limit" in left else np.full(len(a), np.inf)
     parts = []
     for start in range(0, len(a), _BATCH):
         rows = slice(start, start + _BATCH)
         ids = left_ids[rows]
         rough = a_norm[rows, None] + b_norm[None, :] - 2.0 * (a[rows] @ b.T)
         rough[ids[:, None] == right_ids[None, :]] = np.inf
-        bar = np.partition(rough, last, axis=1)[:, last] + 1e-9 * (1.0 + a_norm[rows] + b_norm.max())
-        row, col = np.nonzero((rough <= bar[:, None]) & np.isfinite(rough))
+        slack = 1e-9 * (1.0 + a_norm[rows] + b_norm.max())
+        near = (rough <= (limit[rows] ** 2 + slack)[:, None]) & np.isfinite(rough)
+        many = np.flatnonzero(near.sum(axis=1) > k)
+        if len(many):
+            near[many] &= rough[many] <= (np.partition(rough[many], last, axis=1)[:, last] + slack[many])[:, None]
+        row, col = np.nonzero(near)
         gaps = a[rows][row] - b[col]
         dist = np.sqrt((gaps * gaps).sum(axis=1))
+        within = dist <= limit[rows][row]
+        row, col, dist = row[within], col[within], dist[within]
         order = np.lexsort((col, dist, row))
         row, col, dist = row[order], col[order], dist[order]
         first = np.searchsorted(row, np.arange(len(ids)))
@@ -80,9 +89,9 @@ def _top(found: DataFrame, k: int) -> DataFrame:
     return found.withColumn("_place", place).where(F.col("_place") <= k)
 
 
-def _gap(parts: str) -> Column:
-    """The root of the sum over all inputs i of the square of ``parts``."""
-    return F.expr(f"sqrt(aggregate(sequence(0, size(vec) - 1), 0D, (total, i) -> total + pow({parts}, 2)))")
+def _far_corner() -> Column:
+    """How far the corner of a point's box is that lies farthest from it."""
+    return F.expr("sqrt(aggregate(sequence(0, size(vec) - 1), 0D, (total, i) -> total + pow(greatest(vec[i] - low[i], high[i] - vec[i]), 2)))")
 
 
 def _nodes(points: DataFrame, width: int, leaf_rows: int) -> DataFrame:
@@ -121,7 +130,7 @@ def box_tree(points: DataFrame, k: int, width: int, leaf_rows: int = LEAF_ROWS)
         if not large.head(1):
             break
         going = left.select("id", "vec", "mult", "limit", "node").join(large.drop("parent", "is_leaf"), "node")
-        corner = F.when(F.col("n") > k, _gap("greatest(vec[i] - low[i], high[i] - vec[i])"))
+        corner = F.when(F.col("n") > k, _far_corner())
         side = F.expr("aggregate(cuts, 0, (code, c) -> 2 * code + if(vec[c.input] > c.mean, 1, 0))")
         child = F.xxhash64("node", F.lit(len(levels)), side)
         left = going.select("id", "vec", "mult", F.least("limit", corner).alias("limit"), F.col("node").alias("parent"), child.alias("node"), F.col("n").alias("parent_n"))
@@ -132,20 +141,54 @@ def box_tree(points: DataFrame, k: int, width: int, leaf_rows: int = LEAF_ROWS)
     return cut_lineage(placed), levels
 
 
+def _flat(table: pa.Table, name: str) -> np.ndarray:
+    return pa.concat_arrays(table[name].chunks).flatten().to_numpy(zero_copy_only=False).reshape(table.num_rows, -1)
+
+
+def _dealt(rows: DataFrame, by: str) -> tuple[DataFrame, DataFrame]:
+    """(by, slices), and ``rows`` with ``slice``: no slice of the rows with equal ``by`` holds many more than ``SLICE_ROWS``."""
+    load = cut_lineage(rows.groupBy(by).agg(F.ceil(F.count(F.lit(1)) / SLICE_ROWS).cast("int").alias("slices")))
+    return load, rows.join(load, by).withColumn("slice", F.pmod(F.xxhash64("id"), F.col("slices")).cast("int"))
+
+
+def _each_slice(rows: DataFrame, load: DataFrame, by: str) -> DataFrame:
+    return rows.join(load, by).withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
+
+
+def _boxes_met(points: pa.Table, boxes: pa.Table) -> pa.Table:
+    """The points of one node beside each of its children whose box lies within their bound."""
+    names = ["id", "vec", "home", "limit"]
+    at, child = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    if points.num_rows and boxes.num_rows:
+        vectors, limit = _flat(points, "vec"), points["limit"].to_numpy()
+        low, high = _flat(boxes, "low"), _flat(boxes, "high")
+        met = np.zeros((len(vectors), len(low)), bool)
+        for i in range(len(low)):
+            apart = np.maximum(np.maximum(low[i] - vectors, vectors - high[i]), 0.0)
+            # A little slack keeps rounding from hiding a neighbour on the border.
+            met[:, i] = np.sqrt((apart * apart).sum(axis=1)) * (1 - 1e-9) - 1e-12 <= limit
+        at, child = np.nonzero(met)
+    held = points.select(names).take(pa.array(at))
+    found = boxes.select(["child", "is_leaf"]).take(pa.array(child))
+    return pa.table([*held.columns, *found.columns], names=[*names, "node", "is_leaf"])
+
+
 def visits(bounded: DataFrame, levels: list[DataFrame]) -> DataFrame:
-    """(id, vec, leaf): the leaves, but for its own, whose box lies within a point's bound.
+    """(id, vec, limit, leaf): the leaves, but for its own, whose box lies within a point's bound.
 
     ``bounded`` has (id, vec, home, limit), home being the point's own leaf.
     """
-    going = bounded.withColumn("node", F.lit(-1).cast("bigint"))
+    kind = bounded.schema["id"].dataType.simpleString()
+    schema = f"id {kind}, vec array<double>, home bigint, limit double, node bigint, is_leaf boolean"
+    going = cut_lineage(bounded.withColumn("node", F.lit(-1).cast("bigint")))
     found: list[DataFrame] = []
     for nodes in levels:
         children = nodes.select(F.col("parent").alias("node"), F.col("node").alias("child"), "low", "high", "is_leaf")
-        met = going.join(children, "node").withColumn("gap", _gap("greatest(low[i] - vec[i], vec[i] - high[i], 0D)"))
-        # A little slack keeps rounding from hiding a neighbour on the border.
-        met = met.where(F.col("gap") * (1 - 1e-9) - 1e-12 <= F.col("limit"))
-        met = cut_lineage(met.select("id", "vec", "home", "limit", F.col("child").alias("node"), "is_leaf"))
-        found.append(met.where("is_leaf and node != home").select("id", "vec", F.col("node").alias("leaf")))
+        load, points = _dealt(going, "node")
+        boxes = _each_slice(children, load, "node")
+        points = points.select("id", "vec", "home", "limit", "node", "slice").groupBy("node", "slice")
+        met = cut_lineage(points.cogroup(boxes.groupBy("node", "slice")).applyInArrow(_boxes_met, schema))
+        found.append(met.where("is_leaf and node != home").select("id", "vec", "limit", F.col("node").alias("leaf")))
         going = met.where("not is_leaf").drop("is_leaf")
     out = found[0]
     for more in found[1:]:
@@ -185,10 +228,8 @@ def nearest_distinct(points: DataFrame, k: int, leaf_rows: int = LEAF_ROWS) -> D
     near, bounded = within_leaves(placed, k, width)
     sent = cut_lineage(visits(bounded, levels))
     # A leaf with many visitors is there once for each slice of them.
-    load = sent.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / SLICE_ROWS).cast("int").alias("slices"))
-    load = cut_lineage(load)
-    guests = sent.join(load, "leaf").withColumn("slice", F.pmod(F.xxhash64("id"), F.col("slices")).cast("int"))
-    hosts = placed.join(load, "leaf").withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
+    load, guests = _dealt(sent, "leaf")
+    hosts = _each_slice(placed, load, "leaf")
 
     def across(guests: pd.DataFrame, residents: pd.DataFrame) -> pd.DataFrame:
         if guests.empty or residents.empty:
@@ -196,7 +237,8 @@ def nearest_distinct(points: DataFrame, k: int, leaf_rows: int = LEAF_ROWS) -> D
         return _best(guests, residents, k, width)
 
     keys = ["leaf", "slice"]
-    left = guests.select("id", "vec", *keys).groupBy(*keys)
+    # Most visits find nothing within the limit, and send nothing on.
+    left = guests.select("id", "vec", "limit", *keys).groupBy(*keys)
     far = left.cogroup(hosts.select("id", "vec", "mult", *keys).groupBy(*keys)).applyInPandas(across, _found_schema(points))
     return _top(near.unionByName(far), k)
 
@@ -208,7 +250,7 @@ def nearest_neighbours(points: DataFrame, k: int, leaf_rows: int = LEAF_ROWS) ->
     vector. A vector that occurs more than once is its own neighbour at distance 0.
     """
     points = cut_lineage(points)
-    found = _top(nearest_distinct(points, k, leaf_rows), k)
+    found = nearest_distinct(points, k, leaf_rows)
     # At most k entries per point.
     lists = found.groupBy("id").agg(
         F.sort_array(F.collect_list(F.struct("_place", "nvec", "nmult"))).alias("_near")

@@ -1,6 +1,7 @@
 """Splits, samples, neighbours and oversampling against brute force."""
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -109,6 +110,30 @@ def test_a_leaf_with_many_visitors_is_dealt_over_slices(spark, monkeypatch):
     assert [r["nid"] for r in found] == brute(vectors, 4).ravel().tolist()
 
 
+def test_points_meet_all_boxes_within_their_limit_in_slices(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "SLICE_ROWS", 8)
+    vectors = np.random.default_rng(3).random((200, 3))
+    placed, levels = neighbours.box_tree(points_frame(spark, vectors), 4, 3, 20)
+    _, bounded = neighbours.within_leaves(placed, 4, 3)
+    sent = neighbours.visits(bounded, levels).select("id", "limit", "leaf").collect()
+    leaves = [r for level in levels for r in level.where("is_leaf").collect()]
+    want = set()
+    for r in bounded.collect():
+        x = np.array(r["vec"])
+        for leaf in leaves:
+            gap = np.maximum(np.maximum(np.array(leaf["low"]) - x, x - np.array(leaf["high"])), 0)
+            if leaf["node"] != r["home"] and np.sqrt((gap**2).sum()) <= r["limit"]:
+                want.add((r["id"], r["limit"], leaf["node"]))
+    assert len(sent) == len(want) and set(map(tuple, sent)) == want
+
+
+def test_only_neighbours_within_the_limit_leave_a_task():
+    right = pd.DataFrame({"id": [1, 2, 3, 4], "vec": [[1.0], [2.0], [3.0], [4.0]], "mult": 1})
+    left = pd.DataFrame({"id": [7, 8, 9], "vec": [[0.0], [0.5], [9.0]], "limit": [2.0, np.inf, 4.0]})
+    found = neighbours._best(left, right, 3, 1)
+    assert found[["id", "nid"]].to_numpy().tolist() == [[7, 1], [7, 2], [8, 1], [8, 2], [8, 3]]
+
+
 def test_no_points_have_no_neighbours(spark):
     assert neighbours.nearest_distinct(points_frame(spark, [[0, 0]]).where("false"), 3).count() == 0
 
