@@ -9,7 +9,8 @@ Equal sets are one node. A bucket gives no pairs but a star: its members are com
 the most company in all its buckets, and links are confirmed on full sets. Buckets whose members are all
 connected drop out, and the others choose another hub. Once stars connect little, what is left in a bucket is
 settled exactly, without pairs as rows: in blocks of bounded size, members that are not in the hub's component meet
-all of another component. Only pairs whose sketches agree well enough leave the task, to be confirmed on full sets.
+all of another component. Members whose sketches agree well enough meet again in the same block with their full sets,
+and only links that connect components leave it.
 """
 
 from __future__ import annotations
@@ -184,6 +185,13 @@ def _beside_hubs(pairs: DataFrame, held: DataFrame, size: str, alike) -> DataFra
     return rows.groupBy("hub", "salt").applyInArrow(compare, "key long, hub long, n long")
 
 
+def _similar(some: np.ndarray, whole: np.ndarray, percent: int) -> bool:
+    """Whether two full sets, ascending, are similar."""
+    place = np.minimum(np.searchsorted(whole, some), len(whole) - 1)
+    both = int((whole[place] == some).sum())
+    return 100 * both >= percent * (len(some) + len(whole) - both)
+
+
 def confirmed(pairs: DataFrame, sets: DataFrame, prints: DataFrame, percent: int) -> DataFrame:
     """The (key, hub) of ``pairs`` (key, hub, n) whose full sets are similar; signatures spare most others the look at sets."""
     least = least_agreement(percent, BINS)
@@ -192,12 +200,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, prints: DataFrame, percent: int
         return np.array([(x == hub).sum() >= least for x in members], bool)
 
     def similar(members: list[np.ndarray], n: np.ndarray, hub: np.ndarray, hub_n: int) -> np.ndarray:
-        whole, found = hub.view("<u8"), np.zeros(len(members), bool)
-        for i, some in enumerate(x.view("<u8") for x in members):
-            place = np.minimum(np.searchsorted(whole, some), len(whole) - 1)
-            both = int((whole[place] == some).sum())
-            found[i] = 100 * both >= percent * (int(n[i]) + hub_n - both)
-        return found
+        return np.array([_similar(x.view("<u8"), hub.view("<u8"), percent) for x in members], bool)
 
     near = cut_lineage(_beside_hubs(pairs, prints.withColumnRenamed("signature", "data"), str(BINS), agree))
     asked = near.select("key").unionByName(near.select(F.col("hub").alias("key"))).distinct()
@@ -206,26 +209,29 @@ def confirmed(pairs: DataFrame, sets: DataFrame, prints: DataFrame, percent: int
 
 
 def _left_over(rows: DataFrame, prints: DataFrame, percent: int) -> DataFrame:
-    """(key, hub, n): pairs of different components that share a bucket and whose sketches agree well enough.
+    """(bucket, visit, host, key, component, others): members of a block whose sketches agree well enough with one of another component.
 
     ``rows``: (bucket, band, key, n, component, hub_component). Members outside the hub's component are dealt over
-    slices of a bucket and meet all others, slice by slice; a pair comes out of the first bucket that it shares.
+    slices of a bucket and meet all others, slice by slice. ``others`` packs the keys that a visitor agrees with, each pair
+    in the first bucket that it shares; it is null for those that are only hosts. So a block gives a row a member, not a pair.
     """
     inside = F.col("component") == F.col("hub_component")
     marked = rows.withColumn("inside", inside.cast("long")).drop("hub_component")
-    marked = cut_lineage(with_group(cut_lineage(marked), ["bucket"], {"n_in": (F.sum, F.col("inside")), "n_out": (F.sum, 1 - F.col("inside"))}, ["key"]))
+    sides = {"in": F.col("inside"), "out": 1 - F.col("inside")}
+    sums = {f"{what}_{side}": (F.sum, is_there * each) for side, is_there in sides.items() for what, each in (("rows", F.lit(1)), ("bytes", 8 * F.col("n")))}
+    marked = cut_lineage(with_group(cut_lineage(marked), ["bucket"], sums, ["key"]))
     least = least_agreement(percent, BINS)
 
-    def slices_of(count: str):
-        return F.greatest(F.lit(1), F.ceil(F.col(count) / BLOCK_ROWS)).cast("int")
+    def slices_of(side: str):
+        return F.greatest(F.lit(1), F.ceil(F.col(f"rows_{side}") / BLOCK_ROWS), F.ceil(F.col(f"bytes_{side}") / BLOCK_BYTES)).cast("int")
 
-    out_slice = F.pmod(F.xxhash64("key", F.lit(1)), slices_of("n_out")).cast("int")
-    in_slice = F.pmod(F.xxhash64("key", F.lit(2)), slices_of("n_in")).cast("int")
+    out_slice = F.pmod(F.xxhash64("key", F.lit(1)), slices_of("out")).cast("int")
+    in_slice = F.pmod(F.xxhash64("key", F.lit(2)), slices_of("in")).cast("int")
     # Visitors are the members outside; hosts are those inside in their slices, and after them those outside in theirs.
-    host = F.when(F.col("inside") == 1, in_slice).otherwise(slices_of("n_in") + out_slice)
+    host = F.when(F.col("inside") == 1, in_slice).otherwise(slices_of("in") + out_slice)
     common = ["bucket", "band", "key", "n", "component", "inside"]
-    hosts = marked.select(*common, F.explode(F.sequence(F.lit(0), slices_of("n_out") - 1)).alias("visit"), host.alias("host"), F.lit(False).alias("visits"))
-    every = F.explode(F.sequence(F.lit(0), slices_of("n_in") + slices_of("n_out") - 1)).alias("host")
+    hosts = marked.select(*common, F.explode(F.sequence(F.lit(0), slices_of("out") - 1)).alias("visit"), host.alias("host"), F.lit(False).alias("visits"))
+    every = F.explode(F.sequence(F.lit(0), slices_of("in") + slices_of("out") - 1)).alias("host")
     guests = marked.where("inside = 0").select(*common, out_slice.alias("visit"), every, F.lit(True).alias("visits"))
     met = hosts.unionByName(guests).join(prints.select("key", "signature"), "key")
 
@@ -235,7 +241,8 @@ def _left_over(rows: DataFrame, prints: DataFrame, percent: int) -> DataFrame:
         signature = np.array(_blobs(table["signature"], np.uint8))
         bands, band = signature.view("<u4")[:, :BANDS], int(table["band"][0].as_py())
         mine = np.flatnonzero(~visits)
-        left, right, sizes = [], [], []
+        asked: list[int] = []
+        found: list[np.ndarray] = []
         for i in np.flatnonzero(visits).tolist():
             small, large = np.minimum(n[mine], n[i]), np.maximum(n[mine], n[i])
             # Two visitors meet twice, and count once.
@@ -243,12 +250,43 @@ def _left_over(rows: DataFrame, prints: DataFrame, percent: int) -> DataFrame:
             some = mine[once & (100 * small >= percent * large) & (component[mine] != component[i])]
             some = some[(signature[some] == signature[i]).sum(axis=1) >= least]
             some = some[~(bands[some, :band] == bands[i, :band]).any(axis=1)]
-            right += [int(keys[i])] * len(some)
-            left += keys[some].tolist()
-            sizes += n[some].tolist()
-        return pa.table([pa.array(x, pa.int64()) for x in (left, right, sizes)], names=["key", "hub", "n"])
+            if len(some):
+                asked.append(i)
+                found.append(some)
+        hosts = np.unique(np.concatenate([np.zeros(0, np.int64), *found]))
+        hosts = hosts[~np.isin(keys[hosts], keys[asked])]
+        others = [keys[some].astype("<i8").tobytes() for some in found] + [None] * len(hosts)
+        rows_out = table.select(names).take(pa.array(np.concatenate((np.array(asked, np.int64), hosts))))
+        return rows_out.append_column("others", pa.array(others, pa.binary()))
+
+    names = ["bucket", "visit", "host", "key", "component"]
+    return met.groupBy("bucket", "visit", "host").applyInArrow(meet, "bucket long, visit int, host int, key long, component long, others binary")
+
+
+def _block_links(blocks: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(key, hub): of the pairs in ``blocks`` (see :func:`_left_over`) whose full sets are similar, those that connect components of a block."""
+    held = _passing(sets, blocks.select("key").distinct(), "xxhash64(key)")
+
+    def settle(table: pa.Table) -> pa.Table:
+        keys, component = table["key"].to_pylist(), table["component"].to_pylist()
+        tokens, place = _blobs(table["tokens"], "<u8"), {k: i for i, k in enumerate(keys)}
+        above = {c: c for c in component}
+        links = []
+
+        def top(c: int) -> int:
+            while above[c] != c:
+                above[c] = c = above[above[c]]
+            return c
+
+        for i, others in enumerate(table["others"]):
+            for j in [place[k] for k in np.frombuffer(others.as_buffer(), "<i8").tolist()] if others.is_valid else []:
+                a, b = top(component[i]), top(component[j])
+                if a != b and _similar(tokens[j], tokens[i], percent):
+                    above[a] = b
+                    links.append((keys[j], keys[i]))
+        return pa.table([pa.array([pair[c] for pair in links], pa.int64()) for c in (0, 1)], names=["key", "hub"])
 
-    return met.groupBy("bucket", "visit", "host").applyInArrow(meet, "key long, hub long, n long")
+    return blocks.join(held.select("key", "tokens"), "key").groupBy("bucket", "visit", "host").applyInArrow(settle, "key long, hub long")
 
 
 def duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -330,9 +368,9 @@ def duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT,
         if STAR_YIELD * n_passed < n_stars:
             break
     rows = with_hubs(0).select("bucket", "band", "key", "n", "component", F.col("hub.component").alias("hub_component"))
-    pairs = untested(_left_over(cut_lineage(rows), prints, percent))
-    if pairs.head(1):
-        passed = cut_lineage(confirmed(pairs, sets, prints, percent))
+    blocks = cut_lineage(_left_over(cut_lineage(rows), prints, percent))
+    if blocks.head(1):
+        passed = cut_lineage(_block_links(blocks, sets, percent))
         if passed.head(1):
             labels = components(united([*links, passed]))
     # Names: the smallest document of each component, spread back over nodes and rows.

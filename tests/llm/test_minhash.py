@@ -84,3 +84,16 @@ def test_sets_are_those_of_the_other_join():
 @pytest.mark.parametrize("name", ["op13_minhash_dedup", "op2_ngram_jaccard"])
 def test_queries_equal_their_sql(spark, sf_dir, name):
     assert compare(queries.QUERIES[name](spark, sf_dir), connect(sf_dir), queries.ORACLES[name]) == []
+
+
+def test_copies_below_the_limit_leave_blocks_as_members_not_as_pairs(spark):
+    # Copies of one text with changes of their own: signatures of any two agree well enough, full sets do not.
+    base = [f"w{i}" for i in range(120)]
+    docs = [(i, " ".join(f"x{i}y{j}" if j in (7 + i % 5, 60 + i % 7) else w for j, w in enumerate(base))) for i in range(100)]
+    table = frame(spark, docs)
+    state = minhash.sketched(table, minhash.SHINGLE, "doc_id", "text")
+    one = state.selectExpr("7L as bucket", "0 as band", "row as key", "n", "row as component", "-1L as hub_component")
+    blocks = minhash._left_over(one, state.selectExpr("row as key", "n", "signature"), minhash.PERCENT).collect()
+    assert sum(len(r.others or b"") // 8 for r in blocks) > 10 * len(docs)
+    assert len(blocks) <= len(docs)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found(spark, docs)} == brute(docs, 85)
