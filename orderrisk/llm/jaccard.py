@@ -8,12 +8,16 @@ under the first order and pass size and place filters; the other orders are test
 
 Groups of near copies are not expanded into pairs: within a block (the sets that share a prefix token)
 members are compared with one hub, and what is connected already is not compared again. When hubs connect
-nothing more, all remaining pairs between different components that pass every filter are verified.
+nothing more, all remaining pairs between different components that pass every filter are verified. One of the filters is
+a bitmap of parities: sets differ in at least as many tokens as their bitmaps in bits, so that most members of a block that
+share a token and little else never become rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderrisk.session import cut_lineage
+from orderrisk.session import cut_lineage, drop_table
 
 from .words import MOST_PARTITIONS, SPACED, grams, mixed, run_hashes, slices, words
 
@@ -30,6 +34,9 @@ PERCENT = 75
 BUCKET_BYTES = 8 << 20
 SALT_ROWS = 256
 HUB_YIELD = 5
+#: Words of 64 bits in a set's bitmap (a power of two), and sets whose bitmaps are made together.
+BITMAP_WORDS = 8
+BITMAP_ROWS = 1024
 _ORDERS = tuple(np.uint64(x) for x in (0, 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F))
 _DOC = np.dtype([("key", "<i8"), ("n", "<i8"), ("twin", "<i8"), ("place", "<i4"), ("doc", "<i8"), ("known", "?")])
 
@@ -173,19 +180,44 @@ def _able(shared: Column, n: Column, other: Column, percent: int) -> Column:
     return shared * (100 + percent) >= (n + other) * percent
 
 
-def _pairs(rows: DataFrame, percent: int) -> DataFrame:
+def _bitmaps(sets: DataFrame) -> DataFrame:
+    """(key, b0, b1, ...): of each bit whether an odd number of a set's shared tokens fall on it.
+
+    A token in one of two sets only turns one bit, so they differ in at least as many tokens as their bitmaps in bits.
+    """
+    bits = 64 * BITMAP_WORDS
+    names = ["key", *(f"b{i}" for i in range(BITMAP_WORDS))]
+
+    def make(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in (p.slice(at, BITMAP_ROWS) for p in parts for at in range(0, p.num_rows, BITMAP_ROWS)):
+            tokens = [np.frombuffer(x.as_buffer(), "<u8") for x in part.column(1)]
+            owner = np.repeat(np.arange(len(tokens)), [len(t) for t in tokens])
+            bit = (mixed(np.concatenate(tokens)) >> np.uint64(65 - bits.bit_length())).astype(np.int64)
+            odd = np.bincount(owner * bits + bit, minlength=len(tokens) * bits).reshape(-1, bits) & 1
+            words_of = np.packbits(odd.astype(np.uint8), axis=1).view("<i8")
+            yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(np.ascontiguousarray(words_of[:, i])) for i in range(BITMAP_WORDS))], names)
+
+    return sets.select("key", "tokens").mapInArrow(make, ", ".join(f"{c} long" for c in names))
+
+
+def _pairs(rows: DataFrame, bitmaps: DataFrame, percent: int) -> DataFrame:
     """(key, hub) of different components that can be similar, as far as prefixes tell.
 
     The smaller set of a pair needs only the tokens before its place n - 2 percent n / (100 + percent). All tokens
     shared up to the last one that both prefixes hold are counted, and after it no more follow than the
-    shorter rest.
+    shorter rest. Sets whose bitmaps differ too much share a token in vain and are no row of the join.
     """
+    marks = [c for c in bitmaps.columns if c != "key"]
+    rows = cut_lineage(rows.join(bitmaps, "key"))
     small = rows.where((F.col("n") - F.col("at")) * (100 + percent) >= F.col("n") * (2 * percent))
-    large = rows.select("token", *(F.col(c).alias(f"{c}2") for c in ("key", "n", "lone", "at", "component")))
+    large = rows.select("token", *(F.col(c).alias(f"{c}2") for c in ("key", "n", "lone", "at", "component", *marks)))
     ordered = (F.col("n") < F.col("n2")) | ((F.col("n") == F.col("n2")) & (F.col("key") < F.col("key2")))
     most = F.least(F.col("n") - F.col("lone"), F.col("n2") - F.col("lone2"))
     rest = F.least(F.col("n") - F.col("at"), F.col("n2") - F.col("at2"))
-    fits = _able(most, F.col("n"), F.col("n2"), percent) & (F.col("component") != F.col("component2")) & ordered
+    differ = reduce(add, (F.bit_count(F.col(c).bitwiseXOR(F.col(f"{c}2"))) for c in marks))
+    held = F.col("n") - F.col("lone") + F.col("n2") - F.col("lone2")
+    alike = _able(held - differ, 2 * F.col("n"), 2 * F.col("n2"), percent)
+    fits = _able(most, F.col("n"), F.col("n2"), percent) & (F.col("component") != F.col("component2")) & ordered & alike
     met = small.join(large, "token").where(fits)
     met = met.groupBy("key", "key2", "n", "n2").agg(F.count("*").alias("c"), F.min(rest).alias("rest"))
     return met.where(_able(F.col("c") + F.col("rest") - 1, F.col("n"), F.col("n2"), percent)).select("key", F.col("key2").alias("hub"))
@@ -295,12 +327,14 @@ def join(
     labels = components(links) if links.head(1) else None
     turn = 0
     while True:
-        rows = _labelled(first, labels)
+        # Equal sets of a batch have sent one; to begin with each set that has tokens is a component of its own.
+        rows = _labelled(first, labels if turn else None)
         # The hub: the member with the fewest tokens of its own, another one in each turn.
         rank = F.struct((F.xxhash64("key", F.lit(turn)) if turn else F.col("lone")).alias("rank"), "key", "n", "lone", "component")
         spread = rows.groupBy("token").agg(F.min(rank).alias("hub"), F.max("component").alias("top"), F.min("component").alias("low"))
         # A block whose members are connected stays so, and is not looked at again.
         mixed_rows = cut_lineage(rows.join(spread.where("top != low").select("token", "hub"), "token"))
+        drop_table(first)
         first = mixed_rows.select("token", "key", "n", "lone", "at")
         hub = F.col("hub")
         most = F.least(F.col("n") - F.col("lone"), hub["n"] - hub["lone"])
@@ -322,7 +356,7 @@ def join(
         # Where hubs connect few members any more, the rest is settled pair by pair.
         if HUB_YIELD * n_passed < best.count():
             break
-    pairs = _pairs(_labelled(first, labels), percent)
+    pairs = _pairs(_labelled(first, labels), _bitmaps(sets), percent)
     if tested is not None:
         both = tested.unionByName(tested.select(F.col("hub").alias("key"), F.col("key").alias("hub")))
         pairs = pairs.join(both, ["key", "hub"], "left_anti")

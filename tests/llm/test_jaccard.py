@@ -1,5 +1,8 @@
+import random
 from collections import Counter
 
+import numpy as np
+
 from orderrisk.llm import jaccard, queries
 
 from .common import TOKENIZER_WORDS, awkward, frame, lowered
@@ -63,3 +66,35 @@ def test_null_keys_connect_nothing_and_are_no_ones_component(spark, tmp_path):
         ("3", 4, "3"), ("4", 4, "3"), ("7", 4, "7"), ("8", 4, "7"), ("9", 1, "9"), ("9", 5, "7"),
         ("None", 0, "None"), ("None", 2, "None"), ("None", 2, "None"), ("None", 4, "3"), ("None", 4, "7"),
     ]
+
+
+def test_bitmaps_differ_in_no_more_bits_than_sets_in_tokens(spark):
+    rng = random.Random(5)
+    sets = [rng.sample(range(3000), rng.choice([1, 20, 300, 1500])) for _ in range(40)]
+    rows = [(i, np.array(s, "<u8").tobytes()) for i, s in enumerate(sets)]
+    made = {r[0]: np.array(r[1:]) for r in jaccard._bitmaps(spark.createDataFrame(rows, "key long, tokens binary")).collect()}
+    apart = [(len(set(sets[i]) ^ set(sets[j])), sum(int(x).bit_count() for x in (made[i] ^ made[j]).view(np.uint64))) for i in made for j in made]
+    assert all(bits <= tokens for tokens, bits in apart)
+    assert max(bits for _, bits in apart) > 200
+
+
+def test_sets_that_differ_too_much_are_no_rows_of_the_join(spark):
+    # All share the prefix token 1 and little else.
+    sets = {k: [1, *range(1000 * k, 1000 * k + 40)] for k in range(2, 30)} | {k: [1, *range(2000, 2040), 5000 + k] for k in range(30, 33)}
+    rows = spark.createDataFrame([(1, k, len(s), 0, 0, k) for k, s in sets.items()], "token long, key long, n long, lone long, at long, component long")
+    held = spark.createDataFrame([(k, np.array(s, "<u8").tobytes()) for k, s in sets.items()], "key long, tokens binary")
+    pairs = jaccard._pairs(rows, jaccard._bitmaps(held), 75)
+    join = next(line for line in pairs._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join" in line)
+    assert "bit_count" in join
+    assert {tuple(sorted(r)) for r in pairs.collect()} >= {(30, 31), (30, 32), (31, 32)}
+    assert pairs.count() < 20
+
+
+def test_first_turn_asks_for_no_labels(spark, monkeypatch):
+    # Equal sets of a batch are linked already, but only one of them has tokens.
+    seen, real = [], jaccard._labelled
+    monkeypatch.setattr(jaccard, "_labelled", lambda rows, labels: seen.append(labels) or real(rows, labels))
+    docs = [(i, f"a b c d e f g h {i // 2}") for i in range(8)]
+    found = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.join(frame(spark, docs, 1)).collect()}
+    assert found == brute(docs)
+    assert seen[0] is None and len(seen) > 1
