@@ -21,6 +21,7 @@ from pyspark.sql.window import Window
 from orderrisk.session import cut_lineage
 
 from .encode import encoder
+from .words import slices
 
 CAPACITY = 2048
 #: Pieces of one length are ranked in so many deals at least, and in more where there are many pieces.
@@ -47,7 +48,8 @@ def pieces(
     end = end_id.to_bytes(4, "little")
 
     def cut(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
+        # Slices, not Spark's batches of so many rows: those hold texts and ids of any size at once.
+        for part in slices(parts, 1):
             owner: list[int] = []
             rows: list[tuple] = []
             for at, ids in enumerate(encoder(tokenizer).ids(part.column(1).to_pylist())):

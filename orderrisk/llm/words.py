@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -118,8 +120,20 @@ def grams(hashes: np.ndarray, ends: np.ndarray, n: int) -> tuple[np.ndarray, np.
     return run_hashes(hashes, at, last), left >= n
 
 
+_TRIM = ctypes.CDLL(None).malloc_trim if sys.platform == "linux" and hasattr(ctypes.CDLL(None), "malloc_trim") else None
+
+
+def give_back() -> None:
+    """Memory that a worker has freed goes back to the machine: it lives as long as its executor, beside others and a JVM."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM:
+        _TRIM(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: int, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of about ``size`` bytes of one column; a longer text is a batch of its own."""
+    # What this worker held in an earlier stage.
+    give_back()
     for batch in batches:
         lengths = pc.binary_length(batch.column(column)).fill_null(0).to_numpy()
         ends = np.concatenate(([0], np.cumsum(lengths, dtype=np.int64)))
@@ -128,8 +142,8 @@ def slices(batches: Iterator[pa.RecordBatch], column: int, size: int = SLICE_BYT
             stop = max(at + 1, int(np.searchsorted(ends, ends[at] + size, "right")) - 1)
             yield batch.slice(at, stop - at)
             at = stop
-            # A worker lives as long as its executor; what a slice needed goes back before the next.
-            pa.default_memory_pool().release_unused()
+            # What a slice needed goes back before the next.
+            give_back()
 
 
 def lists(values: np.ndarray, counts: np.ndarray, kind: pa.DataType) -> pa.Array:

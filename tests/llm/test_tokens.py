@@ -2,10 +2,13 @@ import random
 import zlib
 from array import array
 from collections import defaultdict
+from typing import ClassVar
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
+from pyspark.sql.types import StructType
 from tokenizers import Tokenizer
 
 from orderrisk.llm import counts, dac, encode, packing
@@ -122,3 +125,27 @@ def test_plan_fills_gaps_exactly():
 def test_plan_tries_all_triples():
     made = packing.plan({59: 2, 21: 2, 15: 1, 5: 1, 11: 1, 9: 1, 13: 1}, 100)
     assert sorted(made) == [((13,), 1), ((59, 21, 11, 9), 1), ((59, 21, 15, 5), 1)]
+
+
+def test_pieces_are_cut_in_slices_of_bounded_bytes(monkeypatch):
+    class Table:
+        schema = StructType().add("doc_id", "long").add("text", "string")
+
+        def select(self, *columns):
+            return self
+
+        def mapInArrow(self, cut, schema):
+            return cut
+
+    class Spy:
+        seen: ClassVar[list[int]] = []
+
+        def ids(self, texts):
+            self.seen.append(sum(map(len, texts)))
+            return [b"\x01\0\0\0" * (len(t) >> 16) for t in texts]
+
+    monkeypatch.setattr(packing, "encoder", lambda path: Spy())
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(100)), "text": ["x" * (1 << 18)] * 100})
+    made = [r for part in packing.pieces(Table(), "a tokenizer")(iter([batch])) for r in part.to_pylist()]
+    assert [(r["doc_id"], r["length"]) for r in made] == [(i, 5) for i in range(100)]
+    assert max(Spy.seen) <= 1 << 22 and sum(Spy.seen) == 100 << 18
