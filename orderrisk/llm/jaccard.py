@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from orderrisk.session import cut_lineage, drop_table
 
+from .decontaminate import _filter
 from .words import MOST_PARTITIONS, SPACED, grams, mixed, run_hashes, slices, words
 
 SHINGLE = 5
@@ -153,26 +154,50 @@ def _sets(percent: int):
     return gather
 
 
-def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
-    """(token, key, n, lone, at): each set's shared prefix tokens under the first order and their places.
+def _prefixes(sets: DataFrame, percent: int, marked: tuple[int, np.ndarray] | None = None) -> DataFrame:
+    """(token, key, n, lone, at): each set's shared prefix tokens under the first order and their places; its component too if ``sets`` has one.
 
-    Tokens of one set only come first in every order, so the others' places begin at ``lone``.
+    Tokens of one set only come first in every order, so the others' places begin at ``lone``. They are mixed, so that a bit filter
+    of their leading bits, ``marked``, may leave out tokens that it lacks.
     """
+    keep = ["key", "n", "lone", *(c for c in sets.columns if c == "component")]
+    names = ["token", *keep, "at"]
+    bits, shared = (marked[0], sets.sparkSession.sparkContext.broadcast(marked[1])) if marked else (0, None)
 
     def take(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             rows: list[list[np.ndarray]] = [[np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]]
             n, lone = part.column(1).to_numpy(), part.column(2).to_numpy()
             length = _prefix(n, percent) - lone
-            for i, t in enumerate(part.column(3)):
+            for i, t in enumerate(part.column(len(keep))):
                 t = np.frombuffer(t.as_buffer(), "<u8")[: length[i]]
                 for column, more in zip(rows, (t, np.full(len(t), i), lone[i] + np.arange(len(t))), strict=True):
                     column.append(more)
             token, who, at = (np.concatenate(x) for x in rows)
-            columns = [part.column(i).take(pa.array(who)) for i in range(3)]
-            yield pa.RecordBatch.from_arrays([pa.array(token.view(np.int64)), *columns, pa.array(at)], ["token", "key", "n", "lone", "at"])
+            token = mixed(token)
+            if shared is not None:
+                place = token >> np.uint64(64 - bits)
+                held = (shared.value[place >> np.uint64(6)] >> (place & np.uint64(63)) & np.uint64(1)).astype(bool)
+                token, who, at = token[held], who[held], at[held]
+            columns = [part.column(i).take(pa.array(who)) for i in range(len(keep))]
+            yield pa.RecordBatch.from_arrays([pa.array(token.view(np.int64)), *columns, pa.array(at)], names)
 
-    return sets.select("key", "n", "lone", "tokens").mapInArrow(take, "token long, key long, n long, lone long, at long")
+    return sets.select(*keep, "tokens").mapInArrow(take, ", ".join(f"{c} long" for c in names))
+
+
+def _unsettled(sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """The prefix rows of blocks that hold several components (and of few others), with their components.
+
+    Labels meet prefixes and not their tokens, so that a row a set moves by key, and tokens move with their components
+    alone. A bit filter then tells which tokens' rows are wanted.
+    """
+    head = F.expr(f"substring(tokens, 1, cast(8 * (n + floor(-{percent} * n / 100) + 1 - lone) as int))")
+    heads = cut_lineage(_labelled(sets.select("key", "n", "lone", head.alias("tokens")), labels))
+    spread = _prefixes(heads, percent).groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("top"))
+    several = cut_lineage(spread.where("top != low").select(F.col("token").alias("fingerprint")))
+    rows = _prefixes(heads, percent, _filter(several))
+    drop_table(several)
+    return rows
 
 
 def _able(shared: Column, n: Column, other: Column, percent: int) -> Column:
@@ -325,10 +350,19 @@ def join(
     links = cut_lineage(state.where("key != twin and n > 0").select("key", F.col("twin").alias("hub")).distinct())
     tested: DataFrame | None = None
     labels = components(links) if links.head(1) else None
-    turn = 0
+    turn, narrowed = 0, False
+
+    def labelled(first: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """The table of prefix rows that holds from now on, and its rows with their components."""
+        if labels is None or narrowed:
+            return first, _labelled(first, labels)
+        drop_table(first)
+        rows = _unsettled(sets, labels, percent)
+        return rows, rows
+
     while True:
         # Equal sets of a batch have sent one; to begin with each set that has tokens is a component of its own.
-        rows = _labelled(first, labels if turn else None)
+        first, rows = labelled(first) if turn else (first, _labelled(first, None))
         # The hub: the member with the fewest tokens of its own, another one in each turn.
         rank = F.struct((F.xxhash64("key", F.lit(turn)) if turn else F.col("lone")).alias("rank"), "key", "n", "lone", "component")
         spread = rows.groupBy("token").agg(F.min(rank).alias("hub"), F.max("component").alias("top"), F.min("component").alias("low"))
@@ -336,6 +370,7 @@ def join(
         mixed_rows = cut_lineage(rows.join(spread.where("top != low").select("token", "hub"), "token"))
         drop_table(first)
         first = mixed_rows.select("token", "key", "n", "lone", "at")
+        narrowed = turn > 0
         hub = F.col("hub")
         most = F.least(F.col("n") - F.col("lone"), hub["n"] - hub["lone"])
         able = _able(most, F.col("n"), hub["n"], percent) & (F.col("component") != hub["component"])
@@ -356,7 +391,7 @@ def join(
         # Where hubs connect few members any more, the rest is settled pair by pair.
         if HUB_YIELD * n_passed < best.count():
             break
-    pairs = _pairs(_labelled(first, labels), _bitmaps(sets), percent)
+    pairs = _pairs(labelled(first)[1], _bitmaps(sets), percent)
     if tested is not None:
         both = tested.unionByName(tested.select(F.col("hub").alias("key"), F.col("key").alias("hub")))
         pairs = pairs.join(both, ["key", "hub"], "left_anti")
