@@ -203,3 +203,42 @@ def test_finished_trees_of_a_forest_are_flat_arrays(spark):
     flat = forest._compact(tree, [np.zeros(0)] * 3, np.array([1.0, 2.0]))
     assert all(isinstance(v, np.ndarray) for v in flat.values())
     assert flat["cover"][0] == (y == 0).sum() + 2 * y.sum() and flat["value"][0] == 2 * y.sum() / flat["cover"][0]
+
+
+def test_trees_whose_rows_fit_a_task_grow_without_passes(spark, monkeypatch):
+    x, y = rows_of(900, 9)
+    train, passes = frame(spark, x, y), []
+    summed = forest.summed
+    monkeypatch.setattr(forest, "summed", lambda found, size: (passes.append(size), summed(found, size))[1])
+    whole = forest.fit(train, NAMES, (1.0, 2.0), 5, 6)
+    assert not passes
+    in_passes = forest.fit(train, NAMES, (1.0, 2.0), 5, 6, local_rows=0)
+    assert len(passes) == 6
+    assert (whole.probability(x) == in_passes.probability(x)).all() and sorted(whole.gains) == sorted(in_passes.gains)
+
+
+@pytest.mark.parametrize("sizes", [[255, 24, 2, 5, 1], [200] * 9 + [3, 40]])
+def test_rows_of_a_forest_are_words_with_all_inputs(sizes):
+    rng = np.random.default_rng(10)
+    together = boosting.bundles(sizes)
+    layout = forest.Layout(together, sizes)
+    assert layout.words == (1 if len(sizes) == 5 else 2)
+    bins = np.array([rng.integers(0, size, 700) for size in sizes])
+    labels, count = rng.integers(0, 2, 700).astype(np.uint8), rng.poisson(1.0, 700)
+    codes = np.concatenate([sum(bins[i] * s for i, s in zip(b, boosting.strides(b, sizes), strict=True)) for b in together]).astype(np.uint8)
+    rows = layout.drawn(layout.rows(labels, codes), count)
+    assert len(rows) == (count > 0).sum() and layout.counts(rows).tolist() == [count[labels == c].sum() for c in (0, 1)]
+    found = layout.histogram(rows, np.arange(len(sizes)))
+    for i, size in enumerate(sizes):
+        want = np.zeros((256, 2), int)
+        np.add.at(want, (bins[i], labels), count)
+        assert (found[i] == want).all()
+        left, right = layout.parts(rows, i, size // 3)
+        assert len(left) == ((bins[i] <= size // 3) & (count > 0)).sum() and len(left) + len(right) == len(rows)
+
+
+def test_draws_are_found_by_their_upper_bits():
+    keys = np.random.default_rng(11).integers(-(1 << 62), 1 << 62, 200_000)
+    mixed = forest._mixed(keys.astype(np.uint64) * np.uint64(0x9FB21C651E98DF25) + forest._mixed(np.full(1, 4, np.uint64)))
+    want = np.searchsorted(forest._POISSON, (mixed >> np.uint64(11)).astype(float) / (1 << 53), "right")
+    assert (forest.times(keys, 3) == want).all() and (forest._UPPER < 0).sum() < 20
