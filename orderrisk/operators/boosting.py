@@ -132,30 +132,29 @@ class Growing:
     def arrays(self) -> tuple[np.ndarray, ...]:
         return tuple(np.array(c) for c in (self.input, self.bin, self.left, self.right, self.value))
 
+    def shape(self) -> tuple[np.ndarray, ...]:
+        """What rows need to find their way, in few bytes."""
+        return tuple(np.array(c, np.int32) for c in (self.input, self.bin, self.left, self.right))
+
     def listed(self, cuts: list[np.ndarray]) -> dict[str, list]:
         threshold = [float(cuts[i][b]) if i >= 0 else 0.0 for i, b in zip(self.input, self.bin, strict=True)]
         return {"input": self.input, "threshold": threshold, "left": self.left, "right": self.right, "value": self.value, "cover": self.cover, "gain": self.gain}
 
 
-def reached(tree: tuple[np.ndarray, ...], bins: np.ndarray, n: int, depth: int) -> np.ndarray:
-    """The node in which each of ``n`` rows ends; ``bins`` holds input after input."""
-    inputs, last, left, right, _ = tree
-    at, row = np.zeros(n, np.int64), np.arange(n)
-    for _ in range(depth):
-        at = np.where(bins[np.maximum(inputs[at], 0) * n + row] <= last[at], left[at], right[at])
-    return at
-
+def steps(tree: tuple[np.ndarray, ...], together: list[list[int]], sizes: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Per node the column that it looks at, and per node and code the next node.
 
-def steps(tree: Growing, together: list[list[int]], sizes: list[int]) -> tuple[np.ndarray, np.ndarray]:
-    """Per node the column that it looks at, and per node and code the next node."""
-    column = np.zeros(len(tree.input), np.int64)
-    following = np.repeat(np.arange(len(tree.input))[:, None], BINS, axis=1)
+    Tasks work this out from :meth:`Growing.shape`: a pass carries the trees since the margins were last written, so they must be small.
+    """
+    inputs, last, left, right = tree
+    column = np.zeros(len(inputs), np.int64)
+    following = np.repeat(np.arange(len(inputs))[:, None], BINS, axis=1)
     code = np.arange(BINS)
     where = {i: (b, stride) for b, bundle in enumerate(together) for i, stride in zip(bundle, strides(bundle, sizes), strict=True)}
-    for node, i in enumerate(tree.input):
+    for node, i in enumerate(inputs.tolist()):
         if i >= 0:
             column[node], stride = where[i]
-            following[node] = np.where(code // stride % sizes[i] <= tree.bin[node], tree.left[node], tree.right[node])
+            following[node] = np.where(code // stride % sizes[i] <= last[node], left[node], right[node])
     return column, following.ravel()
 
 
@@ -257,8 +256,9 @@ def fit(
     counted = min_rows > 1 or min_curvature * unit < 1
     kinds = 3 if counted else 2
 
-    def level_pass(way: tuple, slot_of: np.ndarray, slots: int, level: int):
+    def level_pass(shape: tuple, slot_of: np.ndarray, slots: int, level: int):
         def sums(blocks: Iterator[tuple]) -> Iterator[np.ndarray]:
+            way = steps(shape, together, sizes)
             total = np.zeros((slots, sum(widths), kinds), np.int64)
             for block in blocks:
                 y, codes, margin = (np.frombuffer(b, t) for b, t in zip(block, _BLOCK, strict=True))
@@ -279,8 +279,9 @@ def fit(
 
         return sums
 
-    def advance(way: tuple, value: np.ndarray):
+    def advance(shape: tuple, value: np.ndarray):
         def add(blocks: Iterator[tuple]) -> Iterator[tuple]:
+            way = steps(shape, together, sizes)
             for labels, codes, margins in blocks:
                 moved = np.frombuffer(margins, "<f8") + value[walked(way, np.frombuffer(codes, np.uint8), len(labels), depth)]
                 yield labels, codes, moved.tobytes()
@@ -297,7 +298,7 @@ def fit(
         for level in range(depth):
             slot_of = np.full(len(tree.input), -1)
             slot_of[asked] = np.arange(len(asked))
-            total = summed(state.mapPartitions(level_pass(steps(tree, together, sizes), slot_of, len(asked), level)), len(asked) * sum(widths) * kinds * 8)
+            total = summed(state.mapPartitions(level_pass(tree.shape(), slot_of, len(asked), level)), len(asked) * sum(widths) * kinds * 8)
             if older is not None:
                 older.unpersist()
                 older = None
@@ -328,7 +329,7 @@ def fit(
                 break
         grown_trees.append(tree)
         if turn + 1 < rounds:
-            older, state = state, state.mapPartitions(advance(steps(tree, together, sizes), np.array(tree.value))).persist(StorageLevel.MEMORY_AND_DISK)
+            older, state = state, state.mapPartitions(advance(tree.shape(), np.array(tree.value))).persist(StorageLevel.MEMORY_AND_DISK)
             if len(grown_trees) % REFRESH == 0:
                 written = cut_lineage(train.sparkSession.createDataFrame(state, table.schema, verifySchema=False))
                 for gone in (older, state):

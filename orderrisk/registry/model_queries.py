@@ -106,8 +106,14 @@ def imbalance_comparison(spark: SparkSession, d: str) -> DataFrame:
 
 
 def model_comparison(spark: SparkSession, d: str) -> DataFrame:
-    fitted = {"Random Forest": _forest(spark, d), "Boosted trees, weighted, step 0.3": _model(spark, d)}
-    return models.model_comparison(_train(spark, d), _test(spark, d), fitted=fitted)
+    """All candidates; those that other queries use as well are loaded if they are there, and saved if not."""
+    paths = {models.FOREST: tables.folder(spark, d, "forest_model"), models.BOOSTED: tables.folder(spark, d, "boosted_model")}
+    known = {name: models.load_model(path) for name, path in paths.items() if path in tables._written}
+    table, _, fitted = models.compare_models(_train(spark, d), _test(spark, d), fitted=known)
+    for name in paths.keys() - known.keys():
+        models.save_model(fitted[name], paths[name])
+        tables._written.add(paths[name])
+    return table
 
 
 def feature_importance(spark: SparkSession, d: str) -> DataFrame:

@@ -1,14 +1,16 @@
 """Fits, scoring, permutation and explanations."""
 
+import threading
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from orderrisk.functions.hashing import hash60
-from orderrisk.operators import explain, features, models, permuting, sampling
+from orderrisk.operators import boosting, explain, features, models, permuting, sampling
 from orderrisk.operators.features import FEATURES
 from orderrisk.plans import modelling
-from orderrisk.registry import tables
+from orderrisk.registry import model_queries, tables
 
 
 @pytest.fixture(scope="module")
@@ -291,3 +293,43 @@ def test_the_boosted_model_beats_chance(spark, sf_dir):
     train, test = rows.where(~F.col("is_test")).drop("is_test"), rows.where("is_test").drop("is_test")
     found = models.evaluate_model(models.fit_gbt(train, iters=20), test).first()
     assert found["roc_auc"] > 0.55
+
+
+def test_fits_of_short_passes_run_side_by_side_and_metrics_are_taken_once(train, test_rows, boosted, monkeypatch):
+    met, taken = threading.Barrier(2, timeout=60), []
+    metrics_of = models._metrics_of
+    monkeypatch.setattr(models, "fit_gbt", lambda *_, **__: (met.wait(), boosted)[1])
+    monkeypatch.setattr(models, "_metrics_of", lambda counts: (taken.append(1), metrics_of(counts))[1])
+    fitted = {models.LINEAR: models.fit_logistic(features.fit_scaler(train).transform(train), True, 5)}
+    table, counts, made = models.compare_models(train, test_rows, 2, 2, 5, fitted)
+    assert list(counts) == list(models.model_fits()) and made[models.LINEAR] is fitted[models.LINEAR]
+    assert table.count() == 5 and len(taken) == 4
+
+
+def test_the_registered_comparison_saves_what_other_queries_load(spark, small_dir, boosted, monkeypatch, folder):
+    monkeypatch.setattr(tables, "_written", set())
+    monkeypatch.setattr(tables, "folder", lambda spark, d, name: f"{folder}/{name}")
+    asked = []
+
+    def compared(train, test, fitted):
+        asked.append(sorted(fitted))
+        return train.limit(1), {}, {models.FOREST: boosted, models.BOOSTED: boosted}
+
+    monkeypatch.setattr(models, "compare_models", compared)
+    for _ in range(2):
+        model_queries.model_comparison(spark, small_dir)
+    assert asked == [[], sorted([models.FOREST, models.BOOSTED])]
+    assert (model_queries._model(spark, small_dir).thresholds == boosted.thresholds).all()
+
+
+def test_a_pass_carries_few_bytes_of_a_tree():
+    tree = boosting.Growing()
+    nodes = [0]
+    for node in nodes[:]:
+        nodes += tree.split(node, 0, 3, 1.0)
+    for node in nodes[1:3]:
+        tree.split(node, 1, 0, 1.0)
+    assert sum(c.nbytes for c in tree.shape()) == 16 * 7
+    column, following = boosting.steps(tree.shape(), [[0], [1, 2]], [9, 2, 4])
+    assert column[:3].tolist() == [0, 1, 1]
+    assert following.reshape(7, 256)[0, :9].tolist() == [1] * 4 + [2] * 5 and following.reshape(7, 256)[1, :8].tolist() == [3] * 4 + [4] * 4
