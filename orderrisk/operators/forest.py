@@ -15,7 +15,7 @@ from dataclasses import dataclass, field
 import numpy as np
 from pyspark.sql import DataFrame
 
-from orderrisk.session import drop_table
+from orderrisk.session import drop_table, forget_shuffles
 
 from .boosting import BINS, PIECE_ROWS, Growing, bundles, cut_points, held_blocks, packed, strides, summed
 from .permuting import _mixed
@@ -256,6 +256,8 @@ def fit(
             sent = state.mapPartitions(_rows_of(shapes, list(small), layout)).partitionBy(parts, place.__getitem__)
             for (t, i), made in sent.mapPartitions(_finish(paths, layout, depth, per_split, weights)).collect():
                 _graft(trees[t], i, *(np.frombuffer(b, k) for b, k in zip(made, _PARTS.values(), strict=True)))
+            del sent
+            forget_shuffles(train.sparkSession)
         # Flat arrays from here on: lists of all trees' nodes would fill the driver.
         done += [_compact(tree, cuts, weights) for tree in trees.values()]
     state.unpersist()

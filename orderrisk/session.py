@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import uuid
 
@@ -68,3 +69,9 @@ def drop_table(df: DataFrame) -> None:
         path = hadoop.Path(table)
         if f"{folder.split(':', 1)[-1].lstrip('/')}/cut-" in table:
             path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def forget_shuffles(spark: SparkSession) -> None:
+    """Lets Spark remove the files of shuffles that no DataFrame or RDD names any more: it does so when the driver's two heaps are collected."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

@@ -1,11 +1,14 @@
 """Boosting and forests against plain numpy, and the same however rows are dealt."""
 
+import time
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from orderrisk.operators import boosting, explain, features, forest, models, sampling, trees
 from orderrisk.registry import tables
+from orderrisk.session import forget_shuffles
 
 NAMES = ["a", "b", "c"]
 
@@ -242,3 +245,17 @@ def test_draws_are_found_by_their_upper_bits():
     mixed = forest._mixed(keys.astype(np.uint64) * np.uint64(0x9FB21C651E98DF25) + forest._mixed(np.full(1, 4, np.uint64)))
     want = np.searchsorted(forest._POISSON, (mixed >> np.uint64(11)).astype(float) / (1 << 53), "right")
     assert (forest.times(keys, 3) == want).all() and (forest._UPPER < 0).sum() < 20
+
+
+def test_shuffles_that_nothing_names_are_removed(spark):
+    held = spark.sparkContext._jsc.sc().env().mapOutputTracker().shuffleStatuses()
+    moved = spark.sparkContext.parallelize([(i % 3, b"row") for i in range(30)], 3).partitionBy(3)
+    assert moved.count() == 30
+    before = held.size()
+    del moved
+    for _ in range(50):
+        forget_shuffles(spark)
+        if held.size() < before:
+            return
+        time.sleep(0.2)
+    raise AssertionError("the shuffle is still there")
